@@ -77,10 +77,9 @@ class SuffixAutomaton:
         for c in word:
             nxt = step[state].get(c)
             if nxt is None:
-                count += 1
                 nxt = step[0].get(c, 0)
-                if state == 0:
-                    continue
+                # The phrase ends before c; a letter that the text lacks is a phrase of its own.
+                count += (state != 0) + (nxt == 0)
             state = nxt
         return count + (state != 0)
 
