@@ -42,6 +42,12 @@ def unwritten(*frames: DataFrame) -> None:
                 path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Bounds what a Python worker holds at once: whole texts of at most so many rows, or 16 MB of them."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+
+
 def held_out(doc_id: Column) -> Column:
     """The fold that no model learns from: crc32 of the id's text, modulo 5, is 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -22,12 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomsift.llm.common import held_out, sample_by_label, table
+from loomsift.llm.common import held_out, sample_by_label, small_batches, table
 
 #: Labelled documents taken for each language, and characters of distinct words that its automaton holds.
 SAMPLE_DOCS, AUTOMATON_CHARS = 96, 48_000
 #: Words that a worker remembers before it starts anew.
-MEMO = 400_000
+MEMO = 150_000
 #: How sharply the score falls with the distance in bits a letter between the languages.
 SHARPNESS = 12.0
 START = "\x02"
@@ -157,6 +157,7 @@ def predict(docs: DataFrame, model: tuple[tuple[str, str], ...], text: str = "te
     """docs (or its columns `keep`) with lang_pred and score; existing columns of those names are replaced."""
     docs = docs.drop("lang_pred", "score")
     at = docs.columns.index(text)
+    small_batches(docs.sparkSession)
     names_kept = docs.columns if keep is None else keep
     kept = [docs.columns.index(c) for c in names_kept]
     schema = T.StructType([*(docs.schema[i] for i in kept), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])

@@ -34,10 +34,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomsift.llm.common import table, unwritten, written
+from loomsift.llm.common import small_batches, table, unwritten, written
 
 SIDE, BAND, AGREE = 12, 3, 3
-MEMO = 400_000
+MEMO = 150_000
 SEED = 20_240_501
 SKETCH = "doc_id long, n_shingles long, h1 long, h2 long, a array<long>, b array<long>"
 
@@ -106,9 +106,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                         h2.append(None)
                 flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
                 ends = np.cumsum([0] + [2 * SIDE if n else 0 for n in size])
-                both = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
                 halves = [pa.ListArray.from_arrays(pa.array(ends // 2, pa.int32()), pa.array(flat.reshape(-1, 2, SIDE)[:, k].ravel())) for k in (0, 1)]
-                assert len(both) == batch.num_rows
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), *halves], ["doc_id", "n_shingles", "h1", "h2", "a", "b"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SKETCH)
@@ -121,12 +119,10 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
         memo = _WordHash()
         with np.errstate(over="ignore"):
             for batch in batches:
-                for at in range(0, batch.num_rows, 500):
-                    part = batch.slice(at, 500)
-                    sets = [shingle_hashes(t, width, memo).view(np.int64) for t in part.column(1).to_pylist()]
-                    ends = np.cumsum([0, *map(len, sets)])
-                    values = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-                    yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))], ["id", "s"])
+                sets = [shingle_hashes(t, width, memo).view(np.int64) for t in batch.column(1).to_pylist()]
+                ends = np.cumsum([0, *map(len, sets)])
+                values = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))], ["id", "s"])
 
     return docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string")).mapInArrow(run, "id long, s array<long>")
 
@@ -177,6 +173,7 @@ def _first_common(left: str, right: str) -> Column:
 
 def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 3) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row for each row of docs (doc_id, text)."""
+    small_batches(docs.sparkSession)
     sketch = written(sketches(docs.select("doc_id", "text"), width), "sketch")
     # Classes of equal sets. A shingle set of one sequence has no near partner but its equals.
     classes = (
