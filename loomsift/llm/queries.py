@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomsift.llm import decontam, langid, neardup
+from loomsift.llm import decontam, langid, neardup, secrets
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_duplicates": neardup.op1_near_duplicates,
+        "op4_secret_scan": secrets.op4_secret_scan,
         "op8_language_id": langid.op8_language_id,
         "op9_benchmark_decontamination": decontam.op9_benchmark_decontamination,
     }
