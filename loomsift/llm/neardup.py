@@ -12,9 +12,9 @@ Steps, all of them joins and aggregates of narrow rows:
    both of its halves are.
 4. Each bucket of a table sends its members to one leader, the member with most company over all bands (in a group of
    edited copies that is the original); those links are confirmed on the full sets and give components.
-5. Buckets that still hold more than one component compare every member outside the bucket's main component with all
-   members of other components. Each pair appears once, at its first common table, and pairs with less than AGREE
-   common bands of 2 * SIDE are out. Confirmed links are added and the components found anew.
+5. In buckets that still hold more than one component, members outside the bucket's main component are compared with
+   members of other components. A prefix filter over the members' full sets gives the pairs that can still reach the
+   similarity; confirmed links are added and the components found anew.
 A link can stay unconfirmed only inside a component that is already connected, so groups equal those of all links.
 
 No group is gathered in one task: buckets are aggregated before the shuffle and joined by rows.
@@ -31,12 +31,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomsift.llm.common import small_batches, table, unwritten, written
 
-SIDE, BAND, AGREE = 12, 3, 3
+SIDE, BAND = 12, 3
 MEMO = 150_000
 SEED = 20_240_501
 SKETCH = "doc_id long, n_shingles long, h1 long, h2 long, a array<long>, b array<long>"
@@ -166,9 +166,27 @@ def _table_keys(sketch: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def _first_common(left: str, right: str) -> Column:
-    """The first band number on which two arrays of bands agree."""
-    return F.array_position(F.zip_with(left, right, lambda p, q: p == q), True) - 1
+def prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) of members (id, comp, minor) of different components, x minor, that may reach the similarity.
+
+    Prefix filter: with all shingles in one order, rarest first, two sets of that similarity share one of the first
+    n - ceil(percent * n / 100) + 1 of each. Shingles that no other member has come first and match nothing, so a set
+    with that many of them has no partner and gives no row: what an edited copy has for itself rules it out, however
+    many copies there are.
+    """
+    own = members.join(sets, "id").withColumn("size", F.size("s"))
+    every = own.select("id", F.explode("s").alias("shingle"))
+    common = every.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    shared = every.join(common, "shingle").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("shared"))
+    prefix = F.col("size") - F.ceil(F.lit(percent) * F.col("size") / 100).cast("int") + 1
+    rest = prefix - (F.col("size") - F.size("shared"))
+    kept = own.select("id", "comp", "minor", "size").join(shared, "id").withColumn("rest", rest).where("rest > 0")
+    kept = kept.select("id", "comp", "minor", "size", F.explode(F.slice("shared", F.lit(1), F.col("rest"))).alias("e")).select("id", "comp", "minor", "size", "e.shingle")
+    kept = written(kept, "prefixes")
+    x = kept.where("minor").select("shingle", F.col("id").alias("x"), F.col("comp").alias("cx"), F.col("size").alias("nx"))
+    y = kept.select("shingle", F.col("id").alias("y"), F.col("comp").alias("cy"), F.col("size").alias("ny"), "minor")
+    fits = (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")) & (F.col("cx") != F.col("cy")) & (~F.col("minor") | (F.col("x") < F.col("y")))
+    return x.join(y, "shingle").where(fits).select("x", "y").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 3) -> DataFrame:
@@ -213,15 +231,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 3) -> DataF
     parts = rows.groupBy("key", "comp").agg(F.count("*").alias("n"))
     mixed = parts.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
     members = rows.join(mixed.select("key", F.col("main.comp").alias("main")), "key")
-    members = written(members.select("key", "id", "comp", (F.col("comp") != F.col("main")).alias("minor")), "mixed")
-    arrays = near.select("id", "a", "b")
-    few = members.where("minor").select("key", F.col("id").alias("x"), F.col("comp").alias("cx")).join(arrays.toDF("x", "ax", "bx"), "x")
-    all_ = members.select("key", F.col("id").alias("y"), F.col("comp").alias("cy"), F.col("minor").alias("my")).join(arrays.toDF("y", "ay", "by"), "y")
-    i, j = _first_common("ax", "ay"), _first_common("bx", "by")
-    agree = sum(F.size(F.filter(F.zip_with(p, q, lambda u, v: u == v), lambda e: e)) for p, q in (("ax", "ay"), ("bx", "by")))
-    first = F.col("key") == F.xxhash64(i.cast("int"), F.get("ax", i.cast("int")), j.cast("int"), F.get("bx", j.cast("int")))
-    met = few.join(all_, (few["key"] == all_["key"]) & (F.col("cx") != F.col("cy")) & (~F.col("my") | (F.col("x") < F.col("y"))) & (agree >= AGREE), "inner")
-    missed = met.where(F.lit(True)).select(few["key"].alias("key"), "x", "y", "ax", "ay", "bx", "by").where(first).select("x", "y").distinct()
+    members = written(members.groupBy("id", "comp").agg(F.max(F.col("comp") != F.col("main")).alias("minor")), "mixed")
+    missed = prefix_pairs(members, sets, percent)
     more = written(confirmed(missed, sets, percent), "links")
     if more.limit(1).count():
         old = comps
