@@ -1,0 +1,33 @@
+import corpus_pipeline
+from loomsift.llm import decontam, packing
+from loomsift.llm.common import table, written
+from tests.llm.test_neardup import brute
+from tests.llm.test_packing import check
+
+
+def test_stages_against_brute_force(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    docs = table(spark, sf_dir, "documents")
+    columns = docs.columns
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        before = {r.doc_id: r for r in docs.collect()} if name != "packing" else None
+        last = docs
+        docs = written(stage(spark, docs, sf_dir), f"test-{name}")
+        if name == "packing":
+            break
+        assert docs.columns == columns
+        kept[name] = ({i: r.text for i, r in before.items()}, {r.doc_id: r for r in docs.collect()})
+    before, after = kept["language_id"]
+    assert set(after) == {i for i, t in before.items() if any(c.isalpha() for c in t)}
+    before, after = kept["near_dedup"]
+    assert set(after) == {i for i, (_, _, keep) in brute(list(before.items()), 80, 5).items() if keep}
+    before, after = kept["decontamination"]
+    items = [decontam.normalised(r.text) for r in table(spark, sf_dir, "benchmark").collect()]
+    assert set(after) == {i for i, t in before.items() if not any(item in decontam.normalised(t) for item in items)}
+    before, after = kept["secret_scan"]
+    assert set(after) == set(before)
+    changed = {i for i, t in before.items() if after[i].text != t}
+    assert changed and all("[SECRET]" in after[i].text and after[i].n_chars == len(after[i].text) for i in changed)
+    assert len(changed) < 0.1 * len(before)
+    check(docs.collect(), [(r.doc_id, r.text) for r in last.collect()], packing.CAPACITY)
