@@ -12,9 +12,9 @@ Steps, all of them joins and aggregates of narrow rows:
    both of its halves are.
 4. Each bucket of a table sends its members to one leader, the member with most company over all bands (in a group of
    edited copies that is the original); those links are confirmed on the full sets and give components.
-5. In buckets that still hold more than one component, members outside the bucket's main component are compared with
-   members of other components. A prefix filter over the members' full sets gives the pairs that can still reach the
-   similarity; confirmed links are added and the components found anew.
+5. Members that met under one leader and are in different components still may be linked. Two exact prefix filters
+   over the full sets give the pairs that can reach the similarity (see missed_pairs); confirmed links are added and
+   the components found anew.
 A link can stay unconfirmed only inside a component that is already connected, so groups equal those of all links.
 
 No group is gathered in one task: buckets are aggregated before the shuffle and joined by rows.
@@ -166,27 +166,49 @@ def _table_keys(sketch: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (x, y) of members (id, comp, minor) of different components, x minor, that may reach the similarity.
+def missed_pairs(pairs: DataFrame, comps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) that met under one leader, lie in different components and may reach the similarity.
 
-    Prefix filter: with all shingles in one order, rarest first, two sets of that similarity share one of the first
-    n - ceil(percent * n / 100) + 1 of each. Shingles that no other member has come first and match nothing, so a set
-    with that many of them has no partner and gives no row: what an edited copy has for itself rules it out, however
-    many copies there are.
+    Two prefix filters, both exact. In the first, with shingles in one order, rarest first, two sets of the similarity
+    share one of the first n - ceil(percent * n / 100) + 1 of each; a set with that many shingles that no other has is
+    out. The second compares sets by their difference from the leader they have in common: the sets x and y differ in
+    as many shingles as their differences d(x) and d(y) do, and may differ in h = (100 - percent) / (100 + percent) *
+    (|x| + |y|) of them, so d(x) and d(y) share (|d(x)| + |d(y)| - h) / 2 at least. Edited copies of a text differ from
+    it each in its own way, and this rules nearly all pairs of them out, however many there are.
     """
-    own = members.join(sets, "id").withColumn("size", F.size("s"))
+    named = lambda c: comps.select(F.col("id").alias(c), F.col("comp").alias(f"c{c}"))
+    met = pairs.join(named("x"), "x", "left").join(named("y"), "y", "left")
+    met = met.select("x", F.coalesce("cx", "x").alias("comp"), F.col("y").alias("leader"), (F.coalesce("cx", "x") != F.coalesce("cy", "y")).alias("outside"))
+    mixed = met.where("outside").select("leader").distinct()
+    met = written(met.join(mixed, "leader"), "met")
+
+    own = met.select(F.col("x").alias("id")).distinct().join(sets, "id").withColumn("size", F.size("s"))
     every = own.select("id", F.explode("s").alias("shingle"))
     common = every.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
-    shared = every.join(common, "shingle").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("shared"))
+    shared = every.join(common, "shingle").groupBy("id").agg(F.count("*").cast("int").alias("shared"))
     prefix = F.col("size") - F.ceil(F.lit(percent) * F.col("size") / 100).cast("int") + 1
-    rest = prefix - (F.col("size") - F.size("shared"))
-    kept = own.select("id", "comp", "minor", "size").join(shared, "id").withColumn("rest", rest).where("rest > 0")
-    kept = kept.select("id", "comp", "minor", "size", F.explode(F.slice("shared", F.lit(1), F.col("rest"))).alias("e")).select("id", "comp", "minor", "size", "e.shingle")
-    kept = written(kept, "prefixes")
-    x = kept.where("minor").select("shingle", F.col("id").alias("x"), F.col("comp").alias("cx"), F.col("size").alias("nx"))
-    y = kept.select("shingle", F.col("id").alias("y"), F.col("comp").alias("cy"), F.col("size").alias("ny"), "minor")
-    fits = (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")) & (F.col("cx") != F.col("cy")) & (~F.col("minor") | (F.col("x") < F.col("y")))
-    return x.join(y, "shingle").where(fits).select("x", "y").distinct()
+    alive = own.select("id", "s", "size").join(shared, "id").where(F.col("size") - F.col("shared") < prefix).select(F.col("id").alias("x"), "s", "size")
+
+    both = met.join(alive, "x").join(sets.select(F.col("id").alias("leader"), F.col("s").alias("ls")), "leader")
+    differ = F.concat(F.array_except("s", "ls"), F.array_except("ls", "s"))
+    each = written(both.select("leader", "x", "comp", "outside", "size", differ.alias("d")), "differences")
+    rows = each.select("leader", "x", F.explode("d").alias("e"))
+    common = rows.groupBy("leader", "e").agg(F.count("*").alias("df")).where("df > 1")
+    shared = rows.join(common, ["leader", "e"]).groupBy("leader", "x").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("shared"))
+    most = F.floor(F.lit(100 - percent) * F.col("size") / percent).cast("int")  # h for the largest partner
+    kept = each.select("leader", "x", "comp", "outside", "size", F.size("d").alias("n")).join(shared, ["leader", "x"])
+    kept = kept.withColumn("common", F.size("shared")).withColumn("rest", most + 1 - (F.col("n") - F.col("common"))).where("rest > 0")
+    kept = written(kept.select("leader", "x", "comp", "outside", "size", "n", "common", F.slice(F.col("shared.e"), F.lit(1), F.col("rest")).alias("first")), "prefixes")
+    one = kept.withColumn("e", F.explode("first"))
+    x = one.where("outside").select("leader", "e", "x", *[F.col(c).alias(f"{c}_x") for c in ("comp", "size", "n", "common", "first")])
+    y = one.select("leader", "e", F.col("x").alias("y"), *[F.col(c).alias(f"{c}_y") for c in ("comp", "outside", "size", "n", "common", "first")])
+    sizes = F.col("size_x") + F.col("size_y")
+    fits = (F.col("comp_x") != F.col("comp_y")) & (~F.col("outside_y") | (F.col("x") < F.col("y")))
+    fits &= 100 * F.least("size_x", "size_y") >= percent * F.greatest("size_x", "size_y")
+    fits &= (100 + percent) * (F.col("n_x") + F.col("n_y") - 2 * F.least("common_x", "common_y")) <= (100 - percent) * sizes
+    # Once for each pair: at the first shingle that both prefixes have.
+    fits &= F.col("e") == F.get(F.array_intersect("first_x", "first_y"), F.lit(0))
+    return x.join(y, ["leader", "e"]).where(fits).select("x", "y").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 3) -> DataFrame:
@@ -225,20 +247,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 3) -> DataF
     links = written(confirmed(pairs, sets, percent), "links")
     comps = components(links)
 
-    # Buckets of several components: what the leaders missed.
-    labelled = near.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    rows = _table_keys(labelled, "comp").select("key", "id", "comp")
-    parts = rows.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    mixed = parts.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
-    members = rows.join(mixed.select("key", F.col("main.comp").alias("main")), "key")
-    members = written(members.groupBy("id", "comp").agg(F.max(F.col("comp") != F.col("main")).alias("minor")), "mixed")
-    missed = prefix_pairs(members, sets, percent)
+    missed = missed_pairs(pairs, comps, sets, percent)
     more = written(confirmed(missed, sets, percent), "links")
     if more.limit(1).count():
         old = comps
         comps = components(links.union(more))
         unwritten(old)
-    unwritten(sets, pairs, members, near)
+    unwritten(sets, pairs, near)
 
     named = classes.join(comps, "id", "left").select("h1", "h2", F.coalesce("comp", "id").alias("component_id"))
     out = sketch.select("doc_id", "n_shingles", "h1", "h2").join(named, ["h1", "h2"], "left")
