@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomsift.llm import decontam, langid, neardup, packing, secrets
+from loomsift.llm import decontam, langid, neardup, packing, quality, secrets, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_duplicates": neardup.op1_near_duplicates,
         "op4_secret_scan": secrets.op4_secret_scan,
+        "op3_quality": quality.op3_quality,
+        "op5_toxicity": toxicity.op5_toxicity,
         "op6_best_fit_packing": packing.op6_best_fit_packing,
         "op8_language_id": langid.op8_language_id,
         "op9_benchmark_decontamination": decontam.op9_benchmark_decontamination,
