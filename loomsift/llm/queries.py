@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomsift.llm import decontam, langid, neardup, packing, quality, secrets, toxicity
+from loomsift.llm import decontam, htmltext, langid, neardup, packing, quality, secrets, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_duplicates": neardup.op1_near_duplicates,
         "op4_secret_scan": secrets.op4_secret_scan,
+        "op2_html_extraction": htmltext.op2_html_extraction,
         "op3_quality": quality.op3_quality,
         "op5_toxicity": toxicity.op5_toxicity,
         "op6_best_fit_packing": packing.op6_best_fit_packing,
