@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomsift.llm import decontam, htmltext, langid, neardup, packing, quality, secrets, toxicity
+from loomsift.llm import chatformat, decontam, htmltext, langid, neardup, packing, quality, secrets, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality": quality.op3_quality,
         "op5_toxicity": toxicity.op5_toxicity,
         "op6_best_fit_packing": packing.op6_best_fit_packing,
+        "op7_chat_formatting": chatformat.op7_chat_formatting,
         "op8_language_id": langid.op8_language_id,
         "op9_benchmark_decontamination": decontam.op9_benchmark_decontamination,
     }
