@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomsift.llm import chatformat, decontam, htmltext, langid, neardup, packing, quality, secrets, toxicity
+from loomsift.llm import chatformat, decontam, htmltext, langid, media, neardup, packing, quality, secrets, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_chat_formatting": chatformat.op7_chat_formatting,
         "op8_language_id": langid.op8_language_id,
         "op9_benchmark_decontamination": decontam.op9_benchmark_decontamination,
+        "op10_media_columns": media.op10_media_columns,
     }
 
 
