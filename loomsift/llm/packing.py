@@ -37,8 +37,8 @@ CAPACITY, END = 2048, 0
 SHARD, ISLANDS, POPULATION, CROSSINGS, ROUNDS = 4000, 2, 4, 6, 2
 #: Bins below this fill are packed again at the end.
 LOOSE = 0.985
-#: Chunks and half the parts of chunks that a worker remembers.
-MEMO = 400_000
+#: Chunks, and parts of chunks, that a worker remembers in each of two generations.
+MEMO = 600_000
 #: ASCII punctuation but the apostrophe, and a mark that no pattern joins to a word.
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 MARK = "\x01"
@@ -68,6 +68,8 @@ class ChunkIds(dict):
         self.tokenizer.encode_special_tokens = True
         (self.mark,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.parts: dict[bytes, bytes] = {b"": b""}
+        self.old: dict[bytes, bytes] = {}
+        self.old_parts: dict[bytes, bytes] = {}
 
     def _learn_parts(self, parts: list[bytes]) -> None:
         odd = [p for p in parts if MARK.encode() in p]
@@ -79,24 +81,46 @@ class ChunkIds(dict):
         for group, found in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
             ids = np.array(found.ids, "<u4")
             ends = np.flatnonzero(ids == self.mark)
-            starts = [0, *(ends + 1).tolist()]
-            for p, x, y in zip(group, starts, [*ends.tolist(), len(ids)]):
-                self.parts[p] = ids[x:y].tobytes()
+            starts = [0, *(4 * ends + 4).tolist()]
+            raw = ids.tobytes()
+            self.parts.update((p, raw[x:y]) for p, x, y in zip(group, starts, [*(4 * ends).tolist(), len(raw)]))
+
+    @staticmethod
+    def _cut(chunk: bytes) -> int:
+        """Where the punctuation at the end begins, if a letter stands before it, else the chunk's length."""
+        at = len(chunk.rstrip(PUNCTUATION))
+        last = chunk[at - 1 : at]
+        if last.isalpha() or at and last >= b"\x80" and chunk[:at].decode()[-1].lower()[-1].isalpha():
+            return at
+        return len(chunk)
 
     def learn(self, chunks: set[bytes]) -> None:
-        if len(self) > MEMO:
+        if len(self) > MEMO:  # what is still met comes back from the generation before
+            self.old = dict(self)
             self.clear()
-        if len(self.parts) > 2 * MEMO:
-            self.parts = {b"": b""}
-        split = []
+        if len(self.parts) > MEMO:
+            self.old_parts, self.parts = self.parts, {b"": b""}
+        old, parts, unknown, rest = self.old, self.parts, set(), []
         for chunk in chunks:
-            core = chunk.rstrip(PUNCTUATION)
-            if not core or not core.decode()[-1].lower()[-1].isalpha():
-                core = chunk
-            split.append((chunk, core.lower() if core.isascii() else core, chunk[len(core) :]))
-        self._learn_parts(list({p for _, core, end in split for p in (core, end)} - self.parts.keys()))
-        for chunk, core, end in split:
-            self[chunk] = self.parts[core] + self.parts[end]
+            ids = old.get(chunk)
+            if ids is not None:
+                self[chunk] = ids
+                continue
+            rest.append(chunk)
+            at = self._cut(chunk)
+            core = chunk[:at]
+            for part in (core.lower() if core.isascii() else core, chunk[at:]):
+                if part not in parts:
+                    ids = self.old_parts.get(part)
+                    if ids is None:
+                        unknown.add(part)
+                    else:
+                        parts[part] = ids
+        self._learn_parts(list(unknown))
+        for chunk in rest:
+            at = self._cut(chunk)
+            core = chunk[:at]
+            self[chunk] = parts[core.lower() if core.isascii() else core] + parts[chunk[at:]]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         chunks = [(t or "").encode().split() for t in texts]
@@ -105,12 +129,13 @@ class ChunkIds(dict):
             new.update(filterfalse(self.__contains__, c))
         if new:
             self.learn(new)
-            # What learn() forgot to make room.
-            new = {c for own in chunks for c in filterfalse(self.__contains__, own)}
-            if new:
-                self.learn(new)
         return [b"".join(map(self.__getitem__, c)) for c in chunks]
 
+    def __missing__(self, chunk: bytes) -> bytes:
+        """A chunk known when the batch began and put aside since."""
+        self[chunk] = ids = self.old[chunk]
+        return ids
+
 
 @lru_cache(maxsize=1)
 def _chunk_ids(path: str) -> ChunkIds:
