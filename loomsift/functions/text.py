@@ -191,29 +191,37 @@ def title_overlap(hook: Column, title: Column) -> Column:
     return F.when(F.size(own) > 0, F.size(F.array_intersect(own, tokens(title))) / F.size(own)).otherwise(F.lit(0.0))
 
 
-def derive_hooks(title: Column, summary: Column, domain: Column, lang: Column, stopwords: list[str]) -> Column:
+def derive_hooks(title: Column, title_tokens: Column, sentences: Column, entities: Column, domain: Column, lang: Column) -> Column:
     """Up to three distinct hooks: lead sentence, entity card, second sentence, domain card, entity with lead.
 
-    Sentences that echo the title come last, and a lead that does is left out of the first places.
+    Sentences that echo the title come last, and a lead that does is left out of the first places. The arrays are best
+    columns of their own, as each is used many times: the title's tokens, the sentences of the text, its entities.
     """
-    most = by_lang(lang, HOOK_MAX)
-    clean = strip_metadata(F.when(summary != "", summary).otherwise(title))
-    sentences = split_sentences(clean)
-    entities = F.slice(topic_tokens(F.concat(title, F.lit(" "), clean), stopwords), 1, 3)
-    card = F.array_join(entities, " · ")
-    none = F.lit("")
-    lead = truncate(F.coalesce(F.get(sentences, 0), none), most)
-    second = truncate(F.coalesce(F.get(sentences, 1), none), most)
+    most, none = by_lang(lang, HOOK_MAX), F.lit("")
+    top = F.slice(entities, 1, 3)
+    card = F.array_join(top, " · ")
+    lead, second = (truncate(F.coalesce(F.get(sentences, k), none), most) for k in (0, 1))
     domain_card = F.when(card != "", truncate(F.concat(domain, F.lit("｜"), card), most)).otherwise(none)
-    entity_lead = F.coalesce(truncate(F.concat(F.get(entities, 0), F.lit("："), F.get(sentences, 0)), most), none)
-    echoes = (lead != "") & (title_overlap(lead, title) >= TITLE_ECHO)
-    cards = [(F.when(echoes, none).otherwise(lead), True), (F.when(echoes, second).otherwise(truncate(card, most)), None), (F.when(echoes, truncate(card, most)).otherwise(second), None), (domain_card, False), (entity_lead, True)]
-    is_sentence = [F.lit(True), echoes, ~echoes, F.lit(False), F.lit(True)]
-    candidates = F.array(*[F.struct(strip(text).alias("text"), s.alias("sentence")) for (text, _), s in zip(cards, is_sentence)])
-    fit = F.filter(candidates, lambda c: (F.length(c["text"]) >= HOOK_MIN) & ~is_title_prefix(c["text"], title))
-    fresh = F.filter(fit, lambda c: ~(c["sentence"] & (title_overlap(c["text"], title) >= TITLE_ECHO)))
-    texts = lambda cs: F.transform(cs, lambda c: c["text"])
-    return F.slice(F.array_distinct(F.concat(texts(fresh), texts(fit))), 1, 3)
+    entity_lead = F.coalesce(truncate(F.concat(F.get(top, 0), F.lit("："), F.get(sentences, 0)), most), none)
+    own = [(lead, True), (truncate(card, most), False), (second, True), (domain_card, False), (entity_lead, True)]
+    made = F.array(*[F.struct(strip(t).alias("text"), F.lit(s).alias("sentence")) for t, s in own])
+
+    def echo(text: Column) -> Column:
+        found = tokens(_bare(text))
+        return (F.size(found) > 0) & (F.size(F.array_intersect(found, title_tokens)) / F.size(found) >= TITLE_ECHO)
+
+    told = F.transform(made, lambda c: F.struct(c["text"].alias("text"), (c["sentence"] & echo(c["text"])).alias("echo")))
+
+    def chosen(cards: Column) -> Column:
+        lead_echoes = F.get(cards, 0)["echo"] & (F.get(cards, 0)["text"] != "")
+        # A lead that echoes the title goes, and the second sentence comes before the card.
+        order = F.when(lead_echoes, F.array(F.get(cards, 2), F.get(cards, 1), F.get(cards, 3), F.get(cards, 4))).otherwise(cards)
+        fit = F.filter(order, lambda c: (F.length(c["text"]) >= HOOK_MIN) & ~is_title_prefix(c["text"], title))
+        both = F.concat(F.filter(fit, lambda c: ~c["echo"]), fit)
+        return F.slice(F.array_distinct(F.transform(both, lambda c: c["text"])), 1, 3)
+
+    # The cards are bound once, as the element of an array of one.
+    return F.get(F.transform(F.array(told), chosen), 0)
 
 
 def stale_year(title: Column, year: Column) -> Column:

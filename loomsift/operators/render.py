@@ -44,7 +44,10 @@ def rendered(items: DataFrame, persona: str, digest: str, domain: str, keywords:
     clean = clean.withColumn("body", T.strip_metadata(T.strip_html(F.col("body"))))
     clean = clean.withColumn("lang", T.detect_lang(F.concat("title", F.lit("\n"), "body")))
     clean = clean.withColumn("summary", T.ensure_summary_floor(T.first_sentence(F.col("body"), T.by_lang(F.col("lang"), T.SUMMARY_MAX)), F.col("body"), F.col("lang")))
-    hooks = T.derive_hooks(F.col("title"), F.col("summary"), F.lit(domain), F.col("lang"), stopwords)
+    clean = clean.withColumn("_text", T.strip_metadata(F.when(F.col("summary") != "", F.col("summary")).otherwise(F.col("title"))))
+    clean = clean.withColumn("_sentences", T.split_sentences(F.col("_text"))).withColumn("_tokens", T.tokens(F.col("title")))
+    clean = clean.withColumn("_entities", T.topic_tokens(F.concat("title", F.lit(" "), "_text"), stopwords))
+    hooks = T.derive_hooks(F.col("title"), F.col("_tokens"), F.col("_sentences"), F.col("_entities"), F.lit(domain), F.col("lang"))
     why = T.truncate_why(reason(F.col("title"), F.col("body"), keywords, signals, domain), T.WHY_MAX)
     post = F.concat(F.lit(f"{persona}:{digest}:"), F.col("pos").cast("string"))
     return clean.select(
@@ -61,11 +64,12 @@ def asserted(posts: DataFrame, config: GateConfig, known: DataFrame, max_age_hou
     named = posts.withColumn("_canon", canon)
     first = named.where("_canon <> ''").groupBy("_canon").agg(F.min("pos").alias("_first"))
     published = known.select(F.col("canonical_url").alias("_canon")).distinct().withColumn("_known", F.lit(True))
+    stop = list(config.stopwords)
     both = named.join(first, "_canon", "left").join(published, "_canon", "left")
+    both = both.withColumn("_source", T.topic_tokens(F.concat("title", F.lit(" "), "body"), stop))
+    both = both.withColumn("_hooks", F.transform("hooks", lambda h: T.topic_tokens(h, stop)))
     title, summary, body, why, hooks, lang = (F.col(c) for c in ("title", "summary", "body", "why", "hooks", "lang"))
     damaged, tag = "(?i)\\[object Object\\]", f"(?i)</?[a-z][a-z0-9-]*(?:[{T.SPACE}][^<>]*)?>"
-    stop = list(config.stopwords)
-    source = T.topic_tokens(F.concat(title, F.lit(" "), body), stop)
     text = F.concat(summary, F.lit("\n"), body, F.lit("\n"), F.array_join(hooks, " "), F.lit("\n"), why)
     most = T.by_lang(lang, T.HOOK_MAX)
     shape = (F.size(hooks) != 3) | (F.size(F.array_distinct(hooks)) != 3) | F.exists(hooks, lambda h: F.length(h) > most)
@@ -79,7 +83,7 @@ def asserted(posts: DataFrame, config: GateConfig, known: DataFrame, max_age_hou
         "fragmentHook": F.exists(hooks, lambda h: T.strip(h).rlike("(?i)^arxiv:\\d+") | (F.length(h) < T.HOOK_MIN)),
         "scoreEcho": why.rlike("(价值|得分|分数|score)[ \\t]*[:：]?[ \\t]*\\d+\\.\\d|\\d\\.\\d{2}"),
         "blacklistRecheck": blacklist_verdict(config, title, text).isNotNull(),
-        "hookEntity": (F.size(source) == 0) | F.exists(hooks, lambda h: ~F.arrays_overlap(T.topic_tokens(h, stop), source)),
+        "hookEntity": (F.size("_source") == 0) | F.exists("_hooks", lambda h: ~F.arrays_overlap(h, F.col("_source"))),
         "tooOld": old,
         "shapeViolation": shape,
         "htmlLeak": T.any_of([c.rlike(tag) for c in (title, summary, body, why)]) | F.exists(hooks, lambda h: h.rlike(tag)),
@@ -88,4 +92,4 @@ def asserted(posts: DataFrame, config: GateConfig, known: DataFrame, max_age_hou
         "bodyBelowFloor": F.length(body) < T.by_lang(lang, T.BODY_MIN),
     }
     flagged = both.withColumns({f"gk_{name}": broken[name] for name in ASSERTIONS})
-    return flagged.withColumn("rule", first_failing([(F.col(f"gk_{n}"), f"gk:{n}") for n in ASSERTIONS])).drop("_canon", "_first", "_known")
+    return flagged.withColumn("rule", first_failing([(F.col(f"gk_{n}"), f"gk:{n}") for n in ASSERTIONS])).drop("_canon", "_first", "_known", "_source", "_hooks")
