@@ -17,12 +17,11 @@ doc_id is carried along; extra columns are ignored.
 
 from __future__ import annotations
 
-import os
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import filterfalse
 
 import numpy as np
 import pandas as pd
@@ -39,9 +38,8 @@ SHARD, ISLANDS, POPULATION, CROSSINGS, ROUNDS = 4000, 2, 4, 6, 2
 LOOSE = 0.985
 #: Chunks, and parts of chunks, that a worker remembers in each of two generations.
 MEMO = 600_000
-#: ASCII punctuation but the apostrophe, and a mark that no pattern joins to a word.
+#: ASCII punctuation but the apostrophe.
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
-MARK = "\x01"
 PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long"
 
 
@@ -51,91 +49,78 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class ChunkIds(dict):
-    """Ids of a chunk without ASCII white space, as little-endian unsigned 32-bit numbers.
+class PartIds(dict):
+    """Ids of a chunk's core or of the punctuation at its end, as little-endian unsigned 32-bit numbers.
 
-    The tokenizer drops white space and never forms a token across it, nor across a letter and the punctuation after it,
-    so a text's ids are those of its chunks in order, and a chunk's those of its core and the punctuation at its end.
-    New cores are encoded many at a time, set apart by a mark that is one token.
+    A run of Latin letters is one word to the tokenizer: it goes to the model straight, written in the model's alphabet
+    of bytes. Everything else takes the tokenizer's whole way.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         super().__init__()
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a worker for each core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        (self.mark,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
-        self.parts: dict[bytes, bytes] = {b"": b""}
+        self.model = self.tokenizer.model
+        self.old: dict[bytes, bytes] = {}
+        # Byte-level alphabet: printable bytes stand for themselves, the others for the letters from U+0100 on.
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in plain]
+        self.alphabet = "".join(chr(b if b in plain else 256 + others.index(b)) for b in range(256))
+
+    def __missing__(self, part: bytes) -> bytes:
+        ids = self.old.get(part)
+        if ids is None:
+            if part.isalpha():  # ASCII letters, lower-cased by the caller
+                found = [t.id for t in self.model.tokenize(part.decode())]
+            else:
+                text = part.decode()
+                if text.isalpha() and max(text) < "\u0180" and "\u0130" not in text:
+                    word = text.lower().encode().decode("latin-1").translate(self.alphabet)
+                    found = [t.id for t in self.model.tokenize(word)]
+                else:
+                    found = self.tokenizer.encode(text, add_special_tokens=False).ids
+            ids = array("I", found).tobytes()
+        self[part] = ids
+        return ids
+
+
+class ChunkIds(dict):
+    """Ids of a chunk without ASCII white space.
+
+    The tokenizer drops white space and never forms a token across it, nor across a letter and the punctuation after it,
+    so a text's ids are those of its chunks in order, and a chunk's those of its core and the punctuation at its end.
+    """
+
+    def __init__(self, path: str) -> None:
+        super().__init__()
+        self.parts = PartIds(path)
         self.old: dict[bytes, bytes] = {}
-        self.old_parts: dict[bytes, bytes] = {}
-
-    def _learn_parts(self, parts: list[bytes]) -> None:
-        odd = [p for p in parts if MARK.encode() in p]
-        for p in odd:
-            self.parts[p] = np.array(self.tokenizer.encode(p.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-        parts = [p for p in parts if p not in self.parts]
-        groups = [parts[at : at + 64] for at in range(0, len(parts), 64)]
-        joined = [(b" " + MARK.encode() + b" ").join(group).decode() for group in groups]
-        for group, found in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
-            ids = np.array(found.ids, "<u4")
-            ends = np.flatnonzero(ids == self.mark)
-            starts = [0, *(4 * ends + 4).tolist()]
-            raw = ids.tobytes()
-            self.parts.update((p, raw[x:y]) for p, x, y in zip(group, starts, [*(4 * ends).tolist(), len(raw)]))
-
-    @staticmethod
-    def _cut(chunk: bytes) -> int:
-        """Where the punctuation at the end begins, if a letter stands before it, else the chunk's length."""
-        at = len(chunk.rstrip(PUNCTUATION))
-        last = chunk[at - 1 : at]
-        if last.isalpha() or at and last >= b"\x80" and chunk[:at].decode()[-1].lower()[-1].isalpha():
-            return at
-        return len(chunk)
-
-    def learn(self, chunks: set[bytes]) -> None:
-        if len(self) > MEMO:  # what is still met comes back from the generation before
-            self.old = dict(self)
-            self.clear()
-        if len(self.parts) > MEMO:
-            self.old_parts, self.parts = self.parts, {b"": b""}
-        old, parts, unknown, rest = self.old, self.parts, set(), []
-        for chunk in chunks:
-            ids = old.get(chunk)
-            if ids is not None:
-                self[chunk] = ids
-                continue
-            rest.append(chunk)
-            at = self._cut(chunk)
-            core = chunk[:at]
-            for part in (core.lower() if core.isascii() else core, chunk[at:]):
-                if part not in parts:
-                    ids = self.old_parts.get(part)
-                    if ids is None:
-                        unknown.add(part)
-                    else:
-                        parts[part] = ids
-        self._learn_parts(list(unknown))
-        for chunk in rest:
-            at = self._cut(chunk)
-            core = chunk[:at]
-            self[chunk] = parts[core.lower() if core.isascii() else core] + parts[chunk[at:]]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        chunks = [(t or "").encode().split() for t in texts]
-        new: set[bytes] = set()
-        for c in chunks:
-            new.update(filterfalse(self.__contains__, c))
-        if new:
-            self.learn(new)
-        return [b"".join(map(self.__getitem__, c)) for c in chunks]
 
     def __missing__(self, chunk: bytes) -> bytes:
-        """A chunk known when the batch began and put aside since."""
-        self[chunk] = ids = self.old[chunk]
+        ids = self.old.get(chunk)
+        if ids is None:
+            core = chunk.rstrip(PUNCTUATION)
+            last = core[-1:]
+            if not last.isalpha() and (last < b"\x80" or not core.decode()[-1].lower()[-1].isalpha()):
+                core = chunk
+            parts = self.parts
+            ids = parts[core.lower() if core.isascii() else core]
+            if len(core) < len(chunk):
+                ids += parts[chunk[len(core) :]]
+        self[chunk] = ids
         return ids
 
+    def encode(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        for known in (self, self.parts):  # what is still met comes back from the generation before
+            if len(known) > MEMO:
+                known.old = dict(known)
+                known.clear()
+        return b"".join(map(self.__getitem__, text.encode().split()))
+
 
 @lru_cache(maxsize=1)
 def _chunk_ids(path: str) -> ChunkIds:
@@ -151,8 +136,8 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
         memo = _chunk_ids(path)  # kept by the worker from task to task
         for batch in batches:
             doc, piece, start, length, crc = [], [], [], [], []
-            for i, own in zip(batch.column(0).to_pylist(), memo.encode(batch.column(1).to_pylist())):
-                ids = own + last
+            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids = memo.encode(text) + last
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     doc.append(i)
