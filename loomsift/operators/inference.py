@@ -69,7 +69,7 @@ def _by_item(replies: DataFrame, kind: str) -> DataFrame:
 
 def scores(replies: DataFrame, fallback: DataFrame) -> DataFrame:
     """(id, score, reason): the model's score within 0 to 1; where it gave none, that of fallback (id, score, reason)."""
-    said = _by_item(replies, "index: int, score: double, reason: string").select("id", F.greatest(F.lit(0.0), F.least(F.lit(1.0), "score")).alias("said"), F.col("reason").alias("why"))
+    said = _by_item(replies, "index: int, score: double, reason: string").select("id", F.when(F.col("score").isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), "score"))).alias("said"), F.col("reason").alias("why"))
     both = fallback.join(said, "id", "left")
     return both.select("id", F.coalesce("said", "score").alias("score"), F.when(F.col("said").isNotNull(), F.coalesce("why", F.lit(""))).otherwise(F.col("reason")).alias("reason"))
 

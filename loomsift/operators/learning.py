@@ -14,7 +14,8 @@ DEFAULT_WEIGHT, NOT_NEW = 0.5, 0.75
 
 
 def clamp(x: Column) -> Column:
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))
+    """Within 0 and 1; null stays null."""
+    return F.when(x.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), x)))
 
 
 def round3(x: Column) -> Column:
