@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loomsift.functions import text as T
 from loomsift.functions.urls import TRACKING, TRACKING_PREFIXES, canonical_url
-from loomsift.operators import dedupe, events, gates, learning, render, similarity, state
+from loomsift.operators import dedupe, events, gates, learning, render, reports, similarity, state
 from loomsift.operators.gates import GateConfig, Persona, Rule, Tier
 from loomsift.operators.items import from_documents, from_events, from_pages
 from loomsift.streaming import rounds
@@ -479,6 +479,47 @@ def day_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.select("user_id", F.col("first_day").cast("string").alias("first_day"), F.col("last_day").cast("string").alias("last_day"), "days")
 
 
+@query("""
+WITH o AS (SELECT CAST(ts AS DATE) AS day, count_if(event_type = 'view') AS candidates, count_if(event_type = 'click') AS delivered, count(DISTINCT user_id) FILTER (event_type = 'error') AS bad,
+  count(DISTINCT user_id) AS enabled, count_if(value >= 100) / count(*) AS saturation FROM events GROUP BY 1),
+l AS (SELECT * FROM o ORDER BY day DESC LIMIT 3),
+f AS (SELECT count_if(event_type = 'purchase') AS ups, count_if(event_type = 'error') AS downs, count_if(event_type = 'signup') AS views FROM events),
+s AS (SELECT (SELECT count(*) FROM o) AS rounds, (SELECT sum(delivered) FROM o) AS delivered, (SELECT count(*) FROM o WHERE day > coalesce((SELECT max(day) FROM o WHERE candidates > 0), DATE '1900-01-01')) AS empty,
+  (SELECT count_if(bad / enabled > 1.0 / 3) FROM l) AS bad_rounds, (SELECT count_if(saturation > 0.5) FROM l) AS saturated, (SELECT arg_max(saturation, day) FROM l) AS saturation, (SELECT arg_max(bad / enabled, day) FROM l) AS bad_share, f.* FROM f),
+c AS (SELECT unnest([
+  {'id': 'I-1', 'value': empty::DOUBLE, 'status': CASE WHEN rounds < 3 THEN 'nodata' WHEN empty < 3 THEN 'pass' ELSE 'fail' END},
+  {'id': 'I-2', 'value': ((ups + downs) / delivered)::DOUBLE, 'status': CASE WHEN delivered = 0 THEN 'nodata' WHEN (ups + downs) / delivered >= 0.05 THEN 'pass' ELSE 'fail' END},
+  {'id': 'I-3', 'value': bad_share::DOUBLE, 'status': CASE WHEN rounds < 3 THEN 'nodata' WHEN bad_rounds < 3 THEN 'pass' ELSE 'fail' END},
+  {'id': 'I-4', 'value': saturation::DOUBLE, 'status': CASE WHEN rounds < 3 THEN 'nodata' WHEN saturated < 3 THEN 'pass' ELSE 'fail' END},
+  {'id': 'G-1', 'value': 12::DOUBLE, 'status': 'pass'},
+  {'id': 'G-2', 'value': (ups / (ups + downs))::DOUBLE, 'status': CASE WHEN ups / (ups + downs) >= 0.2 THEN 'pass' ELSE 'fail' END},
+  {'id': 'G-3', 'value': NULL::DOUBLE, 'status': 'nodata'},
+  {'id': 'P-1', 'value': 12::DOUBLE, 'status': 'pass'},
+  {'id': 'P-2', 'value': (ups / (ups + downs))::DOUBLE, 'status': CASE WHEN ups / (ups + downs) >= 0.3 AND ups + downs >= 20 THEN 'pass' ELSE 'fail' END},
+  {'id': 'P-3', 'value': NULL::DOUBLE, 'status': 'nodata'},
+  {'id': 'P-4', 'value': 0::DOUBLE, 'status': 'fail'}]) AS c FROM s)
+SELECT c.id AS id, round(c.value, 6) AS value, c.status AS status FROM c""")
+def trial_criteria(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The eleven criteria, a day being a round, errors bad sources and twelve recorded openings."""
+    rows = table(spark, sf_dir, "events")
+    days = rows.groupBy(F.to_date("ts").alias("round")).agg(
+        F.count_if(F.col("event_type") == "view").alias("candidates"),
+        F.count_if(F.col("event_type") == "click").alias("delivered"),
+        F.count_distinct(F.when(F.col("event_type") == "error", F.col("user_id"))).alias("bad_sources"),
+        F.count_distinct("user_id").alias("enabled_sources"),
+        (F.count_if(F.col("value") >= 100) / F.count("*")).alias("saturation"),
+    )
+    signals = rows.select(F.when(F.col("event_type") == "purchase", "up").when(F.col("event_type") == "error", "down").alias("signal"))
+    found = reports.criteria(days, signals, views=12, ended=True)
+    return found.select("id", F.round("value", 6).alias("value"), "status")
+
+
+@query("SELECT source, CAST(count(*) AS BIGINT) AS entries, CAST(count_if(lang = 'en') AS BIGINT) AS pushed FROM documents GROUP BY source")
+def source_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as an archive in which the English ones were pushed."""
+    return reports.evidence(table(spark, sf_dir, "documents").withColumn("pushed", F.coalesce(F.col("lang") == "en", F.lit(False))))
+
+
 # --- State ------------------------------------------------------------------------------------------------------------
 
 

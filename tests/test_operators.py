@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from loomsift.operators import dedupe, events, gates, graph, inference, learning, similarity, state
+from loomsift.operators import dedupe, events, gates, graph, inference, learning, reports, similarity, state
 from loomsift.operators.gates import GateConfig, Persona, Rule, Tier
 from loomsift.sources import tables
 from loomsift.streaming import rounds
@@ -244,3 +244,16 @@ def test_ranks_of_scores(spark):
     weights = spark.createDataFrame([("a", 0.9), ("b", 0.1)], "source string, weight double")
     got = {r.source: round(r.rank_score, 6) for r in learning.weighted(rows, weights).collect()}
     assert got == {"a": 1.12, "b": 0.36, "c": 0.8}
+
+
+def test_criteria_and_diagnosis(spark):
+    seen = spark.createDataFrame([(1, 5, 10, 0, 3, 0.1), (2, 0, 0, 2, 3, 0.9), (3, 0, 0, 2, 3, 0.9), (4, 0, 0, 2, 3, 0.9)], "round int, candidates int, delivered int, bad_sources int, enabled_sources int, saturation double")
+    feedback = spark.createDataFrame([("up",)] * 3 + [("down",)], "signal string")
+    notes = spark.createDataFrame([("| P-4 | 2026-01-02 | digestId=d | itemId=i | decision=x |",), ("| P-4 |",)], "line string")
+    got = {r.id: r.status for r in reports.criteria(seen, feedback, 12, True, notes).collect()}
+    assert got == {"I-1": "fail", "I-2": "pass", "I-3": "fail", "I-4": "fail", "G-1": "pass", "G-2": "pass", "G-3": "nodata", "P-1": "pass", "P-2": "fail", "P-3": "nodata", "P-4": "pass"}
+    early = {r.id: r.status for r in reports.criteria(seen.limit(0), feedback.limit(0), None, False).collect()}
+    assert set(early.values()) == {"nodata"}
+    bad = GateConfig(tiers=(Tier("generic", 1, ("x",)),), blacklist=(Rule("b", "("),))
+    problems = reports.config_problems(spark, bad, [Persona("p", ("a", "zz"))], {"a"})
+    assert len(problems) == 4 and any("zz" in p for p in problems)
