@@ -37,7 +37,7 @@ SHARD, ISLANDS, POPULATION, CROSSINGS, ROUNDS = 4000, 2, 4, 6, 2
 #: Bins below this fill are packed again at the end.
 LOOSE = 0.985
 #: Chunks, and parts of chunks, that a worker remembers in each of two generations.
-MEMO = 600_000
+MEMO, PARTS_MEMO = 200_000, 400_000
 #: ASCII punctuation but the apostrophe.
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long"
@@ -115,8 +115,8 @@ class ChunkIds(dict):
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        for known in (self, self.parts):  # what is still met comes back from the generation before
-            if len(known) > MEMO:
+        for known, most in ((self, MEMO), (self.parts, PARTS_MEMO)):  # what is still met comes back from the generation before
+            if len(known) > most:
                 known.old = dict(known)
                 known.clear()
         return b"".join(map(self.__getitem__, text.encode().split()))
