@@ -1,4 +1,4 @@
-"""Text functions as column expressions (Column in, Column out), all native.
+"""Text functions as column expressions, all native; those that need steps take and give a DataFrame.
 
 White space, lengths and case follow the rules of the feeds these texts come from: white space includes no-break and
 ideographic spaces, lengths of tokens count UTF-16 units, all other lengths code points.
@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Character classes.
@@ -90,23 +90,49 @@ def capitalized(text: Column) -> Column:
     return F.array_distinct(F.filter(F.concat(F.transform(found, lambda w: sub(w, "[^a-z0-9]", "")), parts), lambda w: F.length(w) >= 3))
 
 
-def topic_tokens(text: Column, stopwords: list[str], proper: Column | None = None) -> Column:
-    """Tokens long enough and no stop words, and the Latin runs inside them; with `proper`, only those (or ideographs)."""
-    stop = F.array(*map(F.lit, stopwords)) if stopwords else F.array().cast("array<string>")
-    is_cjk = lambda t: t.rlike(f"[{CJK}]")
-    long = F.filter(tokens(text), lambda t: (F.length(t) >= F.when(is_cjk(t), 2).otherwise(3)) & ~F.array_contains(stop, t))
-    runs = F.filter(F.flatten(F.transform(long, lambda t: F.regexp_extract_all(t, F.lit("[a-z0-9]{3,}"), F.lit(0)))), lambda r: ~F.array_contains(stop, r))
-    if proper is None:
-        return F.array_distinct(F.concat(long, runs))
-    kept = F.filter(long, lambda t: is_cjk(t) | F.array_contains(proper, t))
-    return F.array_distinct(F.concat(kept, F.filter(runs, lambda r: F.array_contains(proper, r))))
+def _is_cjk(token: Column) -> Column:
+    return token.rlike(f"[{CJK}]")
 
 
-def entity_tokens(title: Column, stopwords: list[str]) -> Column:
-    """Proper-noun tokens of a title without its outlet; of the whole title if there are none."""
-    bare = strip_outlet(title)
-    first = topic_tokens(bare, stopwords, capitalized(bare))
-    return F.when((F.size(first) == 0) & (bare != title), topic_tokens(title, stopwords, capitalized(title))).otherwise(first)
+def _long_tokens(found: Column, stop: Column) -> Column:
+    return F.filter(found, lambda t: (F.length(t) >= F.when(_is_cjk(t), 2).otherwise(3)) & ~F.array_contains(stop, t))
+
+
+def _latin_runs(long: Column, stop: Column) -> Column:
+    runs = F.flatten(F.transform(long, lambda t: F.regexp_extract_all(t, F.lit("[a-z0-9]{3,}"), F.lit(0))))
+    return F.filter(runs, lambda r: ~F.array_contains(stop, r))
+
+
+def _stop(stopwords: list[str]) -> Column:
+    return F.array(*map(F.lit, stopwords)) if stopwords else F.array().cast("array<string>")
+
+
+def topic_tokens(text: Column, stopwords: list[str]) -> Column:
+    """Tokens long enough and no stop words, and the Latin runs inside them."""
+    long = _long_tokens(tokens(text), _stop(stopwords))
+    return F.array_distinct(F.concat(long, _latin_runs(long, _stop(stopwords))))
+
+
+def with_proper_tokens(df: DataFrame, text: Column, out: str, stopwords: list[str]) -> DataFrame:
+    """df with `out`: the topic tokens that begin with a capital in the text, or are ideographs.
+
+    Each step is a column: a lambda that looks something up for every token must not compute it for every token.
+    """
+    stop = _stop(stopwords)
+    staged = df.withColumn("_cap", capitalized(text)).withColumn("_tok", tokens(text))
+    staged = staged.withColumn("_long", _long_tokens(F.col("_tok"), stop)).withColumn("_runs", _latin_runs(F.col("_long"), stop))
+    kept = F.filter("_long", lambda t: _is_cjk(t) | F.array_contains(F.col("_cap"), t))
+    runs = F.filter("_runs", lambda r: F.array_contains(F.col("_cap"), r))
+    return staged.withColumn(out, F.array_distinct(F.concat(kept, runs))).drop("_cap", "_tok", "_long", "_runs")
+
+
+def with_entities(df: DataFrame, title: str, out: str, stopwords: list[str]) -> DataFrame:
+    """df with `out`: proper-noun tokens of the title without its outlet; of the whole title if there are none."""
+    staged = with_proper_tokens(df.withColumn("_bare", strip_outlet(F.col(title))), F.col("_bare"), "_first", stopwords)
+    again = (F.size("_first") == 0) & (F.col("_bare") != F.col(title))
+    staged = staged.withColumn("_whole", F.when(again, F.col(title)).otherwise(F.lit("")))
+    staged = with_proper_tokens(staged, F.col("_whole"), "_second", stopwords)
+    return staged.withColumn(out, F.when(again, F.col("_second")).otherwise(F.col("_first"))).drop("_bare", "_first", "_whole", "_second")
 
 
 def detect_lang(text: Column) -> Column:

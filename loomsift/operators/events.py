@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomsift.functions import text as T
+from loomsift.lineage import written
 from loomsift.operators.gates import GateConfig
 from loomsift.operators.graph import components
 
@@ -18,7 +19,7 @@ def first_k(rows: DataFrame, key: str, order: str, k: int) -> DataFrame:
 
 def document_frequency(items: DataFrame, config: GateConfig) -> DataFrame:
     """(token, df): in how many titles an entity word stands."""
-    words = items.select(F.explode(T.entity_tokens(F.col("title"), list(config.stopwords))).alias("token"))
+    words = T.with_entities(items.select("title"), "title", "_entities", list(config.stopwords)).select(F.explode_outer("_entities").alias("token")).where("token is not null")
     return words.groupBy("token").agg(F.count("*").alias("df"))
 
 
@@ -28,7 +29,9 @@ def event_keys(items: DataFrame, config: GateConfig, background: DataFrame | Non
     Two items are of one event if they share an entity word that is rare enough in the background (the items themselves
     if none is given). Each word links its items to its first one, so a word of n items gives n - 1 edges, never n**2.
     """
-    words = items.select("id", "pos", F.explode(T.entity_tokens(F.col("title"), list(config.stopwords))).alias("token"))
+    words = T.with_entities(items.select("pos", "title"), "title", "_entities", list(config.stopwords))
+    # explode_outer, as explode would push a filter on the size of the tokens below all steps that make them.
+    words = written(words.select("pos", F.explode_outer("_entities").alias("token")).where("token is not null"), "entity-words")  # read three times
     df = background if background is not None else words.groupBy("token").agg(F.count("*").alias("df"))
     size = background_size if background is not None and background_size is not None else items.count()
     limit = max(float(config.max_entity_df), config.max_entity_df_ratio * size)

@@ -102,7 +102,9 @@ def test_known_cases(spark):
 
 
 def test_entities_and_hooks(spark):
-    assert set(one(spark, T.entity_tokens(F.col("t"), ["the"]), t="The Astra model beats GPT-5 - Some Outlet")) == {"astra", "gpt"}
+    titles = spark.createDataFrame([(0, "The Astra model beats GPT-5 - Some Outlet"), (1, "nothing here - Big News"), (2, "新模型 of Acme-Labs"), (3, "")], "k int, t string")
+    found = {r.k: set(r.e) for r in T.with_entities(titles, "t", "e", ["the"]).collect()}
+    assert found == {0: {"astra", "gpt"}, 1: {"big", "news"}, 2: {"新模型", "新模", "模型", "acme", "labs"}, 3: set()}
     title, summary = "Astra wins the race", "The Astra team reported a win on Monday. A second sentence tells of the race in detail. More."
     hooks = T.derive_hooks(F.col("t"), T.tokens(F.col("t")), T.split_sentences(F.col("s")), T.topic_tokens(F.col("s"), ["the", "of"]), F.lit("sport"), F.lit("en"))
     found = one(spark, hooks, t=title, s=summary)
