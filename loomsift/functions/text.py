@@ -277,3 +277,9 @@ def substance(text: Column) -> Column:
     bare = sub(sub(text, f"https?://[^{SPACE}]+", " "), counters, " ")
     count = lambda p: F.size(F.regexp_extract_all(bare, F.lit(p), F.lit(0)))
     return count("[A-Za-z]{2,}") + count("[\\u4e00-\\u9fff]")
+
+
+def digest_id(raw: Column) -> Column:
+    """Lower-case Latin letters and digits only; 'x' if none are left."""
+    kept = sub(F.lower(raw), "[^a-z0-9]", "")
+    return F.when(kept != "", kept).otherwise(F.lit("x"))

@@ -86,3 +86,8 @@ def selected(posts: DataFrame, target: int, max_per_event: int = 2) -> DataFrame
         .otherwise("deferred")
     )
     return both.join(fill, "id", "left").withColumn("state", state).drop("_primary", "_n", "_last", "_full", "_fill")
+
+
+def oversubscribed(published: DataFrame, max_per_event: int = 2) -> DataFrame:
+    """Events with more published posts than allowed, and how many they have; no rows if the selection was sound."""
+    return published.groupBy("event_key").agg(F.count("*").alias("n")).where(F.col("n") > max_per_event)

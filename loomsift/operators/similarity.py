@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomsift.lineage import written
+
 
 def jaccard_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
     """(l, r, jaccard) of all pairs of left (l, tokens) and right (r, tokens) that reach the threshold (above 0).
@@ -49,3 +51,26 @@ def normalized(vector: Column) -> Column:
 def is_valid_embedding(vector: Column, size: int) -> Column:
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return F.coalesce((F.size(vector) == size) & finite, F.lit(False))
+
+
+def greedy_leaders(items: DataFrame, threshold: float) -> DataFrame:
+    """(pos, leader) of items (pos, tokens): in order of pos, an item joins the first leader it is similar to, or leads.
+
+    The order is sequential, the work is not: an item is decided once all its earlier neighbours are. With an earlier
+    leader beside it, it follows; with earlier followers only, it leads. Rounds go on until all are decided; their
+    number is the longest chain of decisions that wait for each other. Each round is a written table.
+    """
+    own = items.select(F.col("pos").alias("l"), "tokens")
+    pairs = jaccard_pairs(own, items.select(F.col("pos").alias("r"), "tokens"), threshold).where("r < l").select("l", "r")
+    pairs = written(pairs, "leader-pairs")
+    # 0 undecided, 1 leader, 2 follower. Items without an earlier neighbour lead at once.
+    waits = pairs.select("l").distinct().withColumn("status", F.lit(0))
+    state = written(items.select(F.col("pos").alias("l")).join(waits, "l", "left").select("l", F.coalesce("status", F.lit(1)).alias("status")), "leaders")
+    while state.where("status = 0").limit(1).count():
+        before = state.select(F.col("l").alias("r"), F.col("status").alias("other"))
+        seen = pairs.join(state.where("status = 0").select("l"), "l").join(before, "r").groupBy("l").agg(F.max(F.col("other") == 1).alias("led"), F.min("other").alias("least"))
+        now = F.when(F.col("led"), 2).when(F.col("least") == 2, 1).otherwise(F.col("status"))
+        state = written(state.join(seen, "l", "left").select("l", F.coalesce(now, "status").alias("status")), "leaders")
+    leaders = state.where("status = 1").select(F.col("l").alias("r"))
+    led = pairs.join(leaders, "r").groupBy("l").agg(F.min("r").alias("leader"))
+    return state.join(led, "l", "left").select(F.col("l").alias("pos"), F.when(F.col("status") == 1, F.col("l")).otherwise(F.col("leader")).alias("leader"))

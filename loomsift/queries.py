@@ -338,6 +338,14 @@ def label_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("vec_id", F.round(cosine, 5).alias("cosine"), similarity.is_valid_embedding(F.col("embedding"), 64).alias("valid"))
 
 
+@query()
+def leader_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles joined, in order, to the first leader they are like. Sequential by definition; tested against the loop."""
+    titled = documents(spark, sf_dir).select(F.col("seq").alias("pos"), T.tokens(F.col("title")).alias("tokens"))
+    found = similarity.greedy_leaders(titled, 0.5)
+    return found.select(F.col("pos").alias("doc_id"), "leader")
+
+
 # --- Events ------------------------------------------------------------------------------------------------------------
 
 _OUTLET = r"\s+[-–—|]\s+[A-Z][A-Za-z0-9.''’&]*(?:\s+[A-Z][A-Za-z0-9.''’&]*){0,3}\s*$"
@@ -595,6 +603,12 @@ def resume_unfinished(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Posts -------------------------------------------------------------------------------------------------------------
 
 
+@query(f"""{COMPONENT_SQL} SELECT CAST(event_key AS VARCHAR) AS event_key, CAST(count(*) AS BIGINT) AS n FROM k GROUP BY event_key HAVING count(*) > 2""")
+def crowded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that would be oversubscribed if all their documents were published."""
+    return events.oversubscribed(clustered(spark, sf_dir))
+
+
 @query()
 def rendered_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a post with its hooks, summary, reason, and the first assertion that it breaks. Tested by a Python twin."""

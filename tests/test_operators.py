@@ -257,3 +257,17 @@ def test_criteria_and_diagnosis(spark):
     bad = GateConfig(tiers=(Tier("generic", 1, ("x",)),), blacklist=(Rule("b", "("),))
     problems = reports.config_problems(spark, bad, [Persona("p", ("a", "zz"))], {"a"})
     assert len(problems) == 4 and any("zz" in p for p in problems)
+
+
+def test_greedy_leaders_against_a_loop(spark):
+    rng = random.Random(8)
+    sets = [(k, sorted({rng.choice("abcdefgh") for _ in range(rng.randint(0, 5))})) for k in range(80)]
+    leaders, want = [], {}
+    for pos, tokens in sets:
+        own = set(tokens)
+        hit = next((q for q, other in leaders if own and len(own & other) / len(own | other) >= 0.5), None)
+        if hit is None:
+            leaders.append((pos, own))
+        want[pos] = pos if hit is None else hit
+    frame = spark.createDataFrame(sets, "pos long, tokens array<string>")
+    assert {r.pos: r.leader for r in similarity.greedy_leaders(frame, 0.5).collect()} == want

@@ -101,6 +101,10 @@ def test_known_cases(spark):
     assert one(spark, T.is_title_prefix(F.col("h"), t), h="A long", t="A long title that goes on") is False
 
 
+def test_digest_ids(spark):
+    assert [one(spark, T.digest_id(F.col("t")), t=t) for t in ("Daily-2024/É", "--", "")] == ["daily2024", "x", "x"]
+
+
 def test_entities_and_hooks(spark):
     titles = spark.createDataFrame([(0, "The Astra model beats GPT-5 - Some Outlet"), (1, "nothing here - Big News"), (2, "新模型 of Acme-Labs"), (3, "")], "k int, t string")
     found = {r.k: set(r.e) for r in T.with_entities(titles, "t", "e", ["the"]).collect()}
