@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Hashable
+from typing import TypeVar
 from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,3 +65,15 @@ def sample_by_label(df: DataFrame, label: str, cells: int) -> DataFrame:
     picked = df.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).withColumn("_h", h)
     least = picked.groupBy(label, F.pmod("_h", F.lit(cells)).alias("_cell")).agg(F.min("_h").alias("_h"))
     return picked.join(F.broadcast(least.select("_h").distinct()), "_h", "left_semi").drop("_h")
+
+
+Kept = TypeVar("Kept")
+_KEPT: dict[Hashable, object] = {}
+
+
+def remembered(key: Hashable, make: Callable[[], Kept]) -> Kept:
+    """What a Python worker keeps from task to task: that of one operator at a time, so stages do not add up."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]

@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,21 +21,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomsift.llm.common import held_out, sample_by_label, small_batches, table
+from loomsift.llm.common import held_out, remembered, sample_by_label, small_batches, table
 
 #: Labelled documents taken for each language, and characters of distinct words that its automaton holds.
 SAMPLE_DOCS, AUTOMATON_CHARS = 96, 48_000
 #: Words that a worker remembers before it starts anew.
-MEMO = 150_000
+MEMO = 200_000
 #: How sharply the score falls with the distance in bits a letter between the languages.
 SHARPNESS = 12.0
 START = "\x02"
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~0123456789"
 
 
 def letter_words(chunk: str) -> list[str]:
     """Lower-case runs of letters in a chunk without white space."""
-    if chunk.isalpha():
-        return [chunk.lower()]
+    bare = chunk.strip(MARKS)
+    if bare.isalpha():
+        return [bare.lower()]
     return "".join(c if c.isalpha() else " " for c in chunk).lower().split()
 
 
@@ -109,25 +110,43 @@ def learn(docs: DataFrame, lang: str = "lang", sample_docs: int = SAMPLE_DOCS) -
     return tuple((k, reference_text([t for _, t in sorted(v)])) for k, v in sorted(texts.items()))
 
 
-@lru_cache(maxsize=1)
-def _automata(model: tuple[tuple[str, str], ...]) -> tuple[list[str], list[SuffixAutomaton]]:
-    return [k for k, _ in model], [SuffixAutomaton(v) for _, v in model]
-
-
 class _Costs(dict):
-    """What a chunk costs: an index into rows of (phrases in each language..., letters)."""
+    """What a chunk costs: an index into rows of (phrases in each language..., letters). Row 0 costs nothing.
+
+    Chunks of one word share the row of the word, whatever case and marks they have.
+    """
 
-    def __init__(self, automata: list[SuffixAutomaton]) -> None:
+    def __init__(self, model: tuple[tuple[str, str], ...]) -> None:
         super().__init__()
-        self.automata = automata
+        self.names = [k for k, _ in model]
+        self.automata = [SuffixAutomaton(v) for _, v in model]
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.words: dict[str, int] = {}
         self.fresh: list[tuple[int, ...]] = []
-        self.known = np.zeros((0, len(automata) + 1), np.int64)
+        self.known = np.zeros((1, len(self.automata) + 1), np.int64)
 
-    def __missing__(self, chunk: str) -> int:
-        words = letter_words(chunk)
+    def trim(self) -> None:
+        if len(self.words) > MEMO:
+            self.forget()
+        elif len(self) > MEMO:
+            self.clear()
+
+    def _row(self, words: list[str]) -> int:
         padded = [START + w + START for w in words]
         self.fresh.append((*(sum(map(a.phrases, padded)) for a in self.automata), sum(map(len, words))))
-        at = len(self)
+        return len(self.known) + len(self.fresh) - 1
+
+    def __missing__(self, chunk: str) -> int:
+        words = letter_words(chunk)
+        if len(words) == 1:
+            at = self.words.get(words[0])
+            if at is None:
+                at = self.words[words[0]] = self._row(words)
+        else:
+            at = self._row(words) if words else 0
         self[chunk] = at
         return at
 
@@ -138,8 +157,9 @@ class _Costs(dict):
         return self.known
 
 
-def _score(texts: list[str | None], names: list[str], automata: list[SuffixAutomaton], memo: _Costs) -> Iterator[tuple[str, float]]:
-    bits = np.array([a.bits for a in automata])
+def _score(texts: list[str | None], memo: _Costs) -> Iterator[tuple[str, float]]:
+    names, bits = memo.names, np.array([a.bits for a in memo.automata])
+    memo.trim()
     picks = [np.fromiter(map(memo.__getitem__, t.split()), np.int64) if t else np.zeros(0, np.int64) for t in texts]
     rows = memo.rows()
     for pick in picks:
@@ -164,12 +184,9 @@ def predict(docs: DataFrame, model: tuple[tuple[str, str], ...], text: str = "te
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, automata = _automata(shared.value)
-        memo = _Costs(automata)
+        memo = remembered(("langid", shared.value), lambda: _Costs(shared.value))
         for batch in batches:
-            if len(memo) > MEMO:
-                memo = _Costs(automata)
-            found = list(_score(batch.column(at).to_pylist(), names, automata, memo))
+            found = list(_score(batch.column(at).to_pylist(), memo))
             extra = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), *extra], [*names_kept, "lang_pred", "score"])
 
