@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomsift.llm.common import small_batches, table, unwritten, written
+from loomsift.llm.common import remembered, small_batches, table, unwritten, written
 
 SIDE, BAND = 12, 3
 MEMO = 150_000
@@ -89,7 +89,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
     """One row for each row of docs (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, (xor, odd) = _WordHash(), _functions()
+        memo, (xor, odd) = remembered("neardup", _WordHash), _functions()
         with np.errstate(over="ignore"):
             for batch in batches:
                 size, h1, h2, keys = [], [], [], []
@@ -116,7 +116,7 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     """(id, s): the full set of each row, as sorted 64-bit hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _WordHash()
+        memo = remembered("neardup", _WordHash)
         with np.errstate(over="ignore"):
             for batch in batches:
                 sets = [shingle_hashes(t, width, memo).view(np.int64) for t in batch.column(1).to_pylist()]

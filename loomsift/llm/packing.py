@@ -21,7 +21,6 @@ import zlib
 from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -29,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loomsift.llm.common import small_batches, table, written
+from loomsift.llm.common import remembered, small_batches, table, written
 
 CAPACITY, END = 2048, 0
 #: Pieces of a shard, islands of a shard, packings of an island, crossings of an island in a round, rounds.
@@ -122,18 +121,13 @@ class ChunkIds(dict):
         return b"".join(map(self.__getitem__, text.encode().split()))
 
 
-@lru_cache(maxsize=1)
-def _chunk_ids(path: str) -> ChunkIds:
-    return ChunkIds(path)
-
-
 def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """One row for each piece of each document: doc_id, piece, start, length, ids_crc32."""
     path = tokenizer or default_tokenizer()
     last = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _chunk_ids(path)  # kept by the worker from task to task
+        memo = remembered(("packing", path), lambda: ChunkIds(path))
         for batch in batches:
             doc, piece, start, length, crc = [], [], [], [], []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
