@@ -280,8 +280,9 @@ def labelled_page(rng: random.Random) -> str:
         return pick(["<footer>%s</footer>", "<footer>%s</footer>", named("div", ["footer", "site-footer", "bottom", "copyright", "legal", "colophon"]) + "%s</div>", '<div role="contentinfo">%s</div>']) % inner
 
     def advert() -> str:
-        inner = pick([prose(1, 2), f"<p>{prose(1, 2)}</p>", f"<p>{pick(['Advertisement', 'Sponsored'])}</p><p>{sentence()}</p>", link(sentence())])
-        return named(pick(["div", "div", "aside", "section", "p"]), ["ad", "ads", "advert", "advertisement", "sponsor", "sponsored", "promo", "promotion", "banner-ad", "ad-slot", "adbox", "dfp", "commercial"]) + inner + "</div>"
+        tag = pick(["div", "div", "div", "aside", "section", "p"])
+        inner = pick([prose(1, 2), prose(1, 1), link(sentence())] + [f"<p>{prose(1, 2)}</p>", f"<p>{pick(['Advertisement', 'Sponsored'])}</p><p>{sentence()}</p>"] * (tag != "p"))
+        return named(tag, ["ad", "ads", "advert", "advertisement", "sponsor", "sponsored", "promo", "promotion", "banner-ad", "ad-slot", "adbox", "dfp", "commercial"]) + inner + f"</{tag}>"
 
     def sidebar() -> str:
         inner = f"<h3>{words(1, 3)}</h3>" + pick([f"<p>{prose(1, 3)}</p>", "<ul>" + "".join(f"<li>{link(words(2, 6))}</li>" for _ in range(rng.randint(2, 6))) + "</ul>", f"<p>{sentence()}</p><p>{link('Read more')}</p>"])
@@ -306,7 +307,8 @@ def labelled_page(rng: random.Random) -> str:
             f'<div class="reply"><p>{prose(1, 2)}</p><p>{prose(1, 2)}</p></div>',
         ])
         many = "".join(one() for _ in range(rng.randint(1, 5)))
-        return named(pick(["div", "section", "ul", "ol"]), ["comments", "comment-list", "commentlist", "discussion", "responses", "disqus-thread", "replies", "reader-comments", "user-comments", "reviews"]) + pick(["", "<h3>Comments</h3>", f"<h2>{words(1, 2)}</h2>"]) + many + "</div>"
+        tag = pick(["div", "section", "ul", "ol"])
+        return named(tag, ["comments", "comment-list", "commentlist", "discussion", "responses", "disqus-thread", "replies", "reader-comments", "user-comments", "reviews"]) + pick(["", "<h3>Comments</h3>", f"<h2>{words(1, 2)}</h2>"]) + many + f"</{tag}>"
 
     def block() -> str:
         main = lambda a=1, b=5: MAIN + prose(a, b)
@@ -327,15 +329,16 @@ def labelled_page(rng: random.Random) -> str:
         ])
 
     body = [block() for _ in range(pick([1, 2, 3, 5, 8, 12, 20]))]
-    for extra in (advert, share, form, notice, sidebar):
-        if rng.random() < 0.12:
+    for extra in (advert, advert, share, form, notice, sidebar):
+        if rng.random() < 0.25:
             body.insert(rng.randint(0, len(body)), extra())
     title = MAIN + words(2, 9).capitalize() + pick(["", ".", "?"])
     head = pick([f"<h1>{title}</h1>", f"<h1>{title}</h1>", f"<header><h1>{title}</h1></header>", f'<h1 class="title">{title}</h1>', f"<h2>{title}</h2>"])
     names = ["content", "main", "post", "entry", "article", "article-body", "story", "post-content", "entry-content", "main-content", "text", "body", "page-content"]
     opening = pick(["<article>"] * 6 + ["<main>", "<main><article>", "<div>", named("div", names), named("div", names), named("section", names), "<article " + f'class="{pick(names)}">', '<div role="main">'])
     tag = opening.split("<")[-1].split(" ")[0].rstrip(">")
-    article = opening + head + "".join(body) + (comments() if rng.random() < 0.1 else "") + f"</{tag}>" + ("</main>" if opening.startswith("<main><") else "")
+    plain = rng.random() < 0.1
+    article = (head * rng.randint(0, 1) + "".join(body)) if plain else opening + head + "".join(body) + (comments() if rng.random() < 0.1 else "") + f"</{tag}>" + ("</main>" if opening.startswith("<main><") else "")
     before = [f() for f in rng.sample([menu, header, advert, notice, sidebar, form], rng.randint(0, 4))]
     after = [f() for f in rng.sample([comments, sidebar, advert, form, menu, share, notice], rng.randint(0, 4))] + [footer()] * (rng.random() < 0.9)
     wrap = pick(["%s", "%s", "<div>%s</div>", '<div id="wrapper">%s</div>', '<div class="container"><div class="row">%s</div></div>'])

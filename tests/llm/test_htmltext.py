@@ -60,3 +60,13 @@ def test_edge_rows(spark):
     text = "Some text of it, here."
     assert got == sorted([(1, "", 0), (2, "", 0), (3, text, len(text)), (3, text, len(text)), (None, "", 0), (4, "", long)], key=str)
     assert htmltext.extract(pages.limit(0)).count() == 0
+
+
+def test_pages_of_other_templates():
+    field = htmltext.default_field()
+    page = """<body><header><h1>My Site</h1><p>Tagline of the site here.</p></header><nav><a href="/a">A</a></nav><div class="cookie-banner"><p>We use cookies, please accept them.</p></div>
+    <main><article><h1>Title of the story</h1><p>First paragraph of the story, with words.</p><div class="ad">Buy this thing now, it is good.</div><p>Second paragraph, also long enough.</p></article>
+    <section id="comments"><div class="comment"><p>I liked this story a lot, thank you for it.</p></div></section></main>
+    <aside class="sidebar"><p>Some longer text in the sidebar, which is not main.</p></aside><form><p>Subscribe to our letter, it is free.</p></form><footer>&copy; 2024 My Site.</footer></body>"""
+    assert htmltext.main_text(page, field) == "Title of the story First paragraph of the story, with words. Second paragraph, also long enough."
+    assert htmltext.main_text("<p>Plain page without structure, only text.</p><p>Second paragraph of it, also plain.</p>", field).startswith("Plain page")
