@@ -120,9 +120,10 @@ def persona_verdict(persona: Persona, now_ms: int) -> Column:
     )
 
 
-def blacklist_verdict(config: GateConfig, title: Column | None = None, body: Column | None = None) -> Column:
+def blacklist_verdict(config: GateConfig, title: Column | None = None, body: Column | None = None, hay: Column | None = None) -> Column:
+    """The first structural or pattern rule that an item breaks, else null. hay: its haystack, if there is one already."""
     title, body = F.col("title") if title is None else title, F.col("body") if body is None else body
-    hay = T.haystack(F.concat(title, F.lit(" "), body))
+    hay = T.haystack(F.concat(title, F.lit(" "), body)) if hay is None else hay
     strong = T.any_of([T.matches(hay, T.normalize(F.lit(w))) for w in config.strong_words])
     damaged = "(?i)\\[object Object\\]"
     rules = [(body.rlike(damaged) | title.rlike(damaged), "damaged:objectObject"), (F.length(T.strip(title)) < config.min_title_chars, "damaged:titleTooShort")]
@@ -138,13 +139,11 @@ def relevance(config: GateConfig) -> Column:
     empty = F.expr("named_struct('points', 0, 'hits', cast(array() as array<struct<word:string,tier:string,points:int>>))")
     if not words:
         return empty
-    title, body = T.haystack(F.col("title")), T.haystack(F.col("body"))
     known = F.array(*[F.struct(F.lit(w).alias("word"), F.lit(t).alias("tier"), F.lit(p).alias("p"), F.lit(b).alias("b"), T.normalize(F.lit(w)).alias("norm")) for w, t, p, b in words])
     judged = F.transform(
         known,
         lambda k: F.struct(k["word"].alias("word"), k["tier"].alias("tier"), F.when(T.matches(F.col("_title"), k["norm"]), k["p"]).when(T.matches(F.col("_body"), k["norm"]), k["b"]).alias("points")),
     )
-    del title, body
     hits = F.filter(judged, lambda h: h["points"].isNotNull())
     return F.struct(F.aggregate(hits, F.lit(0), lambda a, h: a + h["points"]).alias("points"), hits.alias("hits"))
 
@@ -168,7 +167,9 @@ def judged(items: DataFrame, persona: Persona, config: GateConfig, now_ms: int,
     With recall (the size of the pool), an item that fails on relevance alone is routed to gate 'recall': rule
     'recall:candidate' if eligible, else 'recall:ineligible'.
     """
-    first = with_relevance(items, config).withColumn("_p", persona_verdict(persona, now_ms)).withColumn("_b", blacklist_verdict(config))
+    first = with_relevance(items, config).withColumn("_p", persona_verdict(persona, now_ms))
+    first = first.withColumn("_all", T.haystack(F.concat("title", F.lit(" "), "body")))
+    first = first.withColumn("_b", blacklist_verdict(config, hay=F.col("_all"))).drop("_all")
     low = F.col("points") < config.min_points
     short = F.concat(F.lit("relevance:belowMinPoints("), F.col("points").cast("string"), F.lit(f"<{config.min_points})"))
     if recall is not None:

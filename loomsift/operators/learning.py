@@ -23,10 +23,12 @@ def round3(x: Column) -> Column:
     return F.floor(x * 1000 + 0.5) / 1000
 
 
-def heuristic_score(title: Column, body: Column, keywords: list[str], signals: list[str]) -> Column:
-    hay = T.haystack(F.concat(title, F.lit(" "), body))
+def with_score(items: DataFrame, keywords: list[str], signals: list[str]) -> DataFrame:
+    """items (title, body) with score, from the shares of keywords and signal words that they match."""
+    hay = F.col("_hay")  # made once for each row, not for each word
     share = lambda words, full: F.least(F.lit(1.0), F.sqrt(F.size(T.keyword_hits(hay, words)).cast("double")) / F.sqrt(F.lit(float(full))))
-    return 0.25 + 0.5 * share(keywords, 8) + 0.25 * share(signals, 6)
+    staged = items.withColumn("_hay", T.haystack(F.concat("title", F.lit(" "), "body")))
+    return staged.withColumn("score", 0.25 + 0.5 * share(keywords, 8) + 0.25 * share(signals, 6)).drop("_hay")
 
 
 def weighted(items: DataFrame, weights: DataFrame) -> DataFrame:

@@ -23,19 +23,22 @@ def subject_phrase(title: Column, body: Column) -> Column:
     return F.when(clean == "", F.lit("")).otherwise(T.truncate_why(clean, 28))
 
 
-def reason(title: Column, body: Column, keywords: list[str], signals: list[str], domain: str) -> Column:
-    """Why an item was picked, from the keywords and signal words that it matches."""
-    hay = T.haystack(F.concat(title, F.lit(" "), body))
-    found = F.array_join(F.slice(T.keyword_hits(hay, keywords), 1, 2), ", ")
-    signal = F.coalesce(F.get(T.keyword_hits(hay, signals), 0), F.lit(""))
-    subject = subject_phrase(title, body)
-    return (
+def with_reason(posts: DataFrame, keywords: list[str], signals: list[str], domain: str) -> DataFrame:
+    """posts (title, body) with why, from the keywords and signal words that they match; steps are columns, made once."""
+    staged = posts.withColumn("_hay", T.haystack(F.concat("title", F.lit(" "), "body")))
+    staged = staged.withColumn("_found", F.array_join(F.slice(T.keyword_hits(F.col("_hay"), keywords), 1, 2), ", "))
+    staged = staged.withColumn("_signal", F.coalesce(F.get(T.keyword_hits(F.col("_hay"), signals), 0), F.lit("")))
+    staged = staged.withColumn("_subject", F.when((F.col("_found") == "") & (F.col("_signal") == ""), subject_phrase(F.col("title"), F.col("body"))).otherwise(F.lit("")))
+    found, signal, subject = F.col("_found"), F.col("_signal"), F.col("_subject")
+    text = (
         F.when((found != "") & (signal != ""), F.concat(F.lit("Matches your interests in "), found, F.lit(', with a strong "'), signal, F.lit('" signal')))
         .when(found != "", F.concat(F.lit("Matches your interest in "), found))
         .when(signal != "", F.concat(F.lit('Strong "'), signal, F.lit(f'" signal in {domain}')))
         .when(subject != "", F.concat(F.lit("Picked for "), subject))
         .otherwise(F.lit(f"Related to your {domain} feed"))
     )
+    staged = staged.withColumn("_reason", text)
+    return staged.withColumn("why", T.truncate_why(F.col("_reason"), T.WHY_MAX)).drop("_hay", "_found", "_signal", "_subject", "_reason")
 
 
 def rendered(items: DataFrame, persona: str, digest: str, domain: str, keywords: list[str], signals: list[str], stopwords: list[str]) -> DataFrame:
@@ -43,15 +46,16 @@ def rendered(items: DataFrame, persona: str, digest: str, domain: str, keywords:
     clean = items.withColumn("title", T.collapse(T.strip_html(F.regexp_replace("title", "^[A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+:\\s+", ""))))
     clean = clean.withColumn("body", T.strip_metadata(T.strip_html(F.col("body"))))
     clean = clean.withColumn("lang", T.detect_lang(F.concat("title", F.lit("\n"), "body")))
-    clean = clean.withColumn("summary", T.ensure_summary_floor(T.first_sentence(F.col("body"), T.by_lang(F.col("lang"), T.SUMMARY_MAX)), F.col("body"), F.col("lang")))
+    clean = clean.withColumn("_lead", T.first_sentence(F.col("body"), T.by_lang(F.col("lang"), T.SUMMARY_MAX)))
+    clean = clean.withColumn("summary", T.ensure_summary_floor(F.col("_lead"), F.col("body"), F.col("lang")))
     clean = clean.withColumn("_text", T.strip_metadata(F.when(F.col("summary") != "", F.col("summary")).otherwise(F.col("title"))))
     clean = clean.withColumn("_sentences", T.split_sentences(F.col("_text"))).withColumn("_tokens", T.tokens(F.col("title")))
     clean = clean.withColumn("_entities", T.topic_tokens(F.concat("title", F.lit(" "), "_text"), stopwords))
     hooks = T.derive_hooks(F.col("title"), F.col("_tokens"), F.col("_sentences"), F.col("_entities"), F.lit(domain), F.col("lang"))
-    why = T.truncate_why(reason(F.col("title"), F.col("body"), keywords, signals, domain), T.WHY_MAX)
+    clean = with_reason(clean, keywords, signals, domain)
     post = F.concat(F.lit(f"{persona}:{digest}:"), F.col("pos").cast("string"))
     return clean.select(
-        post.alias("id"), F.col("id").alias("item_id"), "title", hooks.alias("hooks"), "summary", "body", why.alias("why"), "url", "lang", "published_at", "source", "event_key", "pos"
+        post.alias("id"), F.col("id").alias("item_id"), "title", hooks.alias("hooks"), "summary", "body", "why", "url", "lang", "published_at", "source", "event_key", "pos"
     )
 
 
@@ -66,11 +70,12 @@ def asserted(posts: DataFrame, config: GateConfig, known: DataFrame, max_age_hou
     published = known.select(F.col("canonical_url").alias("_canon")).distinct().withColumn("_known", F.lit(True))
     stop = list(config.stopwords)
     both = named.join(first, "_canon", "left").join(published, "_canon", "left")
+    text = F.concat("summary", F.lit("\n"), "body", F.lit("\n"), F.array_join("hooks", " "), F.lit("\n"), "why")
+    both = both.withColumn("_black", blacklist_verdict(config, F.col("title"), text).isNotNull())
     both = both.withColumn("_source", T.topic_tokens(F.concat("title", F.lit(" "), "body"), stop))
     both = both.withColumn("_hooks", F.transform("hooks", lambda h: T.topic_tokens(h, stop)))
     title, summary, body, why, hooks, lang = (F.col(c) for c in ("title", "summary", "body", "why", "hooks", "lang"))
     damaged, tag = "(?i)\\[object Object\\]", f"(?i)</?[a-z][a-z0-9-]*(?:[{T.SPACE}][^<>]*)?>"
-    text = F.concat(summary, F.lit("\n"), body, F.lit("\n"), F.array_join(hooks, " "), F.lit("\n"), why)
     most = T.by_lang(lang, T.HOOK_MAX)
     shape = (F.size(hooks) != 3) | (F.size(F.array_distinct(hooks)) != 3) | F.exists(hooks, lambda h: F.length(h) > most)
     shape |= (F.length(summary) > T.by_lang(lang, T.SUMMARY_MAX)) | (F.length(why) > T.WHY_MAX) | (title == "") | (F.col("url") == "")
@@ -82,7 +87,7 @@ def asserted(posts: DataFrame, config: GateConfig, known: DataFrame, max_age_hou
         "mechanicalTruncation": F.exists(hooks, lambda h: T.is_title_prefix(h, title)),
         "fragmentHook": F.exists(hooks, lambda h: T.strip(h).rlike("(?i)^arxiv:\\d+") | (F.length(h) < T.HOOK_MIN)),
         "scoreEcho": why.rlike("(价值|得分|分数|score)[ \\t]*[:：]?[ \\t]*\\d+\\.\\d|\\d\\.\\d{2}"),
-        "blacklistRecheck": blacklist_verdict(config, title, text).isNotNull(),
+        "blacklistRecheck": F.col("_black"),
         "hookEntity": (F.size("_source") == 0) | F.exists("_hooks", lambda h: ~F.arrays_overlap(h, F.col("_source"))),
         "tooOld": old,
         "shapeViolation": shape,
@@ -92,4 +97,4 @@ def asserted(posts: DataFrame, config: GateConfig, known: DataFrame, max_age_hou
         "bodyBelowFloor": F.length(body) < T.by_lang(lang, T.BODY_MIN),
     }
     flagged = both.withColumns({f"gk_{name}": broken[name] for name in ASSERTIONS})
-    return flagged.withColumn("rule", first_failing([(F.col(f"gk_{n}"), f"gk:{n}") for n in ASSERTIONS])).drop("_canon", "_first", "_known", "_source", "_hooks")
+    return flagged.withColumn("rule", first_failing([(F.col(f"gk_{n}"), f"gk:{n}") for n in ASSERTIONS])).drop("_canon", "_first", "_known", "_source", "_hooks", "_black")

@@ -39,8 +39,8 @@ def collect(items: DataFrame, round_: Round, archive: DataFrame, published: Data
     by_url = dedupe.by_canonical_url(judged.where("rule is null").drop("gate", "rule"), published)
     lost = gates.drops(judged).unionByName(gates.drops(by_url.where("rule is not null").withColumn("gate", F.lit("fingerprint"))))
     passed = by_url.where("rule is null").drop("rule")
-    score = learning.heuristic_score(F.col("title"), F.col("body"), list(round_.keywords), list(round_.signals))
-    titled = passed.withColumn("score", score).withColumn("tokens", T.tokens(F.col("title")))
+    scored = learning.with_score(passed, list(round_.keywords), list(round_.signals))
+    titled = scored.withColumn("tokens", T.tokens(F.col("title")))
     new = similarity.novel(titled, archive.select("id", T.tokens(F.col("title")).alias("tokens")))
     ranked = learning.weighted(new, weights).drop("score").withColumnRenamed("rank_score", "score")
     placed = ranked.withColumn("pos", F.col("seq"))
@@ -58,6 +58,7 @@ def finalize(candidates: DataFrame, round_: Round, published: DataFrame) -> Data
 
     placed = numbered(scope.withColumn("_order", F.struct(~F.col("kept"), -F.col("score"), F.col("event_pos"), F.col("pos"))), "_order").withColumn("pos", F.col("n"))
     posts = render.rendered(placed, round_.persona.id, round_.digest, round_.persona.domain, list(round_.keywords), list(round_.signals), list(round_.config.stopwords))
+    posts = written(posts, "posts")
     asserted = written(render.asserted(posts, round_.config, published, round_.persona.max_age_hours, round_.now_ms), "asserted")
     return events.selected(asserted.withColumn("passed", F.col("rule").isNull()), round_.persona.max_items, round_.config.max_per_event)
 

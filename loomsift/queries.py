@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loomsift.functions import text as T
 from loomsift.functions.urls import TRACKING, TRACKING_PREFIXES, canonical_url
+from loomsift.lineage import written
 from loomsift.operators import dedupe, events, gates, learning, render, reports, similarity, state
 from loomsift.operators.gates import GateConfig, Persona, Rule, Tier
 from loomsift.operators.items import from_documents, from_events, from_pages
@@ -263,8 +264,7 @@ SCORE_SQL = f"""(SELECT doc_id, source, 0.25 + 0.5 * least(1.0, sqrt({_hits_sql(
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = documents(spark, sf_dir)
-    return items.withColumn("score", learning.heuristic_score(F.col("title"), F.col("body"), KEYWORDS, SIGNALS))
+    return learning.with_score(documents(spark, sf_dir), KEYWORDS, SIGNALS)
 
 
 @query(f"SELECT doc_id, round(score, 6) AS score FROM {SCORE_SQL}")
@@ -613,7 +613,8 @@ def crowded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rendered_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a post with its hooks, summary, reason, and the first assertion that it breaks. Tested by a Python twin."""
     items = from_pages(table(spark, sf_dir, "pages")).withColumn("pos", F.col("seq")).withColumn("event_key", F.col("id"))
-    posts = render.rendered(items, "daily", "d1", "prose", KEYWORDS, SIGNALS, list(CONFIG.stopwords))
+    # Written between rendering and asserting: one generated method for both would be too long to compile.
+    posts = written(render.rendered(items, "daily", "d1", "prose", KEYWORDS, SIGNALS, list(CONFIG.stopwords)), "posts")
     known = spark.createDataFrame([], "canonical_url string")
     return render.asserted(posts, CONFIG, known, 720, NOW_MS).select("id", "title", "hooks", "summary", "why", "lang", "rule")
 
