@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomsift.lineage import written
+from loomsift.lineage import unwritten, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -21,6 +21,9 @@ def components(edges: DataFrame) -> DataFrame:
         step = labels.join(near.withColumnRenamed("u", "id"), "id").select("id", "comp", F.least("comp", "near").alias("low"))
         jump = step.join(labels.select(F.col("id").alias("low"), F.col("comp").alias("next")), "low", "left")
         low = F.coalesce("next", "low")
-        labels = written(jump.select("id", low.alias("comp"), (low != F.col("comp")).alias("moved")), "graph-labels")
+        new = written(jump.select("id", low.alias("comp"), (low != F.col("comp")).alias("moved")), "graph-labels")
+        unwritten(labels)
+        labels = new
         if labels.where("moved").limit(1).count() == 0:
+            unwritten(both)
             return labels.select("id", "comp")
