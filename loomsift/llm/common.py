@@ -1,12 +1,9 @@
-"""What the operators of this subpackage share: table reading, lineage cuts, hold-out rule, bounded samples."""
+"""What the operators of this subpackage share: table reading, hold-out rule, bounded samples, what workers keep."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Hashable
 from typing import TypeVar
-from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,34 +13,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which all executors share; a temporary one only in local mode."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if path:
-        return path.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return f"{tempfile.gettempdir()}/checkpoints"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cuts lineage: writes df as a table in the shared folder and reads it back, so a lost executor costs no recompute."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/loomsift/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def unwritten(*frames: DataFrame) -> None:
-    """Deletes tables made by written() that no later frame reads."""
-    for df in frames:
-        spark = df.sparkSession
-        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            if "/loomsift/" in urlparse(folder).path:
-                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Bounds what a Python worker holds at once: whole texts of at most so many rows, or 16 MB of them."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

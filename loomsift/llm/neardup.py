@@ -34,7 +34,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomsift.llm.common import remembered, small_batches, table, unwritten, written
+from loomsift.lineage import unwritten, written
+from loomsift.llm.common import remembered, small_batches, table
+from loomsift.operators.graph import components
 
 SIDE, BAND = 12, 3
 MEMO = 150_000
@@ -135,27 +137,6 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * common >= percent * (F.size("sx") + F.size("sy") - common)).select("x", "y")
 
 
-def components(edges: DataFrame, name: str = "components") -> DataFrame:
-    """(id, comp): the least id reachable, for every id of the edges (x, y).
-
-    Each round takes the least label among neighbours and then the label of that label, so paths halve and the number
-    of rounds grows with the logarithm of the longest shortest path. Each round is a written table.
-    """
-    both = written(edges.select("x", "y").union(edges.select("y", "x")).toDF("u", "v").distinct(), f"{name}-edges")
-    labels = written(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("comp")).withColumnRenamed("u", "id"), f"{name}-labels")
-    while True:
-        near = both.join(labels.withColumnRenamed("id", "v"), "v").groupBy("u").agg(F.min("comp").alias("near"))
-        step = labels.join(near.withColumnRenamed("u", "id"), "id").select("id", "comp", F.least("comp", "near").alias("low"))
-        jump = step.join(labels.select(F.col("id").alias("low"), F.col("comp").alias("next")), "low", "left")
-        new = written(jump.select("id", F.coalesce("next", "low").alias("comp"), (F.coalesce("next", "low") != F.col("comp")).alias("moved")), f"{name}-labels")
-        done = new.where("moved").limit(1).count() == 0
-        unwritten(labels)
-        labels = new
-        if done:
-            unwritten(both)
-            return labels.select("id", "comp")
-
-
 def _table_keys(sketch: DataFrame, *more: str) -> DataFrame:
     """A row for each table that a class can share: key, id and the columns `more`; `fa`, `fb` hold the shared bands' numbers."""
     return (

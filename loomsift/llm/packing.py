@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loomsift.llm.common import remembered, small_batches, table, written
+from loomsift.lineage import written
+from loomsift.llm.common import remembered, small_batches, table
 
 CAPACITY, END = 2048, 0
 #: Pieces of a shard, islands of a shard, packings of an island, crossings of an island in a round, rounds.
