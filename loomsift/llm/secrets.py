@@ -1,10 +1,12 @@
 """Secret scans with a random forest that removes false positives; DataFrame functions and Spark ML only.
 
-Candidates are the last long run of key characters in each word that has a digit, a long run of capitals, or assigns a
-value. The forest judges each by its length, its character classes and transitions, the share that dictionary words
-cover, hints in the path (the row's source) and the neighbouring words. It is trained on labelled findings that
-`labelled_findings` makes by rule: credentials as issuers shape them in assignments and prose, and the strings that are
-taken for them (hashes after "commit", identifiers, card and phone numbers, placeholders, file names, shouted words).
+Candidates are all long runs of key characters in a word that have a digit, a long run of capitals or mixed case, or
+are a value assigned to a telling name, so minified JSON, query strings, connection strings and CSV give each of theirs.
+The forest judges each by its length, its character classes and transitions, the share that dictionary words cover,
+hints in the path (the row's source), what stands left and right of the run in its word, and the neighbouring words. It
+is trained on labelled findings that `labelled_findings` makes by rule: credentials as issuers shape them in assignments,
+prose and packed records, and the strings that are taken for them (hashes after "commit", identifiers, card and phone
+numbers, placeholders, file names, times, shouted words).
 
 Edge cases: null and empty texts have no findings; a null source is an empty path; texts of any length are read whole;
 each occurrence is a finding, so repeated rows repeat theirs; an empty table gives an empty result; extra columns are
@@ -21,6 +23,9 @@ from pyspark.sql import functions as F
 
 from loomsift.llm.common import table
 
+#: Runs of key characters (with the padding of base64 at their end) and what stands between them; together the whole word.
+TOKENS = "[A-Za-z0-9+/_-]+(?:={1,2}(?=$|[^A-Za-z0-9+/_=\"'-]))?|[^A-Za-z0-9+/_-]+"
+
 #: Labelled findings made for training, trees and their depth, and the probability from which a candidate is a secret.
 FINDINGS, TREES, DEPTH, THRESHOLD = 6000, 24, 9, 0.5
 
@@ -44,13 +49,14 @@ def _ratio(part: Column, whole: Column) -> Column:
 
 
 def features(found: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Numeric columns of findings (core, word, prev1, prev2, next1, path)."""
+    """Numeric columns of findings (core, left, right, prev1, prev2, next1, path)."""
     core, size = F.col("core"), F.length("core")
     lower = F.lower(core)
     runs = F.size(F.regexp_extract_all(core, F.lit("[a-z]+|[A-Z]+|[0-9]+|[^A-Za-z0-9]+"), F.lit(0)))
     pairs = F.size(F.regexp_extract_all(lower, F.lit(f"(?=({'|'.join(COMMON_PAIRS)}))"), F.lit(1)))
     covered = size - F.length(F.regexp_replace(lower, "|".join(sorted(DICTIONARY, key=lambda w: (-len(w), w))), ""))
-    before = F.concat_ws(" ", "prev2", "prev1", F.regexp_extract("word", "^(.*?)[=:]", 1))
+    before = F.concat_ws(" ", "prev2", "prev1", "left")
+    word = F.concat("left", "core", "right")
     made = {
         "f_length": size.cast("double"),
         "f_digits": _ratio(size - F.length(F.regexp_replace(core, "[0-9]", "")), size),
@@ -64,30 +70,47 @@ def features(found: DataFrame) -> tuple[DataFrame, list[str]]:
         "f_dictionary": _ratio(covered, size),
         "f_repeats": core.rlike("(.)\\1\\1\\1").cast("double"),
         "f_prefix": core.rlike(PREFIX).cast("double"),
-        "f_assigned": (F.col("word").rlike("^[A-Za-z_.-]+[=:]") | F.col("prev1").rlike("[=:]$")).cast("double"),
-        "f_quoted": F.col("word").rlike("[\"']").cast("double"),
+        "f_assigned": (F.col("left").rlike("[A-Za-z0-9_.-][\"']?[=:][\"']?$") | F.col("prev1").rlike("[=:]$")).cast("double"),
+        "f_quoted": F.concat("left", "right").rlike("[\"']").cast("double"),
+        "f_login": (F.endswith("left", F.lit(":")) & F.startswith("right", F.lit("@"))).cast("double"),
         "f_secret_hint": before.rlike(SECRET_HINT).cast("double"),
         "f_harmless_hint": before.rlike(HARMLESS_HINT).cast("double"),
         "f_next_hint": F.col("next1").rlike(HARMLESS_HINT).cast("double"),
         "f_path": F.col("path").rlike(PATH_HINT).cast("double"),
-        "f_in_path": F.col("word").rlike("://|[.][a-z]{2,4}\\b|/").cast("double"),
+        "f_in_path": word.rlike("://|[.][a-z]{2,4}\\b|/").cast("double"),
     }
     return found.withColumns({k: F.coalesce(v, F.lit(0.0)) for k, v in made.items()}), list(made)
 
 
-def _core(word: Column) -> Column:
-    return F.regexp_extract(word, "([A-Za-z0-9+/_-]{8,}={0,2})[^A-Za-z0-9]*$", 1)
-
-
 def _suspicious(word: Column) -> Column:
-    return (F.length(word) >= 12) & word.rlike("[0-9]|[A-Z]{16}|(?i)(?:pass\\w*|secret|token|key)[=:]")
+    return (F.length(word) >= 12) & word.rlike("[0-9]|[A-Z]{16}|[a-z][A-Z]|(?i)(?:pass\\w*|secret|token|key)[\"']?[=:]")
+
+
+def _runs(words: DataFrame) -> DataFrame:
+    """One row for each candidate run of words (word, prev1, prev2, next1 and others): core, and left and right of it in the word.
+
+    The words around count only for runs at that end of the word.
+    """
+    part = lambda i, k: F.coalesce(F.get(F.col("tokens"), i + k), F.lit(""))
+    run = lambda t, i: F.struct(
+        t.alias("core"),
+        F.concat(part(i, -2), part(i, -1)).alias("left"),
+        F.concat(part(i, 1), F.when(part(i, 1) == ".", part(i, 2)).otherwise("")).alias("right"),
+        F.when(i <= 3, F.col("prev1")).otherwise("").alias("prev1"),
+        F.when(i <= 3, F.col("prev2")).otherwise("").alias("prev2"),
+        F.when(i >= F.size("tokens") - 2, F.col("next1")).otherwise("").alias("next1"),
+    )
+    kept = lambda r: r["core"].rlike("^[A-Za-z0-9+/_-]{8}") & (r["core"].rlike("[0-9]|[A-Z]{16}") | (F.length(r["core"]) >= 12) & r["core"].rlike("[a-z][A-Z]") | r["left"].rlike("(?i)(?:pass\\w*|secret|token|key)[\"']?[=:]"))
+    others = [c for c in words.columns if c not in ("word", "prev1", "prev2", "next1")]
+    cut = words.withColumn("tokens", F.regexp_extract_all("word", F.lit(TOKENS), F.lit(0)))
+    return cut.select(*others, F.explode(F.filter(F.transform("tokens", run), kept)).alias("r")).select(*others, "r.*")
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, word_no, word, core, its neighbours and path: one row for each candidate of docs (doc_id, text, source)."""
+    """doc_id, word_no, core, its neighbours and path: one row for each candidate of docs (doc_id, text, source)."""
     narrow = docs.select("doc_id", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("path"), F.col("text").cast("string").alias("text"))
-    # Most texts have no digit, capitals or assignment: they are not split at all.
-    words = narrow.where(F.col("text").rlike("[0-9]|[A-Z]{16}|[=:]\\S{8}")).select("doc_id", "path", F.split("text", "[ \\t\\n\\x0B\\f\\r]+").alias("words"))
+    # Most texts have no digit, capitals, mixed case or assignment: they are not split at all.
+    words = narrow.where(F.col("text").rlike("[0-9]|[A-Z]{16}|[a-z][A-Z]|[=:]\\S{8}")).select("doc_id", "path", F.split("text", "[ \\t\\n\\x0B\\f\\r]+").alias("words"))
     at = words.withColumn("at", F.filter(F.transform("words", lambda w, i: F.when(_suspicious(w), i)), lambda i: i.isNotNull()))
     near = lambda i, k: F.coalesce(F.get(F.col("words"), i + k), F.lit(""))
     found = at.where(F.size("at") > 0).select(
@@ -95,7 +118,7 @@ def candidates(docs: DataFrame) -> DataFrame:
         "path",
         F.explode(F.transform("at", lambda i: F.struct(i.cast("long").alias("word_no"), near(i, 0).alias("word"), near(i, -1).alias("prev1"), near(i, -2).alias("prev2"), near(i, 1).alias("next1")))).alias("c"),
     )
-    return found.select("doc_id", "path", "c.*").withColumn("core", _core(F.col("word"))).where("core <> ''")
+    return _runs(found.select("doc_id", "path", "c.*"))
 
 
 def labelled_findings(spark: SparkSession, rows: int = FINDINGS) -> DataFrame:
@@ -122,6 +145,8 @@ def labelled_findings(spark: SparkSession, rows: int = FINDINGS) -> DataFrame:
     slug = F.concat_ws("-", word, word2, F.substring(digits, 1, 4), word)
     uuid = F.concat_ws("-", *[F.substring(hexes, a, b) for a, b in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
     fake = pick("f", "xxxxxxxxxxxxxxxx1", "your_token_here1", "changeme12345678", "placeholder0000", "1234567890123456", "0000000000000000", "example_secret_1", "<your-password-1>")
+    letters = F.substr(F.translate(base64, "0123456789", "qWzXkVjQbY"), F.lit(1), size)
+    tail = pick("t", "v", "x1", "page", "lang", "ok")
     junk = pick("j", "", "", "", "###", "%%%", "***", "$$$", "&&&", ",", ".")
     none = F.lit("")
     # (label, word, the word before, the one before that, the word after)
@@ -145,11 +170,26 @@ def labelled_findings(spark: SparkSession, rows: int = FINDINGS) -> DataFrame:
         (0.0, F.concat(F.upper(F.concat(word, word2, word)), pick("y", "!!", "", ".")), F.upper(plain), F.upper(plain2), F.upper(plain)),
         (0.0, F.concat(F.lit("https://example.org/"), word, F.lit("/"), F.substring(digits, 1, 9)), plain, plain2, plain),
         (0.0, F.concat(word, F.substring(digits, 1, 4), F.lit("@mail.example")), plain, plain2, none),
+        # Several runs in one word.
+        (1.0, F.concat(F.lit('{"'), name, F.lit('":"'), secret_value, F.lit('","'), tail, F.lit('":2}')), plain, plain2, plain),
+        (1.0, F.concat(pick("u", "", "https://example.org/p?", "/p?a=b&", "a=1;"), name, F.lit("="), secret_value, pick("z", "&", ";", ","), tail, F.lit("=2")), plain, plain2, plain),
+        (1.0, F.concat(pick("d", "postgres", "mysql", "amqp", "https"), F.lit("://"), pick("e", "app", "root", "user"), F.lit(":"), F.when(F.col("id") % 2 == 0, letters).otherwise(secret_value), F.lit("@db/"), tail), plain, plain2, plain),
+        (1.0, F.concat(pick("i", "", "key=", "id,", '{"id":"'), key_id, pick("z", ";", ",", '","'), name, pick("eq", "=", '":"'), secret_value), plain, plain2, plain),
+        (1.0, F.concat(name, pick("eq", "=", ":"), letters, pick("z", "", ",x", "&v=2")), plain, plain2, plain),
+        (1.0, quote(letters), F.lit("="), name, plain),
+        (1.0, F.concat(F.lit('{"'), name, F.lit('":"'), letters, F.lit('"}')), plain, plain2, plain),
+        (0.0, F.concat(F.lit('{"'), hash_name, F.lit('":"'), F.substr(hexes, F.lit(1), size), F.lit('","'), tail, F.lit('":2}')), plain, plain2, plain),
+        (0.0, F.concat(pick("u", "", "https://example.org/p?", "/p?a=b&", "a=1;"), hash_name, F.lit("="), F.when(F.col("id") % 2 == 0, uuid).otherwise(F.substr(hexes, F.lit(1), size)), pick("z", "&", ";", ","), tail, F.lit("=2")), plain, plain2, plain),
+        (0.0, F.concat(F.lit('{"'), name, F.lit('":"'), fake, F.lit('","id":"'), uuid, F.lit('"}')), plain, plain2, plain),
+        (0.0, F.concat(pick("i", "1", "id", "row"), F.lit(","), uuid, F.lit(","), F.substring(digits, 1, 12), F.lit(",x")), plain, plain2, plain),
+        (0.0, F.concat(pick("o", "", "time=", "at:"), F.lit("20"), F.substring(digits, 1, 2), F.lit("-0"), F.substring(digits, 3, 1), F.lit("-1"), F.substring(digits, 4, 1), F.lit("T1"), F.substring(digits, 5, 1), F.lit(":00:00Z")), plain, plain2, plain),
+        (0.0, F.concat(pick("v", "get", "is", "on", "new"), F.initcap(word), F.initcap(word2), pick("a", "", "()", ".run()", "=1", ",")), plain, plain2, plain),
+        (0.0, F.concat(pick("l", "src/main/", "./", "app/"), F.initcap(word), F.lit("/"), cased, pick("x2", ".java", ".py", ".ts")), plain, plain2, plain),
     ]
     kind = F.pmod(F.xxhash64("id", F.lit("kind")), F.lit(len(kinds)))
     column = lambda at, cast: F.coalesce(*[F.when(kind == k, row[at] if at else F.lit(row[0])) for k, row in enumerate(kinds)]).cast(cast)
     made = n.select(column(0, "double").alias("label"), column(1, "string").alias("word"), column(2, "string").alias("prev1"), column(3, "string").alias("prev2"), column(4, "string").alias("next1"), pick("path", "src1", "src14", "app/main.py", "lib/config.yml", "tests/test_login.py", "docs/example.md").alias("path"))
-    return made.withColumn("core", _core(F.col("word"))).where("core <> ''")
+    return _runs(made)
 
 
 def train(spark: SparkSession) -> RandomForestClassificationModel:
