@@ -2,8 +2,8 @@
 
 Logistic regression over the distinct words of a text (runs of letters, lower-cased) and the beginnings of its words,
 which inflected forms share, fitted by FTRL-proximal steps so that most weights are zero. In every labelled text that mentions a group, the group's term is swapped for the other terms
-of its kind; the squared change of the margin is penalised, so that which group is named cannot move a score. Neutral
-sentences about every group, labelled harmless, are learned along and swapped in the same way.
+of its kind, with the beginnings of both; the squared change of the margin is penalised, so that which group is named
+hardly moves a score. Neutral sentences about every group, labelled harmless, are learned along and swapped in the same way.
 
 Training reads a bounded sample: at most CELLS rows for each label, spread over all labelled rows outside the held-out
 fold; one task fits it, as its size has a bound whatever the size of the tables.
@@ -69,6 +69,12 @@ def swaps(words: set[str]) -> Iterator[tuple[str, str]]:
                 yield term, other
 
 
+def swapped(words: set[str], term: str, other: str) -> tuple[list[str], list[str]]:
+    """Features that leave and that enter when other takes the place of term; those that other words give stay."""
+    stay = {m for w in words if w != term and not w.endswith("-") for m in marks(w)}
+    return sorted((set(marks(term)) & words) - stay), sorted(set(marks(other)) - stay - (words - set(marks(term))))
+
+
 def fit(texts: list[set[str]], labels: list[float], fairness: float = FAIRNESS, seed: int = 5) -> dict[str, float]:
     """Weights by word, the bias under ''.
 
@@ -92,17 +98,18 @@ def _fitted(texts: list[set[str]], labels: list[float], names: list[str], l1: fl
     at = {w: k for k, w in enumerate(names)}
     bias = len(names)
     rows = [np.array([*sorted(at[w] for w in words if w in at), bias]) for words in texts]
-    pairs = [[(at[a], at[b]) for a, b in swaps(words)] for words in texts]
+    pairs = []
+    for words in texts:
+        changes = [[[at[w] for w in side if w in at] for side in swapped(words, *pair)] for pair in swaps(words)]
+        pairs.append([(np.array([*out, *new]), np.array([1.0] * len(out) + [-1.0] * len(new))) for out, new in changes])
     model, rng = Ftrl(bias + 1, ALPHA, BETA, l1, L2), np.random.default_rng(seed)
     for _ in range(EPOCHS):
         for k in rng.permutation(len(rows)):
             model.learn(rows[k], np.ones(len(rows[k])), labels[k], POSITIVE if labels[k] else 1.0)
-            for a, b in pairs[k]:
-                # The margin changes by w[a] - w[b]; its square is the penalty.
-                both = np.array([a, b])
+            for both, sign in pairs[k]:
+                # The margin changes by the weights that leave less those that enter; its square is the penalty.
                 w = model.weights(both)
-                change = 2 * fairness * (w[0] - w[1]) / len(pairs[k])
-                model.step(both, np.array([change, -change]), w)
+                model.step(both, 2 * fairness * (sign @ w) / len(pairs[k]) * sign, w)
     found = model.weights()
     return {w: float(found[k]) for w, k in [*at.items(), ("", bias)]}
 

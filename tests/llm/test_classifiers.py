@@ -78,3 +78,18 @@ def test_counterfactual_penalty_evens_out_groups():
     assert gap(plain) > 0.2 and gap(fair) < 0.25 * gap(plain)
     score = lambda words: fair[""] + sum(fair.get(w, 0.0) for w in words)
     assert score({"muslim", "people"}) < 0 < score({"jewish", "people", "idiot"})
+
+
+def test_swapped_features():
+    words = toxicity.words_of("muslim muscle")
+    assert toxicity.swapped(words, "muslim", "jewish") == (["musl-", "musli-", "muslim"], ["jew-", "jewi-", "jewis-", "jewish"])
+
+
+def test_swapped_neutral_sentences_score_alike():
+    """The beginnings of a term take no blame either, at the weight of the penalty in use."""
+    rows = [("muslim people idiot", 1.0)] * 30 + [("the muslim came here", 1.0)] * 30 + [("christian people idiot", 1.0)] * 10
+    rows += [("christian people", 0.0)] * 30 + [("people market", 0.0)] * 30
+    found = toxicity.fit([toxicity.words_of(text) for text, _ in rows], [label for _, label in rows])
+    for sentence in toxicity.NEUTRAL:
+        margins = [toxicity.margin(sentence.format(term), toxicity._Known(found)) for term in toxicity.KIND["muslim"]]
+        assert max(margins) - min(margins) < 0.1
