@@ -31,7 +31,11 @@ from pyspark.sql import functions as F
 from loomsift.llm.common import small_batches, table
 
 # Kinds of elements.
-RAW = "script style noscript template svg iframe object textarea title math canvas audio video select datalist".split()
+#: Elements without page text: the first run to the end of the page if unclosed, the others count only if closed.
+RUNNING = "script style noscript iframe textarea title".split()
+NESTING = "template svg object math canvas audio video select datalist".split()
+#: What can stand in head; anything else closes it.
+IN_HEAD = frozenset("html head base basefont bgsound link meta title style script noscript noframes template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body button center dd details dialog div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 "
@@ -50,9 +54,12 @@ CLOSES = {
     "option": ({"option"}, {"select"}),
 }
 CLOSES |= {t: CLOSES["p"] for t in "address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header main nav ol pre section table ul".split()}
+QUOTED = "(?>(?:[^>\"']+|\"[^\"]*\"|'[^']*')*)"
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<({'|'.join(RAW)})\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"|<({'|'.join(RUNNING + NESTING)})(?=[\s/>]){QUOTED}(?<=/)>"
+    rf"|<({'|'.join(RUNNING)})(?=[\s/>])[^>]*>.*?(?:</\2\s*>|\Z)"
+    rf"|<({'|'.join(NESTING)})(?=[\s/>])[^>]*>"
     r"|<(/?)([a-zA-Z][^\s>/]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*)>"
     r"|</?[a-zA-Z][^>]*(?:>|\Z)|<[!?][^>]*(?:>|\Z)",
     re.S | re.I,
@@ -76,6 +83,18 @@ def element(tag: str, attributes: str) -> str:
     return ":".join([tag, *dict.fromkeys(names)]) if names else tag
 
 
+def closed_parts(page: str) -> dict[int, int]:
+    """Start of each NESTING element that is closed, and where it ends."""
+    found: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    for m in TOKEN.finditer(page):
+        if m[3]:
+            opened.setdefault(m[3].lower(), []).append(m.start())
+        elif m[4] and opened.get(m[5].lower()):
+            found[opened[m[5].lower()].pop()] = m.end()
+    return found
+
+
 def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, float]]:
     """(ancestors, text, share of its characters in links) of each leaf block with text, in page order."""
     out: list[tuple[tuple[str, ...], str, float]] = []
@@ -83,6 +102,8 @@ def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, float]]:
     tags: list[str] = []
     parts: list[str] = []
     linked = links = 0
+    in_head = False
+    closed: dict[int, int] | None = None
 
     def flush() -> None:
         nonlocal linked
@@ -100,19 +121,34 @@ def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, float]]:
             if links > 0:
                 linked += len(text)
 
+    def leave_head() -> None:
+        nonlocal in_head, links
+        in_head = False
+        if "head" in tags:
+            flush()
+            k = tags.index("head")
+            links -= tags[k:].count("a")
+            del tags[k:], stack[k:]
+
     at, page = 0, page or ""
-    for m in TOKEN.finditer(page):
-        add(page[at : m.start()])
+    while m := TOKEN.search(page, at):
+        text = page[at : m.start()]
+        if in_head and (text.strip() or not m[4] and (m[1] or m[2] or m[3] or m[5] or "head").lower() not in IN_HEAD):
+            leave_head()
+        add(text)
         at = m.end()
-        tag = m[3]
+        tag = m[5]
         if tag is None:
-            if m[1]:
+            if m[1] or m[2] or m[3]:
                 flush()
+            if m[3]:
+                closed = closed_parts(page) if closed is None else closed
+                at = closed.get(m.start(), at)
             continue
         tag = tag.lower()
         if tag in BLOCK:
             flush()
-        if m[2]:
+        if m[4]:
             if tag in tags:
                 keep = len(tags) - 1 - tags[::-1].index(tag)
                 # An inline end tag does not close blocks.
@@ -123,7 +159,7 @@ def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, float]]:
                     links -= tag == "a"
                     tags[keep] = "-"
             continue
-        if tag in VOID or m[4].endswith("/") and tag not in BLOCK:
+        if tag in VOID or m[6].endswith("/") and tag not in BLOCK:
             continue
         if tag in CLOSES:
             ends, fences = CLOSES[tag]
@@ -135,11 +171,14 @@ def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, float]]:
                 if tags[k] in fences:
                     break
         tags.append(tag)
-        stack.append(element(tag, m[4]))
+        stack.append(element(tag, m[6]))
         links += tag == "a"
+        in_head = in_head or tag == "head"
+    if in_head and page[at:].strip():
+        leave_head()
     add(page[at:])
     flush()
-    return [b for b in out if "head" not in b[0]]
+    return out
 
 
 def path_features(path: tuple[str, ...]) -> list[str]:

@@ -70,3 +70,19 @@ def test_pages_of_other_templates():
     <aside class="sidebar"><p>Some longer text in the sidebar, which is not main.</p></aside><form><p>Subscribe to our letter, it is free.</p></form><footer>&copy; 2024 My Site.</footer></body>"""
     assert htmltext.main_text(page, field) == "Title of the story First paragraph of the story, with words. Second paragraph, also long enough."
     assert htmltext.main_text("<p>Plain page without structure, only text.</p><p>Second paragraph of it, also plain.</p>", field).startswith("Plain page")
+
+
+def test_head_ends_where_the_body_begins():
+    texts = lambda page: [t for _, t, _ in htmltext.blocks(page)]
+    for page in ("<html><head><title>t</title><body><p>one</p>", "<head><meta charset=x><title>t</title><p>one</p>", "<head><style>p{}</style>one", "<head><script>a</script><svg></svg><p>one"):
+        assert texts(page) == ["one"]
+    assert "head" not in htmltext.blocks("<head><title>t</title><body><p>one</p>")[0][0]
+
+
+def test_unclosed_and_self_closed_parts_leave_the_rest():
+    texts = lambda page: [t for _, t, _ in htmltext.blocks(page)]
+    for part in ("<svg width=1 />", "<math/>", "<iframe src='a>b'/>", "<object/>", "<select>", "<video src=x>", "<canvas>", "<video-player>"):
+        assert texts(f"<p>one</p>{part}<p>two</p><p>three</p>") == ["one", "two", "three"]
+        assert texts(f"<p>one</p>{part}<p>two</p><svg><text>no</text></svg><video>no</video><p>three</p>") == ["one", "two", "three"]
+    assert texts("<p>one<template><p>no</p><template>no</template><p>no</p></template><p>two") == ["one", "two"]
+    assert texts("<p>one<svg><script>'<svg>'</script>no</svg><p>two<script>no") == ["one", "two"]
