@@ -7,7 +7,7 @@ pair (band i of the first collection, band j of the second), so SIDE * SIDE tabl
 
 Steps, all of them joins and aggregates of narrow rows:
 1. One pass over the texts makes each document's sketch: set size, 128-bit hash of its set, its bands.
-2. Equal sets collapse to one class, named by its least doc_id; all later steps see classes only.
+2. Equal sets collapse to one class, named by the number of one of its rows; all later steps see classes only.
 3. Bands that no other class has are dropped before any pair of bands is formed: a table key can only be shared if
    both of its halves are.
 4. Each bucket of a table sends its members to one leader, the member with most company over all bands (in a group of
@@ -20,8 +20,13 @@ A link can stay unconfirmed only inside a component that is already connected, s
 No group is gathered in one task: buckets are aggregated before the shuffle and joined by rows.
 
 Edge cases: null and empty texts, and texts of white space, have an empty set, n_shingles 0 and are their own group;
-texts of fewer words than a shingle are one shingle; rows that repeat a doc_id and its text repeat its result; a null
-doc_id has a null component and is not kept; an empty table gives an empty result; extra columns are ignored.
+texts of fewer words than a shingle are one shingle; rows that repeat a doc_id and its text repeat its result; a doc_id
+with several texts has a row, and a group, for each of them; a row of null doc_id is linked like others, has the
+component of its group (null if no row of it has a doc_id) and is not kept; an empty table gives an empty result; extra
+columns are ignored.
+
+The stage keeps one row of each group: of its least doc_id (a null one only where there is no other), and of that the
+text of least hash; rows that repeat both are one. Rows without words are linked with nothing and all stay.
 """
 
 from __future__ import annotations
@@ -39,14 +44,19 @@ from loomsift.llm.common import remembered, small_batches, table
 from loomsift.operators.graph import components
 
 SIDE, BAND = 12, 3
-MEMO = 150_000
+#: Words that a worker remembers, of so many bytes at most.
+MEMO, MEMO_BYTES = 150_000, 64
 SEED = 20_240_501
-SKETCH = "doc_id long, n_shingles long, h1 long, h2 long, a array<long>, b array<long>"
+SKETCH = "doc_id long, t long, n_shingles long, h1 long, h2 long, a array<long>, b array<long>"
+#: Stands for a null doc_id where rows are told apart; the greatest long, so that it comes last.
+NO_ID = 2**63 - 1
 
 
 class _WordHash(dict):
     def __missing__(self, word: bytes) -> int:
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= MEMO_BYTES:
+            self[word] = h
         return h
 
 
@@ -88,14 +98,14 @@ def bands(shingles: np.ndarray, xor: np.ndarray, odd: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """One row for each row of docs (doc_id, text)."""
+    """One row for each row of docs (doc_id, text); t is a hash of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, (xor, odd) = remembered("neardup", _WordHash), _functions()
         with np.errstate(over="ignore"):
             for batch in batches:
                 size, h1, h2, keys = [], [], [], []
-                for text in batch.column(1).to_pylist():
+                for text in batch.column(2).to_pylist():
                     s = shingle_hashes(text, width, memo)
                     size.append(len(s))
                     if len(s):
@@ -109,13 +119,14 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                 flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
                 ends = np.cumsum([0] + [2 * SIDE if n else 0 for n in size])
                 halves = [pa.ListArray.from_arrays(pa.array(ends // 2, pa.int32()), pa.array(flat.reshape(-1, 2, SIDE)[:, k].ravel())) for k in (0, 1)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), *halves], ["doc_id", "n_shingles", "h1", "h2", "a", "b"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), *halves], ["doc_id", "t", "n_shingles", "h1", "h2", "a", "b"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SKETCH)
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("t"), text).mapInArrow(run, SKETCH)
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
-    """(id, s): the full set of each row, as sorted 64-bit hashes."""
+    """(id, s): the full set of each row of docs (id, text), as sorted 64-bit hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = remembered("neardup", _WordHash)
@@ -126,7 +137,7 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
                 values = np.concatenate(sets) if sets else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))], ["id", "s"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string")).mapInArrow(run, "id long, s array<long>")
+    return docs.select("id", "text").mapInArrow(run, "id long, s array<long>")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -181,6 +192,9 @@ def missed_pairs(pairs: DataFrame, comps: DataFrame, sets: DataFrame, percent: i
     kept = kept.withColumn("common", F.size("shared")).withColumn("rest", most + 1 - (F.col("n") - F.col("common"))).where("rest > 0")
     kept = written(kept.select("leader", "x", "comp", "outside", "size", "n", "common", F.slice(F.col("shared.e"), F.lit(1), F.col("rest")).alias("first")), "prefixes")
     one = kept.withColumn("e", F.explode("first"))
+    # A shingle that only one component has under a leader can join nothing, however many rows have it.
+    several = one.groupBy("leader", "e").agg(F.min("comp").alias("c"), F.max("comp").alias("d")).where("c <> d").select("leader", "e")
+    one = one.join(several, ["leader", "e"])
     x = one.where("outside").select("leader", "e", "x", *[F.col(c).alias(f"{c}_x") for c in ("comp", "size", "n", "common", "first")])
     y = one.select("leader", "e", F.col("x").alias("y"), *[F.col(c).alias(f"{c}_y") for c in ("comp", "outside", "size", "n", "common", "first")])
     sizes = F.col("size_x") + F.col("size_y")
@@ -192,18 +206,15 @@ def missed_pairs(pairs: DataFrame, comps: DataFrame, sets: DataFrame, percent: i
     return x.join(y, ["leader", "e"]).where(fits).select("x", "y").distinct()
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 3) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row for each row of docs (doc_id, text)."""
+def grouped(docs: DataFrame, percent: int, width: int) -> DataFrame:
+    """doc_id, t, n_shingles, group, component_id: one row for each row of docs (doc_id, text). group is null for rows without words."""
     small_batches(docs.sparkSession)
-    sketch = written(sketches(docs.select("doc_id", "text"), width), "sketch")
+    # The number of a row names it from here on: ids may be missing or repeat.
+    sketch = written(sketches(docs.select("doc_id", "text"), width).withColumn("row", F.monotonically_increasing_id()), "sketch")
     # Classes of equal sets. A shingle set of one sequence has no near partner but its equals.
-    classes = (
-        sketch.where(F.col("h1").isNotNull() & F.col("doc_id").isNotNull())
-        .groupBy("h1", "h2")
-        .agg(F.min("doc_id").alias("id"))
-    )
+    classes = sketch.where(F.col("h1").isNotNull()).groupBy("h1", "h2").agg(F.min("row").alias("id"), F.min("doc_id").alias("doc"))
     classes = written(classes, "classes")
-    bands_of = sketch.select(F.col("doc_id").alias("id"), "h1", "h2", "a", "b").join(classes, ["id", "h1", "h2"]).dropDuplicates(["id", "h1", "h2"])
+    bands_of = sketch.withColumnRenamed("row", "id").join(classes.select("id"), "id").select("id", "doc_id", "t", "a", "b")
 
     # Bands that at least two classes share, and how many classes each class meets by them.
     slots = bands_of.select("id", F.posexplode(F.concat("a", "b")).alias("slot", "band"))
@@ -213,7 +224,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 3) -> DataF
     company = company.select(
         "id", "company", F.filter("slots", lambda s: s < side).alias("fa"), F.transform(F.filter("slots", lambda s: s >= side), lambda s: s - side).alias("fb")
     ).where((F.size("fa") > 0) & (F.size("fb") > 0))
-    near = written(bands_of.select("id", "a", "b").join(company, "id"), "near")
+    near = written(bands_of.join(company, "id"), "near")
 
     # One leader for each bucket: most company, then least id.
     keys = _table_keys(near, "company").select("key", "id", "company")
@@ -221,9 +232,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 3) -> DataF
     leaders = keys.join(leaders, ["key", "company"]).groupBy("key").agg(F.min("id").alias("y"))
     pairs = keys.join(leaders, "key").where("id <> y").select(F.col("id").alias("x"), "y").distinct()
     pairs = written(pairs, "pairs")
-    wanted = near.select(F.col("id").alias("doc_id"))
-    # The first row of a doc_id, should it repeat; its text is that of its class.
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
+    # The text of each class's row; a row that is there several times gives it several times.
+    wanted = near.select("id", F.coalesce("doc_id", F.lit(NO_ID)).alias("k"), "t")
+    texts = _told_apart(docs.select("doc_id", F.col("text").cast("string").alias("text"))).join(wanted, ["k", "t"]).select("id", "text")
     sets = written(shingle_sets(texts, width).dropDuplicates(["id"]), "sets")
     links = written(confirmed(pairs, sets, percent), "links")
     comps = components(links)
@@ -236,17 +247,42 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 3) -> DataF
         unwritten(old)
     unwritten(sets, pairs, near)
 
-    named = classes.join(comps, "id", "left").select("h1", "h2", F.coalesce("comp", "id").alias("component_id"))
-    out = sketch.select("doc_id", "n_shingles", "h1", "h2").join(named, ["h1", "h2"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+    linked = classes.join(comps, "id")
+    least = linked.groupBy("comp").agg(F.min("doc").alias("least"))
+    linked = linked.join(least, "comp").select("id", "comp", "least")
+    named = classes.join(linked, "id", "left").select("h1", "h2", F.coalesce("comp", "id").alias("group"), F.when(F.col("comp").isNull(), F.col("doc")).otherwise(F.col("least")).alias("component_id"))
+    out = sketch.select("doc_id", "t", "n_shingles", "h1", "h2").join(named, ["h1", "h2"], "left")
+    return out.select("doc_id", "t", "n_shingles", "group", F.when(F.col("group").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def _told_apart(docs: DataFrame) -> DataFrame:
+    """docs with k and t, the doc_id (NO_ID if null) and a hash of the text."""
+    return docs.withColumns({"k": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "t": F.xxhash64(F.col("text").cast("string"))})
+
+
+def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 3) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row for each row of docs (doc_id, text)."""
+    out = grouped(docs, percent, width)
+    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85, width=3)
 
 
+def one_of_each(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
+    """docs with one row of each group, and all rows without words."""
+    found = grouped(docs, percent, width).where(F.col("group").isNotNull()).select("group", F.coalesce("doc_id", F.lit(NO_ID)).alias("k"), "t")
+    first = found.groupBy("group").agg(F.min("k").alias("k"))
+    first = found.join(first, ["group", "k"]).groupBy("group", "k").agg(F.min("t").alias("t"))
+    has_words = F.coalesce(F.col("text").cast("string").rlike("[^ \\t-\\r]"), F.lit(False))
+    names = [f"_{k}" for k in range(len(docs.columns))]  # no column of docs clashes with k and t
+    told = _told_apart(docs.where(has_words).select(F.struct(*docs.columns).alias("row"), "doc_id", "text")).select("row", "k", "t")
+    told = told.select(*[F.col("row")[c].alias(n) for c, n in zip(docs.columns, names)], "k", "t")
+    kept = told.dropDuplicates(["k", "t"]).join(first.select("k", "t"), ["k", "t"], "left_semi").select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names)])
+    return kept.unionByName(docs.where(~has_words))
+
+
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group: that of the least doc_id. Five-word shingles, similarity 0.8 or more."""
-    found = near_duplicates(docs, percent=80, width=5)
-    return docs.join(found.where("kept").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    return one_of_each(docs, percent=80, width=5)

@@ -78,7 +78,7 @@ def test_edge_rows(spark):
     rows = [(5, None), (6, ""), (7, " \t\n"), (8, "One two"), (3, "one\ttwo"), (9, "one"), (4, long), (10, long + " end"), (4, long), (None, "one")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("component_id", F.lit("clash"))
     got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(docs).collect()), key=str)
-    want = [(5, 0, 5, True), (6, 0, 6, True), (7, 0, 7, True), (8, 1, 3, False), (3, 1, 3, True), (9, 1, 9, True), (4, 29998, 4, True), (4, 29998, 4, True), (10, 29999, 4, False), (None, 1, None, False)]
+    want = [(5, 0, 5, True), (6, 0, 6, True), (7, 0, 7, True), (8, 1, 3, False), (3, 1, 3, True), (9, 1, 9, True), (4, 29998, 4, True), (4, 29998, 4, True), (10, 29999, 4, False), (None, 1, 9, False)]
     assert got == sorted(want, key=str)
     assert neardup.near_duplicates(docs.limit(0)).count() == 0
 
@@ -86,3 +86,32 @@ def test_edge_rows(spark):
 def test_components_of_a_long_path(spark):
     edges = spark.range(200).select(F.col("id").alias("x"), (F.col("id") + 1).alias("y"))
     assert {r.comp for r in neardup.components(edges).collect()} == {0}
+
+
+def test_ids_that_repeat_or_are_missing(spark):
+    a, b, c = ("alpha beta gamma delta epsilon zeta eta theta iota kappa", "one two three four five six seven eight nine ten", "le petit chat dort sur la table de la cuisine")
+    rows = [(1, a), (1, a), (1, b), (2, b), (None, a), (None, c), (None, c), (3, None), (3, ""), (None, " "), (4, a + " lambda")]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, k int").withColumn("t", F.lit("clash")).withColumn("group", F.lit(1))
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(docs, 80, 5).collect()), key=str)
+    want = [(1, 6, 1, True), (1, 6, 1, True), (1, 6, 1, True), (2, 6, 1, False), (None, 6, 1, False), (None, 6, None, False), (None, 6, None, False), (3, 0, 3, True), (3, 0, 3, True), (None, 0, None, False), (4, 7, 1, False)]
+    assert got == sorted(want, key=str)
+    kept = neardup.one_of_each(docs, 80, 5)
+    assert kept.columns == docs.columns
+    left = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert left == sorted([(1, a), (1, b), (None, c), (3, None), (3, ""), (None, " ")], key=str)
+    assert neardup.one_of_each(docs.limit(0), 80, 5).count() == 0
+
+
+def test_two_clusters_under_one_leader(spark):
+    """Edited copies of two texts that are near a third one: keys that one component has alone make no pairs."""
+    base = [f"w{k}" for k in range(100)]
+    rows = [(0, " ".join(base))]
+    for cluster, cut in ((1, 20), (2, 26)):
+        own = [f"v{cluster}{k}" for k in range(cut)] + base[cut:]
+        for k in range(60):
+            edited = list(own)
+            edited[30 + k] = f"x{cluster}_{k}"
+            rows.append((1000 * cluster + k, " ".join(edited)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for percent, width in ((80, 5), (85, 3)):
+        assert as_dict(neardup.near_duplicates(docs, percent, width)) == brute(rows, percent, width)
