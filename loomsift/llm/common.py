@@ -28,12 +28,13 @@ def sample_by_label(df: DataFrame, label: str, cells: int) -> DataFrame:
     """At most `cells` rows for each value of `label` (columns doc_id, label and whatever df has).
 
     Every cell of a hash of doc_id gives its row of least hash, so the choice is spread over all rows, needs one
-    aggregate of two long columns, and has the same bound at every size.
+    aggregate of two long columns, and has the same bound at every size. Of rows that repeat a doc_id one is taken.
     """
     h = F.xxhash64(F.col("doc_id"), F.lit(17))
     picked = df.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).withColumn("_h", h)
     least = picked.groupBy(label, F.pmod("_h", F.lit(cells)).alias("_cell")).agg(F.min("_h").alias("_h"))
-    return picked.join(F.broadcast(least.select("_h").distinct()), "_h", "left_semi").drop("_h")
+    rows = picked.join(F.broadcast(least.select(label, "_h")), [label, "_h"], "left_semi")
+    return rows.dropDuplicates([label, "_h"]).drop("_h")
 
 
 Kept = TypeVar("Kept")

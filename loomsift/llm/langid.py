@@ -1,19 +1,29 @@
 """Language identification by cross-parsing entropy.
 
-A suffix automaton of labelled text is built for each language. A text is parsed, word by word, into the longest
-phrases that the automaton of a language knows; the language whose parse costs the fewest bits (phrases times the bits
-of a pointer into its text, for each letter) wins. A phrase never crosses white space, so what a word costs depends on
-the word alone and is remembered by the worker.
+A suffix automaton of labelled text is built for each language: passages of labelled documents as they stand, lower-cased,
+with everything but letters made single spaces. A text is parsed, in the same form, into the longest phrases that the
+automaton of a language knows; a phrase may cross words, and a letter that the automaton lacks is a phrase of its own.
+The language whose parse costs the fewest bits wins: its phrases times the bits of a pointer into its text, for each
+letter.
+
+Texts are parsed in stretches of STRETCH characters, a phrase ending with its stretch, and all stretches of a batch
+advance together by one character a step, so the work of a step is one look-up in the automaton's table for each.
+
+Learning reads a bounded sample: at most SAMPLE_DOCS labelled rows a language (fewer if there are more than LANGUAGES
+languages), spread by hash over all of them, and of each a passage of at most PASSAGE characters at a place chosen by hash.
 
 Edge cases: null texts and texts without a letter get language `und` and score 0; very long texts are parsed whole;
 repeated rows get equal results; an empty table gives an empty result; without any labelled row every text is `und`;
-a language with tied cost is chosen by name; extra columns are passed on.
+a language with tied cost is chosen by name; extra columns are passed on. The stage drops the rows of `und`, and those of
+which the chosen language's text lacks more than half of the letters: they are in a script that nothing was learned of.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,14 +33,17 @@ from pyspark.sql import types as T
 
 from loomsift.llm.common import held_out, remembered, sample_by_label, small_batches, table
 
-#: Labelled documents taken for each language, and characters of distinct words that its automaton holds.
-SAMPLE_DOCS, AUTOMATON_CHARS = 96, 48_000
-#: Words that a worker remembers before it starts anew.
-MEMO = 200_000
+#: Labelled documents taken for each language, characters of the passage taken of each, and for how many languages so many.
+SAMPLE_DOCS, PASSAGE, LANGUAGES = 96, 1024, 16
+#: Characters that are parsed in one go, and stretches that are parsed together.
+STRETCH, TOGETHER = 1024, 8192
 #: How sharply the score falls with the distance in bits a letter between the languages.
 SHARPNESS = 12.0
-START = "\x02"
+#: Share of its letters that the chosen language must know for the stage to keep a document.
+LEAST_KNOWN = 0.5
 MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~0123456789"
+#: Codes of a letter that no automaton has, and of white space; the letters follow.
+UNKNOWN, SPACE = 0, 1
 
 
 def letter_words(chunk: str) -> list[str]:
@@ -42,7 +55,7 @@ def letter_words(chunk: str) -> list[str]:
 
 
 class SuffixAutomaton:
-    """Suffix automaton of a text; `phrases` counts the longest-match phrases that a word needs."""
+    """Suffix automaton of a text: for each state the next state by character."""
 
     def __init__(self, text: str) -> None:
         step: list[dict[str, int]] = [{}]
@@ -71,124 +84,149 @@ class SuffixAutomaton:
                     link[q] = link[cur] = clone
             last = cur
         self.step = step
-        self.bits = math.log2(len(text) + 2)
-
-    def phrases(self, word: str) -> int:
-        step, count, state = self.step, 0, 0
-        for c in word:
-            nxt = step[state].get(c)
-            if nxt is None:
-                nxt = step[0].get(c, 0)
-                # The phrase ends before c; a letter that the text lacks is a phrase of its own.
-                count += (state != 0) + (nxt == 0)
-            state = nxt
-        return count + (state != 0)
-
-
-def reference_text(texts: list[str], chars: int = AUTOMATON_CHARS) -> str:
-    """Distinct words of the sample by falling count (ties by name), up to a number of characters."""
-    count: dict[str, int] = {}
-    for text in texts:
-        for chunk in text.split():
-            for word in letter_words(chunk):
-                count[word] = count.get(word, 0) + 1
-    out, size = [], 0
-    for word in sorted(count, key=lambda w: (-count[w], w)):
-        size += len(word) + 1
-        if size > chars:
-            break
-        out.append(START + word)
-    return "".join(out) + START
+
+    def table(self, codes: dict[str, int]) -> np.ndarray:
+        """Flat table at state * width + code of the next state * width; its complement where a phrase ends before the
+        character. A character that the text lacks leads to the start."""
+        width = max(codes.values(), default=SPACE) + 1
+        root = np.full(width, -1, np.int32)
+        for c, n in self.step[0].items():
+            root[codes[c]] = n * width
+        out = np.empty((len(self.step), width), np.int32)
+        out[:] = np.where(root >= 0, ~root, -1)
+        out[0] = np.maximum(root, 0)
+        for s, onward in enumerate(self.step):
+            for c, n in onward.items():
+                out[s, codes[c]] = n * width
+        return out.ravel()
+
+
+def plain(text: str) -> str:
+    """Lower case; everything but letters as single spaces, with one at both ends."""
+    return " " + " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split()) + " "
 
 
 def learn(docs: DataFrame, lang: str = "lang", sample_docs: int = SAMPLE_DOCS) -> tuple[tuple[str, str], ...]:
     """(language, reference text) pairs from a bounded sample of the labelled rows outside the held-out fold."""
-    rows = docs.where(~held_out(F.col("doc_id")) & F.col("text").isNotNull()).select("doc_id", "text", F.col(lang).alias("_lang"))
-    texts: dict[str, list[str]] = {}
-    for row in sample_by_label(rows, "_lang", sample_docs).select("_lang", "doc_id", "text").collect():  # bounded
-        texts.setdefault(row[0], []).append((row[1], row[2]))
-    return tuple((k, reference_text([t for _, t in sorted(v)])) for k, v in sorted(texts.items()))
+    rows = docs.where(~held_out(F.col("doc_id")) & F.col("text").isNotNull()).select("doc_id", "text", F.col(lang).cast("string").alias("_lang"))
+    languages = rows.select("_lang").distinct().count()
+    cells = max(1, min(sample_docs, sample_docs * LANGUAGES // max(1, languages)))
+    passages = F.ceil(F.length("text") / PASSAGE)
+    place = F.pmod(F.xxhash64("doc_id", F.lit(19)), F.greatest(passages, F.lit(1))) * PASSAGE + 1
+    sample = sample_by_label(rows, "_lang", cells).select("_lang", "doc_id", F.substr("text", place.cast("int"), F.lit(PASSAGE)).alias("passage"))
+    found: dict[str, list[tuple[int, str]]] = {}
+    for row in sample.collect():  # bounded: `cells` passages a language
+        found.setdefault(row[0], []).append((row[1], row[2]))
+    return tuple((k, plain(" ".join(t for _, t in sorted(v)))) for k, v in sorted(found.items()))
+
 
+@lru_cache(maxsize=1)
+def _letters() -> np.ndarray:
+    """UNKNOWN for each code point that is a letter, else SPACE."""
+    return np.fromiter((UNKNOWN if chr(c).isalpha() else SPACE for c in range(0x110000)), np.uint8, 0x110000)
 
-class _Costs(dict):
-    """What a chunk costs: an index into rows of (phrases in each language..., letters). Row 0 costs nothing.
 
-    Chunks of one word share the row of the word, whatever case and marks they have.
-    """
+class Parser:
+    """The automata of a model as tables over one alphabet."""
 
     def __init__(self, model: tuple[tuple[str, str], ...]) -> None:
-        super().__init__()
         self.names = [k for k, _ in model]
-        self.automata = [SuffixAutomaton(v) for _, v in model]
-        self.forget()
-
-    def forget(self) -> None:
-        self.clear()
-        self.words: dict[str, int] = {}
-        self.fresh: list[tuple[int, ...]] = []
-        self.known = np.zeros((1, len(self.automata) + 1), np.int64)
-
-    def trim(self) -> None:
-        if len(self.words) > MEMO:
-            self.forget()
-        elif len(self) > MEMO:
-            self.clear()
-
-    def _row(self, words: list[str]) -> int:
-        padded = [START + w + START for w in words]
-        self.fresh.append((*(sum(map(a.phrases, padded)) for a in self.automata), sum(map(len, words))))
-        return len(self.known) + len(self.fresh) - 1
-
-    def __missing__(self, chunk: str) -> int:
-        words = letter_words(chunk)
-        if len(words) == 1:
-            at = self.words.get(words[0])
-            if at is None:
-                at = self.words[words[0]] = self._row(words)
-        else:
-            at = self._row(words) if words else 0
-        self[chunk] = at
-        return at
-
-    def rows(self) -> np.ndarray:
-        if self.fresh:
-            self.known = np.concatenate([self.known, np.array(self.fresh, np.int64)])
-            self.fresh = []
-        return self.known
-
-
-def _score(texts: list[str | None], memo: _Costs) -> Iterator[tuple[str, float]]:
-    names, bits = memo.names, np.array([a.bits for a in memo.automata])
-    memo.trim()
-    picks = [np.fromiter(map(memo.__getitem__, t.split()), np.int64) if t else np.zeros(0, np.int64) for t in texts]
-    rows = memo.rows()
-    for pick in picks:
-        total = rows[pick].sum(axis=0)
-        letters = int(total[-1])
-        if not letters or not names:
-            yield "und", 0.0
-            continue
-        cost = total[:-1] * bits / letters
-        best = int(cost.argmin())
-        yield names[best], float(1.0 / np.exp(-SHARPNESS * (cost - cost[best])).sum())
+        # One byte a code; the rarest letters of more alphabets than that count as unknown to all.
+        count: dict[str, int] = {}
+        for _, text in model:
+            for c in text:
+                if c != " ":
+                    count[c] = count.get(c, 0) + 1
+        letters = sorted(sorted(count), key=lambda c: -count[c])[:250]
+        codes = {" ": SPACE} | {c: k + 2 for k, c in enumerate(sorted(letters))}
+        self.lookup = _letters().copy()
+        for c, k in codes.items():
+            self.lookup[ord(c)] = k
+        self.width = len(codes) + 1
+        self.tables, self.lacks = [], np.ones((self.width, len(model)), np.int64)
+        for k, (_, text) in enumerate(model):
+            known = "".join(c if c in codes else " " for c in text)
+            self.tables.append(SuffixAutomaton(known).table(codes))
+            self.lacks[[codes[c] for c in set(known)], k] = 0
+        self.lacks[SPACE] = 0
+        self.bits = np.array([math.log2(len(t) + 2) for _, t in model])
+
+    def codes(self, text: str | None) -> np.ndarray:
+        """The text's letters and single spaces, with a space at both ends, as codes."""
+        points = np.frombuffer(f" {text or ''} ".lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+        c = self.lookup[points]
+        space = c == SPACE
+        space[1:] &= space[:-1]
+        space[0] = False
+        return c[~space]
+
+    def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Phrases of each text (a row) in each language, those of letters that it lacks not counted."""
+        sizes = np.array([len(t) for t in texts], np.int64)
+        pieces = -(-sizes // STRETCH)
+        of_text = np.repeat(np.arange(len(texts)), pieces)
+        place = np.arange(len(of_text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        size = np.minimum(sizes[of_text] - place * STRETCH, STRETCH)
+        out = np.zeros((len(texts), len(self.tables)), np.int64)
+        order = np.argsort(-size, kind="stable")
+        for at in range(0, len(order), TOGETHER):
+            own = order[at : at + TOGETHER]
+            longest = int(size[own[0]])
+            block = np.zeros((len(own), longest), np.uint8)
+            for k, piece in enumerate(own):
+                part = texts[of_text[piece]][place[piece] * STRETCH :][:STRETCH]
+                block[k, : len(part)] = part
+            steps = np.ascontiguousarray(block.T)
+            active = np.searchsorted(-size[own], -np.arange(longest), side="left")  # the longest come first
+            for k, table_ in enumerate(self.tables):
+                out[:, k] += np.bincount(of_text[own], weights=_parsed(steps, active, table_), minlength=len(texts)).astype(np.int64)
+        return out
+
+
+def _parsed(steps: np.ndarray, active: np.ndarray, table_: np.ndarray) -> np.ndarray:
+    """Phrases of stretches of text, a column of `steps` each; active[t] of them have a character at step t."""
+    state, ended = np.zeros(steps.shape[1], np.int32), np.zeros(steps.shape[1], np.int32)
+    for codes, n in zip(steps, active.tolist()):
+        now = table_[state[:n] + codes[:n]]
+        breaks = now >> 31  # -1 where a phrase ended
+        ended[:n] -= breaks
+        state[:n] = now ^ breaks
+    return ended + (state != 0)
+
+
+def _found(texts: list[str | None], parser: Parser) -> Iterator[tuple[str, float, float]]:
+    """(language, score, share of the letters that the language knows) of each text."""
+    coded = [parser.codes(t) for t in texts]
+    count = np.array([np.bincount(c, minlength=parser.width) for c in coded]).reshape(len(texts), parser.width)
+    letters = count.sum(axis=1) - count[:, SPACE]
+    if not parser.names:
+        yield from (("und", 0.0, 0.0) for _ in texts)
+        return
+    lacks = count @ parser.lacks
+    cost = (parser.phrases(coded) + lacks) * parser.bits / np.maximum(letters, 1)[:, None]
+    for n, c, gone in zip(letters.tolist(), cost, lacks):
+        best = int(c.argmin())
+        yield (parser.names[best], float(1.0 / np.exp(-SHARPNESS * (c - c[best])).sum()), 1.0 - float(gone[best]) / n) if n else ("und", 0.0, 0.0)
 
 
 def predict(docs: DataFrame, model: tuple[tuple[str, str], ...], text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """docs (or its columns `keep`) with lang_pred and score; existing columns of those names are replaced."""
-    docs = docs.drop("lang_pred", "score")
+    """docs (or its columns `keep`) with lang_pred, score and known (share of letters that the language knows); existing
+    columns of those names are replaced."""
+    docs = docs.drop("lang_pred", "score", "known")
     at = docs.columns.index(text)
     small_batches(docs.sparkSession)
     names_kept = docs.columns if keep is None else keep
     kept = [docs.columns.index(c) for c in names_kept]
-    schema = T.StructType([*(docs.schema[i] for i in kept), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    extra = ("lang_pred", "score", "known")
+    schema = T.StructType([*(docs.schema[i] for i in kept), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("known", T.DoubleType())])
+    shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = remembered(("langid", shared.value), lambda: _Costs(shared.value))
+        parser = remembered(("langid", name), lambda: Parser(shared.value))
         for batch in batches:
-            found = list(_score(batch.column(at).to_pylist(), memo))
-            extra = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), *extra], [*names_kept, "lang_pred", "score"])
+            found = list(_found(batch.column(at).to_pylist(), parser))
+            made = [pa.array([x[k] for x in found], kind) for k, kind in enumerate((pa.string(), pa.float64(), pa.float64()))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), *made], [*names_kept, *extra])
 
     return docs.mapInArrow(run, schema)
 
@@ -200,7 +238,8 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents whose language can be told; the rest (no text or no letter) go."""
+    """Keeps the documents whose language can be told; the rest (no text or letter, or letters unknown to all) go."""
     columns = docs.columns
-    found = predict(docs, learn(docs))
-    return found.where(F.col("lang_pred") != "und").select(*columns)
+    renamed = docs.toDF(*[f"_{k}" for k in range(len(columns))])  # columns of any name pass
+    found = predict(renamed, learn(docs), text=f"_{columns.index('text')}")
+    return found.where((F.col("lang_pred") != "und") & (F.col("known") >= LEAST_KNOWN)).select(*[F.col(f"_{k}").alias(c) for k, c in enumerate(columns)])
