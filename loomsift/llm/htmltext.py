@@ -10,8 +10,11 @@ likelihood (forward-backward) and decoded by Viterbi. The main text is the block
 No table has labelled pages, so labelled_pages() makes them by rule: containers, furniture and their names as common
 page templates have them, filled with invented prose.
 
+The chain of a block's ancestors is a node of a tree that blocks and pages share, with what its features weigh, so time
+and memory grow with the page however deep its elements nest.
+
 Edge cases: null or empty html, or html without text, gives an empty text; unclosed, crossed and cut-off tags are read
-as far as they go; very long pages are read whole; repeated rows get equal results; an empty table gives an empty
+as far as they go; very long and very deep pages are read whole; repeated rows get equal results; an empty table gives an empty
 result; extra columns are ignored; a null url or page_id is carried along.
 """
 
@@ -60,7 +63,7 @@ TOKEN = re.compile(
     rf"|<({'|'.join(RUNNING + NESTING)})(?=[\s/>]){QUOTED}(?<=/)>"
     rf"|<({'|'.join(RUNNING)})(?=[\s/>])[^>]*>.*?(?:</\2\s*>|\Z)"
     rf"|<({'|'.join(NESTING)})(?=[\s/>])[^>]*>"
-    r"|<(/?)([a-zA-Z][^\s>/]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*)>"
+    r"|<(/?)([a-zA-Z][^\s>/]*+)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*)>"
     r"|</?[a-zA-Z][^>]*(?:>|\Z)|<[!?][^>]*(?:>|\Z)",
     re.S | re.I,
 )
@@ -95,13 +98,81 @@ def closed_parts(page: str) -> dict[int, int]:
     return found
 
 
-def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, float]]:
-    """(ancestors, text, share of its characters in links) of each leaf block with text, in page order."""
-    out: list[tuple[tuple[str, ...], str, float]] = []
-    stack: list[str] = []
-    tags: list[str] = []
+class Path:
+    """A chain of block-level ancestors: its last element and the chain above. Equal chains below one root are one node."""
+
+    __slots__ = ("up", "element", "below", "weighed")
+
+    def __init__(self, up: Path | None = None, element: str = "") -> None:
+        self.up, self.element = up, element
+        self.below: dict[str, Path] = {}
+        self.weighed: tuple[float, float, frozenset[str], float] | None = None
+
+    def child(self, element: str) -> Path:
+        found = self.below.get(element)
+        if found is None:
+            found = self.below[element] = Path(self, element)
+        return found
+
+    def elements(self) -> tuple[str, ...]:
+        out, node = [], self
+        while node.up is not None:
+            out.append(node.element)
+            node = node.up
+        return tuple(reversed(out))
+
+
+class Open:
+    """The open elements: their tags, where each tag stands, and the path of block-level ones down to each."""
+
+    def __init__(self, root: Path) -> None:
+        self.root = root
+        self.tags: list[str] = []
+        self.paths: list[Path] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def path(self) -> Path:
+        return self.paths[-1] if self.paths else self.root
+
+    def last(self, tag: str) -> int:
+        found = self.places.get(tag)
+        return found[-1] if found else -1
+
+    def push(self, tag: str, attributes: str) -> None:
+        at, path = len(self.tags), self.path()
+        if tag in BLOCK:
+            self.blocks.append(at)
+            path = path.child(element(tag, attributes))
+        self.tags.append(tag)
+        self.paths.append(path)
+        self.places.setdefault(tag, []).append(at)
+
+    def cut(self, at: int) -> None:
+        """Closes everything from place `at` on."""
+        while len(self.tags) > at:
+            self.places[self.tags.pop()].pop()
+            self.paths.pop()
+        while self.blocks and self.blocks[-1] >= at:
+            self.blocks.pop()
+
+    def mask(self, tag: str) -> None:
+        """Takes the last inline element of a tag out, leaving those inside it open."""
+        at = self.places[tag].pop()
+        self.tags[at] = "-"
+        self.places.setdefault("-", []).append(at)
+        self.places["-"].sort()
+
+    def linked(self) -> bool:
+        return bool(self.places.get("a"))
+
+
+def leaves(page: str | None, root: Path) -> list[tuple[Path, str, float]]:
+    """(path below root, text, share of its characters in links) of each leaf block with text, in page order."""
+    out: list[tuple[Path, str, float]] = []
+    open_ = Open(root)
     parts: list[str] = []
-    linked = links = 0
+    linked = 0
     in_head = False
     closed: dict[int, int] | None = None
 
@@ -110,7 +181,7 @@ def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, float]]:
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                out.append((tuple(s for s, t in zip(stack, tags) if t in BLOCK), text, linked / max(1, sum(map(len, parts)))))
+                out.append((open_.path(), text, linked / max(1, sum(map(len, parts)))))
             parts.clear()
             linked = 0
 
@@ -118,17 +189,15 @@ def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, float]]:
         nonlocal linked
         if text:
             parts.append(text)
-            if links > 0:
+            if open_.linked():
                 linked += len(text)
 
     def leave_head() -> None:
-        nonlocal in_head, links
+        nonlocal in_head
         in_head = False
-        if "head" in tags:
+        if open_.places.get("head"):
             flush()
-            k = tags.index("head")
-            links -= tags[k:].count("a")
-            del tags[k:], stack[k:]
+            open_.cut(open_.places["head"][0])
 
     at, page = 0, page or ""
     while m := TOKEN.search(page, at):
@@ -149,30 +218,22 @@ def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, float]]:
         if tag in BLOCK:
             flush()
         if m[4]:
-            if tag in tags:
-                keep = len(tags) - 1 - tags[::-1].index(tag)
+            place = open_.last(tag)
+            if place >= 0:
                 # An inline end tag does not close blocks.
-                if tag in BLOCK or not any(t in BLOCK for t in tags[keep:]):
-                    links -= tags[keep:].count("a")
-                    del tags[keep:], stack[keep:]
+                if tag in BLOCK or not open_.blocks or open_.blocks[-1] < place:
+                    open_.cut(place)
                 else:
-                    links -= tag == "a"
-                    tags[keep] = "-"
+                    open_.mask(tag)
             continue
         if tag in VOID or m[6].endswith("/") and tag not in BLOCK:
             continue
         if tag in CLOSES:
             ends, fences = CLOSES[tag]
-            for k in range(len(tags) - 1, -1, -1):
-                if tags[k] in ends:
-                    links -= tags[k:].count("a")
-                    del tags[k:], stack[k:]
-                    break
-                if tags[k] in fences:
-                    break
-        tags.append(tag)
-        stack.append(element(tag, m[6]))
-        links += tag == "a"
+            place = max(map(open_.last, ends))
+            if place >= 0 and place > max(map(open_.last, fences)):
+                open_.cut(place)
+        open_.push(tag, m[6])
         in_head = in_head or tag == "head"
     if in_head and page[at:].strip():
         leave_head()
@@ -181,6 +242,11 @@ def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, float]]:
     return out
 
 
+def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, float]]:
+    """leaves() with the paths written out."""
+    return [(path.elements(), text, links) for path, text, links in leaves(page, Path())]
+
+
 def path_features(path: tuple[str, ...]) -> list[str]:
     out = {"own=" + path[-1].split(":")[0] if path else "own="}
     nearest: list[str] = []
@@ -213,17 +279,39 @@ class Field:
 
     def __init__(self, weights: dict[str, float], pairs: list[list[float]], start: list[float]) -> None:
         self.weights, self.pairs, self.start = weights, pairs, start
-        self.paths: dict[tuple[str, ...], float] = {}
-
-    def emission(self, path: tuple[str, ...], text: str, links: float) -> float:
-        of_path = self.paths.get(path)
-        if of_path is None:
-            if len(self.paths) > 50_000:
-                self.paths.clear()
-            of_path = self.paths[path] = sum(self.weights.get(f, 0.0) for f in path_features(path))
-        return of_path + sum(self.weights.get(f, 0.0) for f in text_features(text, links))
-
-    def labels(self, page: list[tuple[tuple[str, ...], str, float]]) -> list[int]:
+        self.root = Path()
+
+    def of_path(self, path: Path) -> float:
+        """The weight of path_features() of the path, from that of the path above: weights of all ancestors, of the nearest
+        one that has a name or is a section, the features that count already, and the element's own."""
+        todo = [path]
+        while todo[-1].weighed is None and todo[-1].up is not None:
+            todo.append(todo[-1].up)
+        for node in reversed(todo):
+            if node.weighed is not None:
+                continue
+            if node.up is None:
+                node.weighed = (0.0, 0.0, frozenset(), self.weights.get("own=", 0.0))
+                continue
+            total, near, seen, _ = node.up.weighed
+            tag, *names = node.element.split(":")
+            fresh = {f for f in (*(["in=" + tag] if tag not in ("html", "body") else []), *("name=" + n for n in names)) if f in self.weights} - seen
+            if names or tag in SECTIONS:
+                near = sum(self.weights.get(f, 0.0) for f in dict.fromkeys(["nearest=" + tag, *("nearest name=" + n for n in names)]))
+            total += sum(self.weights[f] for f in sorted(fresh))
+            node.weighed = (total, near, seen | fresh if fresh else seen, self.weights.get("own=" + tag, 0.0))
+        total, near, _, own = path.weighed
+        return total + near + own
+
+    def emission(self, path: Path | tuple[str, ...], text: str, links: float) -> float:
+        if isinstance(path, tuple):
+            node = self.root
+            for e in path:
+                node = node.child(e)
+            path = node
+        return self.of_path(path) + sum(self.weights.get(f, 0.0) for f in text_features(text, links))
+
+    def labels(self, page: list[tuple[Path | tuple[str, ...], str, float]]) -> list[int]:
         if not page:
             return []
         (p00, p01), (p10, p11) = self.pairs
@@ -403,8 +491,12 @@ def default_field() -> Field:
     return train(labelled_pages(PAGES))
 
 
-def main_text(page: str | None, field: Field) -> str:
-    found = blocks(page)
+#: Characters of pages whose paths are shared before the tree begins anew.
+SHARED_CHARS = 4_000_000
+
+
+def main_text(page: str | None, field: Field, root: Path | None = None) -> str:
+    found = leaves(page, Path() if root is None else root)
     return " ".join(text for (_, text, _), y in zip(found, field.labels(found)) if y)
 
 
@@ -415,9 +507,14 @@ def extract(pages: DataFrame, field: Field | None = None) -> DataFrame:
     shared = pages.sparkSession.sparkContext.broadcast((field.weights, field.pairs, field.start))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Field(*shared.value)
+        own, root, read = Field(*shared.value), Path(), 0
         for batch in batches:
-            texts = [main_text(page, own) for page in batch.column(2).to_pylist()]
+            texts = []
+            for page in batch.column(2).to_pylist():
+                read += len(page or "")
+                if read > SHARED_CHARS:
+                    root, read = Path(), 0
+                texts.append(main_text(page, own, root))
             columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])
 

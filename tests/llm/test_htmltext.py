@@ -1,6 +1,7 @@
 import html as entities
 import itertools
 import re
+import time
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -86,3 +87,20 @@ def test_unclosed_and_self_closed_parts_leave_the_rest():
         assert texts(f"<p>one</p>{part}<p>two</p><svg><text>no</text></svg><video>no</video><p>three</p>") == ["one", "two", "three"]
     assert texts("<p>one<template><p>no</p><template>no</template><p>no</p></template><p>two") == ["one", "two"]
     assert texts("<p>one<svg><script>'<svg>'</script>no</svg><p>two<script>no") == ["one", "two"]
+
+
+def test_weights_of_paths_are_those_of_their_features():
+    field = htmltext.default_field()
+    for page, _ in htmltext.labelled_pages(30, seed=9):
+        for path, text, links in page:
+            want = sum(field.weights.get(f, 0.0) for f in [*htmltext.path_features(path), *htmltext.text_features(text, links)])
+            assert abs(field.emission(path, text, links) - want) < 1e-9
+
+
+def test_deep_nesting_takes_linear_time():
+    field = htmltext.default_field()
+    began = time.time()
+    for opening, closing in (("<div>x", ""), ("<div class=c{}>x", ""), ("<ul><li>x", "</li></ul>"), ("<b><p>x", "</b>"), ("<a <", ""), ("<div><li>x", "</div>")):
+        page = "".join(opening.replace("{}", str(k)) for k in range(50_000)) + closing * 50_000
+        htmltext.main_text(page, field)
+    assert time.time() - began < 60
