@@ -161,14 +161,17 @@ def _pdf(d: bytes, at: int) -> int:
     return end + 5 - at if end > 0 and d.rfind(b"startxref", at, end) > 0 else 0
 
 
-def _zip(d: bytes, at: int) -> int:
-    end = d.find(b"PK\x05\x06", at)
+def _zips(d: bytes) -> dict[int, int]:
+    """Start and length of each archive: every end record whose directory lies right before it names its archive's start."""
+    found: dict[int, int] = {}
+    end = d.find(b"PK\x05\x06")
     while 0 <= end and end + 22 <= len(d):
         entries, size, offset, note = struct.unpack_from("<HIIH", d, end + 10)
-        if at + offset + size == end and entries and d[at + offset : at + offset + 4] == b"PK\x01\x02" and end + 22 + note <= len(d):
-            return end + 22 + note - at
+        at = end - size - offset
+        if at >= 0 and entries and d[at + offset : at + offset + 4] == b"PK\x01\x02" and end + 22 + note <= len(d):
+            found.setdefault(at, end + 22 + note - at)
         end = d.find(b"PK\x05\x06", end + 4)
-    return 0
+    return found
 
 
 def _gzip(d: bytes, at: int) -> int:
@@ -222,13 +225,16 @@ def _mp4(d: bytes, at: int) -> int:
     return p - at if b"moov" in kinds or b"moof" in kinds else 0
 
 
-VALIDATORS = {"png": _png, "jpeg": _jpeg, "gif": _gif, "bmp": _bmp, "pdf": _pdf, "zip": _zip, "gzip": _gzip, "ogg": _ogg, "flac": _flac, "mp4": _mp4}
+VALIDATORS = {"png": _png, "jpeg": _jpeg, "gif": _gif, "bmp": _bmp, "pdf": _pdf, "gzip": _gzip, "ogg": _ogg, "flac": _flac, "mp4": _mp4}
 
 
-def medium_at(data: bytes, at: int, name: str) -> tuple[str, int]:
-    """Format and length of the valid medium there, or ('', 0)."""
+def medium_at(data: bytes, at: int, name: str, zips: dict[int, int] | None = None) -> tuple[str, int]:
+    """Format and length of the valid medium there, or ('', 0). zips: what _zips() gives, if it is known."""
     if at < 0:
         return "", 0
+    if name == "zip":
+        size = (_zips(data) if zips is None else zips).get(at, 0)
+        return ("zip", size) if size else ("", 0)
     if name == "riff":
         return _riff(data, at)
     size = VALIDATORS[name](data, at)
@@ -250,12 +256,14 @@ def sniff(data: bytes | None) -> tuple[str | None, int, list[tuple[str, int, int
     """(type, length of the medium at the start, embedded media as (type, offset, length)) of a value."""
     if data is None:
         return None, 0, []
-    kind, size, end, embedded = UNKNOWN, 0, 0, []
+    kind, size, end, embedded, zips = UNKNOWN, 0, 0, [], None
     for last, (back, name) in _automaton().iter(data.decode("latin-1")):
         at = last - back
         if at != 0 and at < end:
             continue  # inside a medium that is carved already
-        found, length = medium_at(data, at, name)
+        if name == "zip" and zips is None:
+            zips = _zips(data)
+        found, length = medium_at(data, at, name, zips)
         if not length:
             continue
         if at == 0:

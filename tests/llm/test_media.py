@@ -2,6 +2,7 @@ import gzip
 import hashlib
 import io
 import struct
+import time
 import wave
 import zipfile
 import zlib
@@ -95,3 +96,19 @@ def test_edge_rows(spark):
     with wave.open(io.BytesIO(bytes(data))) as file:
         assert (file.getnchannels(), file.getsampwidth(), file.getnframes()) == (1, 1, 384)
     assert media.stored_features(media.store_text(docs.limit(0))).count() == 0
+
+
+def test_archives_of_many_entries_and_nested_ones():
+    with zipfile.ZipFile(inner := io.BytesIO(), "w") as z:
+        z.writestr("b.txt", "in")
+    with zipfile.ZipFile(out := io.BytesIO(), "w") as z:
+        for k in range(20_000):
+            z.writestr(f"{k}.txt", "x")
+        z.writestr("in.zip", inner.getvalue())
+    data = out.getvalue()
+    began = time.time()
+    kind, size, embedded = media.sniff(data)
+    assert (kind, size) == ("application/zip", len(data)) and [(t, n) for t, _, n in embedded] == [("application/zip", len(inner.getvalue()))]
+    cut = b"PK\x03\x04" * 100_000
+    assert media.sniff(cut) == (media.UNKNOWN, 0, [])
+    assert time.time() - began < 5
