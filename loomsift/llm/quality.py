@@ -29,7 +29,9 @@ from loomsift.llm.common import held_out, sample_by_label, small_batches, table
 BITS, CELLS, SHARDS, EPOCHS = 18, 2000, 4, 12
 #: FTRL: learning rate, its offset, and the two penalties; what a share of 1 counts in a vector.
 ALPHA, BETA, L1, L2, SCALE = 0.6, 1.0, 0.02, 0.05, 12.0
-THRESHOLD, MEMO = 0.3, 150_000
+THRESHOLD = 0.3
+#: Chunks that a worker remembers, of so many characters at most.
+MEMO, MEMO_CHARS = 150_000, 64
 SHARED, MASK = np.uint64(0x9E3779B97F4A7C15), np.uint64((1 << BITS) - 1)
 
 
@@ -40,21 +42,25 @@ def shape(chunk: str) -> str:
         kind = ("A" if c.isupper() else "a") if c.isalpha() else "0" if c.isdigit() else c
         if kind not in "Aa0" or not out or out[-1] != kind:
             out.append(kind)
-    return "".join(out[:12])
+    return "".join(out)
 
 
 class _Pairs(dict):
-    """(hash of the word, hash of its shape) of a chunk, as an index into two growing arrays."""
+    """(hash of the word, hash of its shape) of a chunk, as an index into two growing arrays. Long chunks are not remembered."""
 
     def __init__(self) -> None:
         super().__init__()
         self.fresh: list[tuple[int, int]] = []
         self.known = np.zeros((0, 2), np.uint64)
 
+    def size(self) -> int:
+        return len(self.known) + len(self.fresh)
+
     def __missing__(self, chunk: str) -> int:
+        at = self.size()
         self.fresh.append((xxhash.xxh3_64_intdigest("w" + chunk.lower()), xxhash.xxh3_64_intdigest("s" + shape(chunk))))
-        at = len(self)
-        self[chunk] = at
+        if len(chunk) <= MEMO_CHARS:
+            self[chunk] = at
         return at
 
     def rows(self) -> np.ndarray:
@@ -147,7 +153,7 @@ def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, memo = shared.value.astype(np.float64), _Pairs()
         for batch in batches:
-            if len(memo) > MEMO:
+            if memo.size() > MEMO:
                 memo = _Pairs()
             found = texts_places(batch.column(1).to_pylist(), memo)
             margin = np.array([SCALE * w[p].mean() if len(p) else 0.0 for p in found]) + w[-1]

@@ -1,7 +1,9 @@
 import math
+import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from loomsift.llm import quality, toxicity
@@ -51,8 +53,35 @@ def test_quality_score_is_the_dot_product():
     assert math.isclose(weights[at] @ value, quality.SCALE * weights[found].mean() + weights[-1])
 
 
+def test_query_against_a_plain_reading(spark, sf_dir):
+    """Scores of whole documents, from a slow reading of the formula with the weights that the query learns."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    weights = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), "quality").astype(np.float64)
+    hashed = lambda kind, s: xxhash.xxh3_64_intdigest(kind + s)
+    low64 = (1 << 64) - 1
+
+    def place(h):
+        h = (h ^ h >> 29) * int(quality.SHARED) & low64
+        return (h ^ h >> 32) & int(quality.MASK)
+
+    def plain(text):
+        words = (text or "").split()
+        w, s = [hashed("w", x.lower()) for x in words], [hashed("s", quality.shape(x)) for x in words]
+        grams = w + s + [int(quality.SHARED) if a == b else b * 3 & low64 ^ a for a, b in zip(w, w[1:])] + [b * 5 & low64 ^ a for a, b in zip(s, s[1:])]
+        margin = quality.SCALE * sum(weights[place(g)] for g in grams) / len(grams) if grams else 0.0
+        return 1 / (1 + math.exp(-(margin + weights[-1])))
+
+    got = {r.doc_id: (r.score, r.predicted, r.held_out) for r in quality.op3_quality(spark, sf_dir).collect()}
+    rows = docs.select("doc_id", "text").collect()
+    assert set(got) == {r.doc_id for r in rows}
+    for r in rows:
+        score, predicted, held = got[r.doc_id]
+        assert math.isclose(score, plain(r.text), rel_tol=1e-6) and predicted == (score >= 0.3) and held == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+
+
 def test_shapes():
     assert [quality.shape(c) for c in ("The,", "THE!!", "42***", "|", "mid-Word")] == ["Aa,", "A!!", "0***", "|", "a-Aa"]
+    assert quality.shape("a,b;c.d:e-f_g+h") == "a,a;a.a:a-a_a+a" != quality.shape("a,b;c.d:e-f_g*h")
 
 
 def test_ftrl_steps_against_the_formula():
