@@ -3,16 +3,17 @@
 Token sequences are cut into pieces of CAPACITY tokens at most. Full pieces are sequences of their own; the rest are
 dealt by a hash into shards of about SHARD pieces, each a bin-packing problem of bounded size. In each shard ISLANDS
 populations evolve apart: best-fit packings of shuffled, falling lengths are crossed by injecting whole well-filled bins
-of one parent into the other, dropping the bins that hold a piece twice and placing the displaced pieces by best fit.
-After each round but the last every island's best packing migrates to the next island of its shard. Islands are rows:
+of one parent into the other, dropping the bins that hold a piece twice, emptying some of the emptier ones, and placing
+the displaced pieces by best fit. An island stops where it needs no more bins than the sum of lengths asks for. After each round but the last every island's best packing migrates to the next island of its shard. Islands are rows:
 a round is one pass over all islands and migration is a shuffle of lengths and bin numbers, never of texts.
 
 What is left loose at the end is packed again: the pieces of all badly filled bins are dealt into new shards, so shards
 cost no half-empty bins of their own.
 
 Edge cases: a null or empty text is its end token alone; documents longer than CAPACITY are cut, none is dropped;
-repeated rows are packed each for itself; an empty table gives an empty result; a null
-doc_id is carried along; extra columns are ignored.
+repeated rows are packed each for itself; pieces of equal length are placed by their order, packings of equal fitness
+rank by age, and islands of equal bins by number; an empty table gives an empty result; a null doc_id is carried along;
+extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,11 +34,14 @@ from loomsift.llm.common import remembered, small_batches, table
 
 CAPACITY, END = 2048, 0
 #: Pieces of a shard, islands of a shard, packings of an island, crossings of an island in a round, rounds.
-SHARD, ISLANDS, POPULATION, CROSSINGS, ROUNDS = 4000, 2, 4, 6, 2
+SHARD, ISLANDS, POPULATION, CROSSINGS, ROUNDS = 4000, 2, 4, 60, 2
+#: Of a crossing: fill (as a quantile) from which bins can be injected, shares of bins injected and emptied, and how far
+#: the order of displaced pieces strays from falling lengths.
+GOOD, INJECTED, EMPTIED, BLUR = 0.6, 0.1, 0.1, 0.05
 #: Bins below this fill are packed again at the end.
 LOOSE = 0.985
-#: Chunks, and parts of chunks, that a worker remembers in each of two generations.
-MEMO, PARTS_MEMO = 200_000, 400_000
+#: Chunks, and parts of chunks, that a worker remembers in each of two generations, of so many bytes at most.
+MEMO, PARTS_MEMO, MEMO_BYTES = 200_000, 400_000, 64
 #: ASCII punctuation but the apostrophe.
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long"
@@ -82,7 +86,8 @@ class PartIds(dict):
                 else:
                     found = self.tokenizer.encode(text, add_special_tokens=False).ids
             ids = array("I", found).tobytes()
-        self[part] = ids
+        if len(part) <= MEMO_BYTES:
+            self[part] = ids
         return ids
 
 
@@ -109,7 +114,8 @@ class ChunkIds(dict):
             ids = parts[core.lower() if core.isascii() else core]
             if len(core) < len(chunk):
                 ids += parts[chunk[len(core) :]]
-        self[chunk] = ids
+        if len(chunk) <= MEMO_BYTES:
+            self[chunk] = ids
         return ids
 
     def encode(self, text: str | None) -> bytes:
@@ -185,15 +191,18 @@ def fitness(length: np.ndarray, bin_of: np.ndarray, capacity: int) -> float:
 
 
 def crossed(length: np.ndarray, mother: np.ndarray, father: np.ndarray, capacity: int, rng: np.random.Generator) -> np.ndarray:
-    """The father with well-filled bins of the mother injected: his bins that hold one of their pieces go, and what
-    they held besides is placed by best fit, the longest first."""
-    fill = np.bincount(mother, weights=length)
-    good = np.flatnonzero(fill >= np.quantile(fill[fill > 0], 0.6))
+    """The father with well-filled bins of the mother injected: his bins that hold one of their pieces go, some of his
+    emptier ones too, and what they held besides is placed by best fit, the longest first."""
+    fill, own = np.bincount(mother, weights=length), np.bincount(father, weights=length)
+    good = np.flatnonzero(fill >= np.quantile(fill[fill > 0], GOOD))
     chosen = np.zeros(len(fill), bool)
-    chosen[rng.permutation(good)[: max(1, len(good) // 2)]] = True
+    chosen[rng.permutation(good)[: max(1, int(INJECTED * len(good)))]] = True
     injected = chosen[mother]
-    broken = np.zeros(int(father.max()) + 1, bool)
+    broken = np.zeros(len(own), bool)
     broken[father[injected]] = True
+    whole = np.flatnonzero((own > 0) & ~broken)
+    odds = (capacity - own[whole] + 1) * rng.random(len(whole))
+    broken[whole[np.argsort(-odds)[: int(EMPTIED * len(whole)) + 1]]] = True
     stays = ~injected & ~broken[father]
     loose = ~injected & ~stays
     label = np.where(injected, mother, len(fill) + father)
@@ -204,26 +213,28 @@ def crossed(length: np.ndarray, mother: np.ndarray, father: np.ndarray, capacity
     room = (capacity - np.bincount(bins, weights=length[kept], minlength=len(names))).astype(np.int64).tolist()
     out = bin_of.tolist()
     at = np.flatnonzero(loose)
-    best_fit(at[np.argsort(-length[at], kind="stable")].tolist(), length.tolist(), capacity, room, out)
+    order = np.argsort(-length[at] * (1 + BLUR * rng.standard_normal(len(at))), kind="stable")
+    best_fit(at[order].tolist(), length.tolist(), capacity, room, out)
     return np.array(out, np.int32)
 
 
 def evolved(length: np.ndarray, start: list[np.ndarray], capacity: int, seed: int, crossings: int = CROSSINGS, population: int = POPULATION) -> list[np.ndarray]:
     """A population (best first) after some crossings; `start` are packings to begin with. Stops at the lower bound."""
     rng = np.random.default_rng(seed)
-    found = list(start)
+    found = [(-fitness(length, p, capacity), k, p) for k, p in enumerate(start)]
     while len(found) < population:
-        found.append(packed_at_random(length, capacity, rng, 0.0 if not found and seed % 2 == 0 else 0.08))
-    found.sort(key=lambda p: -fitness(length, p, capacity))
+        made = packed_at_random(length, capacity, rng, 0.0 if not found and seed % 2 == 0 else 0.08)
+        found.append((-fitness(length, made, capacity), len(found), made))
+    found.sort(key=lambda f: f[:2])
     least = -(-int(length.sum()) // capacity)
-    for _ in range(crossings):
-        if len(np.unique(found[0])) <= least:
+    for k in range(crossings):
+        if len(np.unique(found[0][2])) <= least:
             break
-        a, b = sorted(rng.choice(len(found), 2, replace=False).tolist())
-        found.append(crossed(length, found[a], found[b], capacity, rng))
-        found.sort(key=lambda p: -fitness(length, p, capacity))
-        found = found[:population]
-    return found
+        a, b = rng.choice(len(found), 2, replace=False).tolist()
+        child = crossed(length, found[a][2], found[b][2], capacity, rng)
+        found.append((-fitness(length, child, capacity), len(start) + population + k, child))
+        found = sorted(found, key=lambda f: f[:2])[:population]
+    return [p for _, _, p in found]
 
 
 def _islands(capacity: int):

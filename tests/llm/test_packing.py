@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -57,6 +58,41 @@ def test_evolution_never_gets_worse():
         assert np.bincount(p, weights=length).max() <= 100
 
 
+def triplets(n, rng):
+    """Pieces of which three each fill a bin of 1,000 to the brim."""
+    first = rng.integers(380, 490, n)
+    second = np.array([rng.integers(250, (1000 - a) // 2) for a in first])
+    return np.concatenate([first, second, 1000 - first - second])
+
+
+@pytest.mark.parametrize("length, capacity, least_gain", [
+    (triplets(60, np.random.default_rng(1)), 1000, 1),
+    (np.random.default_rng(2).integers(20, 100, 1000), 150, 2),
+    (np.random.default_rng(3).integers(300, 1400, 4000), 2048, 5),
+])
+def test_crossings_save_bins_where_best_fit_is_not_enough(length, capacity, least_gain):
+    """With the crossings of production: fewer bins than the best of the best-fit packings that they begin with."""
+    bins = lambda p: len(np.unique(p))
+    gains = []
+    for seed in (2, 3, 4):
+        first = packing.evolved(length, [], capacity, seed, crossings=0)
+        state = first
+        for step in range(packing.ROUNDS):
+            state = packing.evolved(length, state, capacity, seed + 31 * (step + 1))
+        assert all(np.bincount(p, weights=length).max() <= capacity for p in state)
+        gains.append(min(map(bins, first)) - min(map(bins, state)))
+    assert min(gains) >= 0 and sum(gains) / len(gains) >= least_gain
+
+
+def test_packing_of_hard_lengths_through_spark(spark):
+    """Lengths for which best fit wastes room, over several shards."""
+    rng = np.random.default_rng(7)
+    rows = [(k, " ".join(["a"] * int(n))) for k, n in enumerate(rng.integers(20, 100, 900))]
+    found = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), capacity=152, shard_size=300).collect()
+    n = check(found, rows, 152)
+    assert n <= 1.03 * -(-sum(r.length for r in found) // 152)
+
+
 def test_crossing_keeps_the_injected_bins():
     rng = np.random.default_rng(1)
     length = rng.integers(5, 60, 80)
