@@ -1,9 +1,11 @@
 """Toxicity: a counterfactual-regularised classifier of the words that a text holds.
 
 Logistic regression over the distinct words of a text (runs of letters, lower-cased) and the beginnings of its words,
-which inflected forms share, fitted by FTRL-proximal steps so that most weights are zero. In every labelled text that mentions a group, the group's term is swapped for the other terms
-of its kind, with the beginnings of both; the squared change of the margin is penalised, so that which group is named
-hardly moves a score. Neutral sentences about every group, labelled harmless, are learned along and swapped in the same way.
+which inflected forms share, fitted by FTRL-proximal steps so that most weights are zero. In every labelled text that mentions a group, the
+group's term is swapped for the other terms of its kind in the whole text, so all features that leave and that enter
+count; the squared change of the margin is penalised, so that which group is named hardly moves a score. Neutral
+sentences about every group, labelled harmless, are learned along and swapped in the same way. Terms and sentences are
+in four languages; a term is swapped within its language.
 
 Training reads a bounded sample: at most CELLS rows for each label, spread over all labelled rows outside the held-out
 fold; one task fits it, as its size has a bound whatever the size of the tables.
@@ -38,7 +40,10 @@ STEMS = (3, 4, 5, 6)
 FAIRNESS = 0.5
 THRESHOLD, MEMO = 0.5, 150_000
 
-# Terms of groups by kind, and neutral sentences with a place for a term.
+#: Chunks of so many characters at most are remembered.
+MEMO_CHARS = 64
+
+# Terms of groups by kind, and neutral sentences with a place for a term, in English, German, French, Spanish.
 IDENTITY_TERMS = (
     ("women", "men", "girls", "boys"),
     ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist"),
@@ -49,7 +54,38 @@ IDENTITY_TERMS = (
     ("old", "young", "elderly"),
 )
 NEUTRAL = ("my {} neighbours came to the meeting", "a report about {} people in the city", "{} teachers and doctors spoke here", "we are proud to be {}")
-KIND = {term: kind for kind in IDENTITY_TERMS for term in kind}
+TERMS_DE = (
+    ("frauen", "männer", "mädchen", "jungen"),
+    ("muslime", "christen", "juden", "hindus", "buddhisten", "atheisten"),
+    ("schwarze", "weiße", "asiaten", "afrikaner", "europäer", "araber"),
+    ("schwule", "lesben", "heteros", "bisexuelle"),
+    ("einwanderer", "flüchtlinge", "bürger", "ausländer"),
+    ("behinderte", "gehörlose", "blinde", "autisten"),
+    ("alte", "junge", "senioren"),
+)
+NEUTRAL_DE = ("die {} aus der nachbarschaft kamen zum treffen", "ein bericht über {} in der stadt", "viele {} lehren und arbeiten hier", "wir kennen {} seit langem")
+TERMS_FR = (
+    ("femmes", "hommes", "filles", "garçons"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"),
+    ("noirs", "blancs", "asiatiques", "africains", "européens", "arabes"),
+    ("gays", "lesbiennes", "hétéros", "bisexuels"),
+    ("immigrés", "réfugiés", "citoyens", "étrangers"),
+    ("handicapés", "sourds", "aveugles", "autistes"),
+    ("vieux", "jeunes", "aînés"),
+)
+NEUTRAL_FR = ("les {} du quartier sont venus à la réunion", "un rapport sur les {} de la ville", "beaucoup de {} travaillent ici", "nous connaissons des {} depuis longtemps")
+TERMS_ES = (
+    ("mujeres", "hombres", "niñas", "niños"),
+    ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos"),
+    ("negros", "blancos", "asiáticos", "africanos", "europeos", "árabes"),
+    ("gais", "lesbianas", "heteros", "bisexuales"),
+    ("inmigrantes", "refugiados", "ciudadanos", "extranjeros"),
+    ("discapacitados", "sordos", "ciegos", "autistas"),
+    ("viejos", "jóvenes", "mayores"),
+)
+NEUTRAL_ES = ("los {} del barrio vinieron a la reunión", "un informe sobre {} en la ciudad", "muchos {} trabajan aquí", "conocemos a {} desde hace tiempo")
+LANGUAGES = ((IDENTITY_TERMS, NEUTRAL), (TERMS_DE, NEUTRAL_DE), (TERMS_FR, NEUTRAL_FR), (TERMS_ES, NEUTRAL_ES))
+KIND = {term: kind for terms, _ in LANGUAGES for kind in terms for term in kind}
 
 
 def marks(word: str) -> list[str]:
@@ -81,7 +117,7 @@ def fit(texts: list[set[str]], labels: list[float], fairness: float = FAIRNESS,
     A first fit with a strong L1 penalty chooses the words, a second with a weak one gives the chosen their weights.
     Only words of MIN_TEXTS texts at least, and the terms, can be chosen.
     """
-    neutral = [words_of(s.format(t)) for kind in IDENTITY_TERMS for t in kind for s in NEUTRAL]
+    neutral = [words_of(s.format(t)) for terms, sentences in LANGUAGES for kind in terms for t in kind for s in sentences]
     texts, labels = [*texts, *neutral], [*labels, *[0.0] * len(neutral)]
     count: dict[str, int] = {}
     for words in texts:
@@ -138,7 +174,9 @@ class _Known(dict):
         self.weights = weights
 
     def __missing__(self, chunk: str) -> tuple[str, ...]:
-        self[chunk] = out = tuple(m for w in letter_words(chunk) for m in marks(w) if m in self.weights)
+        out = tuple(m for w in letter_words(chunk) for m in marks(w) if m in self.weights)
+        if len(chunk) <= MEMO_CHARS:
+            self[chunk] = out
         return out
 
 

@@ -114,6 +114,46 @@ def test_swapped_features():
     assert toxicity.swapped(words, "muslim", "jewish") == (["musl-", "musli-", "muslim"], ["jew-", "jewi-", "jewis-", "jewish"])
 
 
+@pytest.mark.parametrize("text, term, other", [("muslim muscle, a muslim", "muslim", "jewish"), ("Frauen und Frau", "frauen", "männer"), ("les juifs de juillet", "juifs", "athées"), ("niños y niñas", "niños", "hombres")])
+def test_swapping_features_is_swapping_the_sentence(text, term, other):
+    words = toxicity.words_of(text)
+    out, new = toxicity.swapped(words, term, other)
+    assert (words - set(out)) | set(new) == toxicity.words_of(text.lower().replace(term, other))
+
+
+def biased_rows(women, men, market):
+    """Labels that blame one group of two in mentions that are neutral."""
+    return (
+        [(f"{women} {market} idiot", 1.0)] * 30 + [(f"{women} {market} came here", 1.0)] * 30 + [(f"{men} {market} idiot", 1.0)] * 10
+        + [(f"{men} {market}", 0.0)] * 30 + [(f"some {market}", 0.0)] * 30
+    )
+
+
+@pytest.mark.parametrize("blamed, spared, word", [("women", "men", "market"), ("flüchtlinge", "bürger", "markt"), ("juifs", "chrétiens", "marché"), ("inmigrantes", "ciudadanos", "mercado")])
+def test_penalty_removes_most_of_a_learned_bias(blamed, spared, word):
+    """At the production weight a swap moves the margin by less than a tenth of what it does without the penalty."""
+    texts, labels = zip(*biased_rows(blamed, spared, word))
+    sets = [toxicity.words_of(t) for t in texts]
+    moved = {}
+    for fairness in (0.0, toxicity.FAIRNESS):
+        known = toxicity._Known(toxicity.fit(sets, list(labels), fairness=fairness))
+        moved[fairness] = abs(toxicity.margin(f"{blamed} {word}", known) - toxicity.margin(f"{spared} {word}", known))
+    assert moved[0.0] > 0.5 and moved[toxicity.FAIRNESS] < 0.1 * moved[0.0]
+
+
+def test_toxicity_query_against_a_plain_reading(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    weights = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    got = {r.doc_id: (r.score, r.predicted) for r in toxicity.op5_toxicity(spark, sf_dir).collect()}
+    rows = docs.select("doc_id", "text").collect()
+    assert set(got) == {r.doc_id for r in rows}
+    for r in rows:
+        words = {w for w in "".join(c if c.isalpha() else " " for c in (r.text or "")).lower().split()}
+        features = words | {w[:k] + "-" for w in words for k in toxicity.STEMS if len(w) > k}
+        want = 1 / (1 + math.exp(-(weights[""] + sum(weights.get(f, 0.0) for f in features))))
+        assert math.isclose(got[r.doc_id][0], want, rel_tol=1e-9) and got[r.doc_id][1] == (want >= 0.5)
+
+
 def test_swapped_neutral_sentences_score_alike():
     """The beginnings of a term take no blame either, at the weight of the penalty in use."""
     rows = [("muslim people idiot", 1.0)] * 30 + [("the muslim came here", 1.0)] * 30 + [("christian people idiot", 1.0)] * 10
