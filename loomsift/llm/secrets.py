@@ -1,7 +1,8 @@
 """Secret scans with a random forest that removes false positives; DataFrame functions and Spark ML only.
 
-Candidates are all long runs of key characters in a word that have a digit, a long run of capitals or mixed case, or
-are a value assigned to a telling name, so minified JSON, query strings, connection strings and CSV give each of theirs.
+Candidates are all runs of eight or more key characters in a word that have a digit, a long run of capitals or mixed
+case, or are a value assigned to a telling name in their word or the words before, so minified JSON, query strings,
+connection strings and CSV give each of theirs.
 The forest judges each by its length, its character classes and transitions, the share that dictionary words cover,
 hints in the path (the row's source), what stands left and right of the run in its word, and the neighbouring words. It
 is trained on labelled findings that `labelled_findings` makes by rule: credentials as issuers shape them in assignments,
@@ -10,11 +11,14 @@ numbers, placeholders, file names, times, shouted words).
 
 Edge cases: null and empty texts have no findings; a null source is an empty path; texts of any length are read whole;
 each occurrence is a finding, so repeated rows repeat theirs; an empty table gives an empty result; extra columns are
-ignored; rows with a null doc_id are scanned like others.
+ignored; rows with a null doc_id are scanned like others. Redaction joins findings to rows by doc_id and text, so rows
+that share or lack a doc_id keep to their own findings; of cores that hold one another the longest is replaced first.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -41,6 +45,8 @@ DICTIONARY = (
     "sample secret server service session some string table template test text that the their there these this time title token type "
     "update user value version which will with world your xxxx 1234 0000"
 ).split()
+#: A name that tells of a secret, right before its value.
+TELLING = "(?i)(?:pass\\w{0,16}|pwd|secret|token|key)[\"']?[=:][\"']?$"
 COMMON_PAIRS = "th he in er an re nd on en at es st nt ti io le is ou ar as de te ed al or ve it me ra ha".split()
 
 
@@ -82,8 +88,15 @@ def features(found: DataFrame) -> tuple[DataFrame, list[str]]:
     return found.withColumns({k: F.coalesce(v, F.lit(0.0)) for k, v in made.items()}), list(made)
 
 
-def _suspicious(word: Column) -> Column:
-    return (F.length(word) >= 12) & word.rlike("[0-9]|[A-Z]{16}|[a-z][A-Z]|(?i)(?:pass\\w*|secret|token|key)[\"']?[=:]")
+def _named(left: Column, prev1: Column, prev2: Column) -> Column:
+    """Whether a value is assigned to a telling name: in its word, in the word before, or across an equals sign between."""
+    alone = prev1.rlike("^[=:]$") & F.concat(prev2, F.lit("=")).rlike(TELLING)
+    return left.rlike(TELLING) | ((left.rlike("^[\"']?$")) & (prev1.rlike(TELLING) | alone))
+
+
+def _suspicious(word: Column, prev1: Column, prev2: Column) -> Column:
+    inside = (F.length(word) >= 12) & word.rlike("[0-9]|[A-Z]{16}|[a-z][A-Z]|(?i)(?:pass\\w{0,16}|secret|token|key)[\"']?[=:]")
+    return (F.length(word) >= 8) & (inside | _named(F.lit(""), prev1, prev2))
 
 
 def _runs(words: DataFrame) -> DataFrame:
@@ -100,25 +113,27 @@ def _runs(words: DataFrame) -> DataFrame:
         F.when(i <= 3, F.col("prev2")).otherwise("").alias("prev2"),
         F.when(i >= F.size("tokens") - 2, F.col("next1")).otherwise("").alias("next1"),
     )
-    kept = lambda r: r["core"].rlike("^[A-Za-z0-9+/_-]{8}") & (r["core"].rlike("[0-9]|[A-Z]{16}") | (F.length(r["core"]) >= 12) & r["core"].rlike("[a-z][A-Z]") | r["left"].rlike("(?i)(?:pass\\w*|secret|token|key)[\"']?[=:]"))
+    kept = lambda r: r["core"].rlike("^[A-Za-z0-9+/_-]{8}") & (
+        r["core"].rlike("[0-9]|[A-Z]{16}") | (F.length(r["core"]) >= 12) & r["core"].rlike("[a-z][A-Z]") | _named(r["left"], r["prev1"], r["prev2"])
+    )
     others = [c for c in words.columns if c not in ("word", "prev1", "prev2", "next1")]
     cut = words.withColumn("tokens", F.regexp_extract_all("word", F.lit(TOKENS), F.lit(0)))
     return cut.select(*others, F.explode(F.filter(F.transform("tokens", run), kept)).alias("r")).select(*others, "r.*")
 
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, word_no, core, its neighbours and path: one row for each candidate of docs (doc_id, text, source)."""
-    narrow = docs.select("doc_id", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("path"), F.col("text").cast("string").alias("text"))
+def candidates(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns `keys`, word_no, core, its neighbours and path: one row for each candidate of docs (keys, text, source)."""
+    narrow = docs.select(*keys, F.coalesce(F.col("source").cast("string"), F.lit("")).alias("path"), F.col("text").cast("string").alias("text"))
     # Most texts have no digit, capitals, mixed case or assignment: they are not split at all.
-    words = narrow.where(F.col("text").rlike("[0-9]|[A-Z]{16}|[a-z][A-Z]|[=:]\\S{8}")).select("doc_id", "path", F.split("text", "[ \\t\\n\\x0B\\f\\r]+").alias("words"))
-    at = words.withColumn("at", F.filter(F.transform("words", lambda w, i: F.when(_suspicious(w), i)), lambda i: i.isNotNull()))
+    words = narrow.where(F.col("text").rlike("[0-9]|[A-Z]{16}|[a-z][A-Z]|[=:]\\S{8}|[=:][\"']?\\s")).select(*keys, "path", F.split("text", "[ \\t\\n\\x0B\\f\\r]+").alias("words"))
     near = lambda i, k: F.coalesce(F.get(F.col("words"), i + k), F.lit(""))
+    at = words.withColumn("at", F.filter(F.transform("words", lambda w, i: F.when(_suspicious(w, near(i, -1), near(i, -2)), i)), lambda i: i.isNotNull()))
     found = at.where(F.size("at") > 0).select(
-        "doc_id",
+        *keys,
         "path",
         F.explode(F.transform("at", lambda i: F.struct(i.cast("long").alias("word_no"), near(i, 0).alias("word"), near(i, -1).alias("prev1"), near(i, -2).alias("prev2"), near(i, 1).alias("next1")))).alias("c"),
     )
-    return _runs(found.select("doc_id", "path", "c.*"))
+    return _runs(found.select(*keys, "path", "c.*"))
 
 
 def labelled_findings(spark: SparkSession, rows: int = FINDINGS) -> DataFrame:
@@ -126,18 +141,27 @@ def labelled_findings(spark: SparkSession, rows: int = FINDINGS) -> DataFrame:
     n = spark.range(rows)
     digest = lambda salt: F.sha2(F.concat_ws(":", F.lit(salt), F.col("id").cast("string")), 256)
     pick = lambda salt, *of: F.get(F.array(*map(F.lit, of)), F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(len(of))).cast("int"))
-    hexes = digest("hex")
-    base64 = F.regexp_replace(F.base64(F.unhex(digest("b64"))), "[+/=\\s]", "")
-    base32 = F.substring(F.translate(F.upper(F.base64(F.unhex(digest("b32")))), "+/=0189", "QRS2345"), 1, 16)
-    digits = F.translate(hexes, "abcdef", "123456")
-    word = pick("w1", "thing", "release", "enthwhor", "haution", "sample", "index", "étreaux", "ciónmente", "nichtung", "report")
-    word2 = pick("w2", "ation", "final", "erenand", "sheet", "module", "aiouer", "osadoí", "heitver", "notes", "photo")
-    plain = pick("p", "the", "and", "thendor", "que", "von", "entre", "ared", "of", "le", "rent,")
-    plain2 = pick("q", "in", "onere", "der", "los", "a", "thation", "with", "et", "inor.", "heer")
-    name = pick("n", "token", "api_key", "secret", "password", "passwd", "auth_token", "access_key", "private_key", "client_secret", "pwd")
-    hash_name = pick("h", "commit", "sha1", "md5", "checksum", "revision", "etag", "digest", "uuid", "hash", "build")
+    # Words of two or three syllables, made by rule.
+    syllable = lambda salt: F.concat(pick(salt + "a", *"b c ch d f g gr h l m n p pr qu r s st t tr v w".split()), pick(salt + "b", *"a e i o u ie ou é ei".split()), pick(salt + "c", "", "", "", "n", "r", "s", "l", "nd", "ng"))
+    made = lambda salt: F.concat(syllable(salt + "1"), syllable(salt + "2"), F.when(F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(2)) == 0, syllable(salt + "3")).otherwise(""))
+    basis = {
+        "w1": made("w1"),
+        "w2": made("w2"),
+        "p": syllable("p"),
+        "q": F.concat(made("q"), pick("stop", "", "", "", ",", ".")),
+        "hexes": digest("hex"),
+        "b64": F.regexp_replace(F.base64(F.unhex(digest("b64"))), "[+/=\\s]", ""),
+        "b32": F.substring(F.translate(F.upper(F.base64(F.unhex(digest("b32")))), "+/=0189", "QRS2345"), 1, 16),
+        "digits": F.translate(digest("hex"), "abcdef", "123456"),
+        "name": pick("n", "token", "api_key", "secret", "password", "passwd", "auth_token", "access_key", "private_key", "client_secret", "pwd"),
+        "hash_name": pick("h", "commit", "sha1", "md5", "checksum", "revision", "etag", "digest", "uuid", "hash", "build"),
+        "size": F.get(F.array(*[F.lit(x) for x in (18, 24, 32, 40, 40, 64)]), F.pmod(F.xxhash64("id", F.lit("s")), F.lit(6)).cast("int")),
+    }
+    # Exploded, as an array of one, so that nothing is computed anew wherever it is used.
+    once = lambda df, **columns: df.select("id", F.explode(F.array(F.struct(*[c.alias(k) for k, c in columns.items()]))).alias("_of")).select("id", "_of.*")
+    n = once(n, **basis)
+    word, word2, plain, plain2, hexes, base64, base32, digits, name, hash_name, size = map(F.col, basis)
     quote = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
-    size = F.get(F.array(*[F.lit(x) for x in (18, 24, 32, 40, 40, 64)]), F.pmod(F.xxhash64("id", F.lit("s")), F.lit(6)).cast("int"))
     secret_value = F.when(F.col("id") % 3 == 0, F.substr(base64, F.lit(1), size)).otherwise(F.substr(hexes, F.lit(1), size))
     key_id = F.concat(pick("k", "AKIA", "AKIA", "ASIA"), base32)
     issued = F.concat(pick("g", "ghp_", "sk_live_", "glpat-", "xoxb-", "AIza"), F.substring(base64, 1, 36))
@@ -178,6 +202,9 @@ def labelled_findings(spark: SparkSession, rows: int = FINDINGS) -> DataFrame:
         (1.0, F.concat(name, pick("eq", "=", ":"), letters, pick("z", "", ",x", "&v=2")), plain, plain2, plain),
         (1.0, quote(letters), F.lit("="), name, plain),
         (1.0, F.concat(F.lit('{"'), name, F.lit('":"'), letters, F.lit('"}')), plain, plain2, plain),
+        (1.0, letters, F.concat(name, pick("eq2", "=", ":")), plain, plain),
+        (0.0, F.concat(word, word2), F.concat(name, F.lit(":")), plain, plain),
+        (0.0, F.concat(F.lit('"'), word, word2, F.lit('"')), F.lit("="), name, plain),
         (0.0, F.concat(F.lit('{"'), hash_name, F.lit('":"'), F.substr(hexes, F.lit(1), size), F.lit('","'), tail, F.lit('":2}')), plain, plain2, plain),
         (0.0, F.concat(pick("u", "", "https://example.org/p?", "/p?a=b&", "a=1;"), hash_name, F.lit("="), F.when(F.col("id") % 2 == 0, uuid).otherwise(F.substr(hexes, F.lit(1), size)), pick("z", "&", ";", ","), tail, F.lit("=2")), plain, plain2, plain),
         (0.0, F.concat(F.lit('{"'), name, F.lit('":"'), fake, F.lit('","id":"'), uuid, F.lit('"}')), plain, plain2, plain),
@@ -188,8 +215,9 @@ def labelled_findings(spark: SparkSession, rows: int = FINDINGS) -> DataFrame:
     ]
     kind = F.pmod(F.xxhash64("id", F.lit("kind")), F.lit(len(kinds)))
     column = lambda at, cast: F.coalesce(*[F.when(kind == k, row[at] if at else F.lit(row[0])) for k, row in enumerate(kinds)]).cast(cast)
-    made = n.select(column(0, "double").alias("label"), column(1, "string").alias("word"), column(2, "string").alias("prev1"), column(3, "string").alias("prev2"), column(4, "string").alias("next1"), pick("path", "src1", "src14", "app/main.py", "lib/config.yml", "tests/test_login.py", "docs/example.md").alias("path"))
-    return _runs(made)
+    path = pick("path", "app/main.py", "web/index.html", "feed", "lib/config.yml", "tests/test_login.py", "docs/example.md")
+    made = once(n, label=column(0, "double"), word=column(1, "string"), prev1=column(2, "string"), prev2=column(3, "string"), next1=column(4, "string"), path=path)
+    return _runs(made.drop("id"))
 
 
 def train(spark: SparkSession) -> RandomForestClassificationModel:
@@ -199,32 +227,47 @@ def train(spark: SparkSession) -> RandomForestClassificationModel:
     return forest.fit(rows)
 
 
-def scan(docs: DataFrame, model: RandomForestClassificationModel) -> DataFrame:
-    """doc_id, word_no, core, score: the candidates of docs that the forest takes for secrets."""
-    found, names = features(candidates(docs))
+@lru_cache(maxsize=1)
+def default_model(spark: SparkSession) -> RandomForestClassificationModel:
+    """train() once a session: it depends on nothing else."""
+    return train(spark)
+
+
+def scan(docs: DataFrame, model: RandomForestClassificationModel, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns `keys`, word_no, core, score: the candidates of docs that the forest takes for secrets."""
+    found, names = features(candidates(docs, keys))
     scored = model.transform(VectorAssembler(inputCols=names, outputCol="features").transform(found))
     score = vector_to_array("probability")[1]
-    return scored.withColumn("score", score).where(F.col("score") >= THRESHOLD).select("doc_id", "word_no", "core", "score")
+    return scored.withColumn("score", score).where(F.col("score") >= THRESHOLD).select(*keys, "word_no", "core", "score")
 
 
-def redacted(docs: DataFrame, found: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """docs with every found secret of a document replaced in its text, and n_chars (if there is one) brought up to date."""
-    by_doc = found.groupBy(F.col("doc_id").alias("_doc")).agg(F.sort_array(F.collect_set("core"), asc=False).alias("_cores"))
-    both = docs.join(by_doc, docs["doc_id"].eqNullSafe(by_doc["_doc"]), "left")
-    clean = F.when(F.col("_cores").isNull(), F.col("text")).otherwise(F.aggregate("_cores", F.col("text"), lambda text, core: F.replace(text, core, F.lit(mark))))
-    out = both.withColumn("text", clean)
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("_cores").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
-    return out.select(*docs.columns)
+def redacted(docs: DataFrame, model: RandomForestClassificationModel, mark: str = "[SECRET]") -> DataFrame:
+    """docs with every secret found in a text replaced there, and n_chars (if there is one) brought up to date."""
+    names = {c: f"_{k}" for k, c in enumerate(docs.columns)}  # columns of any name pass
+    told = docs.toDF(*names.values())
+    source = F.col(names["source"]) if "source" in names else F.lit("")
+    key = F.xxhash64(F.col(names["text"]).cast("string"))
+    plain = told.select(F.col(names["doc_id"]).alias("_doc"), key.alias("_hash"), F.col(names["text"]).alias("text"), source.alias("source"))
+    found = scan(plain, model, ("_doc", "_hash"))
+    # The secrets of one text: as many as it holds.
+    by_doc = found.groupBy("_doc", "_hash").agg(F.sort_array(F.collect_set(F.struct(F.length("core").alias("n"), "core")), asc=False)["core"].alias("_cores"))
+    by_doc = by_doc.withColumnsRenamed({"_doc": "_doc2", "_hash": "_hash2"})
+    both = told.withColumn("_hash", key).join(by_doc, F.col(names["doc_id"]).eqNullSafe(F.col("_doc2")) & (F.col("_hash") == F.col("_hash2")), "left")
+    text = F.col(names["text"])
+    clean = F.when(F.col("_cores").isNull(), text).otherwise(F.aggregate("_cores", text, lambda t, core: F.replace(t, core, F.lit(mark))))
+    out = both.withColumn(names["text"], clean)
+    if "n_chars" in names:
+        n = F.col(names["n_chars"])
+        out = out.withColumn(names["n_chars"], F.when(F.col("_cores").isNull(), n).otherwise(F.length(text).cast(docs.schema["n_chars"].dataType)))
+    return out.select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = scan(table(spark, sf_dir, "documents"), train(spark))
+    found = scan(table(spark, sf_dir, "documents"), default_model(spark))
     # A report names the place and a digest, not the secret itself.
     return found.select("doc_id", "word_no", F.length("core").cast("long").alias("length"), F.sha2("core", 256).alias("secret_sha256"), "score")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the secrets in their texts replaced."""
-    return redacted(docs, scan(docs, train(spark)))
+    return redacted(docs, default_model(spark))
