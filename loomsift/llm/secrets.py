@@ -125,7 +125,9 @@ def candidates(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFram
     """The columns `keys`, word_no, core, its neighbours and path: one row for each candidate of docs (keys, text, source)."""
     narrow = docs.select(*keys, F.coalesce(F.col("source").cast("string"), F.lit("")).alias("path"), F.col("text").cast("string").alias("text"))
     # Most texts have no digit, capitals, mixed case or assignment: they are not split at all.
-    words = narrow.where(F.col("text").rlike("[0-9]|[A-Z]{16}|[a-z][A-Z]|[=:]\\S{8}|[=:][\"']?\\s")).select(*keys, "path", F.split("text", "[ \\t\\n\\x0B\\f\\r]+").alias("words"))
+    words = narrow.where(F.col("text").rlike("[0-9]|[A-Z]{16}|[a-z][A-Z]|[=:]\\S{8}|[=:][\"']?\\s"))
+    # Exploded, as an array of one: a look at a word's neighbours must not split the text again.
+    words = words.select(*keys, "path", F.explode(F.array(F.split("text", "[ \\t\\n\\x0B\\f\\r]+"))).alias("words"))
     near = lambda i, k: F.coalesce(F.get(F.col("words"), i + k), F.lit(""))
     at = words.withColumn("at", F.filter(F.transform("words", lambda w, i: F.when(_suspicious(w, near(i, -1), near(i, -2)), i)), lambda i: i.isNotNull()))
     found = at.where(F.size("at") > 0).select(
