@@ -22,6 +22,15 @@ BODY_MIN, WHY_MAX = {"zh": 600, "en": 900}, 40
 TITLE_ECHO = 0.8
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with columns that are computed once for each row, however often later steps use them.
+
+    They are exploded out of an array of one: the optimizer folds a plain column into every place that uses it.
+    """
+    made = F.explode(F.array(F.struct(*[c.alias(k) for k, c in columns.items()]))).alias("_once")
+    return df.select("*", made).select(*[F.col(f"`{c}`") for c in df.columns], "_once.*")
+
+
 def sub(text: Column, pattern: str, by: str) -> Column:
     return F.regexp_replace(text, pattern, by)
 

@@ -17,17 +17,26 @@ def part(url: Column, name: str) -> Column:
     return F.try_parse_url(url, F.lit(name))
 
 
+def _encoded(path: Column) -> Column:
+    """A path as browsers send it: what may not stand in one is percent-encoded."""
+    odd = "[^!-~]|[\"<>`{}]"
+    each = lambda c: F.when(c.rlike(odd), F.replace(F.url_encode(c), F.lit("+"), F.lit("%20"))).otherwise(c)
+    return F.when(path.rlike(odd), F.array_join(F.transform(F.regexp_extract_all(path, F.lit("(?s)."), F.lit(0)), each), "")).otherwise(path)
+
+
 def canonical_url(raw: Column) -> Column:
     """http(s) only: scheme, lower-case host without www. and port, path without trailing slashes, the parameters that
-    do not track, sorted. An empty string for anything else."""
-    url = F.trim(F.coalesce(raw, F.lit("")))
-    scheme = F.lower(part(url, "PROTOCOL"))
-    host = F.regexp_replace(F.lower(part(url, "HOST")), "^www\\.", "")
-    path = F.coalesce(part(url, "PATH"), F.lit(""))
+    do not track, sorted. An empty string for anything else. Read by patterns, as leniently as browsers do."""
+    url = F.regexp_replace(F.trim(F.coalesce(raw, F.lit(""))), "[\\t\\n\\r]", "")
+    scheme = F.lower(F.regexp_extract(url, "^([A-Za-z][A-Za-z0-9+.-]*):", 1))
+    found = lambda k: F.regexp_extract(url, "^[A-Za-z]+:[/\\\\]*([^/\\\\?#]*)([^?#]*)(?:\\?([^#]*))?", k)
+    host = F.regexp_replace(F.lower(F.regexp_replace(F.regexp_replace(found(1), "^.*@", ""), ":[0-9]*$", "")), "^www\\.", "")
+    host = F.when(host.rlike("[\\x00-\\x20<>^|%\"`{}]|^$"), F.lit("")).otherwise(host)
+    path = _encoded(F.replace(found(2), F.lit("\\"), F.lit("/")))
     bare = F.regexp_replace(path, "/+$", "")
     decode = lambda c: F.coalesce(F.try_url_decode(c), c)
     pairs = F.transform(
-        F.filter(F.split(F.coalesce(part(url, "QUERY"), F.lit("")), "&"), lambda p: p != ""),
+        F.filter(F.split(F.coalesce(found(3), F.lit("")), "&"), lambda p: p != ""),
         lambda p: F.struct(F.lower(decode(F.substring_index(p, "=", 1))).alias("k"), decode(F.when(F.contains(p, F.lit("=")), F.regexp_replace(p, "^[^=]*=", "")).otherwise(F.lit(""))).alias("v")),
     )
     tracks = lambda k: k.isin(TRACKING) | k.rlike("^(" + "|".join(p.replace(".", "\\.") for p in TRACKING_PREFIXES) + ")")

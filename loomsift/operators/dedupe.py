@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomsift.functions.urls import canonical_url
+from loomsift.operators.order import numbered
 
 
 def first_wins(items: DataFrame, key: str, known: DataFrame | None = None, order: str = "seq") -> DataFrame:
@@ -35,9 +36,20 @@ def by_canonical_url(items: DataFrame, known: DataFrame, order: str = "seq") ->
     return both.withColumn("rule", rule.cast("string")).drop("_first", "_known")
 
 
-def retain(rows: DataFrame, most: int, *order: Column) -> DataFrame:
-    """The first `most` rows in an order that leaves no ties; a distributed top-k, nothing is gathered but those rows."""
-    return rows.orderBy(*order).limit(most)
+#: Up to so many rows a top-k is cheaper than numbering; each of its tasks holds that many.
+TOP_K = 100_000
+
+
+def retain(rows: DataFrame, most: int | None, *order: Column) -> DataFrame:
+    """The first `most` rows in an order that leaves no ties; all of them for None.
+
+    A small bound is a distributed top-k. Beyond that rows are sorted in ranges and numbered, so no task holds them all.
+    """
+    if most is None:
+        return rows
+    if most <= TOP_K:
+        return rows.orderBy(*order).limit(most)
+    return numbered(rows, *order).where(F.col("n") < most).drop("n")
 
 
 def latest_of(rows: DataFrame, key: list[str], *order: Column) -> DataFrame:

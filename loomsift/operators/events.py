@@ -9,6 +9,7 @@ from loomsift.functions import text as T
 from loomsift.lineage import written
 from loomsift.operators.gates import GateConfig
 from loomsift.operators.graph import components
+from loomsift.operators.order import numbered
 
 
 def first_k(rows: DataFrame, key: str, order: str, k: int) -> DataFrame:
@@ -91,3 +92,30 @@ def selected(posts: DataFrame, target: int, max_per_event: int = 2) -> DataFrame
 def oversubscribed(published: DataFrame, max_per_event: int = 2) -> DataFrame:
     """Events with more published posts than allowed, and how many they have; no rows if the selection was sound."""
     return published.groupBy("event_key").agg(F.count("*").alias("n")).where(F.col("n") > max_per_event)
+
+
+def by_bar(candidates: DataFrame, least: float) -> DataFrame:
+    """candidates (pos, score of a reviewer, null for none) with demoted and a new pos: those under the bar come last, the
+    order within both parts stays. What has no score is under no bar."""
+    demoted = F.coalesce(F.col("review") < least, F.lit(False))
+    return numbered(candidates.withColumn("demoted", demoted).withColumnRenamed("pos", "_pos"), "demoted", "_pos").withColumnRenamed("n", "pos").drop("_pos")
+
+
+def backfill(pool: DataFrame, published: DataFrame, most: int) -> DataFrame:
+    """The best of a pool (id, score, pos) that are not published yet, ties by pos."""
+    return pool.join(published.select("id"), "id", "left_anti").orderBy(F.desc("score"), "pos").limit(most)
+
+
+def cluster_cards(members: DataFrame) -> DataFrame:
+    """One row for each event of members (event_key, pos, title, summary): the first one's title, its summary with how many
+    more there are, and the size."""
+    first = members.groupBy("event_key").agg(F.min("pos").alias("pos"), F.count("*").alias("size"))
+    lead = members.select("event_key", "pos", "title", "summary").join(first, ["event_key", "pos"])
+    more = F.when(F.col("size") > 1, F.concat("summary", F.lit(" ("), (F.col("size") - 1).cast("string"), F.lit(" more)"))).otherwise(F.col("summary"))
+    return lead.select("event_key", "title", more.alias("summary"), "size")
+
+
+def misaligned(targets: DataFrame, staged: DataFrame) -> DataFrame:
+    """Places at which two lists (pos, id) differ, with both ids; no rows if a staged job fits its targets."""
+    a, b = targets.select("pos", F.col("id").alias("target")), staged.select("pos", F.col("id").alias("staged"))
+    return a.join(b, "pos", "full").where(~F.col("target").eqNullSafe(F.col("staged")))

@@ -150,8 +150,8 @@ def relevance(config: GateConfig) -> Column:
 
 def with_relevance(items: DataFrame, config: GateConfig) -> DataFrame:
     """items with points and hits; the haystacks are made once for each row."""
-    hay = items.withColumn("_title", T.haystack(F.col("title"))).withColumn("_body", T.haystack(F.col("body")))
-    scored = hay.withColumn("_r", relevance(config))
+    hay = T.once(items, _title=T.haystack(F.col("title")), _body=T.haystack(F.col("body")))
+    scored = T.once(hay, _r=relevance(config))
     return scored.withColumn("points", F.col("_r.points")).withColumn("hits", F.col("_r.hits")).drop("_r", "_title", "_body")
 
 
@@ -167,9 +167,10 @@ def judged(items: DataFrame, persona: Persona, config: GateConfig, now_ms: int,
     With recall (the size of the pool), an item that fails on relevance alone is routed to gate 'recall': rule
     'recall:candidate' if eligible, else 'recall:ineligible'.
     """
-    first = with_relevance(items, config).withColumn("_p", persona_verdict(persona, now_ms))
-    first = first.withColumn("_all", T.haystack(F.concat("title", F.lit(" "), "body")))
-    first = first.withColumn("_b", blacklist_verdict(config, hay=F.col("_all"))).drop("_all")
+    both = F.concat("title", F.lit(" "), "body")
+    hay = T.once(items, _title=T.haystack(F.col("title")), _body=T.haystack(F.col("body")), _all=T.haystack(both))
+    first = T.once(hay, _r=relevance(config), _p=persona_verdict(persona, now_ms), _b=blacklist_verdict(config, hay=F.col("_all")))
+    first = first.withColumn("points", F.col("_r.points")).withColumn("hits", F.col("_r.hits")).drop("_r", "_title", "_body", "_all")
     low = F.col("points") < config.min_points
     short = F.concat(F.lit("relevance:belowMinPoints("), F.col("points").cast("string"), F.lit(f"<{config.min_points})"))
     if recall is not None:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from loomsift.functions.text import strip
 from loomsift.lineage import written
-from loomsift.streaming.rounds import numbered
+from loomsift.operators.order import numbered
 
 Client = Callable[[list[str]], list[str | None]]
 PROMPT_BODY = 600

@@ -17,8 +17,8 @@ def title_of(text: Column) -> Column:
 
 
 def body_of(text: Column) -> Column:
-    """What follows the first line, or an empty string."""
-    return F.when(F.contains(text, F.lit("\n")), F.expr("substr(text, locate('\n', text) + 1)")).otherwise(F.lit(""))
+    """What follows the title, without the line break between: nothing of a text is in neither."""
+    return F.regexp_replace(F.substr(text, F.length(title_of(text)) + 1), "\\A\n", "")
 
 
 def from_documents(docs: DataFrame) -> DataFrame:

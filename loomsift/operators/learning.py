@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomsift.functions import text as T
+from loomsift.lineage import written
 
 # Fixed values of the formulas.
 ALPHA, PRIOR_UP, PRIOR_DOWN = 0.2, 1.0, 1.0
@@ -27,7 +28,7 @@ def with_score(items: DataFrame, keywords: list[str], signals: list[str]) -> Dat
     """items (title, body) with score, from the shares of keywords and signal words that they match."""
     hay = F.col("_hay")  # made once for each row, not for each word
     share = lambda words, full: F.least(F.lit(1.0), F.sqrt(F.size(T.keyword_hits(hay, words)).cast("double")) / F.sqrt(F.lit(float(full))))
-    staged = items.withColumn("_hay", T.haystack(F.concat("title", F.lit(" "), "body")))
+    staged = T.once(items, _hay=T.haystack(F.concat("title", F.lit(" "), "body")))
     return staged.withColumn("score", 0.25 + 0.5 * share(keywords, 8) + 0.25 * share(signals, 6)).drop("_hay")
 
 
@@ -74,28 +75,33 @@ def settled(shown: DataFrame, engaged: DataFrame, done: DataFrame, now_ms: int,
     return due.join(opened, key, "left").withColumn("counted", F.col("_opened").isNull() & (F.coalesce("source", F.lit("")) != "")).drop("_opened")
 
 
-def quantile(values: DataFrame, column: str, q: float) -> DataFrame:
-    """One row, `value`: the sorted values' element floor(q * n), 0 for none.
+def quantiles(values: DataFrame, column: str, shares: list[float]) -> DataFrame:
+    """(q, value) for each share q: the sorted values' element floor(q * n), 0 for none.
 
-    Values are counted, and the place is found on running sums of the counts of ranges of equal numbers of rows, so
-    no task sorts them all.
+    Values are counted, and a place is found on running sums of the counts of ranges, so no task sorts them all. The
+    ranges are written first: their bounds are sampled anew whenever they are computed.
     """
     counts = values.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("v")).agg(F.count("*").alias("n"))
-    n = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total")).first().total
-    if not n:
-        return values.sparkSession.range(1).select(F.lit(0.0).alias("value"))
-    place = min(n - 1, int(q * n // 1))
-    parts = counts.repartitionByRange("v").withColumn("_p", F.spark_partition_id())
-    parts = parts.select("v", "n", "_p")
-    sums = {r["_p"]: r.n for r in parts.groupBy("_p").agg(F.sum("n").alias("n")).collect()}  # one row for each partition
-    before = 0
-    for p in sorted(sums):
-        if before + sums[p] > place:
-            run = F.sum("n").over(Window.orderBy("v"))
-            inside = parts.where(F.col("_p") == p).withColumn("_run", run + before)
-            return inside.where(F.col("_run") > place).agg(F.min("v").alias("value"))
-        before += sums[p]
-    raise AssertionError("the counts of the ranges do not add up")
+    parts = written(counts.repartitionByRange("v").withColumn("_p", F.spark_partition_id()), "quantile-ranges")
+    sums = sorted((r["_p"], r.n) for r in parts.groupBy("_p").agg(F.sum("n").alias("n")).collect())  # one row for each range
+    total = sum(n for _, n in sums)
+    out = None
+    for q in shares:
+        found = values.sparkSession.range(1).select(F.lit(0.0).alias("value"))
+        place, before = min(total - 1, int(q * total // 1)), 0
+        for p, n in sums:
+            if before <= place < before + n:
+                run = F.sum("n").over(Window.orderBy("v")) + before
+                found = parts.where(F.col("_p") == p).withColumn("_run", run).where(F.col("_run") > place).agg(F.min("v").alias("value"))
+            before += n
+        found = found.select(F.lit(q).alias("q"), "value")
+        out = found if out is None else out.union(found)
+    return out
+
+
+def quantile(values: DataFrame, column: str, q: float) -> DataFrame:
+    """One row, `value`: see quantiles()."""
+    return quantiles(values, column, [q]).select("value")
 
 
 def bucket_of(score: Column) -> Column:
@@ -146,3 +152,29 @@ def streaks(days: DataFrame, key: str, day: str) -> DataFrame:
     island = F.date_sub(day, F.row_number().over(w))
     runs = days.select(key, day).distinct().withColumn("_island", island)
     return runs.groupBy(key, "_island").agg(F.min(day).alias("first_day"), F.max(day).alias("last_day"), F.count("*").alias("days")).drop("_island")
+
+
+def round_row(scores: DataFrame) -> DataFrame:
+    """One row on the scores of a round (score, is_new): n, p50, p90, top1, mean, the share of saturated scores (0.99 or
+    more) and of new items, to three places."""
+    q = quantiles(scores, "score", [0.5, 0.9]).agg(F.max(F.when(F.col("q") == 0.5, F.col("value"))).alias("p50"), F.max(F.when(F.col("q") == 0.9, F.col("value"))).alias("p90"))
+    n = F.count("*")
+    rest = scores.agg(
+        n.alias("n"), F.coalesce(F.max("score"), F.lit(0.0)).alias("top1"), F.coalesce(F.avg("score"), F.lit(0.0)).alias("mean"),
+        F.when(n > 0, F.count_if(F.col("score") >= 0.99) / n).otherwise(F.lit(0.0)).alias("saturation"), F.when(n > 0, F.count_if("is_new") / n).otherwise(F.lit(0.0)).alias("new_rate"),
+    )
+    return rest.crossJoin(q).select("n", *[round3(F.col(c)).alias(c) for c in ("p50", "p90", "top1", "mean", "saturation", "new_rate")])  # one row each
+
+
+def recall_calibration(gold: DataFrame, judged: DataFrame) -> DataFrame:
+    """One row on how a recall judge (id, include; null for no answer) agrees with gold (id, include): counts of right and
+    wrong inclusions, precision, recall, the share of missing answers, and whether that is within 0.3."""
+    both = gold.select("id", F.col("include").alias("want")).join(judged.select("id", F.col("include").alias("said")), "id", "left")
+    n = F.count("*")
+    row = both.agg(
+        n.alias("n"), F.count_if(F.col("want") & F.col("said")).alias("right"), F.count_if(~F.col("want") & F.col("said")).alias("wrong"),
+        F.count_if(F.col("want") & ~F.coalesce("said", F.lit(False))).alias("missed"), F.count_if(F.col("said").isNull()).alias("missing"),
+    )
+    ratio = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
+    right, rate = F.col("right"), ratio(F.col("missing"), F.col("n"))
+    return row.withColumns({"precision": ratio(right, right + F.col("wrong")), "recall": ratio(right, right + F.col("missed")), "usable": (F.col("n") > 0) & (rate <= 0.3)})

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loomsift.functions import text as T
 from loomsift.functions.urls import canonical_url
+from loomsift.lineage import written
 from loomsift.operators.gates import GateConfig, age_rules, blacklist_verdict, first_failing
 
 ASSERTIONS = (
@@ -62,18 +63,20 @@ def rendered(items: DataFrame, persona: str, digest: str, domain: str, keywords:
 def asserted(posts: DataFrame, config: GateConfig, known: DataFrame, max_age_hours: float, now_ms: int) -> DataFrame:
     """posts with one flag for each assertion (true: broken) and rule, the first broken in their order, or null.
 
-    A url counts as a duplicate for every post after the first that carries it.
+    A url counts as a duplicate for every post after the first that carries it and breaks nothing else.
     """
     canon = canonical_url(F.col("url"))
     named = posts.withColumn("_canon", canon)
-    first = named.where("_canon <> ''").groupBy("_canon").agg(F.min("pos").alias("_first"))
     published = known.select(F.col("canonical_url").alias("_canon")).distinct().withColumn("_known", F.lit(True))
     stop = list(config.stopwords)
-    both = named.join(first, "_canon", "left").join(published, "_canon", "left")
+    both = named.join(published, "_canon", "left")
     text = F.concat("summary", F.lit("\n"), "body", F.lit("\n"), F.array_join("hooks", " "), F.lit("\n"), "why")
-    both = both.withColumn("_black", blacklist_verdict(config, F.col("title"), text).isNotNull())
-    both = both.withColumn("_source", T.topic_tokens(F.concat("title", F.lit(" "), "body"), stop))
-    both = both.withColumn("_hooks", F.transform("hooks", lambda h: T.topic_tokens(h, stop)))
+    both = T.once(
+        both,
+        _black=blacklist_verdict(config, F.col("title"), text).isNotNull(),
+        _source=T.topic_tokens(F.concat("title", F.lit(" "), "body"), stop),
+        _hooks=F.transform("hooks", lambda h: T.topic_tokens(h, stop)),
+    )
     title, summary, body, why, hooks, lang = (F.col(c) for c in ("title", "summary", "body", "why", "hooks", "lang"))
     damaged, tag = "(?i)\\[object Object\\]", f"(?i)</?[a-z][a-z0-9-]*(?:[{T.SPACE}][^<>]*)?>"
     most = T.by_lang(lang, T.HOOK_MAX)
@@ -82,7 +85,6 @@ def asserted(posts: DataFrame, config: GateConfig, known: DataFrame, max_age_hou
     old = first_failing(age_rules(F.col("published_at"), title, max_age_hours, now_ms)).isNotNull()
     broken = {
         "damagedBody": T.any_of([c.rlike(damaged) for c in (title, summary, body)]),
-        "duplicateUrl": F.coalesce(F.col("_first") < F.col("pos"), F.lit(False)),
         "alreadyPublished": F.coalesce("_known", F.lit(False)),
         "mechanicalTruncation": F.exists(hooks, lambda h: T.is_title_prefix(h, title)),
         "fragmentHook": F.exists(hooks, lambda h: T.strip(h).rlike("(?i)^arxiv:\\d+") | (F.length(h) < T.HOOK_MIN)),
@@ -96,5 +98,9 @@ def asserted(posts: DataFrame, config: GateConfig, known: DataFrame, max_age_hou
         "summaryBelowFloor": F.length(summary) < T.by_lang(lang, T.SUMMARY_MIN),
         "bodyBelowFloor": F.length(body) < T.by_lang(lang, T.BODY_MIN),
     }
-    flagged = both.withColumns({f"gk_{name}": broken[name] for name in ASSERTIONS})
-    return flagged.withColumn("rule", first_failing([(F.col(f"gk_{n}"), f"gk:{n}") for n in ASSERTIONS])).drop("_canon", "_first", "_known", "_source", "_hooks", "_black")
+    flagged = written(T.once(both, **{f"gk_{name}": c for name, c in broken.items()}).drop("_source", "_hooks", "_black", "_known"), "assertions")
+    sound = flagged.where(~T.any_of([F.col(f"gk_{name}") for name in broken]) & (F.col("_canon") != ""))
+    first = sound.groupBy("_canon").agg(F.min("pos").alias("_first"))
+    flagged = flagged.join(first, "_canon", "left").withColumn("gk_duplicateUrl", F.coalesce(F.col("_first") < F.col("pos"), F.lit(False)))
+    flagged = flagged.select(*posts.columns, *[f"gk_{n}" for n in ASSERTIONS])
+    return flagged.withColumn("rule", first_failing([(F.col(f"gk_{n}"), f"gk:{n}") for n in ASSERTIONS]))

@@ -79,3 +79,27 @@ def config_problems(spark: SparkSession, config: GateConfig, personas: list[Pers
         if unknown:
             out.append(f"{p.id}: unknown sources {', '.join(unknown)}")
     return out
+
+
+def board(items: DataFrame, published: DataFrame) -> DataFrame:
+    """What each source brought to a round: collected, published, of these in Chinese, and the share published."""
+    got = items.groupBy("source").agg(F.count("*").alias("collected"))
+    out = published.groupBy("source").agg(F.count("*").alias("published"), F.count_if(F.col("lang") == "zh").alias("published_zh"))
+    both = got.join(out, "source", "left").na.fill(0, ["published", "published_zh"])
+    return both.withColumn("yield_ratio", F.col("published") / F.col("collected"))
+
+
+def endpoint_usage(calls: DataFrame) -> DataFrame:
+    """endpoint with calls, failures and time of calls (endpoint, ok, ms, seq), and whether it is the one that is called
+    most (ties: the one called first)."""
+    sums = calls.groupBy("endpoint").agg(F.count("*").alias("calls"), F.count_if(~F.col("ok")).alias("failures"), F.sum("ms").alias("ms"), F.min("seq").alias("_first"))
+    top = sums.orderBy(F.desc("calls"), "_first").limit(1).select("endpoint", F.lit(True).alias("_top"))
+    return sums.join(top, "endpoint", "left").select("endpoint", "calls", "failures", "ms", F.coalesce("_top", F.lit(False)).alias("most_used"))
+
+
+def feedback_rates(archive: DataFrame, feedback: DataFrame) -> DataFrame:
+    """source with its entries, how many were pushed, feedback for each pushed one, and the share of likes (null for none)."""
+    said = feedback.groupBy("source").agg(F.count("*").alias("feedback"), F.count_if(F.col("signal") == "up").alias("ups"))
+    both = evidence(archive).join(said, "source", "left").na.fill(0, ["feedback", "ups"])
+    rate = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b))
+    return both.select("source", "entries", "pushed", rate("feedback", "pushed").alias("feedback_rate"), rate("ups", "feedback").alias("up_rate"))

@@ -18,11 +18,11 @@ POST_ID = "^[a-z0-9-]+:[a-z0-9]+:\\d+$"
 REF = "^[a-z0-9]+:\\d+$"
 
 
-def archive_merged(archive: DataFrame, items: DataFrame, now_ms: int, most: int = ARCHIVE_MAX) -> DataFrame:
+def archive_merged(archive: DataFrame, items: DataFrame, now_ms: int, most: int | None = ARCHIVE_MAX) -> DataFrame:
     """archive (id, title, url, source, first_seen, last_seen, hits, pushed, seq) after a round's items (id, title, url, source, seq).
 
-    New ids come in with one hit; each further row of an id is a hit more. Beyond `most` rows those pushed, then those
-    seen last, stay; ties go to the older entry.
+    New ids come in with one hit; each further row of an id is a hit more. Beyond `most` rows (None: no bound) those
+    pushed, then those seen last, stay; ties go to the older entry.
     """
     hits = items.groupBy("id").agg(F.count("*").alias("_n"), F.min("seq").alias("seq"))
     fresh = items.join(hits, ["id", "seq"]).dropDuplicates(["id"])
@@ -80,23 +80,25 @@ def routed(signals: DataFrame, refs: DataFrame) -> DataFrame:
     """Facts (kind, digest_id, index, item_id, source, seq) from signals (post_id, dwell_ms, completed, chat_turns,
     dismissed, reaction, favorite, seq), for posts whose reference (ref, item_id, source) is known.
 
-    kind is view, expand (dwelt on, read through or talked about, or a favourite first seen here), up or down. A
-    signal may give several facts. Feedback repeats only once for each item; expands and views of one signal each count.
+    kind is expand (dwelt on, read through or talked about), view (the first expand of a digest), up (satisfied) or down
+    (dismissed or stopped). A signal may give several facts. Feedback counts only once for each item, expands each time.
+    A favourite is an up that comes after all signals; only one that is new counts, and then as an expand too.
     """
     named = post_parts(signals).where("digest_id is not null").withColumn("ref", F.concat_ws(":", "digest_id", "index"))
     both = named.join(refs.select("ref", "item_id", "source"), "ref")
     yes = lambda c: F.coalesce(c, F.lit(False))
     favorite = yes(F.col("favorite"))
-    opened = yes(F.col("dwell_ms") > 0) | yes(F.col("completed")) | yes(F.col("chat_turns") > 0)
+    opened = ~favorite & (yes(F.col("dwell_ms") > 0) | yes(F.col("completed")) | yes(F.col("chat_turns") > 0))
     up = favorite | yes(F.col("reaction") == "satisfied")
     down = ~favorite & (yes(F.col("dismissed")) | yes(F.col("reaction") == "stopped"))
-    kinds = F.array_compact(F.array(F.lit("view"), F.when(opened | favorite, "expand"), F.when(up, "up"), F.when(down, "down")))
-    facts = both.withColumn("kind", F.explode(kinds))
-    counted = facts.where("kind = 'expand'")
-    once = latest_of(facts.where("kind in ('up', 'down')"), ["digest_id", "item_id", "kind"], F.asc("seq"))
-    views = latest_of(facts.where("kind = 'view'"), ["digest_id"], F.asc("seq"))
+    kinds = F.array_compact(F.array(F.when(opened, "expand"), F.when(up, "up"), F.when(down, "down")))
+    facts = both.withColumn("favorite", favorite).withColumn("kind", F.explode(kinds))
+    expands = facts.where("kind = 'expand'")
+    once = latest_of(facts.where("kind in ('up', 'down')"), ["digest_id", "item_id", "kind"], F.asc("favorite"), F.asc("seq"))
+    views = latest_of(expands, ["digest_id"], F.asc("seq")).withColumn("kind", F.lit("view"))
+    liked = once.where("favorite").withColumn("kind", F.lit("expand"))
     columns = ["kind", "digest_id", "index", "item_id", "source", "seq"]
-    return counted.select(columns).unionByName(once.select(columns)).unionByName(views.select(columns))
+    return expands.select(columns).unionByName(liked.select(columns)).unionByName(once.select(columns)).unionByName(views.select(columns))
 
 
 def pack_posts(published: DataFrame, persona: str, display: str, generated_ms: int) -> DataFrame:
@@ -126,29 +128,36 @@ def contract_breaks(posts: DataFrame) -> DataFrame:
 
 def pack_merged(old: DataFrame, new: DataFrame) -> DataFrame:
     """Posts (id, source_url, ...) of an earlier pack and a new one: by canonical url new content takes the old post's
-    id, other new posts come in. A new id that is taken moves to the next free number of its prefix.
+    id, other new posts come in, in order of their numbers. One whose id is taken moves up to the next free number of
+    its prefix.
 
-    Numbers are given in one pass: the k-th colliding post of a prefix gets the k-th number not taken from its own on;
-    a pack has as many posts as a reader can be shown, so this last step sorts few rows.
+    Numbers come from windows over the numbers of a prefix, which are those of one digest. With the numbers in order,
+    the k-th new post takes the free number of index k + max(g(j) - j for j up to k), g(j) being how many numbers below
+    the own one of the j-th are free.
     """
     key = canonical_url(F.col("source_url"))
     number = lambda c: F.coalesce(F.regexp_extract(c, ":(\\d+)$", 1).try_cast("long"), F.lit(2**53))
+    prefix = lambda c: F.regexp_extract(c, "^(.*:)\\d+$", 1)
     a = old.withColumn("_key", key)
     b = latest_of(new.withColumn("_key", key), ["_key"], F.desc(number(F.col("id"))))
     replaced = b.join(a.select("_key", F.col("id").alias("_old")), "_key").withColumn("id", F.col("_old")).drop("_old")
     untouched = a.join(b.select("_key"), "_key", "left_anti")
-    added = b.join(a.select("_key"), "_key", "left_anti")
-    taken = a.select("id").join(added.select("id"), "id", "left_semi").withColumn("_taken", F.lit(True))
-    flagged = added.join(taken, "id", "left").withColumn("_prefix", F.regexp_extract("id", "^(.*:)\\d+$", 1))
-    # Numbers that neither pack uses, in order, for those that collide.
-    used = a.select("id").union(flagged.where("_taken is null").select("id")).distinct()
-    used = used.select(F.regexp_extract("id", "^(.*:)\\d+$", 1).alias("_prefix"), number(F.col("id")).alias("_n"))
-    need = flagged.where("_taken").groupBy("_prefix").agg(F.count("*").alias("_need"))
-    most = used.join(need, "_prefix").groupBy("_prefix", "_need").agg(F.max("_n").alias("_max"))
-    free = most.select("_prefix", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_max") + F.col("_need"))).alias("_n")).join(used, ["_prefix", "_n"], "left_anti")
-    free = free.withColumn("_k", F.row_number().over(Window.partitionBy("_prefix").orderBy("_n")))
-    moved = flagged.where("_taken").withColumn("_k", F.row_number().over(Window.partitionBy("_prefix").orderBy(number(F.col("id")))))
-    moved = moved.join(free, ["_prefix", "_k"]).withColumn("id", F.concat("_prefix", F.col("_n").cast("string")))
+    added = b.join(a.select("_key"), "_key", "left_anti").withColumns({"_prefix": prefix(F.col("id")), "_n": number(F.col("id"))})
+    used = a.select(prefix(F.col("id")).alias("_prefix"), number(F.col("id")).alias("_n")).distinct()
+    columns = [c for c in added.columns if c not in ("_prefix", "_n")]
+    empty = F.lit(None)
+    # Used numbers stand after new posts of the same number, so that running counts are of those below.
+    both = added.withColumn("_used", F.lit(False)).unionByName(used.select(*[empty.alias(c) for c in columns], "_prefix", "_n", F.lit(True).alias("_used")))
+    in_order = Window.partitionBy("_prefix").orderBy("_n", "_used", "id")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    is_used, is_new = F.col("_used").cast("long"), (~F.col("_used")).cast("long")
+    below = both.withColumn("_below", F.sum(is_used).over(so_far)).withColumn("_k", F.sum(is_new).over(so_far) - 1)
+    index = F.col("_k") + F.max(F.when(~F.col("_used"), F.col("_n") - F.col("_below") - F.col("_k"))).over(so_far)
+    # For a used number: how many free ones lie below it.
+    free = below.withColumn("_free", F.when(F.col("_used"), F.col("_n") - (F.col("_below") - 1)).otherwise(index))
+    by_free = Window.partitionBy("_prefix").orderBy("_free", F.desc("_used")).rowsBetween(Window.unboundedPreceding, 0)
+    placed = free.withColumn("_n", F.col("_free") + F.sum(is_used).over(by_free)).where(~F.col("_used"))
+    placed = placed.withColumn("id", F.concat("_prefix", F.col("_n").cast("string")))
     columns = old.columns
-    out = untouched.select(columns).unionByName(replaced.select(columns)).unionByName(flagged.where("_taken is null").select(columns)).unionByName(moved.select(columns))
+    out = untouched.select(columns).unionByName(replaced.select(columns)).unionByName(placed.select(columns))
     return out.orderBy(number(F.col("id")))

@@ -1,4 +1,5 @@
-"""A whole round: collect (prescreen, dedupe, gates, scores, events) and finalize (render, assert, select, archive).
+"""A whole round: collect (prescreen, dedupe, gates, scores, events) and finalize (render, assert, select), and what is remembered of
+it (archive, digest, references, settlement).
 
 Each stage writes its result as a table; the next one reads it. A round may stop after collect and go on later from the
 table, with the same result as in one run.
@@ -13,8 +14,9 @@ from pyspark.sql import functions as F
 
 from loomsift.functions import text as T
 from loomsift.lineage import written
-from loomsift.operators import dedupe, events, gates, learning, render, similarity
+from loomsift.operators import dedupe, events, gates, learning, render, similarity, state
 from loomsift.operators.gates import GateConfig, Persona
+from loomsift.operators.order import numbered
 
 
 @dataclass(frozen=True)
@@ -43,8 +45,11 @@ def collect(items: DataFrame, round_: Round, archive: DataFrame, published: Data
     titled = scored.withColumn("tokens", T.tokens(F.col("title")))
     new = similarity.novel(titled, archive.select("id", T.tokens(F.col("title")).alias("tokens")))
     ranked = learning.weighted(new, weights).drop("score").withColumnRenamed("rank_score", "score")
-    placed = ranked.withColumn("pos", F.col("seq"))
-    keyed = events.event_keys(placed, round_.config)
+    # Events are named by, and keep, their highest scoring items; words are rare or not among all that was collected.
+    placed = numbered(ranked, F.desc("score"), F.asc("seq")).withColumnRenamed("n", "pos")
+    collected = fresh.where(~F.col("stale"))
+    background = written(events.document_frequency(collected, round_.config), "background")
+    keyed = events.event_keys(placed, round_.config, background, collected.count())
     candidates = written(events.capped_events(keyed, round_.config), "candidates")
     counts = candidates.agg(F.count("*").alias("candidates"), F.count_if("kept").alias("kept"), F.count_distinct("event_key").alias("events"))
     funnel = items.agg(F.count("*").alias("collected")).crossJoin(fresh.agg(F.count_if(~F.col("stale")).alias("fresh"))).crossJoin(kept.agg(F.count("*").alias("deduped")))
@@ -54,8 +59,6 @@ def collect(items: DataFrame, round_: Round, archive: DataFrame, published: Data
 def finalize(candidates: DataFrame, round_: Round, published: DataFrame) -> DataFrame:
     """The candidates of a round's scope (twice its posts) as posts with their first broken assertion and their state."""
     scope = events.ordered(candidates).limit(2 * round_.persona.max_items)
-    from loomsift.streaming.rounds import numbered
-
     placed = numbered(scope.withColumn("_order", F.struct(~F.col("kept"), -F.col("score"), F.col("event_pos"), F.col("pos"))), "_order").withColumn("pos", F.col("n"))
     posts = render.rendered(placed, round_.persona.id, round_.digest, round_.persona.domain, list(round_.keywords), list(round_.signals), list(round_.config.stopwords))
     posts = written(posts, "posts")
@@ -63,6 +66,39 @@ def finalize(candidates: DataFrame, round_: Round, published: DataFrame) -> Data
     return events.selected(asserted.withColumn("passed", F.col("rule").isNull()), round_.persona.max_items, round_.config.max_per_event)
 
 
+@dataclass(frozen=True)
+class Memory:
+    """What rounds remember, as tables: archive, digests, refs, exposures shown, engagements, settled exposures."""
+
+    archive: DataFrame
+    digests: DataFrame
+    refs: DataFrame
+    shown: DataFrame
+    engaged: DataFrame
+    settled: DataFrame
+
+
+def recorded(memory: Memory, candidates: DataFrame, posts: DataFrame, round_: Round) -> Memory:
+    """The memory after a round: all candidates are archived, then those published are marked as pushed, the digest and
+    its references saved, and exposures that are due settled. Running a round again changes nothing but hits.
+
+    posts: what finalize() gives; those accepted or filled are published, numbered in their order.
+    """
+    published = posts.where(F.col("state").isin("accepted", "filled"))
+    filled_last = numbered(published, (F.col("state") == "filled").asc(), F.col("pos").asc()).withColumnRenamed("n", "index")
+    archive = state.pushed_marked(state.archive_merged(memory.archive, candidates.select("id", "title", "url", "source", "seq"), round_.now_ms), published.select(F.col("item_id").alias("id")))
+    now = F.lit(round_.now_ms).cast("long")
+    ref = F.concat_ws(":", F.lit(round_.digest), F.col("index").cast("string"))
+    place = now * F.lit(2**20) + F.col("index")
+    new_refs = filled_last.select(ref.alias("ref"), F.lit(round_.digest).alias("digest_id"), "item_id", "source", place.alias("seq"))
+    digest = filled_last.groupBy(F.lit(round_.digest).alias("digest_id")).agg(F.sort_array(F.collect_list(F.struct("index", "title", "summary", "url"))).alias("clusters"))  # as many as a digest has
+    digests = state.digest_saved(memory.digests, digest.select("digest_id", now.alias("generated_at"), "clusters", now.alias("seq")))
+    shown = memory.shown.join(digest.select("digest_id"), "digest_id", "left_anti").unionByName(filled_last.select(F.lit(round_.digest).alias("digest_id"), F.col("index").cast("int").alias("index"), "source", now.alias("at")))
+    due = learning.settled(shown, memory.engaged, memory.settled, round_.now_ms)
+    settled = memory.settled.unionByName(due.select("digest_id", "index"))
+    return Memory(archive, digests, state.refs_registered(memory.refs, new_refs), shown, memory.engaged, settled)
+
+
 def audit(stages: list[tuple[str, int]], published: int, dropped: int, rejected: int) -> list[str]:
     """What is wrong with a round's counts: a stage that grows, a last stage unlike what was published, more drops than entries."""
     problems = [f"{b[0]} ({b[1]}) exceeds {a[0]} ({a[1]})" for a, b in zip(stages, stages[1:]) if b[1] > a[1]]

@@ -12,6 +12,7 @@ from loomsift.functions.urls import TRACKING, TRACKING_PREFIXES, canonical_url
 from loomsift.lineage import written
 from loomsift.operators import dedupe, events, gates, learning, render, reports, similarity, state
 from loomsift.operators.gates import GateConfig, Persona, Rule, Tier
+from loomsift.operators.order import numbered
 from loomsift.operators.items import from_documents, from_events, from_pages
 from loomsift.streaming import rounds
 
@@ -49,7 +50,7 @@ NOW_MS = 1_706_745_600_000  # 2024-02-01, after the last event
 
 # SQL fragments.
 TITLE = "left(split_part(text, chr(10), 1), 120)"
-BODY = "(CASE WHEN contains(text, chr(10)) THEN substr(text, instr(text, chr(10)) + 1) ELSE '' END)"
+BODY = f"(CASE WHEN starts_with(substr(text, length({TITLE}) + 1), chr(10)) THEN substr(text, length({TITLE}) + 2) ELSE substr(text, length({TITLE}) + 1) END)"
 norm = lambda e: rf"trim(regexp_replace(regexp_replace(lower({e}), 'https?://\S+', ' ', 'g'), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
 toks = lambda e: f"list_distinct(list_filter(string_split({norm(e)}, ' '), lambda x: length(x) > 1))"
 hay = lambda e: f"' ' || {norm(e)} || ' '"
@@ -169,12 +170,12 @@ def url_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 WITH c AS {CANON_SQL}, n AS (SELECT canonical_url, min(page_id) AS seq FROM c GROUP BY 1)
-SELECT canonical_url, seq FROM n ORDER BY seq DESC LIMIT 100""")
+SELECT canonical_url, seq FROM n ORDER BY seq DESC LIMIT 20000""")
 def fingerprint_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last 100 canonical urls by first appearance; a feature of the store, which keeps a bounded number."""
+    """The last 20,000 canonical urls by first appearance: the store's own bound."""
     pages = table(spark, sf_dir, "pages").withColumn("seq", F.col("page_id"))
     empty = spark.createDataFrame([], "canonical_url string, seq long")
-    return dedupe.fingerprints_appended(empty, pages, most=100)
+    return dedupe.fingerprints_appended(empty, pages)
 
 
 @query(f"""
@@ -290,9 +291,10 @@ SELECT round(max(CASE WHEN k = least(n - 1, floor(0.5 * n)) THEN value END), 6)
   round(max(value), 6) AS top1, round(avg(value), 6) AS mean FROM o""")
 def round_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = table(spark, sf_dir, "events")
-    p50, p90 = (learning.quantile(values, "value", q).withColumnRenamed("value", n) for q, n in ((0.5, "p50"), (0.9, "p90")))
+    found = learning.quantiles(values, "value", [0.5, 0.9])
+    both = found.agg(*[F.max(F.when(F.col("q") == q, F.col("value"))).alias(n) for q, n in ((0.5, "p50"), (0.9, "p90"))])
     rest = values.agg(F.max("value").alias("top1"), F.avg("value").alias("mean"))
-    row = p50.crossJoin(p90).crossJoin(rest)  # of one row each
+    row = both.crossJoin(rest)  # of one row each
     return row.select(*[F.round(c, 6).alias(c) for c in ("p50", "p90", "top1", "mean")])
 
 
@@ -403,6 +405,49 @@ def select_diverse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.selected(posts, 40).select("doc_id", "state")
 
 
+_RANKED = f"""ranked AS (SELECT row_number() OVER (ORDER BY round(s.score, 9) DESC, d.doc_id) - 1 AS doc_id, d.doc_id AS orig, d.text FROM documents d JOIN {SCORE_SQL} s USING (doc_id))"""
+
+
+@query(f"""WITH RECURSIVE {_RANKED}, {CAPPED_SQL.removeprefix("WITH RECURSIVE ").replace("documents", "ranked")}
+SELECT r.orig AS doc_id, CAST(k.orig AS VARCHAR) AS event_key, repost, kept FROM c JOIN ranked r ON r.doc_id = c.doc_id JOIN ranked k ON k.doc_id = c.event_key""")
+def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in order of score, as a round forms them: the best document names its event, and the two best are kept."""
+    ranked = numbered(scored(spark, sf_dir), F.round("score", 9).desc(), F.col("seq").asc()).withColumnRenamed("n", "pos")
+    keyed = events.event_keys(ranked, CONFIG)
+    return events.capped_events(keyed, CONFIG).select(F.col("seq").alias("doc_id"), "event_key", "repost", "kept")
+
+
+@query("""SELECT doc_id, quality = 0 AS demoted, CAST(row_number() OVER (ORDER BY quality = 0, doc_id) - 1 AS BIGINT) AS pos FROM labels""")
+def reviewed_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents with those of low quality last: the stable partition by a reviewer's bar."""
+    rows = table(spark, sf_dir, "labels").select("doc_id", F.col("doc_id").alias("pos"), F.col("quality").alias("review"))
+    return events.by_bar(rows, 1).select("doc_id", "demoted", "pos")
+
+
+@query(f"""{COMPONENT_SQL}, n AS (SELECT event_key, count(*) AS n FROM k GROUP BY 1)
+SELECT CAST(event_key AS VARCHAR) AS event_key, {TITLE} AS title, CASE WHEN n > 1 THEN lang || ' (' || (n - 1) || ' more)' ELSE lang END AS summary, CAST(n AS BIGINT) AS size FROM n JOIN documents d ON d.doc_id = n.event_key""")
+def event_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A card for each event: its first title, and how many more documents it has."""
+    members = clustered(spark, sf_dir).join(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), F.col("lang").alias("summary")), "seq")
+    return events.cluster_cards(members)
+
+
+@query("SELECT doc_id FROM documents WHERE lang = 'fr' AND doc_id NOT IN (SELECT doc_id FROM labels) ORDER BY n_chars DESC, doc_id LIMIT 30")
+def backfill_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 30 longest French documents without a label, a top-k report: a pool that fills up a round."""
+    pool = table(spark, sf_dir, "documents").where("lang = 'fr'").select(F.col("doc_id").alias("id"), F.col("n_chars").alias("score"), F.col("doc_id").alias("pos"))
+    return events.backfill(pool, table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id")), 30).select(F.col("id").alias("doc_id"))
+
+
+@query("""WITH a AS (SELECT doc_id AS id, row_number() OVER (ORDER BY doc_id) AS pos FROM labels), b AS (SELECT doc_id AS id, row_number() OVER (ORDER BY quality DESC, doc_id) AS pos FROM labels)
+SELECT CAST(pos AS BIGINT) - 1 AS pos, a.id AS target, b.id AS staged FROM a FULL JOIN b USING (pos) WHERE a.id IS DISTINCT FROM b.id""")
+def job_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the labels in order of id and the labels in order of quality have different documents."""
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), "quality")
+    place = lambda *o: numbered(labels, *o).select(F.col("n").alias("pos"), "id")
+    return events.misaligned(place(F.col("id").asc()), place(F.col("quality").desc(), F.col("id").asc()))
+
+
 # --- Learning ---------------------------------------------------------------------------------------------------------
 
 FEEDBACK_SQL = "(SELECT event_id AS seq, 'src' || (user_id % 12) AS source, CASE event_type WHEN 'purchase' THEN 'up' WHEN 'error' THEN 'down' END AS signal, user_id, ts FROM events)"
@@ -456,8 +501,8 @@ def gold_and_verdicts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     """Quality labels as human scores, the heuristic score as the verdict; texts in one language have none."""
     labels = table(spark, sf_dir, "labels")
     gold = labels.select(F.col("doc_id").alias("id"), (F.col("quality") * 9).alias("human_score"), F.when(F.col("quality") == 1, "keep").otherwise("reject").alias("human_decision"))
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), "lang")
-    judged = scored(spark, sf_dir).join(docs, "seq").where("lang <> 'es'")
+    docs = table(spark, sf_dir, "documents").where("lang <> 'es'").join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
+    judged = learning.with_score(from_documents(docs), KEYWORDS, SIGNALS)
     return gold, judged.select(F.col("seq").alias("id"), F.floor(F.col("score") * 10).cast("int").alias("score"), F.when(F.col("score") >= 0.6, "keep").otherwise("reject").alias("decision"))
 
 
@@ -522,6 +567,53 @@ def trial_criteria(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("id", F.round("value", 6).alias("value"), "status")
 
 
+@query("""SELECT event_type AS endpoint, CAST(count(*) AS BIGINT) AS calls, CAST(count_if(value < 10) AS BIGINT) AS failures, CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS ms,
+  row_number() OVER (ORDER BY count(*) DESC, min(event_id)) = 1 AS most_used FROM events GROUP BY 1""")
+def endpoint_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as calls of endpoints: their kind the endpoint, small values failures."""
+    calls = table(spark, sf_dir, "events").select(F.col("event_type").alias("endpoint"), (F.col("value") >= 10).alias("ok"), F.floor("value").cast("long").alias("ms"), F.col("event_id").alias("seq"))
+    return reports.endpoint_usage(calls)
+
+
+@query("""SELECT source, CAST(count(*) AS BIGINT) AS collected, CAST(count(quality) AS BIGINT) AS published, CAST(0 AS BIGINT) AS published_zh, round(count(quality) / count(*), 6) AS yield_ratio
+FROM documents LEFT JOIN (SELECT * FROM labels WHERE quality = 1) USING (doc_id) GROUP BY source""")
+def round_board(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The board of a round that published the documents labelled as good."""
+    docs = table(spark, sf_dir, "documents")
+    published = docs.join(table(spark, sf_dir, "labels").where("quality = 1"), "doc_id").select("source", T.detect_lang(F.col("text")).alias("lang"))
+    return reports.board(docs, published).withColumn("yield_ratio", F.round("yield_ratio", 6))
+
+
+@query(f"""WITH r AS (SELECT value, event_type = 'signup' AS is_new FROM events), o AS (SELECT value, row_number() OVER (ORDER BY value) - 1 AS k, count(*) OVER () AS n FROM r)
+SELECT CAST((SELECT count(*) FROM r) AS BIGINT) AS n, floor(max(CASE WHEN k = least(n - 1, floor(0.5 * n)) THEN value END) * 1000 + 0.5) / 1000 AS p50, floor(max(CASE WHEN k = least(n - 1, floor(0.9 * n)) THEN value END) * 1000 + 0.5) / 1000 AS p90,
+  floor(max(value) * 1000 + 0.5) / 1000 AS top1, round(avg(value), 2) AS mean, floor(count_if(value >= 0.99) / count(*) * 1000 + 0.5) / 1000 AS saturation, (SELECT floor(count_if(is_new) / count(*) * 1000 + 0.5) / 1000 FROM r) AS new_rate FROM o""")
+def round_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics of a round, with event values as its scores and signups as its new items."""
+    rows = table(spark, sf_dir, "events").select(F.col("value").alias("score"), (F.col("event_type") == "signup").alias("is_new"))
+    return learning.round_row(rows).withColumn("mean", F.round("mean", 2))
+
+
+@query("""WITH g AS (SELECT doc_id, quality = 1 AS want, CASE WHEN lang = 'es' THEN NULL ELSE n_chars > 500 END AS said FROM labels JOIN documents USING (doc_id)),
+r AS (SELECT count(*) AS n, count_if(want AND said) AS rgt, count_if(NOT want AND said) AS wrg, count_if(want AND NOT coalesce(said, false)) AS mis, count_if(said IS NULL) AS nul FROM g)
+SELECT CAST(n AS BIGINT) AS n, CAST(rgt AS BIGINT) AS "right", CAST(wrg AS BIGINT) AS wrong, CAST(mis AS BIGINT) AS missed, CAST(nul AS BIGINT) AS missing, round(rgt / (rgt + wrg), 6) AS precision, round(rgt / (rgt + mis), 6) AS recall, nul / n <= 0.3 AS usable FROM r""")
+def recall_judge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A judge that includes long documents and does not read Spanish, against the quality labels."""
+    labels, docs = table(spark, sf_dir, "labels"), table(spark, sf_dir, "documents")
+    gold = labels.select(F.col("doc_id").alias("id"), (F.col("quality") == 1).alias("include"))
+    said = docs.select(F.col("doc_id").alias("id"), F.when(F.col("lang") != "es", F.col("n_chars") > 500).alias("include"))
+    return learning.recall_calibration(gold, said).withColumns({c: F.round(c, 6) for c in ("precision", "recall")})
+
+
+@query(f"""WITH f AS (SELECT source, count(*) AS n, count_if(signal = 'up') AS ups FROM {FEEDBACK_SQL} WHERE signal IS NOT NULL GROUP BY 1),
+a AS (SELECT source, count(*) AS entries, count_if(lang = 'en') AS pushed FROM documents GROUP BY 1)
+SELECT source, CAST(entries AS BIGINT) AS entries, CAST(pushed AS BIGINT) AS pushed, CASE WHEN pushed > 0 THEN round(coalesce(n, 0) / pushed, 6) END AS feedback_rate, CASE WHEN n > 0 THEN round(ups / n, 6) END AS up_rate FROM a LEFT JOIN f USING (source)""")
+def source_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as an archive in which the English ones were pushed, with the feedback that their sources got."""
+    archive = table(spark, sf_dir, "documents").withColumn("pushed", F.coalesce(F.col("lang") == "en", F.lit(False)))
+    found = reports.feedback_rates(archive, feedback(spark, sf_dir).where("signal is not null"))
+    return found.withColumns({c: F.round(c, 6) for c in ("feedback_rate", "up_rate")})
+
+
 @query("SELECT source, CAST(count(*) AS BIGINT) AS entries, CAST(count_if(lang = 'en') AS BIGINT) AS pushed FROM documents GROUP BY source")
 def source_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as an archive in which the English ones were pushed."""
@@ -544,7 +636,7 @@ def archive_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = old.select("id", *blank, "first_seen", "last_seen", "hits", F.lit(False).alias("pushed"), "seq")
     archive = state.pushed_marked(archive, archive.where("hits > 60"))
     round_items = rows.where("event_type = 'signup'").select("id", *blank, F.col("event_id").alias("seq"))
-    return state.archive_merged(archive, round_items, NOW_MS, most=10**9).select("id", "first_seen", "last_seen", "hits", "pushed")
+    return state.archive_merged(archive, round_items, NOW_MS, most=None).select("id", "first_seen", "last_seen", "hits", "pushed")
 
 
 @query("SELECT event_id, user_id FROM events ORDER BY ts DESC, event_id DESC LIMIT 5000")
@@ -561,7 +653,7 @@ _SIGNALS_SQL = """(SELECT event_id AS seq, 'd' || (user_id % 50) AS digest_id, C
 WITH s AS (SELECT *, event_type IN ('click', 'view') AND value > 0 AS opened, event_type = 'purchase' AS up, event_type = 'error' AS down FROM {_SIGNALS_SQL}),
 f AS (SELECT 'expand' AS kind, digest_id, idx, source, seq FROM s WHERE opened
   UNION ALL SELECT 'up', digest_id, idx, source, min(seq) FROM s WHERE up GROUP BY ALL UNION ALL SELECT 'down', digest_id, idx, source, min(seq) FROM s WHERE down GROUP BY ALL
-  UNION ALL SELECT 'view', digest_id, arg_min(idx, seq), arg_min(source, seq), min(seq) FROM s GROUP BY digest_id)
+  UNION ALL SELECT 'view', digest_id, arg_min(idx, seq), arg_min(source, seq), min(seq) FROM s WHERE opened GROUP BY digest_id)
 SELECT kind, digest_id, CAST(idx AS INT) AS "index", source, CAST(seq AS BIGINT) AS seq FROM f""")
 def signal_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as reader signals on posts, routed to expands, likes, dislikes and views; some posts are unknown."""
@@ -569,6 +661,43 @@ def signal_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.routed(signals, refs).select("kind", "digest_id", "index", "source", "seq")
 
 
+@query(f"""
+WITH s AS (SELECT *, event_type = 'signup' AS fav, event_type IN ('click', 'view') AND value > 0 AS opened, event_type = 'purchase' AS up, event_type = 'error' AS down FROM {_SIGNALS_SQL}),
+u AS (SELECT *, row_number() OVER (PARTITION BY digest_id, idx ORDER BY fav, seq) AS k FROM s WHERE up OR fav),
+f AS (SELECT 'expand' AS kind, digest_id, idx, source, seq FROM s WHERE opened UNION ALL SELECT 'expand', digest_id, idx, source, seq FROM u WHERE k = 1 AND fav
+  UNION ALL SELECT 'up', digest_id, idx, source, seq FROM u WHERE k = 1 UNION ALL SELECT 'down', digest_id, idx, source, min(seq) FROM s WHERE down GROUP BY ALL
+  UNION ALL SELECT 'view', digest_id, arg_min(idx, seq), arg_min(source, seq), min(seq) FROM s WHERE opened GROUP BY digest_id)
+SELECT kind, digest_id, CAST(idx AS INT) AS "index", source, CAST(seq AS BIGINT) AS seq FROM f""")
+def favourite_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same signals with signups as favourites, which count only where no like came before."""
+    rows = table(spark, sf_dir, "events")
+    signals, refs = rounds.event_signals(rows)
+    marks = rows.select(F.col("event_id").alias("seq"), (F.col("event_type") == "signup").alias("favorite"))
+    return state.routed(signals.drop("favorite").join(marks, "seq"), refs).select("kind", "digest_id", "index", "source", "seq")
+
+
+#: Urls as browsers take them, and their canonical forms.
+ODD_URLS = (
+    ("https://a.example/x?q=a|b", "https://a.example/x?q=a|b"),
+    ("https://a.example/a b", "https://a.example/a%20b"),
+    ("https://my_host.example/x/", "https://my_host.example/x"),
+    ("  HTTP://WWW.A.Example:8080/P//?utm_source=1&b=2&A=1#top", "http://a.example/P?a=1&b=2"),
+    ("https://user:pw@a.example", "https://a.example/"),
+    ("https://a.example/é?x=%41+b", "https://a.example/%C3%A9?x=A b"),
+    ("ftp://a.example/x", ""),
+    ("https:///", ""),
+    ("not a url", ""),
+    ("javascript:alert(1)", ""),
+    ("https://a.example?ref=1", "https://a.example/"),
+)
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{u}', '{c}')" for u, c in ODD_URLS) + ") AS v(url, canonical_url)")
+def url_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical forms of urls that strict parsers refuse."""
+    return spark.createDataFrame([(u,) for u, _ in ODD_URLS], "url string").select("url", canonical_url(F.col("url")).alias("canonical_url"))
+
+
 @query(f"""
 WITH s AS (SELECT *, event_type IN ('click', 'view') AND value > 0 AS opened FROM {_SIGNALS_SQL})
 SELECT source, CAST(count_if(opened) AS BIGINT) AS expands FROM s WHERE opened GROUP BY source""")
@@ -590,7 +719,7 @@ def reader_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batch_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Twenty turns to a model batch, numbered in order."""
     rows = table(spark, sf_dir, "conversations").where("role <> 'system'").select("conv_id", "turn", "role")
-    return rounds.numbered(rows, "conv_id", "turn", "role").select("conv_id", "turn", F.floor(F.col("n") / 20).alias("batch"))
+    return numbered(rows, "conv_id", "turn", "role").select("conv_id", "turn", F.floor(F.col("n") / 20).alias("batch"))
 
 
 @query("SELECT conv_id, turn FROM conversations WHERE conv_id NOT IN (SELECT conv_id FROM conversations WHERE role = 'system')")

@@ -3,10 +3,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from loomsift.operators import dedupe, events, gates, graph, inference, learning, reports, similarity, state
+from loomsift.operators import dedupe, events, gates, graph, inference, learning, order, reports, similarity, state
 from loomsift.operators.gates import GateConfig, Persona, Rule, Tier
 from loomsift.sources import tables
-from loomsift.streaming import rounds
 
 NOW = 1_704_240_000_000
 ITEM = "id string, source string, title string, body string, url string, published_at long, seq long"
@@ -145,8 +144,8 @@ def merge_loop(old, new):
         if u in by:
             continue
         if i in used:
-            prefix, n = i.rsplit(":", 1)[0] + ":", 0
-            while f"{prefix}{n}" in used or any(f"{prefix}{n}" == j for j, v in new if v not in by and v != u):
+            prefix, n = i.rsplit(":", 1)[0] + ":", int(i.rsplit(":", 1)[1])
+            while f"{prefix}{n}" in used:
                 n += 1
             i = f"{prefix}{n}"
         by[u] = i
@@ -162,7 +161,7 @@ def test_pack_merge(spark):
     merged = state.pack_merged(frame(old, "old"), frame(new, "new")).collect()
     ids = {r.source_url: r.id for r in merged}
     assert len(set(ids.values())) == len(ids) == 6
-    assert ids[url("a")] == "p:d:0" and ids[url("b")] == "p:d:1" and ids[url("y")] == "p:d:2"
+    assert ids[url("a")] == "p:d:0" and ids[url("b")] == "p:d:1" and ids[url("x")] == "p:d:2"
     assert ids == merge_loop(old, new)
     assert {r.source_url: r.content for r in merged}[url("b")] == "new"
     assert state.contract_breaks(frame(old, "x")).count() == 0
@@ -170,6 +169,44 @@ def test_pack_merge(spark):
     assert {r.rule: r.n for r in state.contract_breaks(broken).collect()} == {"id": 1, "duplicate id": 1, "missing url": 1, "duplicate url": 1}
 
 
+def test_pack_merge_against_a_loop(spark):
+    """Random packs of two digests, large numbers too: new posts in order of number, each to the next free one."""
+    rng = random.Random(6)
+    for _ in range(4):
+        ids = lambda k, top: [f"p:{d}:{n}" for d in ("d", "e") for n in sorted(rng.sample(range(top), k))]
+        old = [(i, f"https://o.example/{i}") for i in ids(8, 14)] + [("p:d:99999999999", "https://o.example/far")]
+        new = [(i, rng.choice([f"https://n.example/{i}", old[rng.randrange(len(old))][1]])) for i in ids(9, 14)] + [("p:d:99999999999", "https://n.example/far")]
+        new = list({u: (i, u) for i, u in new}.values())
+        new.sort(key=lambda r: int(r[0].rsplit(":", 1)[1]))
+        frame = lambda rows: spark.createDataFrame(rows, "id string, source_url string")
+        assert {r.source_url: r.id for r in state.pack_merged(frame(old), frame(new)).collect()} == merge_loop(old, new)
+
+
+def test_large_orders_are_repeatable(spark):
+    """A million rows over many ranges: places and quantiles are right, and the same when asked again."""
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        frame = spark.range(1_000_000).select(((F.col("id") * 7919) % 1_000_003).cast("double").alias("v"))
+        want = sorted((k * 7919) % 1_000_003 for k in range(1_000_000))
+        for _ in range(2):
+            assert [r.value for r in learning.quantiles(frame, "v", [0.5, 0.9]).orderBy("q").collect()] == [want[500_000], want[900_000]]
+        placed = order.numbered(frame, "v")
+        assert placed.agg(F.count_distinct("n"), F.min("n"), F.max("n")).first()[:] == (1_000_000, 0, 999_999)
+        assert placed.where("n = 123456").first().v == want[123_456]
+        assert dedupe.retain(frame, 200_000, F.desc("v")).agg(F.count("*"), F.min("v")).first()[:] == (200_000, want[800_000])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
+def test_favourites_count_once(spark):
+    rows = [("p:d:0", 0, False, 0, False, "satisfied", False, 1), ("p:d:0", 0, False, 0, False, None, True, 0), ("p:d:1", 0, False, 0, False, None, True, 2), ("p:d:1", 0, False, 0, False, None, True, 3), ("p:d:1", 5, False, 0, True, "stopped", False, 4)]
+    signals = spark.createDataFrame(rows, "post_id string, dwell_ms long, completed boolean, chat_turns int, dismissed boolean, reaction string, favorite boolean, seq long")
+    refs = spark.createDataFrame([("d:0", "i0", "s"), ("d:1", "i1", "s")], "ref string, item_id string, source string")
+    got = sorted((r.kind, r["index"], r.seq) for r in state.routed(signals, refs).collect())
+    assert got == [("down", 1, 4), ("expand", 1, 2), ("expand", 1, 4), ("up", 0, 1), ("up", 1, 2), ("view", 1, 4)]
+
+
 def test_pack_rows(spark):
     post = spark.createDataFrame([("p:d:0", "t", ["a", "b", "c"], "摘要摘要摘要", "b", "https://e.example", "w", 0)], "id string, title string, hooks array<string>, summary string, body string, url string, why string, published_at long")
     row = state.pack_posts(post, "p", "P", NOW).first()
@@ -235,7 +272,7 @@ def test_verdicts_and_copies(spark):
 
 def test_numbers_without_one_sort(spark):
     frame = spark.range(500).select((F.col("id") * 7919 % 503).alias("v"))
-    rows = rounds.numbered(frame, "v").collect()
+    rows = order.numbered(frame, "v").collect()
     assert [r.n for r in sorted(rows, key=lambda r: r.v)] == list(range(500))
 
 

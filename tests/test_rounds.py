@@ -75,6 +75,35 @@ def test_round_over_pages(spark, sf_dir):
     assert len(rounds.audit([("collected", 3), ("kept", 5)], 4, 3, 1)) == 3
 
 
+def test_memory_of_a_round(spark, sf_dir):
+    persona = Persona("daily", ("pages",), max_items=4, display="Daily", domain="prose")
+    config = GateConfig(min_points=1, tiers=(Tier("core", 1, ("the", "de", "der", "of")),), stopwords=("the",))
+    round_ = rounds.Round(persona, config, ("the", "der"), ("only",), NOW, "d1")
+    items = from_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    none = spark.createDataFrame([], "canonical_url string")
+    weights = spark.createDataFrame([("pages", 0.7)], "source string, weight double")
+    candidates, _, _ = rounds.collect(items, round_, items.limit(0).select("id", "title"), none, weights)
+    assert [r.score for r in candidates.orderBy("pos").collect()] == sorted((r.score for r in candidates.collect()), reverse=True)
+    posts = rounds.finalize(candidates, round_, none)
+    empty = lambda ddl: spark.createDataFrame([], ddl)
+    old = [("d0", 0, "pages", NOW - 10**9), ("d0", 1, "pages", NOW - 10**9)]
+    memory = rounds.Memory(
+        empty("id string, title string, url string, source string, first_seen long, last_seen long, hits long, pushed boolean, seq long"),
+        empty("digest_id string, generated_at long, clusters array<struct<index:long,title:string,summary:string,url:string>>, seq long"),
+        empty("ref string, digest_id string, item_id string, source string, seq long"),
+        spark.createDataFrame(old, "digest_id string, index int, source string, at long"),
+        spark.createDataFrame([("d0", 1)], "digest_id string, index int"),
+        empty("digest_id string, index int"),
+    )
+    after = rounds.recorded(memory, candidates, posts, round_)
+    n = posts.where("state in ('accepted', 'filled')").count()
+    assert after.archive.count() == candidates.count() and after.archive.where("pushed").count() == n
+    assert after.refs.count() == n and after.shown.count() == 2 + n and after.settled.count() == 2
+    assert after.digests.count() == (1 if n else 0)
+    again = rounds.recorded(after, candidates, posts, round_)
+    assert again.digests.count() == after.digests.count() and again.refs.count() == n and again.settled.count() == 2 and again.archive.where("pushed").count() == n
+
+
 def test_demoted_come_last(spark, sf_dir):
     from loomsift.operators import events
 
