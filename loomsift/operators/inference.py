@@ -92,10 +92,14 @@ def copies(replies: DataFrame) -> DataFrame:
     return said.select("id", *[F.when(ok, c).alias(n) for c, n in ((hooks, "hooks"), (strip(F.col("summary")), "summary"), (strip(F.col("why")), "why"))])
 
 
+def inclusions(replies: DataFrame) -> DataFrame:
+    """(id, include): what the judge of a recall pool said, null where it said nothing."""
+    return _by_item(replies, "index: int, include: boolean").select("id", "include")
+
+
 def recalled(pool: DataFrame, replies: DataFrame) -> DataFrame:
     """The items of a recall pool that the judge included; no answer is no."""
-    said = _by_item(replies, "index: int, include: boolean")
-    return pool.join(said.where("include").select("id"), "id", "left_semi")
+    return pool.join(inclusions(replies).where("include").select("id"), "id", "left_semi")
 
 
 def usage(replies: DataFrame) -> DataFrame:

@@ -754,3 +754,7 @@ def merged_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").withColumn("_c", canonical_url(F.col("url")))
     pack = lambda d: dedupe.latest_of(d, ["_c"], F.asc("page_id")).select(F.concat(F.lit("daily:d1:"), (F.col("page_id") % 97).cast("string"), F.col("page_id").cast("string")).alias("id"), F.col("url").alias("source_url"), "page_id")
     return state.pack_merged(pack(pages.where(F.startswith("url", F.lit("http:")))), pack(pages.where(F.startswith("url", F.lit("https:")))))
+
+
+# Registers the queries of connectors, editors and publication as well.
+from loomsift import round_queries as _round_queries  # noqa: E402, F401
