@@ -166,15 +166,17 @@ def round_row(scores: DataFrame) -> DataFrame:
     return rest.crossJoin(q).select("n", *[round3(F.col(c)).alias(c) for c in ("p50", "p90", "top1", "mean", "saturation", "new_rate")])  # one row each
 
 
-def recall_calibration(gold: DataFrame, judged: DataFrame) -> DataFrame:
+def recall_calibration(gold: DataFrame, judged: DataFrame, agreement: float = 0.7) -> DataFrame:
     """One row on how a recall judge (id, include; null for no answer) agrees with gold (id, include): counts of right and
-    wrong inclusions, precision, recall, the share of missing answers, and whether that is within 0.3."""
+    wrong inclusions, precision, recall, and usable: at most 0.3 of the answers are missing and `agreement` of all are right."""
     both = gold.select("id", F.col("include").alias("want")).join(judged.select("id", F.col("include").alias("said")), "id", "left")
     n = F.count("*")
     row = both.agg(
         n.alias("n"), F.count_if(F.col("want") & F.col("said")).alias("right"), F.count_if(~F.col("want") & F.col("said")).alias("wrong"),
         F.count_if(F.col("want") & ~F.coalesce("said", F.lit(False))).alias("missed"), F.count_if(F.col("said").isNull()).alias("missing"),
+        F.count_if(F.col("want") == F.col("said")).alias("_agreed"),
     )
     ratio = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
-    right, rate = F.col("right"), ratio(F.col("missing"), F.col("n"))
-    return row.withColumns({"precision": ratio(right, right + F.col("wrong")), "recall": ratio(right, right + F.col("missed")), "usable": (F.col("n") > 0) & (rate <= 0.3)})
+    right, n = F.col("right"), F.col("n")
+    good = (n > 0) & (ratio(F.col("missing"), n) <= 0.3) & (ratio(F.col("_agreed"), n) >= agreement)
+    return row.withColumns({"precision": ratio(right, right + F.col("wrong")), "recall": ratio(right, right + F.col("missed")), "usable": good}).drop("_agreed")

@@ -594,8 +594,8 @@ def round_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH g AS (SELECT doc_id, quality = 1 AS want, CASE WHEN lang = 'es' THEN NULL ELSE n_chars > 500 END AS said FROM labels JOIN documents USING (doc_id)),
-r AS (SELECT count(*) AS n, count_if(want AND said) AS rgt, count_if(NOT want AND said) AS wrg, count_if(want AND NOT coalesce(said, false)) AS mis, count_if(said IS NULL) AS nul FROM g)
-SELECT CAST(n AS BIGINT) AS n, CAST(rgt AS BIGINT) AS "right", CAST(wrg AS BIGINT) AS wrong, CAST(mis AS BIGINT) AS missed, CAST(nul AS BIGINT) AS missing, round(rgt / (rgt + wrg), 6) AS precision, round(rgt / (rgt + mis), 6) AS recall, nul / n <= 0.3 AS usable FROM r""")
+r AS (SELECT count(*) AS n, count_if(want AND said) AS rgt, count_if(NOT want AND said) AS wrg, count_if(want AND NOT coalesce(said, false)) AS mis, count_if(said IS NULL) AS nul, count_if(want = said) AS agr FROM g)
+SELECT CAST(n AS BIGINT) AS n, CAST(rgt AS BIGINT) AS "right", CAST(wrg AS BIGINT) AS wrong, CAST(mis AS BIGINT) AS missed, CAST(nul AS BIGINT) AS missing, round(rgt / (rgt + wrg), 6) AS precision, round(rgt / (rgt + mis), 6) AS recall, nul / n <= 0.3 AND agr / n >= 0.7 AS usable FROM r""")
 def recall_judge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A judge that includes long documents and does not read Spanish, against the quality labels."""
     labels, docs = table(spark, sf_dir, "labels"), table(spark, sf_dir, "documents")
