@@ -740,7 +740,7 @@ def crowded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def rendered_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page as a post with its hooks, summary, reason, and the first assertion that it breaks. Tested by a Python twin."""
+    """Every page as a post with its hooks, summary, reason, and the first assertion that it breaks. post_assertions tests each assertion."""
     items = from_pages(table(spark, sf_dir, "pages")).withColumn("pos", F.col("seq")).withColumn("event_key", F.col("id"))
     # Written between rendering and asserting: one generated method for both would be too long to compile.
     posts = written(render.rendered(items, "daily", "d1", "prose", KEYWORDS, SIGNALS, list(CONFIG.stopwords)), "posts")

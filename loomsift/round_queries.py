@@ -212,3 +212,41 @@ def digest_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     old, new = refs.where("source <> 'signup'"), refs.where("source = 'signup'")
     return state.refs_registered(old, new).select("ref", "digest_id", "item_id", "source")
+
+
+#: Ways to break a sound post, and the assertion that each breaks first.
+BREAKS = {
+    "sound": None, "undated": None, "damaged body": "damagedBody", "damaged summary": "damagedBody", "same url": "duplicateUrl", "known url": "alreadyPublished", "cut title": "mechanicalTruncation",
+    "fragment": "fragmentHook", "short hook": "fragmentHook", "score": "scoreEcho", "shout": "blacklistRecheck", "no title": "blacklistRecheck", "general hook": "hookEntity", "old": "tooOld", "future": "tooOld",
+    "two hooks": "shapeViolation", "same hooks": "shapeViolation", "long hook": "shapeViolation", "long summary": "shapeViolation", "long why": "shapeViolation", "no url": "shapeViolation",
+    "tag": "htmlLeak", "hollow": "hollowSummary", "short summary": "summaryBelowFloor", "short body": "bodyBelowFloor",
+}
+
+
+@query("SELECT page_id, way, rule FROM pages CROSS JOIN (VALUES " + ", ".join(f"('{w}', {f"'gk:{r}'" if r else 'NULL'})" for w, r in BREAKS.items()) + ") AS v(way, rule)")
+def post_assertions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a sound post and as posts that each break one assertion, held against all fourteen."""
+    way, page = F.col("way"), F.col("page_id").cast("string")
+    ways = list(BREAKS)
+    but = lambda usual, **cases: F.coalesce(*[F.when(way == k.replace("_", " "), v) for k, v in cases.items()], usual)
+    rows = table(spark, sf_dir, "pages").select("page_id", F.posexplode(F.array(*map(F.lit, ways))).alias("k", "way"))
+    title = F.concat(F.lit("Vectorhub releases a compiler for tensor graphs with page "), page)
+    sentence = "Vectorhub made a compiler for tensor graphs. "
+    summary, body = F.lit(sentence * 8), F.lit(sentence * 30)
+    hooks = [F.lit("Why does Vectorhub build a compiler"), F.lit("What tensor graphs gain from it"), F.lit("How the Vectorhub compiler was made")]
+    shaped = but(
+        F.array(*hooks), cut_title=F.array(F.concat(F.left(title, F.lit(50)), F.lit("…")), *hooks[1:]), fragment=F.array(hooks[0], F.lit("arXiv:2609."), hooks[2]), short_hook=F.array(hooks[0], F.lit("Vectorhub"), hooks[2]),
+        general_hook=F.array(F.lit("Is that quite reliable here"), *hooks[1:]), two_hooks=F.array(*hooks[:2]), same_hooks=F.array(hooks[0], hooks[0], hooks[2]), long_hook=F.array(F.lit("Vectorhub " * 12), *hooks[1:]),
+    )
+    own = F.concat(F.lit("https://a.example/"), page, F.lit("/"))
+    posts = rows.select(
+        F.concat(F.lit("daily:d1:"), (F.col("page_id") * len(ways) + F.col("k")).cast("string")).alias("id"), "page_id", "way", but(title, no_title=F.lit("")).alias("title"), shaped.alias("hooks"),
+        but(summary, damaged_summary=F.lit(sentence * 7 + "[object Object]"), shout=F.lit("Now!! " + sentence * 7), long_summary=F.lit(sentence * 40), hollow=F.lit("- . " * 90), short_summary=F.lit(sentence)).alias("summary"),
+        but(body, damaged_body=F.lit("[object Object]"), tag=F.lit(sentence * 30 + "<b>it</b>"), hollow=F.lit("- . " * 400), short_body=F.lit(sentence)).alias("body"),
+        but(F.lit("A compiler of its own"), score=F.lit("score 0.71 for it"), long_why=F.lit("compiler " * 60)).alias("why"),
+        but(F.concat(own, F.col("k").cast("string")), same_url=F.concat(own, F.lit("0?utm_source=x")), known_url=F.concat(own, F.lit("known")), no_url=F.lit("")).alias("url"),
+        F.lit("en").alias("lang"), but(F.lit(NOW_MS - 3_600_000), undated=F.lit(0), old=F.lit(NOW_MS - 100 * 3_600_000), future=F.lit(NOW_MS + 86_400_000)).cast("long").alias("published_at"),
+        F.lit("pages").alias("source"), page.alias("event_key"), (F.col("page_id") * len(ways) + F.col("k")).alias("pos"),
+    )
+    known = table(spark, sf_dir, "pages").select(F.concat(F.lit("https://a.example/"), page, F.lit("/known")).alias("canonical_url"))
+    return render.asserted(posts, CONFIG, known, 72, NOW_MS).select("page_id", "way", "rule")
