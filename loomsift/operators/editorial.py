@@ -71,12 +71,13 @@ def combined(targets: DataFrame, copies: DataFrame | None, verdicts: DataFrame |
     return out.join(said, "id", "left").withColumn("qualified", F.coalesce(F.col("verdict.score") >= least, F.lit(False)))
 
 
-def written_by_hand(posts: DataFrame, manual: DataFrame) -> DataFrame:
-    """posts (id, hooks, summary, why, ...) with the copies (id, hooks, summary, why) that somebody wrote by hand in place of
-    those made; one copy an id. A field that a copy leaves out stays as it was."""
+def with_copies(posts: DataFrame, copies: DataFrame, key: str = "id") -> DataFrame:
+    """posts (key, hooks, summary, why, ...) with the copies (key, hooks, summary, why) that a model or somebody by hand wrote
+    in place of those rendered; one copy a key. A field that a copy leaves out stays as it was."""
     fields = ("hooks", "summary", "why")
-    by_hand = manual.dropDuplicates(["id"]).select("id", *[F.col(c).alias(f"_{c}") for c in fields])
-    return posts.join(by_hand, "id", "left").withColumns({c: F.coalesce(f"_{c}", c) for c in fields}).drop(*[f"_{c}" for c in fields])
+    said = copies.dropDuplicates([key]).select(key, *[F.col(c).alias(f"_{c}") for c in fields])
+    both = posts.join(said, key, "left").withColumns({c: F.coalesce(f"_{c}", c) for c in fields})
+    return both.select(posts.columns)
 
 
 def recall_usable(gold: DataFrame, judges: list[Client], root: str, key: str, now_ms: int, size: int = 20) -> bool:
@@ -96,12 +97,12 @@ def recall_usable(gold: DataFrame, judges: list[Client], root: str, key: str, no
     return spark.read.parquet(path).first().passed
 
 
-def recalled(pool: DataFrame, usable: bool, judges: list[Client], size: int = 20) -> tuple[DataFrame, DataFrame]:
-    """(included, excluded with rule) of a recall pool (id, title, body, pos, ...). Judges that failed their gold set include nothing,
+def recalled(pool: DataFrame, usable: bool, judges: list[Client], order: str = "pos", size: int = 20) -> tuple[DataFrame, DataFrame]:
+    """(included, excluded with rule) of a recall pool (id, title, body, and their order). Judges that failed their gold set include nothing,
     and silence is no."""
     if not usable:
         return pool.limit(0), pool.withColumn("rule", F.lit("recall:calibrationFailed"))
-    said = inference.inclusions(inference.answered(inference.prompts(pool, "pos", size, "recall"), judges))
+    said = inference.inclusions(inference.answered(inference.prompts(pool, order, size, "recall"), judges))
     both = pool.join(said.withColumnRenamed("include", "_include"), "id", "left")
     rule = F.when(F.col("_include").isNull(), "recall:unanswered").otherwise("recall:excluded")
     taken = F.coalesce("_include", F.lit(False))

@@ -7,6 +7,7 @@ table, with the same result as in one run.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from loomsift.functions import text as T
 from loomsift.lineage import written
-from loomsift.operators import dedupe, events, gates, learning, render, similarity, state
+from loomsift.operators import dedupe, editorial, events, gates, learning, render, similarity, state
 from loomsift.operators.gates import GateConfig, Persona
 from loomsift.operators.order import numbered
 
@@ -27,19 +28,30 @@ class Round:
     signals: tuple[str, ...]
     now_ms: int
     digest: str
+    recall_pool: int = 60
+    quality_bar: float = 5
 
 
-def collect(items: DataFrame, round_: Round, archive: DataFrame, published: DataFrame, weights: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+Judge = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
+
+
+def collect(items: DataFrame, round_: Round, archive: DataFrame, published: DataFrame, weights: DataFrame, judge: Judge | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(candidates in order, drops, funnel) of items.
 
-    archive: (id, title); published: (canonical_url); weights: (source, weight).
+    archive: (id, title); published: (canonical_url); weights: (source, weight). judge, editorial.recalled with its clients,
+    takes the pool of those that fail on relevance alone; what it includes goes on like all others.
     """
     fresh = gates.prescreened(items, round_.persona.max_age_hours, round_.now_ms)
     known = archive.select("id")
     kept = dedupe.first_wins(fresh.where(~F.col("stale")).drop("stale"), "id", known)
-    judged = written(gates.judged(kept, round_.persona, round_.config, round_.now_ms), "judged")
-    by_url = dedupe.by_canonical_url(judged.where("rule is null").drop("gate", "rule"), published)
-    lost = gates.drops(judged).unionByName(gates.drops(by_url.where("rule is not null").withColumn("gate", F.lit("fingerprint"))))
+    judged = written(gates.judged(kept, round_.persona, round_.config, round_.now_ms, None if judge is None else round_.recall_pool), "judged")
+    sound, lost = judged.where("rule is null"), gates.drops(judged)
+    if judge is not None:
+        pool = written(gates.recall_pool(judged, round_.recall_pool), "pool")
+        included, excluded = judge(pool)
+        sound, lost = sound.unionByName(included.select(sound.columns)), gates.drops(judged, pool).unionByName(gates.drops(excluded))
+    by_url = dedupe.by_canonical_url(sound.drop("gate", "rule"), published)
+    lost = lost.unionByName(gates.drops(by_url.where("rule is not null").withColumn("gate", F.lit("fingerprint"))))
     passed = by_url.where("rule is null").drop("rule")
     scored = learning.with_score(passed, list(round_.keywords), list(round_.signals))
     titled = scored.withColumn("tokens", T.tokens(F.col("title")))
@@ -56,11 +68,25 @@ def collect(items: DataFrame, round_: Round, archive: DataFrame, published: Data
     return candidates, lost, funnel.crossJoin(counts)  # one row each
 
 
-def finalize(candidates: DataFrame, round_: Round, published: DataFrame) -> DataFrame:
-    """The candidates of a round's scope (twice its posts) as posts with their first broken assertion and their state."""
+def targets(candidates: DataFrame, round_: Round) -> DataFrame:
+    """The scope of a round, twice its posts, numbered in order (pos): what the editors read and what is rendered."""
     scope = events.ordered(candidates).limit(2 * round_.persona.max_items)
-    placed = numbered(scope.withColumn("_order", F.struct(~F.col("kept"), -F.col("score"), F.col("event_pos"), F.col("pos"))), "_order").withColumn("pos", F.col("n"))
+    return numbered(scope.withColumn("_order", F.struct(~F.col("kept"), -F.col("score"), F.col("event_pos"), F.col("pos"))), "_order").withColumn("pos", F.col("n"))
+
+
+def finalize(candidates: DataFrame, round_: Round, published: DataFrame, edited: editorial.Edited | None = None) -> DataFrame:
+    """The targets of a round as posts with their first broken assertion and their state.
+
+    With editors, what the reviewers rejected or scored under the bar comes after all others, and a writer's copy stands in
+    place of what is rendered. Whether a post is sound only the assertions say.
+    """
+    placed = targets(candidates, round_)
+    if edited and edited.verdicts is not None:
+        review = F.when(F.col("decision") == "reject", F.lit(-1.0)).otherwise(F.col("score").cast("double"))
+        placed = events.by_bar(placed.join(edited.verdicts.select("id", review.alias("review")), "id", "left"), round_.quality_bar)
     posts = render.rendered(placed, round_.persona.id, round_.digest, round_.persona.domain, list(round_.keywords), list(round_.signals), list(round_.config.stopwords))
+    if edited and edited.copies is not None:
+        posts = editorial.with_copies(posts, edited.copies.withColumnRenamed("id", "item_id"), "item_id")
     posts = written(posts, "posts")
     asserted = written(render.asserted(posts, round_.config, published, round_.persona.max_age_hours, round_.now_ms), "asserted")
     return events.selected(asserted.withColumn("passed", F.col("rule").isNull()), round_.persona.max_items, round_.config.max_per_event)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomsift.functions.urls import canonical_url
-from loomsift.lineage import shared_dir, unwritten, written
+from loomsift.lineage import shared_dir
 from loomsift.operators import editorial, inference, render, state
 from loomsift.operators.order import numbered
 from loomsift.plans import publishing
@@ -133,7 +133,7 @@ def manual_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies written by hand for the good documents, some without a reason."""
     made = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.array(F.lit("h")).alias("hooks"), F.lit("made").alias("summary"), F.lit("made").alias("why"))
     manual = table(spark, sf_dir, "labels").where("quality = 1").select(F.col("doc_id").alias("id"), F.lit(None).cast("array<string>").alias("hooks"), F.lit("by hand").alias("summary"), F.when(F.col("toxic") == 1, "hand").alias("why"))
-    return editorial.written_by_hand(made, manual).select("id", "summary", "why")
+    return editorial.with_copies(made, manual).select("id", "summary", "why")
 
 
 @query("SELECT doc_id AS id, lang = 'en' AS taken FROM documents WHERE lang <> 'es'")

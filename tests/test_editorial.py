@@ -139,4 +139,4 @@ def test_embeddings(spark):
 def test_copies_by_hand(spark):
     posts = spark.createDataFrame([("a", ["h"], "s", "w"), ("b", ["h"], "s", "w")], "id string, hooks array<string>, summary string, why string")
     manual = spark.createDataFrame([("a", None, "mine", None), ("a", None, "mine", None), ("z", None, "x", None)], posts.schema)
-    assert sorted(editorial.written_by_hand(posts, manual).collect()) == [("a", ["h"], "mine", "w"), ("b", ["h"], "s", "w")]
+    assert sorted(editorial.with_copies(posts, manual).collect()) == [("a", ["h"], "mine", "w"), ("b", ["h"], "s", "w")]

@@ -110,3 +110,34 @@ def test_demoted_come_last(spark, sf_dir):
     frame = spark.createDataFrame([("a", "t", 0, "e", 0.2, True), ("b", "t", 1, "e", 0.9, False), ("c", "t", 2, "f", 0.5, True)], "id string, title string, pos long, event_key string, score double, kept boolean")
     assert [r.id for r in events.ordered(frame).collect()] == ["c", "a", "b"]
     assert frame.agg(F.count("*")).first()[0] == 3
+
+
+def test_a_round_with_editors_and_a_recall_judge(spark, sf_dir):
+    from loomsift.operators import editorial
+
+    persona = Persona("daily", ("pages",), max_items=4, display="Daily", domain="prose")
+    config = GateConfig(min_points=2, tiers=(Tier("core", 1, ("the", "de", "der", "of")),), stopwords=("the",))
+    round_ = rounds.Round(persona, config, ("the", "der"), ("only",), NOW, "d1", recall_pool=3)
+    items = from_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    none, weights = spark.createDataFrame([], "canonical_url string"), spark.createDataFrame([("pages", 0.7)], "source string, weight double")
+    archive = items.limit(0).select("id", "title")
+    pools = []
+
+    def judge(pool):
+        pools.append([r.id for r in pool.orderBy("seq").collect()])
+        first = F.col("id") == pools[0][0]
+        return pool.where(first), pool.where(~first).withColumn("rule", F.lit("recall:excluded"))
+
+    candidates, lost, counts = rounds.collect(items, round_, archive, none, weights, judge)
+    assert len(pools[0]) == 3 and lost.where("rule = 'recall:excluded'").count() == 2
+    assert candidates.where(F.col("id") == pools[0][0]).count() == 1
+    over = lost.where("rule = 'recall:poolOverflow'").first()
+    beyond = int(over.title) if over else 0
+    assert candidates.count() + lost.where("item_id <> '(batch)'").count() + beyond == counts.first().deduped
+    ids = [r.id for r in rounds.targets(candidates, round_).orderBy("pos").collect()]
+    verdicts = spark.createDataFrame([(ids[0], 2, "keep"), (ids[1], 9, "reject"), (ids[2], 7, "keep")], "id string, score int, decision string")
+    copies = spark.createDataFrame([(ids[2], ["one of it", "two of it", "three of it"], "mine", "why"), (ids[3], None, None, None)], "id string, hooks array<string>, summary string, why string")
+    posts = rounds.finalize(candidates, round_, none, editorial.Edited(copies, verdicts))
+    rows = sorted(posts.collect(), key=lambda r: r.pos)
+    assert [r.item_id for r in rows] == ids[2:] + ids[:2]
+    assert rows[0].summary == "mine" and rows[1].summary != "mine" and len(rows[1].hooks) > 0
