@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomsift.llm import chatformat, decontam, htmltext, langid, media, neardup, packing, quality, secrets, toxicity
+from loomsift.llm import audit, chatformat, decontam, htmltext, langid, media, neardup, packing, quality, secrets, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,8 +21,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": langid.op8_language_id,
         "op9_benchmark_decontamination": decontam.op9_benchmark_decontamination,
         "op10_media_columns": media.op10_media_columns,
+        "op13_filter_audit": audit.op13_filter_audit,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op13_filter_audit": audit.OP13_SQL}
