@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomsift.llm import audit, chatformat, decontam, htmltext, langid, media, neardup, packing, quality, secrets, toxicity
+from loomsift.llm import audit, chatformat, decontam, htmltext, langid, media, neardup, packing, quality, secrets, simhash, toxicity, vectorcodes
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,9 +21,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": langid.op8_language_id,
         "op9_benchmark_decontamination": decontam.op9_benchmark_decontamination,
         "op10_media_columns": media.op10_media_columns,
+        "op11_vector_codes": vectorcodes.op11_vector_codes,
+        "op12_simhash_near_duplicates": simhash.op12_simhash_near_duplicates,
         "op13_filter_audit": audit.op13_filter_audit,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op13_filter_audit": audit.OP13_SQL}
+    return {"op11_vector_codes": vectorcodes.OP11_SQL, "op13_filter_audit": audit.OP13_SQL}
