@@ -3,7 +3,10 @@
 An Aho-Corasick automaton finds the magic bytes of all known formats in one pass over a value. At each place found a
 validator of the format checks the structure from there (headers, chunk lengths, checksums, end marks) and gives the
 length of the medium. A valid medium at the start decides the value's type, whatever was declared; valid media further
-on are carved out as embedded ones.
+on are carved out as embedded ones. The pages of an Ogg and the members of a gzip file belong to it and are not carved.
+
+Formats that are chains of parts (boxes, pages, blocks, segments) are followed by chain(): where a part ends does not
+depend on the medium that it is read for, so a value's parts are read once, however many signatures point into them.
 
 Texts can be stored as media without loss: store_text() writes their bytes as the 8-bit samples of a WAV file, padded
 with spaces to a whole number of frames of FRAME bytes, and features are computed from the stored bytes read back.
@@ -18,7 +21,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -51,6 +54,27 @@ TYPES = {
 }
 
 
+#: For a format and a place: where the chain of parts from there ends, and what was met on it.
+Chains = dict[tuple[str, int], tuple[int, int]]
+
+
+def chain(known: Chains, name: str, p: int, step: Callable[[int], tuple[int, int, bool]]) -> tuple[int, int]:
+    """(end, facts) of the chain of parts at p. step(p) gives the next place, a part's facts (bits) and if more may follow."""
+    path: list[tuple[int, int]] = []
+    while (name, p) not in known:
+        after, facts, more = step(p)
+        path.append((p, facts))
+        if not more:
+            known[name, p] = (after, facts)
+            break
+        p = after
+    end, met = known[name, p]
+    for q, facts in reversed(path):
+        met |= facts
+        known[name, q] = (end, met)
+    return end, met
+
+
 def _png(d: bytes, at: int) -> int:
     p = at + 8
     first = True
@@ -66,56 +90,52 @@ def _png(d: bytes, at: int) -> int:
     return 0
 
 
-def _jpeg(d: bytes, at: int) -> int:
-    p = at + 2
-    while p + 4 <= len(d) and d[p] == 0xFF:
-        kind = d[p + 1]
-        if kind == 0xFF:
+def _jpeg(d: bytes, at: int, known: Chains) -> int:
+    def step(p: int) -> tuple[int, int, bool]:
+        while d[p : p + 2] == b"\xff\xff":
             p += 1
-            continue
-        if kind < 0xC0 or 0xD0 <= kind <= 0xD9:
-            return 0
-        size = int.from_bytes(d[p + 2 : p + 4], "big")
-        if size < 2:
-            return 0
+        if p + 4 > len(d) or d[p] != 0xFF:
+            return p, 0, False
+        kind, size = d[p + 1], int.from_bytes(d[p + 2 : p + 4], "big")
+        if kind < 0xC0 or 0xD0 <= kind <= 0xD9 or size < 2:
+            return p, 0, False
         p += 2 + size
-        if kind == 0xDA:  # picture data: to the next marker that is no stuffing or restart
-            while True:
-                p = d.find(b"\xff", p)
-                if p < 0 or p + 1 >= len(d):
-                    return 0
-                if d[p + 1] == 0xD9:
-                    return p + 2 - at
-                if d[p + 1] != 0 and not 0xD0 <= d[p + 1] <= 0xD7 and d[p + 1] != 0xFF:
-                    break
-                p += 1 if d[p + 1] == 0xFF else 2
-    return 0
-
-
-def _gif(d: bytes, at: int) -> int:
+        while kind == 0xDA:  # picture data: to the next marker that is no stuffing or restart
+            p = d.find(b"\xff", p)
+            if p < 0 or p + 1 >= len(d):
+                return len(d), 0, False
+            if d[p + 1] == 0xD9:
+                return p + 2, 1, False
+            if d[p + 1] != 0 and not 0xD0 <= d[p + 1] <= 0xD7 and d[p + 1] != 0xFF:
+                break
+            p += 1 if d[p + 1] == 0xFF else 2
+        return p, 0, True
+
+    end, whole = chain(known, "jpeg", at + 2, step)
+    return end - at if whole else 0
+
+
+def _gif(d: bytes, at: int, known: Chains) -> int:
     if at + 13 > len(d):
         return 0
     table_size = lambda flags: 3 << (flags & 7) + 1 if flags & 0x80 else 0
-    p = at + 13 + table_size(d[at + 10])
-    images = 0
-
-    def blocks(p: int) -> int:
-        while p < len(d):
-            if d[p] == 0:
-                return p + 1
-            p += 1 + d[p]
-        return len(d) + 1
-
-    while p < len(d):
-        if d[p] == 0x3B:
-            return p + 1 - at if images else 0
-        if d[p] == 0x21:
-            p = blocks(p + 2)
-        elif d[p] == 0x2C and p + 10 <= len(d):
-            p, images = blocks(p + 11 + table_size(d[p + 9])), images + 1
-        else:
-            return 0
-    return 0
+
+    def data(p: int) -> tuple[int, int, bool]:
+        if p >= len(d):
+            return len(d) + 1, 0, False
+        return p + 1 + d[p], 0, d[p] != 0
+
+    def step(p: int) -> tuple[int, int, bool]:  # facts: 1 a picture, 2 the end mark
+        if p < len(d) and d[p] == 0x3B:
+            return p + 1, 2, False
+        if p < len(d) and d[p] == 0x21:
+            return chain(known, "gif data", p + 2, data)[0], 0, True
+        if p + 10 <= len(d) and d[p] == 0x2C:
+            return chain(known, "gif data", p + 11 + table_size(d[p + 9]), data)[0], 1, True
+        return p, 0, False
+
+    end, facts = chain(known, "gif", at + 13 + table_size(d[at + 10]), step)
+    return end - at if facts == 3 else 0
 
 
 def _bmp(d: bytes, at: int) -> int:
@@ -174,8 +194,8 @@ def _zips(d: bytes) -> dict[int, int]:
     return found
 
 
-def _gzip(d: bytes, at: int) -> int:
-    if at + 18 > len(d) or d[at + 3] & 0xE0:
+def _member(d: bytes, at: int) -> int:
+    if at + 18 > len(d) or d[at : at + 3] != b"\x1f\x8b\x08" or d[at + 3] & 0xE0:
         return 0
     stream, p = zlib.decompressobj(31), at
     try:
@@ -190,46 +210,64 @@ def _gzip(d: bytes, at: int) -> int:
     return p - len(stream.unused_data) - at if stream.eof else 0
 
 
-def _ogg(d: bytes, at: int) -> int:
-    p = at
-    while d[p : p + 5] == b"OggS\0" and p + 27 <= len(d):
+def _gzip(d: bytes, at: int, known: Chains) -> int:
+    def step(p: int) -> tuple[int, int, bool]:
+        size = _member(d, p)
+        return p + size, 0, size > 0
+
+    return chain(known, "gzip", at, step)[0] - at
+
+
+def _ogg(d: bytes, at: int, known: Chains) -> int:
+    def step(p: int) -> tuple[int, int, bool]:
+        if d[p : p + 5] != b"OggS\0" or p + 27 > len(d):
+            return p, 0, False
         segments = d[p + 26]
         end = p + 27 + segments + sum(d[p + 27 : p + 27 + segments])
-        if p + 27 + segments > len(d) or end > len(d):
-            break
-        p = end
-    return p - at
+        whole = p + 27 + segments <= len(d) and end <= len(d)
+        return end if whole else p, 0, whole
 
+    return chain(known, "ogg", at, step)[0] - at
 
-def _flac(d: bytes, at: int) -> int:
-    p, kind = at + 4, 0
-    while p + 4 <= len(d):
-        kind, size = d[p], int.from_bytes(d[p + 1 : p + 4], "big")
-        if p == at + 4 and (kind & 0x7F or size != 34):
-            return 0
-        p += 4 + size
-        if kind & 0x80:
-            # Frames carry no length: they reach to the end of the value.
-            return len(d) - at if p + 2 <= len(d) and d[p] == 0xFF and d[p + 1] & 0xFC == 0xF8 else 0
-    return 0
+
+def _flac(d: bytes, at: int, known: Chains) -> int:
+    def step(p: int) -> tuple[int, int, bool]:
+        if p + 4 > len(d):
+            return p, 0, False
+        after = p + 4 + int.from_bytes(d[p + 1 : p + 4], "big")
+        if not d[p] & 0x80:
+            return after, 0, True
+        # Frames carry no length: they reach to the end of the value.
+        return len(d), int(after + 2 <= len(d) and d[after] == 0xFF and d[after + 1] & 0xFC == 0xF8), False
+
+    if at + 8 > len(d) or d[at + 4] & 0x7F or d[at + 5 : at + 8] != b"\0\0\x22":
+        return 0
+    end, whole = chain(known, "flac", at + 4, step)
+    return end - at if whole else 0
 
 
-def _mp4(d: bytes, at: int) -> int:
-    p, kinds = at, []
-    while p + 8 <= len(d):
+def _mp4(d: bytes, at: int, known: Chains) -> int:
+    def step(p: int) -> tuple[int, int, bool]:
         size, kind = int.from_bytes(d[p : p + 4], "big"), d[p + 4 : p + 8]
-        if not kind.isalnum() or size < 8 or p + size > len(d) or p == at and (kind != b"ftyp" or size < 16):
-            break
-        kinds.append(kind)
-        p += size
-    return p - at if b"moov" in kinds or b"moof" in kinds else 0
+        if p + 8 > len(d) or not kind.isalnum() or size < 8 or p + size > len(d):
+            return p, 0, False
+        return p + size, int(kind in (b"moov", b"moof")), True
+
+    if int.from_bytes(d[at : at + 4], "big") < 16:
+        return 0
+    end, films = chain(known, "mp4", at, step)
+    return end - at if films else 0
 
 
-VALIDATORS = {"png": _png, "jpeg": _jpeg, "gif": _gif, "bmp": _bmp, "pdf": _pdf, "gzip": _gzip, "ogg": _ogg, "flac": _flac, "mp4": _mp4}
+VALIDATORS = {"png": _png, "bmp": _bmp, "pdf": _pdf}
+CHAINED = {"jpeg": _jpeg, "gif": _gif, "gzip": _gzip, "ogg": _ogg, "flac": _flac, "mp4": _mp4}
+#: Formats of parts that each begin like a medium.
+PAGED = ("gzip", "ogg")
 
 
-def medium_at(data: bytes, at: int, name: str, zips: dict[int, int] | None = None) -> tuple[str, int]:
-    """Format and length of the valid medium there, or ('', 0). zips: what _zips() gives, if it is known."""
+def medium_at(data: bytes, at: int, name: str, zips: dict[int, int] | None = None, known: Chains | None = None) -> tuple[str, int]:
+    """Format and length of the valid medium there, or ('', 0). zips: what _zips() gives, if it is known; known: the
+    value's chains so far."""
     if at < 0:
         return "", 0
     if name == "zip":
@@ -237,7 +275,7 @@ def medium_at(data: bytes, at: int, name: str, zips: dict[int, int] | None = Non
         return ("zip", size) if size else ("", 0)
     if name == "riff":
         return _riff(data, at)
-    size = VALIDATORS[name](data, at)
+    size = CHAINED[name](data, at, {} if known is None else known) if name in CHAINED else VALIDATORS[name](data, at)
     return (name, size) if size else ("", 0)
 
 
@@ -256,14 +294,16 @@ def sniff(data: bytes | None) -> tuple[str | None, int, list[tuple[str, int, int
     """(type, length of the medium at the start, embedded media as (type, offset, length)) of a value."""
     if data is None:
         return None, 0, []
-    kind, size, end, embedded, zips = UNKNOWN, 0, 0, [], None
+    kind, size, end, embedded, zips, known = UNKNOWN, 0, 0, [], None, {}
     for last, (back, name) in _automaton().iter(data.decode("latin-1")):
         at = last - back
         if at != 0 and at < end:
             continue  # inside a medium that is carved already
+        if 0 < at < size and name in PAGED and kind == TYPES[name]:
+            continue  # a part of the medium at the start
         if name == "zip" and zips is None:
             zips = _zips(data)
-        found, length = medium_at(data, at, name, zips)
+        found, length = medium_at(data, at, name, zips, known)
         if not length:
             continue
         if at == 0:

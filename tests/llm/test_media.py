@@ -112,3 +112,33 @@ def test_archives_of_many_entries_and_nested_ones():
     cut = b"PK\x03\x04" * 100_000
     assert media.sniff(cut) == (media.UNKNOWN, 0, [])
     assert time.time() - began < 5
+
+
+def page(n, data=b"hello"):
+    return b"OggS\0" + bytes([2 * (n == 0)]) + struct.pack("<QIII", n, 1, n, 0) + bytes([1, len(data)]) + data
+
+
+def test_parts_of_a_medium_are_not_carved():
+    ogg = b"".join(page(n) for n in range(3))
+    members = gzip.compress(b"one " * 30) + gzip.compress(b"two " * 30) + gzip.compress(b"")
+    for kind, data in (("application/ogg", ogg), ("application/gzip", members)):
+        assert media.sniff(data) == (kind, len(data), [])
+        assert media.sniff(b"text " + data + b" and more") == (media.UNKNOWN, 0, [(kind, 5, len(data))])
+    # Another format inside is still carved, and a broken last part ends the medium.
+    held = ogg + page(3, png())
+    assert media.sniff(held) == ("application/ogg", len(held), [("image/png", len(ogg) + 28, len(png()))])
+    assert media.sniff(ogg + page(3)[:-1]) == ("application/ogg", len(ogg), [])
+    assert media.sniff(members + gzip.compress(b"x" * 99)[:-9])[:2] == ("application/gzip", len(members))
+
+
+def test_chains_are_followed_once():
+    """A million bytes of parts that never end well, each of which looks like a start."""
+    box = struct.pack(">I4s8s", 16, b"ftyp", b"isom0000")
+    flac = b"fLaC" + b"\0\0\0\x22" + b"fLaC\0\0\0\x22" * 4 + b"\0\0"
+    gif = b"GIF89a\1\0\1\0\0\0\0\x21\xf9" + b"\x06GIF89a" * 8
+    jpeg = b"\xff\xd8\xff\xe0\0\x04ab\xff\xda\0\x02xyz"
+    for unit in (box, page(0)[:-5] + b"OggS\0", flac, gif, jpeg, b"\x1f\x8b\x08\0"):
+        data = b"." + unit * (1_000_000 // len(unit))
+        began = time.process_time()
+        assert media.sniff(data)[0] == media.UNKNOWN
+        assert time.process_time() - began < 8, unit
