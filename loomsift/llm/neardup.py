@@ -191,19 +191,32 @@ def missed_pairs(pairs: DataFrame, comps: DataFrame, sets: DataFrame, percent: i
     kept = each.select("leader", "x", "comp", "outside", "size", F.size("d").alias("n")).join(shared, ["leader", "x"])
     kept = kept.withColumn("common", F.size("shared")).withColumn("rest", most + 1 - (F.col("n") - F.col("common"))).where("rest > 0")
     kept = written(kept.select("leader", "x", "comp", "outside", "size", "n", "common", F.slice(F.col("shared.e"), F.lit(1), F.col("rest")).alias("first")), "prefixes")
-    one = kept.withColumn("e", F.explode("first"))
-    # A shingle that only one component has under a leader can join nothing, however many rows have it.
-    several = one.groupBy("leader", "e").agg(F.min("comp").alias("c"), F.max("comp").alias("d")).where("c <> d").select("leader", "e")
-    one = one.join(several, ["leader", "e"])
-    x = one.where("outside").select("leader", "e", "x", *[F.col(c).alias(f"{c}_x") for c in ("comp", "size", "n", "common", "first")])
-    y = one.select("leader", "e", F.col("x").alias("y"), *[F.col(c).alias(f"{c}_y") for c in ("comp", "outside", "size", "n", "common", "first")])
+    strays, rows = stray_rows(kept.withColumn("e", F.explode("first")))
+    strays = strays.select("leader", "e", "base", F.col("x").alias("y"), *[F.col(c).alias(f"{c}_y") for c in ("comp", "outside", "size", "n", "common", "first")])
+    rows = rows.select("leader", "e", "x", *[F.col(c).alias(f"{c}_x") for c in ("comp", "outside", "size", "n", "common", "first")])
     sizes = F.col("size_x") + F.col("size_y")
-    fits = (F.col("comp_x") != F.col("comp_y")) & (~F.col("outside_y") | (F.col("x") < F.col("y")))
+    # Two strays meet twice, a stray and a row of the base once.
+    fits = (F.col("comp_x") != F.col("comp_y")) & ((F.col("comp_x") == F.col("base")) | (F.col("x") < F.col("y"))) & (F.col("outside_x") | F.col("outside_y"))
     fits &= 100 * F.least("size_x", "size_y") >= percent * F.greatest("size_x", "size_y")
     fits &= (100 + percent) * (F.col("n_x") + F.col("n_y") - 2 * F.least("common_x", "common_y")) <= (100 - percent) * sizes
     # Once for each pair: at the first shingle that both prefixes have.
     fits &= F.col("e") == F.get(F.array_intersect("first_x", "first_y"), F.lit(0))
-    return x.join(y, ["leader", "e"]).where(fits).select("x", "y").distinct()
+    return rows.join(strays, ["leader", "e"]).where(fits).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+
+
+def stray_rows(one: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of one (leader, e, comp, ...) the rows outside the base, the component with most rows under a leader and shingle,
+    with it (base), and all rows that these have to be compared with.
+
+    A link between components has a row outside the base at one end at least, so pairs are those of the strays with all
+    rows: linear in a large cluster, however many rows it has under the shingle. A shingle that only one component has
+    under a leader has no strays.
+    """
+    each = one.groupBy("leader", "e", "comp").agg(F.count("*").alias("n"))
+    bases = each.groupBy("leader", "e").agg(F.max(F.struct("n", "comp")).alias("most"), F.count("*").alias("comps")).where("comps > 1")
+    mixed = one.join(bases.select("leader", "e", F.col("most.comp").alias("base")), ["leader", "e"])
+    mixed = written(mixed, "mixed")
+    return mixed.where("comp <> base"), mixed.drop("base")
 
 
 def grouped(docs: DataFrame, percent: int, width: int) -> DataFrame:

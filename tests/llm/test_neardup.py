@@ -115,3 +115,34 @@ def test_two_clusters_under_one_leader(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     for percent, width in ((80, 5), (85, 3)):
         assert as_dict(neardup.near_duplicates(docs, percent, width)) == brute(rows, percent, width)
+
+
+def test_rows_under_one_shingle_grow_with_the_cluster(spark):
+    """Two clusters of edited copies and one stray under one leader: what the strays are joined with grows linearly."""
+    joined = {}
+    for n in (1200, 4000):
+        # e 0 is shared by the cluster of component 2 and the stray, e 1 by both clusters, e 2 by one alone.
+        rows = [(1, 0, k, 2) for k in range(n)] + [(1, 0, -1, 3)]
+        rows += [(1, 1, k, 2) for k in range(n)] + [(1, 1, -k, 1) for k in range(2, 5)]
+        rows += [(1, 2, k, 2) for k in range(n)]
+        one = spark.createDataFrame(rows, "leader long, e long, x long, comp long")
+        strays, every = neardup.stray_rows(one)
+        assert sorted(r.x for r in strays.collect()) == [-4, -3, -2, -1]
+        joined[n] = strays.join(every.select("leader", "e", F.col("x").alias("y")), ["leader", "e"]).count()
+    assert joined[4000] <= 3.5 * joined[1200]
+
+
+def test_two_large_clusters_and_a_stray(spark):
+    """Edited copies of a text and of one that is 0.8 like it, and a row between, against brute force."""
+    base = [f"w{k}" for k in range(300)]
+    second = [f"v{k}" if k % 16 == 5 else w for k, w in enumerate(base)]
+    rows = []
+    for k in range(240):
+        words = list(base if k % 5 < 3 else second)
+        words[(7 * k) % 300] = f"x{k}"
+        rows.append((k, " ".join(words)))
+    between = [f"v{k}" if k % 48 == 5 else w for k, w in enumerate(base)]
+    rows.append((999, " ".join(between)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for percent, width in ((85, 3), (80, 5)):
+        assert as_dict(neardup.near_duplicates(df, percent, width)) == brute(rows, percent, width)
