@@ -9,8 +9,14 @@ letter.
 Texts are parsed in stretches of STRETCH characters, a phrase ending with its stretch, and all stretches of a batch
 advance together by one character a step, so the work of a step is one look-up in the automaton's table for each.
 
+No letter is left out, however many there are. Where all languages together have at most SHARED letters, their tables are
+over one alphabet. With more, each language has an alphabet of its own, into which a step's letters are translated. A
+table has a place for each state and letter if it has its share of DENSE places at most; a larger one (ideographs) has
+only the transitions that occur, in order, and is searched.
+
 Learning reads a bounded sample: at most SAMPLE_DOCS labelled rows a language (fewer if there are more than LANGUAGES
-languages), spread by hash over all of them, and of each a passage of at most PASSAGE characters at a place chosen by hash.
+languages, one at least), spread by hash over all of them, and of each a passage of at most PASSAGE characters at a place
+chosen by hash. So the model grows with the number of label values beyond LANGUAGES * SAMPLE_DOCS of them, by one passage each.
 
 Edge cases: null texts and texts without a letter get language `und` and score 0; very long texts are parsed whole;
 repeated rows get equal results; an empty table gives an empty result; without any labelled row every text is `und`;
@@ -41,6 +47,9 @@ STRETCH, TOGETHER = 1024, 8192
 SHARPNESS = 12.0
 #: Share of its letters that the chosen language must know for the stage to keep a document.
 LEAST_KNOWN = 0.5
+#: Letters that all languages may have together to share an alphabet, and places (4 bytes each) that the tables of all
+#: languages with a place for each state and letter may have.
+SHARED, DENSE = 96, 96_000_000
 MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~0123456789"
 #: Codes of a letter that no automaton has, and of white space; the letters follow.
 UNKNOWN, SPACE = 0, 1
@@ -89,9 +98,7 @@ class SuffixAutomaton:
         """Flat table at state * width + code of the next state * width; its complement where a phrase ends before the
         character. A character that the text lacks leads to the start."""
         width = max(codes.values(), default=SPACE) + 1
-        root = np.full(width, -1, np.int32)
-        for c, n in self.step[0].items():
-            root[codes[c]] = n * width
+        root = self.first(codes) * width
         out = np.empty((len(self.step), width), np.int32)
         out[:] = np.where(root >= 0, ~root, -1)
         out[0] = np.maximum(root, 0)
@@ -100,6 +107,54 @@ class SuffixAutomaton:
                 out[s, codes[c]] = n * width
         return out.ravel()
 
+    def first(self, codes: dict[str, int]) -> np.ndarray:
+        """The state after one character by its code, negative for a character that the text lacks."""
+        root = np.full(max(codes.values(), default=SPACE) + 1, -1, np.int32)
+        for c, n in self.step[0].items():
+            root[codes[c]] = n
+        return root
+
+
+class DenseTable:
+    """An automaton with a place for each state and letter."""
+
+    def __init__(self, automaton: SuffixAutomaton, codes: dict[str, int]) -> None:
+        self.table = automaton.table(codes)
+
+    def parsed(self, steps: np.ndarray, active: np.ndarray) -> np.ndarray:
+        """Phrases of stretches of text, a column of `steps` each; active[t] of them have a character at step t."""
+        table_ = self.table
+        state, ended = np.zeros(steps.shape[1], np.int32), np.zeros(steps.shape[1], np.int32)
+        for codes, n in zip(steps, active.tolist()):
+            now = table_[state[:n] + codes[:n]]
+            breaks = now >> 31  # -1 where a phrase ended
+            ended[:n] -= breaks
+            state[:n] = now ^ breaks
+        return ended + (state != 0)
+
+
+class SparseTable:
+    """An automaton with the transitions that occur, in order of state and letter: linear in its text."""
+
+    def __init__(self, automaton: SuffixAutomaton, codes: dict[str, int]) -> None:
+        self.root = automaton.first(codes)
+        self.width = len(self.root)
+        moves = sorted((s * self.width + codes[c], n) for s, onward in enumerate(automaton.step) for c, n in onward.items())
+        self.keys, self.next = np.array([k for k, _ in moves], np.int64), np.array([n for _, n in moves], np.int32)
+
+    def parsed(self, steps: np.ndarray, active: np.ndarray) -> np.ndarray:
+        """As DenseTable.parsed()."""
+        start = np.maximum(self.root, 0)
+        state, ended = np.zeros(steps.shape[1], np.int64), np.zeros(steps.shape[1], np.int32)
+        for codes, n in zip(steps, active.tolist()):
+            key = state[:n] * self.width + codes[:n]
+            place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            goes_on = self.keys[place] == key
+            # A phrase ends where the state has no such letter; a letter that the text lacks ends none at the start.
+            ended[:n] += ~goes_on & (state[:n] != 0)
+            state[:n] = np.where(goes_on, self.next[place], start[codes[:n]])
+        return ended + (state != 0)
+
 
 def plain(text: str) -> str:
     """Lower case; everything but letters as single spaces, with one at both ends."""
@@ -131,25 +186,28 @@ class Parser:
 
     def __init__(self, model: tuple[tuple[str, str], ...]) -> None:
         self.names = [k for k, _ in model]
-        # One byte a code; the rarest letters of more alphabets than that count as unknown to all.
-        count: dict[str, int] = {}
-        for _, text in model:
-            for c in text:
-                if c != " ":
-                    count[c] = count.get(c, 0) + 1
-        letters = sorted(sorted(count), key=lambda c: -count[c])[:250]
-        codes = {" ": SPACE} | {c: k + 2 for k, c in enumerate(sorted(letters))}
-        self.lookup = _letters().copy()
-        for c, k in codes.items():
-            self.lookup[ord(c)] = k
+        codes = {" ": SPACE} | {c: k + 2 for k, c in enumerate(sorted({c for _, text in model for c in text} - {" "}))}
         self.width = len(codes) + 1
-        self.tables, self.lacks = [], np.ones((self.width, len(model)), np.int64)
+        self.kind = np.min_scalar_type(self.width)
+        self.lookup = _letters().astype(self.kind)
+        self.lookup[[ord(c) for c in codes]] = list(codes.values())
+        self.tables: list[DenseTable | SparseTable] = []
+        # Of each language the own code of a shared one, None where they are the same.
+        self.own: list[np.ndarray | None] = []
+        self.lacks = np.ones((self.width, len(model)), np.int64)
+        self.bits = np.array([math.log2(len(t) + 2) for _, t in model])
         for k, (_, text) in enumerate(model):
-            known = "".join(c if c in codes else " " for c in text)
-            self.tables.append(SuffixAutomaton(known).table(codes))
-            self.lacks[[codes[c] for c in set(known)], k] = 0
+            automaton, letters = SuffixAutomaton(text), sorted(set(text) - {" "})
+            mine, own = codes, None
+            if self.width > SHARED:
+                mine = {" ": SPACE} | {c: n + 2 for n, c in enumerate(letters)}
+                own = np.full(self.width, UNKNOWN, np.min_scalar_type(len(mine) + 1))
+                own[[codes[c] for c in mine]] = list(mine.values())
+            self.own.append(own)
+            dense = len(automaton.step) * (len(mine) + 1) * len(model) <= DENSE
+            self.tables.append((DenseTable if dense else SparseTable)(automaton, mine))
+            self.lacks[[codes[c] for c in letters], k] = 0
         self.lacks[SPACE] = 0
-        self.bits = np.array([math.log2(len(t) + 2) for _, t in model])
 
     def codes(self, text: str | None) -> np.ndarray:
         """The text's letters and single spaces, with a space at both ends, as codes."""
@@ -172,37 +230,28 @@ class Parser:
         for at in range(0, len(order), TOGETHER):
             own = order[at : at + TOGETHER]
             longest = int(size[own[0]])
-            block = np.zeros((len(own), longest), np.uint8)
+            block = np.zeros((len(own), longest), self.kind)
             for k, piece in enumerate(own):
                 part = texts[of_text[piece]][place[piece] * STRETCH :][:STRETCH]
                 block[k, : len(part)] = part
             steps = np.ascontiguousarray(block.T)
             active = np.searchsorted(-size[own], -np.arange(longest), side="left")  # the longest come first
-            for k, table_ in enumerate(self.tables):
-                out[:, k] += np.bincount(of_text[own], weights=_parsed(steps, active, table_), minlength=len(texts)).astype(np.int64)
+            for k, (table_, code) in enumerate(zip(self.tables, self.own)):
+                found = table_.parsed(steps if code is None else code[steps], active)
+                out[:, k] += np.bincount(of_text[own], weights=found, minlength=len(texts)).astype(np.int64)
         return out
 
 
-def _parsed(steps: np.ndarray, active: np.ndarray, table_: np.ndarray) -> np.ndarray:
-    """Phrases of stretches of text, a column of `steps` each; active[t] of them have a character at step t."""
-    state, ended = np.zeros(steps.shape[1], np.int32), np.zeros(steps.shape[1], np.int32)
-    for codes, n in zip(steps, active.tolist()):
-        now = table_[state[:n] + codes[:n]]
-        breaks = now >> 31  # -1 where a phrase ended
-        ended[:n] -= breaks
-        state[:n] = now ^ breaks
-    return ended + (state != 0)
-
-
 def _found(texts: list[str | None], parser: Parser) -> Iterator[tuple[str, float, float]]:
     """(language, score, share of the letters that the language knows) of each text."""
     coded = [parser.codes(t) for t in texts]
-    count = np.array([np.bincount(c, minlength=parser.width) for c in coded]).reshape(len(texts), parser.width)
-    letters = count.sum(axis=1) - count[:, SPACE]
     if not parser.names:
         yield from (("und", 0.0, 0.0) for _ in texts)
         return
-    lacks = count @ parser.lacks
+    letters, lacks = np.zeros(len(texts), np.int64), np.zeros((len(texts), len(parser.names)), np.int64)
+    for k, c in enumerate(coded):
+        count = np.bincount(c, minlength=parser.width)
+        letters[k], lacks[k] = len(c) - count[SPACE], count @ parser.lacks
     cost = (parser.phrases(coded) + lacks) * parser.bits / np.maximum(letters, 1)[:, None]
     for n, c, gone in zip(letters.tolist(), cost, lacks):
         best = int(c.argmin())

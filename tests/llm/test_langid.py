@@ -46,6 +46,32 @@ def test_parse_against_substring_search():
         assert name == want[0] and math.isclose(score, want[1]) and math.isclose(known, want[2], abs_tol=1e-12), text
 
 
+def test_every_kind_of_table_parses_alike(monkeypatch):
+    """Own alphabets and searched tables give what shared alphabets and full tables give."""
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abtheñ sz日") for _ in range(rng.randint(0, 3000))) for _ in range(40)] + [None, "ñ"]
+    want = list(langid._found(texts, langid.Parser(MODEL)))
+    for shared, dense in ((0, langid.DENSE), (0, 0), (96, 0)):
+        monkeypatch.setattr(langid, "SHARED", shared)
+        monkeypatch.setattr(langid, "DENSE", dense)
+        assert list(langid._found(texts, langid.Parser(MODEL))) == want
+
+
+def test_thousands_of_letters(spark):
+    """Two invented languages of 3,000 ideographs each that share none, one that shares half of them, and one of 26 letters."""
+    rng = random.Random(9)
+    signs = {"p": [chr(0x4E00 + k) for k in range(3000)], "q": [chr(0x4E00 + 6000 + k) for k in range(3000)], "r": [chr(0x4E00 + 1500 + k) for k in range(3000)], "l": [chr(97 + k) for k in range(26)]}
+    words = {k: ["".join(rng.choice(s) for _ in range(rng.randint(1, 4 if k != "l" else 8))) for _ in range(4000)] for k, s in signs.items()}
+    text = lambda k: " ".join(rng.choice(words[k]) for _ in range(300))
+    rows = [(n, text(k), k) for n, k in enumerate(sorted(words) * 150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.learn(docs)
+    assert len({c for _, t in model for c in t}) > 7000
+    found = langid.predict(docs, model).where(langid.held_out(F.col("doc_id")))
+    by = {r.lang: (r.right, r.known) for r in found.groupBy("lang").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")).alias("right"), F.avg("known").alias("known")).collect()}
+    assert sorted(by) == ["l", "p", "q", "r"] and all(right >= 0.95 and known > 0.9 for right, known in by.values()), by
+
+
 def test_query_against_brute_force(spark, sf_dir):
     """The first words of whole documents of the table, by the model that the query learns."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
