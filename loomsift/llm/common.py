@@ -37,6 +37,14 @@ def sample_by_label(df: DataFrame, label: str, cells: int) -> DataFrame:
     return rows.dropDuplicates([label, "_h"]).drop("_h")
 
 
+def one_text(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """sample (doc_id, ...) with text: of rows of docs (doc_id, text) that share a sampled doc_id the one whose text has the
+    least hash, so there are never more rows than the sample has. Texts themselves are not shuffled but for those chosen."""
+    mine = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(sample.select("doc_id").distinct()), "doc_id")
+    one = mine.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return sample.join(one, "doc_id")
+
+
 Kept = TypeVar("Kept")
 _KEPT: dict[Hashable, object] = {}
 

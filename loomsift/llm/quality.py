@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomsift.llm.common import held_out, sample_by_label, small_batches, table
+from loomsift.llm.common import held_out, one_text, sample_by_label, small_batches, table
 
 BITS, CELLS, SHARDS, EPOCHS = 18, 2000, 4, 12
 #: FTRL: learning rate, its offset, and the two penalties; what a share of 1 counts in a vector.
@@ -127,7 +127,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str) -> np.ndarray:
     size = (1 << BITS) + 1
     fold = labels.where(~held_out(F.col("doc_id"))).select("doc_id", F.col(label).cast("int").alias("label")).where("label in (0, 1)")
     sample = sample_by_label(fold.distinct(), "label", CELLS)
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(SHARDS)))
+    rows = one_text(docs, sample).withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(SHARDS)))
 
     def train(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["doc_id", "label"])

@@ -8,7 +8,8 @@ sentences about every group, labelled harmless, are learned along and swapped in
 in four languages; a term is swapped within its language.
 
 Training reads a bounded sample: at most CELLS rows for each label, spread over all labelled rows outside the held-out
-fold; one task fits it, as its size has a bound whatever the size of the tables.
+fold; one task fits it, as its size has a bound whatever the size of the tables. Of several rows of a sampled doc_id
+the one whose text has the least hash is read.
 
 Edge cases: null and empty texts have no words and get the score of the bias; very long texts are read whole; repeated
 rows get equal scores; an empty table gives an empty result; without labels all scores are 0.5, and predicted is then
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomsift.llm.common import held_out, sample_by_label, small_batches, table
+from loomsift.llm.common import held_out, one_text, sample_by_label, small_batches, table
 from loomsift.llm.langid import letter_words
 from loomsift.llm.quality import Ftrl, sigmoid
 
@@ -154,7 +155,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> dict[str,
     """Weights from labelled rows outside the held-out fold."""
     fold = labels.where(~held_out(F.col("doc_id"))).select("doc_id", F.col(label).cast("int").alias("label")).where("label in (0, 1)")
     sample = sample_by_label(fold.distinct(), "label", CELLS)
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    rows = one_text(docs, sample)
 
     def train(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["doc_id", "label"])

@@ -162,3 +162,16 @@ def test_swapped_neutral_sentences_score_alike():
     for sentence in toxicity.NEUTRAL:
         margins = [toxicity.margin(sentence.format(term), toxicity._Known(found)) for term in toxicity.KIND["muslim"]]
         assert max(margins) - min(margins) < 0.1
+
+
+def test_repeated_rows_do_not_grow_the_sample(spark):
+    """Each row many times, and ids with several texts: one text for each sampled doc_id."""
+    from loomsift.llm.common import one_text, sample_by_label
+
+    rows = [(k, f"text {k} {'b' if n % 2 else 'a'}") for k in range(60) for n in range(50)] + [(None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(80)] + [(3, 0), (None, 1)], "doc_id long, label int")
+    sample = sample_by_label(labels, "label", 2000)
+    found = one_text(docs, sample).collect()
+    assert len(found) == 61 and len({(r.doc_id, r.text) for r in found}) == 60
+    assert sorted((r.doc_id, r.label) for r in found) == sorted([*((k, k % 2) for k in range(60)), (3, 0)])
