@@ -58,15 +58,20 @@ def _private_v4(host: Column) -> Column:
     )
 
 
-def is_public_https(url: Column) -> Column:
-    """https, no user info, and a host that is not local or in a private network; IPv6 literals are refused unless global."""
+def is_public_origin(url: Column) -> Column:
+    """No user info, and a host that is not local or in a private network; IPv6 literals are refused unless global."""
     host = F.lower(F.coalesce(part(url, "HOST"), F.lit("")))
     v6 = F.regexp_extract(host, "^\\[(.*)\\]$", 1)
     local6 = v6.rlike("^(::1?|f[cd].*|fe[89ab].*|ff.*|::ffff:.*|64:ff9b:.*|2001:db8:.*)$")
     local = host.isin("localhost", "") | host.rlike("\\.(localhost|local|internal)$") | ~host.rlike("[.:]")
     v4 = host.rlike("^[0-9]+(\\.[0-9]+){3}$")
     safe = F.when(v6 != "", ~local6).when(v4, ~_private_v4(host)).otherwise(~local)
-    return F.coalesce((F.lower(part(url, "PROTOCOL")) == "https") & part(url, "USERINFO").isNull() & safe, F.lit(False))
+    return F.coalesce(part(url, "USERINFO").isNull() & safe, F.lit(False))
+
+
+def is_public_https(url: Column) -> Column:
+    """https and a public origin."""
+    return F.coalesce((F.lower(part(url, "PROTOCOL")) == "https") & is_public_origin(url), F.lit(False))
 
 
 def is_safe_link(url: Column) -> Column:

@@ -19,11 +19,13 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{tempfile.gettempdir()}/checkpoints"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table in the shared folder: a lost executor costs no recompute of what came before."""
+def written(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """df as a table in the shared folder: a lost executor costs no recompute of what came before. Filters on the columns `by`
+    read only their folders."""
     path = f"{shared_dir(df.sparkSession)}/loomsift/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    return back.select(df.columns) if by else back
 
 
 def unwritten(*frames: DataFrame) -> None:

@@ -6,6 +6,8 @@ a verdict: what a model did not say is null, and who reads it decides what that
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -15,9 +17,18 @@ from pyspark.sql import functions as F
 from loomsift.functions.text import strip
 from loomsift.lineage import written
 from loomsift.operators.order import numbered
-
-Client = Callable[[list[str]], list[str | None]]
+from loomsift.sources.ledger import Ledger
+from loomsift.sources.tables import all_folders, removed, whole_folders
+
+#: What an endpoint gives for a prompt: None for a failure, the reply, or the reply and whether it was cut off at its limit.
+Answer = str | None | tuple[str, bool]
+Client = Callable[[list[str]], list[Answer]]
+#: Whether a reply to so many items is of the right form.
+Validator = Callable[[str, int], bool]
 PROMPT_BODY = 600
+#: Calls of an endpoint that fail one after the other in a task until the task leaves it out.
+BREAK_AFTER = 3
+REPLIES = "batch long, prompt string, ids array<string>, reply string, endpoint int, truncated boolean, attempts array<struct<endpoint:int,outcome:string,ms:long>>"
 
 
 def prompts(items: DataFrame, order: str, size: int, task: str) -> DataFrame:
@@ -28,30 +39,111 @@ def prompts(items: DataFrame, order: str, size: int, task: str) -> DataFrame:
     return lists.select("batch", F.concat(F.lit(task + "\n\n"), F.array_join("r.block", "\n")).alias("prompt"), F.col("r.id").alias("ids"))
 
 
-def answered(batches: DataFrame, clients: list[Client], done: DataFrame | None = None) -> DataFrame:
-    """batches with reply and endpoint: the first client in the chain that answers. Batches in `done` are not asked again."""
-    todo = batches if done is None else batches.join(done.select("batch"), "batch", "left_anti")
+def is_json_array(reply: str, items: int) -> bool:
+    """A JSON array, bare, fenced or between other words."""
+    begin, end = reply.find("["), reply.rfind("]")
+    try:
+        found = json.loads(reply[begin : end + 1]) if 0 <= begin < end else None
+    except ValueError:
+        return False
+    return isinstance(found, list)
+
 
+def _asked(clients: list[Client], valid: Validator) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        failed = [0] * len(clients)
         for frame in frames:
+            prompts, sizes = frame["prompt"].tolist(), [len(ids) for ids in frame["ids"]]
             replies: list[str | None] = [None] * len(frame)
-            endpoint = [-1] * len(frame)
+            endpoint, cut, attempts = [-1] * len(frame), [False] * len(frame), [[] for _ in prompts]
             for k, client in enumerate(clients):
                 open_ = [i for i, r in enumerate(replies) if r is None]
                 if not open_:
                     break
+                if failed[k] >= BREAK_AFTER:
+                    for i in open_:
+                        attempts[i].append((k, "left out", 0))
+                    continue
+                began = time.monotonic()
                 try:
-                    got = client([frame["prompt"].iloc[i] for i in open_])
+                    got = client([prompts[i] for i in open_])
+                    failed[k] = 0
                 except Exception:  # an endpoint that fails leaves its batches to the next in the chain
-                    continue
-                for i, reply in zip(open_, got):
-                    if reply is not None:
+                    got = [None] * len(open_)
+                    failed[k] += 1
+                ms = int(1000 * (time.monotonic() - began)) // len(open_)
+                for i, answer in zip(open_, got):
+                    reply, truncated = answer if isinstance(answer, tuple) else (answer, False)
+                    outcome = "failed" if not reply else "ok" if valid(reply, sizes[i]) else "truncated" if truncated else "unusable"
+                    attempts[i].append((k, outcome, ms))
+                    cut[i] = cut[i] or truncated
+                    if outcome == "ok":
                         replies[i], endpoint[i] = reply, k
-            yield frame.assign(reply=replies, endpoint=endpoint)
-
-    new = todo.mapInPandas(ask, "batch long, prompt string, ids array<string>, reply string, endpoint int")
-    new = written(new, "replies")  # a model is not asked twice for one plan
-    return new if done is None else done.unionByName(new)
+            yield frame.assign(reply=replies, endpoint=endpoint, truncated=cut, attempts=attempts)
+
+    return ask
+
+
+def asked(batches: DataFrame, clients: list[Client], valid: Validator = is_json_array) -> DataFrame:
+    """batches (batch, prompt, ids) with reply, endpoint, truncated and attempts: the reply of the first client in the chain that
+    gives a usable one.
+
+    A reply that `valid` refuses counts as a failure of its endpoint, and the next one is asked; so does one that was cut off
+    unless it can be used. Without a usable reply, reply is null and endpoint -1. An endpoint that raises BREAK_AFTER times
+    one after the other in a task is left out for the rest of that task.
+    """
+    return batches.select("batch", "prompt", "ids").mapInPandas(_asked(clients, valid), REPLIES)
+
+
+def answered(batches: DataFrame, clients: list[Client], done: DataFrame | None = None, valid: Validator = is_json_array) -> DataFrame:
+    """asked() for the batches that `done`, replies of an earlier call, does not have with the same prompt; a reply that was made
+    for another prompt is not used again."""
+    if done is None:
+        return written(asked(batches, clients, valid), "replies")  # a model is not asked twice for one plan
+    kept = done.join(batches.select("batch", "prompt"), ["batch", "prompt"], "left_semi")
+    todo = batches.join(kept.select("batch"), "batch", "left_anti")
+    return kept.unionByName(written(asked(todo, clients, valid), "replies"), allowMissingColumns=True)
+
+
+def fingerprint(batches: DataFrame) -> str:
+    """A digest of a job's input: its batches, their items and prompts, in whatever order the rows come."""
+    h = F.xxhash64("batch", "prompt", F.array_join("ids", "\n")).cast("decimal(38,0)")
+    h2 = F.xxhash64(F.lit(7), "prompt", "batch", F.array_join("ids", "\n")).cast("decimal(38,0)")
+    row = batches.agg(F.count("*").alias("n"), F.sum(h).alias("h"), F.sum(h2).alias("h2")).select(F.sha2(F.concat_ws(":", "n", "h", "h2"), 256).alias("t"))
+    return row.first().t
+
+
+def durable_job(batches: DataFrame, clients: list[Client], root: str, valid: Validator = is_json_array, together: int = 64, steps: int | None = None) -> DataFrame:
+    """asked() with progress under root that survives the driver: `together` batches are asked at once, and their replies
+    committed before the next are.
+
+    The job's folder is named by the fingerprint of its input. Called again with the same input after a loss, it asks only
+    what no commit has; with another input it starts anew, and the replies to the old one go. Batches without a usable
+    reply are committed as such and not asked again. steps: stop after so many commits, with what there is.
+    """
+    spark = batches.sparkSession
+    batches = written(batches.select("batch", "prompt", "ids"), "job-batches")
+    job = f"job={fingerprint(batches)}"
+    for name, path in all_folders(spark, root):
+        if name.startswith("job=") and name != job:
+            removed(spark, path)
+    ledger = Ledger(f"{root}/{job}", REPLIES, every=64)
+    epoch = first = 1 + max((int(n.partition("=")[2]) for n, _ in whole_folders(spark, ledger.root)), default=-1)
+    while True:
+        todo = batches.join(ledger.before(spark).select("batch"), "batch", "left_anti")
+        part = todo.orderBy("batch").limit(together)
+        if epoch - first == steps or part.isEmpty():
+            return ledger.before(spark)
+        spread = part.repartition(min(together, spark.sparkContext.defaultParallelism), "batch")
+        ledger.compact(spark, epoch)
+        ledger.write(asked(spread, clients, valid), epoch)
+        epoch += 1
+
+
+def attempted(replies: DataFrame) -> DataFrame:
+    """endpoint and outcome of every call, with how often and for how long: what each endpoint of the chain was asked and gave."""
+    each = replies.select(F.explode("attempts").alias("a")).select("a.*")
+    return each.groupBy("endpoint", "outcome").agg(F.count("*").alias("calls"), F.sum("ms").alias("ms"))
 
 
 def _json_array(reply: Column, kind: str) -> Column:

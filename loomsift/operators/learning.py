@@ -61,6 +61,20 @@ def feedback_token(feedback: DataFrame) -> str:
     return row.first().t
 
 
+def refreshed_weights(weights: DataFrame, feedback: DataFrame, sources: DataFrame) -> DataFrame:
+    """weights (source, weight, token) after feedback (source, signal, ...), one row for each of sources (source).
+
+    token is that of the feedback the weights were made from. If it is the same now, no feedback has come since, and the
+    weights stay as they are: moving them again would only pull them towards the middle.
+    """
+    token = feedback_token(feedback)
+    told = weights.where(F.col("token") == token)
+    moved = updated_weights(sources.select("source").distinct().join(weights.select("source", "weight"), "source", "left").na.fill(DEFAULT_WEIGHT, ["weight"]), feedback_by_source(feedback))
+    if not told.isEmpty():
+        moved = sources.select("source").distinct().join(told.select("source", "weight"), "source", "left").na.fill(DEFAULT_WEIGHT, ["weight"])
+    return moved.withColumn("token", F.lit(token))
+
+
 def interest(counts: DataFrame) -> DataFrame:
     """counts (source, exposures, expands) with interest, the mean of Beta(1, 2) after them."""
     return counts.withColumn("interest", (F.col("expands") + EXPANDS_PRIOR) / (F.col("exposures") + EXPANDS_PRIOR + IGNORED_PRIOR))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomsift.operators.gates import GateConfig, Persona, bad_rules
@@ -103,3 +103,61 @@ def feedback_rates(archive: DataFrame, feedback: DataFrame) -> DataFrame:
     both = evidence(archive).join(said, "source", "left").na.fill(0, ["feedback", "ups"])
     rate = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b))
     return both.select("source", "entries", "pushed", rate("feedback", "pushed").alias("feedback_rate"), rate("ups", "feedback").alias("up_rate"))
+
+
+def editorial_board(batches: DataFrame, published: DataFrame, copies: DataFrame, enabled: DataFrame) -> DataFrame:
+    """One row a board on what its editors did: enabled (board, enabled, calibration_passed) with active, degraded and truncated
+    batches by role and how many of the published have a writer's copy.
+
+    batches: (board, role, degraded, truncated), one row for each batch asked; published: (board, id); copies: (board, id)
+    with a usable copy. Editors are active if any batch of theirs was not degraded.
+    """
+    role = lambda name, flag: F.count_if((F.col("role") == name) & F.col(flag))
+    work = batches.groupBy("board").agg(
+        F.count_if(~F.col("degraded")).alias("sound"), role("writer", "degraded").alias("writer_degraded"), role("reviewer", "degraded").alias("reviewer_degraded"), F.count_if("truncated").alias("truncated")
+    )
+    written = published.join(copies.select("board", "id").distinct(), ["board", "id"], "left_semi").groupBy("board").agg(F.count("*").alias("copies"))
+    both = enabled.join(work, "board", "left").join(written, "board", "left").na.fill(0, ["sound", "writer_degraded", "reviewer_degraded", "truncated", "copies"])
+    active = F.col("enabled") & (F.col("sound") > 0)
+    return both.select("board", "enabled", "calibration_passed", active.alias("active"), "writer_degraded", "reviewer_degraded", "truncated", F.when(active, F.col("copies")).otherwise(0).alias("copies"))
+
+
+#: What an audit needs to know of each board beside its funnel.
+BOARDS = (
+    "board string, published long, dropped long, rejected long, bad_rules long, signals long, filled boolean, enabled boolean, active boolean, "
+    "calibration_passed boolean, writer_degraded long, reviewer_degraded long, truncated long, copies long"
+)
+
+
+def audited(funnels: DataFrame, boards: DataFrame, endpoints: DataFrame) -> DataFrame:
+    """(board, level, rule, n): what is wrong with each board; no rows for one that is sound.
+
+    funnels: (board, pos, stage, n); boards: the columns of BOARDS; endpoints: (board, role, endpoint) that answered.
+    fatal: the counts cannot be reconciled, or rules of the configuration do not compile: nothing may be published.
+    warning: the round may go out, but something worked less well than it was set up to; n says how often or how many.
+    A null calibration is one that was not made.
+    """
+    steps = Window.partitionBy("board").orderBy("pos")  # the stages of a round
+    staged = funnels.withColumn("_before", F.lag("n").over(steps))
+    grown = staged.groupBy("board").agg(F.count_if(F.col("n") > F.col("_before")).alias("_grown"), F.min_by("n", "pos").alias("_first"), F.max_by("n", "pos").alias("_last"))
+    by_role = endpoints.groupBy("board", "endpoint").agg(F.count_if(F.col("role") == "writer").alias("w"), F.count_if(F.col("role") == "reviewer").alias("r"))
+    shared = by_role.where("w > 0 and r > 0").groupBy("board").agg(F.count("*").alias("_shared"))
+    rows = boards.join(grown, "board", "left").join(shared, "board", "left").na.fill(0, ["_grown", "_first", "_last", "_shared"])
+    one, c = F.lit(1).cast("long"), F.col
+    found = [
+        ("fatal", "funnel grows", c("_grown") > 0, c("_grown")),
+        ("fatal", "last stage is not what was published", c("_last") != c("published"), F.abs(c("_last") - c("published"))),
+        ("fatal", "more drops than entries", c("dropped") + c("rejected") > c("_first"), c("dropped") + c("rejected") - c("_first")),
+        ("fatal", "rules that do not compile", c("bad_rules") > 0, c("bad_rules")),
+        ("warning", "editors inactive", c("enabled") & ~c("active"), one),
+        ("warning", "endpoints of both roles", c("_shared") > 0, c("_shared")),
+        ("warning", "truncated batches", c("truncated") > 0, c("truncated")),
+        ("warning", "degraded writer batches", c("writer_degraded") > 0, c("writer_degraded")),
+        ("warning", "degraded reviewer batches", c("reviewer_degraded") > 0, c("reviewer_degraded")),
+        ("warning", "calibration failed", c("calibration_passed") == F.lit(False), one),
+        ("warning", "published without a copy", c("active") & (c("copies") < c("_last")), c("_last") - c("copies")),
+        ("warning", "no signals", c("signals") == 0, one),
+        ("warning", "filled beyond the cap of events", c("filled"), one),
+    ]
+    marks = [F.when(F.coalesce(cond, F.lit(False)), F.struct(F.lit(level).alias("level"), F.lit(rule).alias("rule"), n.cast("long").alias("n"))) for level, rule, cond, n in found]
+    return rows.select("board", F.explode(F.array_compact(F.array(*marks))).alias("m")).select("board", "m.*")

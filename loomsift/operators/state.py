@@ -76,13 +76,17 @@ def post_parts(signals: DataFrame) -> DataFrame:
     return signals.withColumn("digest_id", F.when(ok, parts[1])).withColumn("index", F.when(ok, parts[2].try_cast("int")))
 
 
-def routed(signals: DataFrame, refs: DataFrame) -> DataFrame:
+FACTS = "kind string, digest_id string, index int, item_id string, source string, seq long"
+
+
+def routed(signals: DataFrame, refs: DataFrame, recorded: DataFrame | None = None) -> DataFrame:
     """Facts (kind, digest_id, index, item_id, source, seq) from signals (post_id, dwell_ms, completed, chat_turns,
     dismissed, reaction, favorite, seq), for posts whose reference (ref, item_id, source) is known.
 
     kind is expand (dwelt on, read through or talked about), view (the first expand of a digest), up (satisfied) or down
-    (dismissed or stopped). A signal may give several facts. Feedback counts only once for each item, expands each time.
-    A favourite is an up that comes after all signals; only one that is new counts, and then as an expand too.
+    (dismissed or stopped). A signal may give several facts. Feedback counts only once for each item, and the view once for
+    each digest; expands count each time. A favourite is an up that comes after all signals; only one that is new counts,
+    and then as an expand too. recorded: the facts of earlier batches; what counts once counts once over all of them.
     """
     named = post_parts(signals).where("digest_id is not null").withColumn("ref", F.concat_ws(":", "digest_id", "index"))
     both = named.join(refs.select("ref", "item_id", "source"), "ref")
@@ -96,6 +100,9 @@ def routed(signals: DataFrame, refs: DataFrame) -> DataFrame:
     expands = facts.where("kind = 'expand'")
     once = latest_of(facts.where("kind in ('up', 'down')"), ["digest_id", "item_id", "kind"], F.asc("favorite"), F.asc("seq"))
     views = latest_of(expands, ["digest_id"], F.asc("seq")).withColumn("kind", F.lit("view"))
+    if recorded is not None:
+        once = once.join(recorded.where("kind in ('up', 'down')").select("digest_id", "item_id", "kind"), ["digest_id", "item_id", "kind"], "left_anti")
+        views = views.join(recorded.where("kind = 'view'").select("digest_id"), "digest_id", "left_anti")
     liked = once.where("favorite").withColumn("kind", F.lit("expand"))
     columns = ["kind", "digest_id", "index", "item_id", "source", "seq"]
     return expands.select(columns).unionByName(liked.select(columns)).unionByName(once.select(columns)).unionByName(views.select(columns))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from loomsift.functions import text as T
 from loomsift.lineage import written
-from loomsift.operators import dedupe, editorial, events, gates, learning, render, similarity, state
+from loomsift.operators import dedupe, editorial, events, gates, learning, render, reports, similarity, state
 from loomsift.operators.gates import GateConfig, Persona
 from loomsift.operators.order import numbered
 
@@ -125,6 +125,27 @@ def recorded(memory: Memory, candidates: DataFrame, posts: DataFrame, round_: Ro
     return Memory(archive, digests, state.refs_registered(memory.refs, new_refs), shown, memory.engaged, settled)
 
 
+STAGES = ("collected", "fresh", "deduped", "candidates", "targets", "published")
+
+
+def audited(counts: DataFrame, candidates: DataFrame, posts: DataFrame, drops: DataFrame, persona: str = "", bad_rules: int = 0, signals: DataFrame | None = None, editors: DataFrame | None = None) -> DataFrame:
+    """(board, level, rule, n) of a round: see reports.audited(). signals: the reader's facts that are known; editors: one
+    row of reports.editorial_board()."""
+    spark = posts.sparkSession
+    made = posts.agg(F.count("*").alias("targets"), F.count_if(F.col("state").isin("accepted", "filled")).alias("published"), F.count_if(F.col("state") == "rejected").alias("rejected"), F.coalesce(F.max(F.col("state") == "filled"), F.lit(False)).alias("filled"))
+    lost = drops.agg(F.count("*").alias("dropped"))
+    known = signals.agg(F.count("*").alias("signals")) if signals is not None else spark.range(1).select(F.lit(0).cast("long").alias("signals"))
+    row = counts.select("collected", "fresh", "deduped", "candidates").crossJoin(made).crossJoin(lost).crossJoin(known).withColumn("board", F.lit(persona))  # of one row each
+    stages = F.array(*[F.struct(F.lit(k).alias("pos"), F.lit(n).alias("stage"), F.col(n).cast("long").alias("n")) for k, n in enumerate(STAGES)])
+    funnels = row.select("board", F.explode(stages).alias("s")).select("board", "s.*")
+    if editors is None:
+        none = {"enabled": F.lit(False), "active": F.lit(False), "calibration_passed": F.lit(None).cast("boolean")} | {n: F.lit(0) for n in ("writer_degraded", "reviewer_degraded", "truncated", "copies")}
+        row = row.withColumns(none)
+    else:
+        row = row.crossJoin(editors.drop("board"))  # one row
+    return reports.audited(funnels, row.withColumn("bad_rules", F.lit(bad_rules)), spark.createDataFrame([], "board string, role string, endpoint string"))
+
+
 def audit(stages: list[tuple[str, int]], published: int, dropped: int, rejected: int) -> list[str]:
     """What is wrong with a round's counts: a stage that grows, a last stage unlike what was published, more drops than entries."""
     problems = [f"{b[0]} ({b[1]}) exceeds {a[0]} ({a[1]})" for a, b in zip(stages, stages[1:]) if b[1] > a[1]]

@@ -757,4 +757,4 @@ def merged_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Registers the queries of connectors, editors and publication as well.
-from loomsift import round_queries as _round_queries  # noqa: E402, F401
+from loomsift import round_queries as _round_queries, state_queries as _state_queries  # noqa: E402, F401

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from loomsift.functions import text as T
 from loomsift.functions.urls import canonical_url, is_public_https, is_safe_link
+from loomsift.lineage import written
 
 # How much of a body the kinds of sources keep, and the widest payload that is read.
 BLOCK_MAX, PAGE_MAX, TOPIC_MAX, TWEET_MAX, TWEET_TITLE, PAYLOAD_MAX = 6000, 2000, 600, 1000, 120, 2 * 1024 * 1024
@@ -173,7 +174,8 @@ def items_of(payloads: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFr
     missing, too long, or holds no entry: one that fails stops no other.
     """
     wanted = sources.where("enabled").select("source", "type", "ordinal")
-    sound = payloads.where(F.octet_length(F.coalesce("payload", F.lit(""))) <= PAYLOAD_MAX).join(wanted, "source")
+    # Written by kind once: whatever the payloads come from is read once, and each parser reads its own kind.
+    sound = written(payloads.where(F.octet_length(F.coalesce("payload", F.lit(""))) <= PAYLOAD_MAX).join(wanted, "source"), "payloads", "type")
     found = None
     for kind, parse in PARSERS.items():
         part = parse(sound.where(F.col("type") == kind))

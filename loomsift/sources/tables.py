@@ -29,16 +29,28 @@ def version_written(df: DataFrame, root: str) -> str:
     return path
 
 
+def all_folders(spark: SparkSession, root: str) -> list[tuple[str, str]]:
+    """(name, path) of what lies directly under root."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [(s.getPath().getName(), s.getPath().toString()) for s in fs.listStatus(folder)] if fs.exists(folder) else []
+
+
+def whole_folders(spark: SparkSession, root: str) -> list[tuple[str, str]]:
+    """(name, path) of the folders under root that a job wrote to the end (they have a _SUCCESS mark)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    return [(n, p) for n, p in all_folders(spark, root) if fs.exists(path(p, "_SUCCESS"))]
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def latest_version(spark: SparkSession, root: str) -> str | None:
-    """The newest whole version (one with a _SUCCESS mark) under root."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    folder = jvm.org.apache.hadoop.fs.Path(root)
-    fs = folder.getFileSystem(conf)
-    if not fs.exists(folder):
-        return None
-    found = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("version=")]
-    whole = [p.toString() for p in found if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-    return max(whole, default=None)
+    """The newest whole version under root."""
+    return max((path for name, path in whole_folders(spark, root) if name.startswith("version=")), default=None)
 
 
 def state(spark: SparkSession, root: str, schema: str) -> DataFrame:

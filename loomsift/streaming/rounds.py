@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loomsift.lineage import shared_dir
 from loomsift.operators.state import routed
+from loomsift.sources.ledger import Ledger
 
 EVENT = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
@@ -35,22 +36,36 @@ def event_signals(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     return signals, refs
 
 
-def merge_counts(batch: DataFrame, epoch: int, path: str) -> None:
-    """Adds the expands of a micro-batch to the state of the epochs before: one table for each epoch.
+def summed(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("source").agg(F.sum("expands").alias("expands"))
 
-    A batch that runs twice overwrites its own table only, so it counts once.
-    """
-    spark = batch.sparkSession
+
+def counts_ledger(root: str) -> Ledger:
+    """Expands by source: deltas of epochs, added up when they are merged."""
+    return Ledger(f"{root}/state", "source string, expands long", summed)
+
+
+def merge_counts(batch: DataFrame, epoch: int, ledger: Ledger) -> None:
+    """Adds the expands of a micro-batch to the state of the epochs before. A batch that runs twice counts once."""
+    ledger.compact(batch.sparkSession, epoch)
     facts = routed(*event_signals(batch)).where("kind = 'expand'")
-    counts = facts.groupBy("source").agg(F.count("*").alias("expands"))
-    counts.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+    ledger.write(facts.groupBy("source").agg(F.count("*").alias("expands")), epoch)
+
+
+def event_stream(spark: SparkSession, source: str, files: int | None = None) -> DataFrame:
+    """A stream over the event files of `source`, a file or a folder; `files` a micro-batch."""
+    folder, _, name = source.rpartition("/")
+    if not name.endswith(".parquet"):
+        folder, name = source, ""
+    reader = spark.readStream.schema(EVENT).option("pathGlobFilter", "*.parquet")
+    reader = reader if files is None else reader.option("maxFilesPerTrigger", files)
+    return reader.parquet(f"{folder}/{name.replace('.parquet', '')}*.parquet")
 
 
 def streamed_expands(spark: SparkSession, source: str) -> DataFrame:
     """Expands by source from a stream over the files of `source`, run until it has read them all."""
     home = f"{shared_dir(spark)}/loomsift/stream-{uuid.uuid4().hex}"
-    folder, _, name = source.rpartition("/")
-    stream = spark.readStream.schema(EVENT).option("pathGlobFilter", "*.parquet").parquet(f"{folder}/{name.replace('.parquet', '')}*.parquet")
-    run = stream.writeStream.foreachBatch(lambda b, e: merge_counts(b, e, f"{home}/state")).option("checkpointLocation", f"{home}/offsets").trigger(availableNow=True).start()
+    ledger = counts_ledger(home)
+    run = event_stream(spark, source).writeStream.foreachBatch(lambda b, e: merge_counts(b, e, ledger)).option("checkpointLocation", f"{home}/offsets").trigger(availableNow=True).start()
     run.awaitTermination()
-    return spark.read.parquet(f"{home}/state").groupBy("source").agg(F.sum("expands").alias("expands"))
+    return summed(ledger.before(spark))
