@@ -5,12 +5,14 @@ State is a table that a round reads and a new one that it writes; nothing is cha
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomsift.functions.text import detect_lang
 from loomsift.functions.urls import canonical_url
+from loomsift.lineage import written
 from loomsift.operators.dedupe import latest_of, retain
+from loomsift.operators.order import ranged, running
 
 # How much of each state is kept.
 ARCHIVE_MAX, REFS_MAX, DIGESTS_MAX, ENGAGEMENTS_MAX = 20_000, 500, 30, 5000
@@ -138,9 +140,9 @@ def pack_merged(old: DataFrame, new: DataFrame) -> DataFrame:
     id, other new posts come in, in order of their numbers. One whose id is taken moves up to the next free number of
     its prefix.
 
-    Numbers come from windows over the numbers of a prefix, which are those of one digest. With the numbers in order,
-    the k-th new post takes the free number of index k + max(g(j) - j for j up to k), g(j) being how many numbers below
-    the own one of the j-th are free.
+    With the numbers of a prefix in order, the k-th new post takes the free number of index k + max(g(j) - j for j up to k),
+    g(j) being how many numbers below the own one of the j-th are free. Running counts and maxima are scanned in ranges, so
+    a prefix that all posts share is no single task. Rows of the result are in no order; their ids have one.
     """
     key = canonical_url(F.col("source_url"))
     number = lambda c: F.coalesce(F.regexp_extract(c, ":(\\d+)$", 1).try_cast("long"), F.lit(2**53))
@@ -153,18 +155,20 @@ def pack_merged(old: DataFrame, new: DataFrame) -> DataFrame:
     used = a.select(prefix(F.col("id")).alias("_prefix"), number(F.col("id")).alias("_n")).distinct()
     columns = [c for c in added.columns if c not in ("_prefix", "_n")]
     empty = F.lit(None)
-    # Used numbers stand after new posts of the same number, so that running counts are of those below.
     both = added.withColumn("_used", F.lit(False)).unionByName(used.select(*[empty.alias(c) for c in columns], "_prefix", "_n", F.lit(True).alias("_used")))
-    in_order = Window.partitionBy("_prefix").orderBy("_n", "_used", "id")
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    both = both.withColumn("_prefix", F.coalesce("_prefix", F.lit("")))
     is_used, is_new = F.col("_used").cast("long"), (~F.col("_used")).cast("long")
-    below = both.withColumn("_below", F.sum(is_used).over(so_far)).withColumn("_k", F.sum(is_new).over(so_far) - 1)
-    index = F.col("_k") + F.max(F.when(~F.col("_used"), F.col("_n") - F.col("_below") - F.col("_k"))).over(so_far)
+    # Used numbers stand after new posts of the same number, so that running counts are of those below.
+    in_order = ["_n", "_used", "id"]
+    counted = running(ranged(both, "_prefix", *in_order), "_prefix", in_order, {"_below": is_used, "_count": is_new})
+    counted = written(counted.withColumn("_k", F.col("_count") - 1).drop("_count"), "pack-counted")
+    gap = F.when(~F.col("_used"), F.col("_n") - F.col("_below") - F.col("_k"))
+    indexed = running(counted, "_prefix", in_order, maxima={"_gap": gap})
     # For a used number: how many free ones lie below it.
-    free = below.withColumn("_free", F.when(F.col("_used"), F.col("_n") - (F.col("_below") - 1)).otherwise(index))
-    by_free = Window.partitionBy("_prefix").orderBy("_free", F.desc("_used")).rowsBetween(Window.unboundedPreceding, 0)
-    placed = free.withColumn("_n", F.col("_free") + F.sum(is_used).over(by_free)).where(~F.col("_used"))
+    free = indexed.withColumn("_free", F.when(F.col("_used"), F.col("_n") - (F.col("_below") - 1)).otherwise(F.col("_k") + F.col("_gap"))).drop("_p", "_gap")
+    by_free = ["_free", F.desc("_used"), "_n"]
+    placed = running(ranged(free, "_prefix", *by_free), "_prefix", by_free, {"_skip": is_used})
+    placed = placed.where(~F.col("_used")).withColumn("_n", F.col("_free") + F.col("_skip")).drop("_skip", "_p")
     placed = placed.withColumn("id", F.concat("_prefix", F.col("_n").cast("string")))
     columns = old.columns
-    out = untouched.select(columns).unionByName(replaced.select(columns)).unionByName(placed.select(columns))
-    return out.orderBy(number(F.col("id")))
+    return untouched.select(columns).unionByName(replaced.select(columns)).unionByName(placed.select(columns))

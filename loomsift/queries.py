@@ -748,9 +748,18 @@ def rendered_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return render.asserted(posts, CONFIG, known, 720, NOW_MS).select("id", "title", "hooks", "summary", "why", "lang", "rule")
 
 
-@query()
+@query(f"""
+WITH RECURSIVE c AS (SELECT page_id, url, canonical_url, 'daily:d1:' || (page_id % 97) || page_id AS id, CAST((page_id % 97) || page_id AS BIGINT) AS n FROM {CANON_SQL}),
+a AS (SELECT arg_min(id, page_id) AS id, arg_min(n, page_id) AS n, arg_min(url, page_id) AS url, min(page_id) AS page_id, canonical_url FROM c WHERE starts_with(url, 'http:') GROUP BY canonical_url),
+b AS (SELECT arg_min(id, page_id) AS id, arg_min(n, page_id) AS n, arg_min(url, page_id) AS url, min(page_id) AS page_id, canonical_url FROM c WHERE starts_with(url, 'https:') GROUP BY canonical_url),
+new AS (SELECT *, row_number() OVER (ORDER BY n) AS k FROM b WHERE canonical_url NOT IN (SELECT canonical_url FROM a)),
+runs AS (SELECT min(n) AS s, max(n) AS f FROM (SELECT n, n - row_number() OVER (ORDER BY n) AS g FROM (SELECT DISTINCT n FROM a)) GROUP BY g),
+r AS (SELECT k, page_id, url, coalesce((SELECT f + 1 FROM runs WHERE n BETWEEN s AND f), n) AS place FROM new WHERE k = 1
+  UNION ALL SELECT w.k, w.page_id, w.url, coalesce(u.f + 1, greatest(w.n, r.place + 1)) FROM r JOIN new w ON w.k = r.k + 1 LEFT JOIN runs u ON greatest(w.n, r.place + 1) BETWEEN u.s AND u.f)
+SELECT 'daily:d1:' || place AS id, url AS source_url, page_id FROM r
+UNION ALL SELECT a.id, coalesce(b.url, a.url), coalesce(b.page_id, a.page_id) FROM a LEFT JOIN b USING (canonical_url)""")
 def merged_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two packs of pages merged by canonical url: http ones first, then all others. Tested against a sequential merge."""
+    """Two packs of pages merged by canonical url: http ones first, then all others."""
     pages = table(spark, sf_dir, "pages").withColumn("_c", canonical_url(F.col("url")))
     pack = lambda d: dedupe.latest_of(d, ["_c"], F.asc("page_id")).select(F.concat(F.lit("daily:d1:"), (F.col("page_id") % 97).cast("string"), F.col("page_id").cast("string")).alias("id"), F.col("url").alias("source_url"), "page_id")
     return state.pack_merged(pack(pages.where(F.startswith("url", F.lit("http:")))), pack(pages.where(F.startswith("url", F.lit("https:")))))

@@ -308,3 +308,23 @@ def test_greedy_leaders_against_a_loop(spark):
         want[pos] = pos if hit is None else hit
     frame = spark.createDataFrame(sets, "pos long, tokens array<string>")
     assert {r.pos: r.leader for r in similarity.greedy_leaders(frame, 0.5).collect()} == want
+
+
+def test_running_counts_of_one_prefix_go_over_ranges(spark):
+    """All rows under one prefix, and a few under others: no range has more than its share, and the counts are right."""
+    rows = [("hot", (k * 7919) % 5003, k % 3) for k in range(4000)] + [("b", k, 1) for k in range(5)]
+    frame = spark.createDataFrame(rows, "by string, n long, x long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows are one range
+    try:
+        parts = order.ranged(frame, "by", "n")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [r["count"] for r in parts.groupBy("_p").count().collect()]
+    assert len(sizes) >= 6 and max(sizes) <= 4005 / len(sizes) * 2
+    got = {(r.by, r.n): (r.total, r.top) for r in order.running(parts, "by", ["n"], {"total": F.col("x")}, {"top": F.col("x") * F.col("n")}).collect()}
+    total, top, want = {}, {}, {}
+    for by, n, x in sorted(rows):
+        total[by], top[by] = total.get(by, 0) + x, max(top.get(by, 0), x * n)
+        want[by, n] = (total[by], top[by])
+    assert got == want
+    assert order.running(order.ranged(frame.limit(0), "by", "n"), "by", ["n"], {"total": F.col("x")}).count() == 0
