@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
+from loomsift.functions.text import normalize
 from loomsift.lineage import written
 
 
@@ -74,3 +79,43 @@ def greedy_leaders(items: DataFrame, threshold: float) -> DataFrame:
     leaders = state.where("status = 1").select(F.col("l").alias("r"))
     led = pairs.join(leaders, "r").groupBy("l").agg(F.min("r").alias("leader"))
     return state.join(led, "l", "left").select(F.col("l").alias("pos"), F.when(F.col("status") == 1, F.col("l")).otherwise(F.col("leader")).alias("leader"))
+
+
+# Fixed value: how many characters of a text are embedded.
+EMBEDDED_CHARS = 2000
+
+
+def pooled(rows: DataFrame, key: str, vector: str, weight: str | None = None) -> DataFrame:
+    """(key, vector): the mean of each key's vectors (weighted, if there are weights), at Euclidean length 1.
+
+    Vectors are added up as they are in each task before anything is shuffled: a key with a third of all rows sends one
+    sum a task. A null key is no key; null vectors are left out.
+    """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    dense = rows.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).withColumn("_v", array_to_vector(F.col(vector).cast("array<double>")))
+    mean = Summarizer.mean(F.col("_v")) if weight is None else Summarizer.mean(F.col("_v"), F.col(weight).cast("double"))
+    means = dense.groupBy(key).agg(mean.alias("_m"))
+    return means.select(key, normalized(vector_to_array("_m")).alias("vector"))
+
+
+def embedded(items: DataFrame, make_model: Callable[[], Callable[[np.ndarray], np.ndarray]], size: int, batch: int = 256) -> DataFrame:
+    """items (id, text) with embedding: the mean of the vectors of a text's words, at length 1; null for a text without words,
+    and where the model gave a word no valid vector.
+
+    The model is injected: make_model is called once in each Python worker and gives a function from words to vectors of
+    `size`. Words are those of the first EMBEDDED_CHARS characters, normalised; each different word of all texts is given
+    to the model once, however many texts have it.
+    """
+    from pyspark.ml.functions import predict_batch_udf
+
+    words = F.filter(F.split(normalize(F.substring("text", 1, EMBEDDED_CHARS)), " "), lambda w: w != "")
+    counts = items.select("id", F.explode(words).alias("word")).groupBy("id", "word").agg(F.count("*").alias("n"))
+    counts = written(counts, "word-counts")
+    model = predict_batch_udf(make_model, return_type=ArrayType(FloatType()), batch_size=batch)
+    vectors = counts.select("word").distinct().withColumn("_w", model("word"))
+    both = counts.join(written(vectors, "word-vectors"), "word").withColumn("_ok", is_valid_embedding(F.col("_w"), size))
+    sound = both.groupBy("id").agg(F.min("_ok").alias("_ok")).where("_ok").select("id")
+    made = pooled(both.join(sound, "id", "left_semi"), "id", "_w", "n").withColumnRenamed("vector", "embedding")
+    return items.join(made, "id", "left")

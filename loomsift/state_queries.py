@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomsift.lineage import shared_dir, written
-from loomsift.operators import inference, reports, state
+from loomsift.operators import inference, reports, similarity, state
 from loomsift.plans import memory
-from loomsift.queries import _SIGNALS_SQL, query, table
-from loomsift.sources import redirects
+from loomsift.queries import _SIGNALS_SQL, norm, query, table
+from loomsift.sources import quarantine, redirects, registry, tables
 from loomsift.streaming import rounds, signals
 
 
@@ -244,3 +246,73 @@ def board_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = c.select("board", F.col("b").alias("published"), F.col("x").alias("dropped"), F.col("x").alias("rejected"), F.col("k").cast("long").alias("bad_rules"), F.when(F.col("k") == 2, 0).otherwise(1).cast("long").alias("signals"), (F.col("k") == 3).alias("filled"))
     both = c.where("k = 2").select("board", F.explode(F.array(F.lit("writer"), F.lit("reviewer"))).alias("role"), F.lit("e1").alias("endpoint"))
     return reports.audited(funnels, extra.join(editors, "board"), both.unionByName(c.select("board", F.lit("writer").alias("role"), F.lit("e0").alias("endpoint"))))
+
+
+# --- Sources ------------------------------------------------------------------------------------------------------------
+
+
+@query("""SELECT event_type AS kind, CAST(count(*) AS BIGINT) AS n, CAST(count_if(event_type = 'signup' OR user_id % 7 = 0 AND event_type = 'view') AS BIGINT) AS bad,
+  CAST(CASE WHEN event_type = 'signup' THEN 0 WHEN event_type = 'view' THEN count_if(user_id % 7 <> 0) ELSE count(*) END AS BIGINT) AS served FROM events GROUP BY 1""")
+def file_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as state files of JSON lines, some cut off in every line: lines and bad ones by kind, and what is served once
+    the broken files are set apart."""
+    events, root = table(spark, sf_dir, "events"), home(spark, "quarantine")
+    whole = F.to_json(F.struct("event_id", "user_id"))
+    broken = (F.col("event_type") == "signup") | ((F.col("event_type") == "view") & (F.col("user_id") % 7 == 0))
+    # Broken views are files of their own, as a writer that was lost leaves them.
+    events.select(F.when(broken, F.left(whole, F.lit(12))).otherwise(whole).alias("value"), F.col("event_type").alias("kind"), broken.alias("lost")).write.partitionBy("kind", "lost").text(root)
+    schema, kind = "event_id long, user_id long", F.regexp_extract("file", "kind=([^/]+)/", 1).alias("kind")
+    found = written(quarantine.by_file(spark, root, schema).groupBy(kind).agg(F.count("*").alias("n"), F.count("bad").alias("bad")), "health")
+    quarantine.quarantined(spark, root, schema)
+    served = quarantine.by_file(spark, root, schema).groupBy(kind).agg(F.count("*").alias("served"))
+    return found.join(served, "kind", "left").na.fill(0, ["served"])
+
+
+@query("""
+WITH d AS (SELECT *, doc_id // 500 AS b FROM documents)
+SELECT 'b' || b AS source, 'https://www.youtube.com/watch?v=' || doc_id AS url, 'Video ' || doc_id AS title, CAST(NULL AS VARCHAR) AS problem FROM d WHERE b % 5 NOT IN (1, 3, 4)
+UNION ALL SELECT DISTINCT 'b' || b, NULL, NULL, CASE b % 5 WHEN 1 THEN 'UnicodeDecodeError' WHEN 3 THEN 'FileNotFoundError' ELSE 'no entry' END FROM d WHERE b % 5 IN (1, 3, 4)
+UNION ALL SELECT 'bx', NULL, NULL, 'FileNotFoundError'""")
+def source_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks of documents as payload files of as many sources, read in parallel: some files are missing, some are no text,
+    some have no entry; the others give their items all the same."""
+    docs, root = table(spark, sf_dir, "documents").withColumn("b", F.floor(F.col("doc_id") / 500)), home(spark, "payloads")
+    line = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.concat(F.lit("Video "), F.col("doc_id").cast("string")).alias("title")))
+    k = F.col("b") % 5
+    value = F.when(k == 4, "no json").when(k == 1, F.lit("é")).otherwise(line)
+    source = F.concat(F.lit("b"), F.col("b").cast("string"))
+    files = docs.where(k != 3).select(value.alias("value"), source.alias("source"), (k == 1).alias("odd")).repartition("source")
+    files.where("not odd").drop("odd").write.partitionBy("source").text(root)
+    files.where("odd").drop("odd").write.mode("append").option("encoding", "UTF-16LE").partitionBy("source").json(root)
+    names = [r.source for r in docs.select(source.alias("source")).distinct().orderBy("source").collect()] + ["bx"]  # a registry of sources
+    parts = {n: next((p for f, p in tables.all_folders(spark, f"{root}/source={n}") if f.startswith("part-")), f"{root}/none") for n in names}
+    items, skipped = registry.collected(spark, [{"source": n, "type": "ytsearch", "url": "", "path": p} for n, p in parts.items()])
+    none = F.lit(None).cast("string")
+    return items.select("source", "url", "title", none.alias("problem")).unionByName(skipped.select("source", none.alias("url"), none.alias("title"), F.substring_index("problem", ":", 1).alias("problem")))
+
+
+# --- Embeddings ---------------------------------------------------------------------------------------------------------
+
+
+@query("""
+WITH s AS (SELECT label, k, avg(v) AS m FROM (SELECT label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS k FROM embeddings) GROUP BY 1, 2), n AS (SELECT label, sqrt(sum(m * m)) AS l FROM s GROUP BY 1)
+SELECT label, CAST(k - 1 AS INT) AS place, round(m / l, 5) AS value FROM s JOIN n USING (label)""")
+def pooled_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each label's vectors pooled to their mean, at length 1."""
+    return similarity.pooled(table(spark, sf_dir, "embeddings"), "label", "embedding").select("label", F.posexplode("vector").alias("place", "value")).withColumn("value", F.round("value", 5))
+
+
+def letters_model() -> Callable[[np.ndarray], np.ndarray]:
+    """A model for the query: length, vowels and the first letter of a word."""
+    return lambda words: np.array([[len(w), sum(w.count(v) for v in "aeiou"), ord(w[0]) / 100, 1.0] for w in words], np.float32)
+
+
+@query(f"""
+WITH w AS (SELECT doc_id, unnest(list_filter(string_split({norm('left(text, 2000)')}, ' '), lambda x: x <> '')) AS w FROM documents),
+m AS (SELECT doc_id, avg(length(w)) AS a, avg(length(w) - length(regexp_replace(w, '[aeiou]', '', 'g'))) AS b, avg(CAST(unicode(w) / 100.0 AS FLOAT)::DOUBLE) AS c, 1.0 AS d FROM w GROUP BY 1)
+SELECT doc_id, round(a / l, 4) AS a, round(b / l, 4) AS b, round(c / l, 4) AS c, round(d / l, 4) AS d FROM documents LEFT JOIN (SELECT *, sqrt(a * a + b * b + c * c + d * d) AS l FROM m) USING (doc_id)""")
+def text_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The start of every text, which is what is embedded, by an injected model of its words, pooled."""
+    items = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    made = similarity.embedded(items, letters_model, 4)
+    return made.select(F.col("id").alias("doc_id"), *[F.round(F.get("embedding", k), 4).alias(n) for k, n in enumerate("abcd")])
