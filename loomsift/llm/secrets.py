@@ -45,8 +45,10 @@ DICTIONARY = (
     "sample secret server service session some string table template test text that the their there these this time title token type "
     "update user value version which will with world your xxxx 1234 0000"
 ).split()
-#: A name that tells of a secret, right before its value.
-TELLING = "(?i)(?:pass\\w{0,16}|pwd|secret|token|key)[\"']?[=:][\"']?$"
+#: A name that tells of a secret, right before its value; and what stands before a login of name and value.
+NAMES = "(?:pass\\w{0,16}|pwd|secret|token|key|auth(?:orization|entication)?|cred(?:ential)?s?)"
+TELLING = f"(?i){NAMES}[\"']?[=:][\"']?$"
+SCHEME, HEADER, LOGIN = "(?i)^(?:bearer|basic|token)$", "(?i)authorization[\"']?[:=][\"']?$", "^(?:-u|--user)$"
 COMMON_PAIRS = "th he in er an re nd on en at es st nt ti io le is ou ar as de te ed al or ve it me ra ha".split()
 
 
@@ -89,14 +91,16 @@ def features(found: DataFrame) -> tuple[DataFrame, list[str]]:
 
 
 def _named(left: Column, prev1: Column, prev2: Column) -> Column:
-    """Whether a value is assigned to a telling name: in its word, in the word before, or across an equals sign between."""
+    """Whether a value is assigned to a telling name (in its word, in the word before, or across an equals sign between),
+    follows a header of authorisation and its scheme, or is the second part of a login."""
     alone = prev1.rlike("^[=:]$") & F.concat(prev2, F.lit("=")).rlike(TELLING)
-    return left.rlike(TELLING) | ((left.rlike("^[\"']?$")) & (prev1.rlike(TELLING) | alone))
+    login = prev1.rlike(LOGIN) & left.rlike("^[\"']?[A-Za-z0-9._-]+:$")
+    return left.rlike(TELLING) | login | ((left.rlike("^[\"']?$")) & (prev1.rlike(TELLING) | prev1.rlike(SCHEME) & prev2.rlike(HEADER) | alone))
 
 
 def _suspicious(word: Column, prev1: Column, prev2: Column) -> Column:
-    inside = (F.length(word) >= 12) & word.rlike("[0-9]|[A-Z]{16}|[a-z][A-Z]|(?i)(?:pass\\w{0,16}|secret|token|key)[\"']?[=:]")
-    return (F.length(word) >= 8) & (inside | _named(F.lit(""), prev1, prev2))
+    inside = (F.length(word) >= 12) & word.rlike(f"[0-9]|[A-Z]{{16}}|[a-z][A-Z]|(?i){NAMES}[\"']?[=:]")
+    return (F.length(word) >= 8) & (inside | prev1.rlike(LOGIN) | _named(F.lit(""), prev1, prev2))
 
 
 def _runs(words: DataFrame) -> DataFrame:
@@ -172,6 +176,9 @@ def labelled_findings(spark: SparkSession, rows: int = FINDINGS) -> DataFrame:
     uuid = F.concat_ws("-", *[F.substring(hexes, a, b) for a, b in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
     fake = pick("f", "xxxxxxxxxxxxxxxx1", "your_token_here1", "changeme12345678", "placeholder0000", "1234567890123456", "0000000000000000", "example_secret_1", "<your-password-1>")
     letters = F.substr(F.translate(base64, "0123456789", "qWzXkVjQbY"), F.lit(1), size)
+    # What people choose themselves: letters and a few digits, no words.
+    weak = F.concat(F.substr(F.translate(hexes, "0123456789", "kdjfhgqzxw"), F.lit(1), F.pmod(F.col("id"), F.lit(9)) + 8), F.when(F.col("id") % 3 == 0, F.substring(digits, 1, 3)).otherwise(""))
+    grant = pick("gr", "authorization", "credential", "credentials", "auth", "creds", "authentication")
     tail = pick("t", "v", "x1", "page", "lang", "ok")
     junk = pick("j", "", "", "", "###", "%%%", "***", "$$$", "&&&", ",", ".")
     none = F.lit("")
@@ -196,6 +203,13 @@ def labelled_findings(spark: SparkSession, rows: int = FINDINGS) -> DataFrame:
         (0.0, F.concat(F.upper(F.concat(word, word2, word)), pick("y", "!!", "", ".")), F.upper(plain), F.upper(plain2), F.upper(plain)),
         (0.0, F.concat(F.lit("https://example.org/"), word, F.lit("/"), F.substring(digits, 1, 9)), plain, plain2, plain),
         (0.0, F.concat(word, F.substring(digits, 1, 4), F.lit("@mail.example")), plain, plain2, none),
+        (1.0, F.concat(pick("e", "admin", "root", "app", "user"), F.lit(":"), F.when(F.col("id") % 2 == 0, weak).otherwise(secret_value)), pick("lg", "-u", "--user"), F.lit("curl"), plain),
+        (1.0, F.when(F.col("id") % 2 == 0, weak).otherwise(secret_value), pick("sc", "Bearer", "Basic", "Token"), pick("hd", "Authorization:", "authorization="), plain),
+        (1.0, F.concat(quote(weak), junk), pick("eq3", "=", ":"), grant, plain),
+        (1.0, F.concat(weak, junk), F.concat(grant, pick("eq3", "=", ":")), plain, plain),
+        (1.0, F.concat(grant, pick("eq3", "=", ":"), weak), plain, plain2, plain),
+        (0.0, F.concat(made("gw"), junk), F.concat(grant, F.lit(":")), plain, plain),
+        (0.0, quote(F.concat(word, pick("en", "ed", "able", "ing"))), pick("eq3", "=", ":"), grant, plain),
         # Several runs in one word.
         (1.0, F.concat(F.lit('{"'), name, F.lit('":"'), secret_value, F.lit('","'), tail, F.lit('":2}')), plain, plain2, plain),
         (1.0, F.concat(pick("u", "", "https://example.org/p?", "/p?a=b&", "a=1;"), name, F.lit("="), secret_value, pick("z", "&", ";", ","), tail, F.lit("=2")), plain, plain2, plain),

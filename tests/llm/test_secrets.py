@@ -125,3 +125,14 @@ def test_query_against_a_plain_reading(spark, model):
     rows = {(r.doc_id, r.word_no, r.secret_sha256) for r in secrets.op4_secret_scan(spark, sf_dir).collect()}
     scanned = {(r.doc_id, r.word_no, hashlib.sha256(r.core.encode()).hexdigest()) for r in secrets.scan(docs, model).collect()}
     assert rows == scanned and rows <= {(i, k, hashlib.sha256(c.encode()).hexdigest()) for i, k, c in want}
+
+
+def test_logins_headers_and_grants(spark):
+    """What pre-filters used to leave out is judged by the forest: found where it is a secret, left where it is prose."""
+    texts = [
+        'authorization = "kdjfhgkjdhfgkjdhfgkdjhfg" and', "curl -u admin:zxcvbnmasdfg https://x.example/", "credential: tr8-99x-aa ok", "Authorization: Bearer kdjfhgkjdhfgkjdhfgkdjhfg",
+        "author: jonathan swift wrote", "the basic vocabulary of authors: interesting", "credentials: available on request", "authorization: required for entry", 'auth = "disabled"',
+    ]
+    docs = spark.createDataFrame([(k, t, "src") for k, t in enumerate(texts)], "doc_id long, text string, source string")
+    found = {r.doc_id: r.core for r in secrets.scan(docs, secrets.default_model(spark)).collect()}
+    assert found == {0: "kdjfhgkjdhfgkjdhfgkdjhfg", 1: "zxcvbnmasdfg", 2: "tr8-99x-aa", 3: "kdjfhgkjdhfgkjdhfgkdjhfg"}
