@@ -27,7 +27,7 @@ def _encoded(path: Column) -> Column:
 def canonical_url(raw: Column) -> Column:
     """http(s) only: scheme, lower-case host without www. and port, path without trailing slashes, the parameters that
     do not track, sorted. An empty string for anything else. Read by patterns, as leniently as browsers do."""
-    url = F.regexp_replace(F.trim(F.coalesce(raw, F.lit(""))), "[\\t\\n\\r]", "")
+    url = F.regexp_replace(F.coalesce(raw, F.lit("")), "^[\\x00-\\x20]+|[\\x00-\\x20]+\\z|[\\t\\n\\r]", "")
     scheme = F.lower(F.regexp_extract(url, "^([A-Za-z][A-Za-z0-9+.-]*):", 1))
     found = lambda k: F.regexp_extract(url, "^[A-Za-z]+:[/\\\\]*([^/\\\\?#]*)([^?#]*)(?:\\?([^#]*))?", k)
     host = F.regexp_replace(F.lower(F.regexp_replace(F.regexp_replace(found(1), "^.*@", ""), ":[0-9]*$", "")), "^www\\.", "")

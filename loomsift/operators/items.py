@@ -7,18 +7,17 @@ from pyspark.sql import functions as F
 
 from loomsift.functions import text as T
 
-TITLE_MAX = 120
 ITEM = ["id", "source", "title", "body", "url", "published_at", "seq"]
 
 
 def title_of(text: Column) -> Column:
-    """The first line, cut to TITLE_MAX code points."""
-    return F.substring(F.substring_index(text, "\n", 1), 1, TITLE_MAX)
+    """The first line."""
+    return F.substring_index(text, "\n", 1)
 
 
 def body_of(text: Column) -> Column:
     """What follows the title, without the line break between: nothing of a text is in neither."""
-    return F.regexp_replace(F.substr(text, F.length(title_of(text)) + 1), "\\A\n", "")
+    return F.substr(text, F.length(title_of(text)) + 2)
 
 
 def from_documents(docs: DataFrame) -> DataFrame:

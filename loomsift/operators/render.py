@@ -10,6 +10,8 @@ from loomsift.functions.urls import canonical_url
 from loomsift.lineage import written
 from loomsift.operators.gates import GateConfig, age_rules, blacklist_verdict, first_failing
 
+#: Fixed value: code points of a post's title.
+TITLE_MAX = 120
 ASSERTIONS = (
     "damagedBody duplicateUrl alreadyPublished mechanicalTruncation fragmentHook scoreEcho blacklistRecheck hookEntity tooOld shapeViolation htmlLeak hollowSummary "
     "summaryBelowFloor bodyBelowFloor"
@@ -44,7 +46,7 @@ def with_reason(posts: DataFrame, keywords: list[str], signals: list[str], domai
 
 def rendered(items: DataFrame, persona: str, digest: str, domain: str, keywords: list[str], signals: list[str], stopwords: list[str]) -> DataFrame:
     """Posts from items (id, title, body, url, published_at, source, event_key, pos): title, three hooks, summary, body, why."""
-    clean = items.withColumn("title", T.collapse(T.strip_html(F.regexp_replace("title", "^[A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+:\\s+", ""))))
+    clean = items.withColumn("title", T.truncate(T.collapse(T.strip_html(F.regexp_replace("title", "^[A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+:\\s+", ""))), TITLE_MAX))
     clean = clean.withColumn("body", T.strip_metadata(T.strip_html(F.col("body"))))
     clean = clean.withColumn("lang", T.detect_lang(F.concat("title", F.lit("\n"), "body")))
     clean = clean.withColumn("_lead", T.first_sentence(F.col("body"), T.by_lang(F.col("lang"), T.SUMMARY_MAX)))

@@ -13,7 +13,7 @@ from loomsift.lineage import written
 from loomsift.operators import dedupe, events, gates, learning, render, reports, similarity, state
 from loomsift.operators.gates import GateConfig, Persona, Rule, Tier
 from loomsift.operators.order import numbered
-from loomsift.operators.items import from_documents, from_events, from_pages
+from loomsift.operators.items import from_documents, from_events, from_pages, title_of
 from loomsift.streaming import rounds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,8 +49,8 @@ KEYWORDS, SIGNALS = ["the", "der", "que", "thing", "entre", "nicht", "para"], ["
 NOW_MS = 1_706_745_600_000  # 2024-02-01, after the last event
 
 # SQL fragments.
-TITLE = "left(split_part(text, chr(10), 1), 120)"
-BODY = f"(CASE WHEN starts_with(substr(text, length({TITLE}) + 1), chr(10)) THEN substr(text, length({TITLE}) + 2) ELSE substr(text, length({TITLE}) + 1) END)"
+TITLE = "split_part(text, chr(10), 1)"
+BODY = f"substr(text, length({TITLE}) + 2)"
 norm = lambda e: rf"trim(regexp_replace(regexp_replace(lower({e}), 'https?://\S+', ' ', 'g'), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
 toks = lambda e: f"list_distinct(list_filter(string_split({norm(e)}, ' '), lambda x: length(x) > 1))"
 hay = lambda e: f"' ' || {norm(e)} || ' '"
@@ -322,7 +322,7 @@ SELECT doc_id, NOT EXISTS (SELECT 1 FROM a WHERE len(list_intersect(a.t, n.t)) /
 def novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """English titles against an archive of the others: new if none is alike."""
     items = table(spark, sf_dir, "documents")
-    titled = items.select(F.col("doc_id").alias("id"), "lang", T.tokens(F.substring(F.substring_index("text", "\n", 1), 1, 120)).alias("tokens"))
+    titled = items.select(F.col("doc_id").alias("id"), "lang", T.tokens(title_of(F.col("text"))).alias("tokens"))
     found = similarity.novel(titled.where("lang = 'en'"), titled.where("lang <> 'en'"))
     return found.select(F.col("id").alias("doc_id"), "is_new")
 
@@ -676,26 +676,27 @@ def favourite_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.routed(signals.drop("favorite").join(marks, "seq"), refs).select("kind", "digest_id", "index", "source", "seq")
 
 
-#: Urls as browsers take them, and their canonical forms.
-ODD_URLS = (
-    ("https://a.example/x?q=a|b", "https://a.example/x?q=a|b"),
-    ("https://a.example/a b", "https://a.example/a%20b"),
-    ("https://my_host.example/x/", "https://my_host.example/x"),
-    ("  HTTP://WWW.A.Example:8080/P//?utm_source=1&b=2&A=1#top", "http://a.example/P?a=1&b=2"),
-    ("https://user:pw@a.example", "https://a.example/"),
-    ("https://a.example/é?x=%41+b", "https://a.example/%C3%A9?x=A b"),
-    ("ftp://a.example/x", ""),
-    ("https:///", ""),
-    ("not a url", ""),
-    ("javascript:alert(1)", ""),
-    ("https://a.example?ref=1", "https://a.example/"),
-)
+#: Ways to write an address that strict parsers refuse or read otherwise, and whether it still is one.
+ODD_WAYS = {"spaces": True, "capitals": True, "port": True, "user": True, "tracked": True, "fragment": True, "slashes": True, "backslashes": True, "broken line": True, "other scheme": False, "no scheme": False, "script": False}
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{u}', '{c}')" for u, c in ODD_URLS) + ") AS v(url, canonical_url)")
+@query("SELECT page_id, way, CASE WHEN sound THEN canonical_url ELSE '' END AS canonical_url FROM " + CANON_SQL + " CROSS JOIN (VALUES " + ", ".join(f"('{w}', {str(s).lower()})" for w, s in ODD_WAYS.items()) + ") AS v(way, sound)")
 def url_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Canonical forms of urls that strict parsers refuse."""
-    return spark.createDataFrame([(u,) for u, _ in ODD_URLS], "url string").select("url", canonical_url(F.col("url")).alias("canonical_url"))
+    """Every page's url written in odd ways: those that are still the same address have the same canonical form."""
+    url = F.col("url")
+    scheme, rest = F.substring_index(url, "://", 1), F.substr(url, F.instr(url, "://") + 3)
+    host = F.regexp_extract(rest, "^[^/?#]*", 0)
+    tail = F.substr(rest, F.length(host) + 1)
+    joined = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    path, query_ = F.regexp_extract(tail, "^[^?#]*", 0), F.regexp_extract(tail, "[?].*$", 0)
+    made = {
+        "spaces": joined("  ", url, " \t"), "capitals": joined(F.upper(scheme), "://WWW.", F.upper(F.regexp_replace(host, "^www\\.", "")), tail), "port": joined(scheme, "://", host, ":8080", tail), "user": joined(scheme, "://me:pw@", host, tail),
+        "tracked": joined(url, F.when(F.contains(url, F.lit("?")), "&").otherwise("?"), "utm_medium=x&fbclid=1"), "fragment": joined(url, "#part?x=1"), "slashes": joined(scheme, ":/", host, tail),
+        "backslashes": joined(scheme, ":\\\\", host, F.replace(path, F.lit("/"), F.lit("\\")), query_), "broken line": joined(F.left(url, F.lit(3)), "\n", F.substr(url, F.lit(4))),
+        "other scheme": joined("ftp://", rest), "no scheme": rest, "script": joined("javascript:alert('", url, "')"),
+    }
+    ways = F.array(*[F.struct(F.lit(w).alias("way"), made[w].alias("url")) for w in ODD_WAYS])
+    return table(spark, sf_dir, "pages").select("page_id", F.explode(ways).alias("w")).select("page_id", "w.way", canonical_url(F.col("w.url")).alias("canonical_url"))
 
 
 @query(f"""

@@ -7,12 +7,14 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomsift.functions.urls import canonical_url
-from loomsift.lineage import shared_dir
-from loomsift.operators import editorial, inference, render, state
+from loomsift.functions import text as T
+from loomsift.functions.urls import canonical_url, same_document
+from loomsift.lineage import shared_dir, written
+from loomsift.operators import editorial, gates, inference, render, state
+from loomsift.operators.items import from_documents, title_of
 from loomsift.operators.order import numbered
 from loomsift.plans import publishing
-from loomsift.queries import CANON_SQL, CONFIG, NOW_MS, query, table
+from loomsift.queries import BODY, CANON_SQL, CONFIG, NOW_MS, PERSONA, TITLE, VERDICT_SQL, query, table, toks
 from loomsift.sources import feeds, tables
 
 # --- Connectors ---------------------------------------------------------------------------------------------------------
@@ -250,3 +252,68 @@ def post_assertions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     known = table(spark, sf_dir, "pages").select(F.concat(F.lit("https://a.example/"), page, F.lit("/known")).alias("canonical_url"))
     return render.asserted(posts, CONFIG, known, 72, NOW_MS).select("page_id", "way", "rule")
+
+
+# --- Functions and steps of a round that no other query runs ---------------------------------------------------------------
+
+
+@query(r"""
+WITH t AS (SELECT doc_id, split_part(text, chr(10), 1) AS title, source || ' ' || lang AS raw, CAST(2026 AS INT) AS year FROM documents),
+y AS (SELECT doc_id, title || ' in ' || (ARRAY['May', 'june', 'Nov.'])[doc_id % 3 + 1] || ' ' || (1990 + doc_id % 50) || ', seen 20' || lpad(CAST(doc_id % 30 AS VARCHAR), 2, '0') || '-01 and 1990s' AS title, raw FROM t),
+a AS (SELECT doc_id, title, raw, list_filter([1990 + doc_id % 50, 2000 + doc_id % 30], lambda y: y < 2025) AS ys FROM y)
+SELECT doc_id, CAST(CASE WHEN length(ys::VARCHAR) > 2 THEN ys[1] END AS INT) AS stale_year, CASE WHEN regexp_replace(lower(raw), '[^a-z0-9]', '', 'g') = '' THEN 'x' ELSE regexp_replace(lower(raw), '[^a-z0-9]', '', 'g') END AS digest FROM a""")
+def dated_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by number, with two dates after their titles' place: the first year that is stale, and a digest's name."""
+    d = F.col("doc_id")
+    month = F.get(F.array(F.lit("May"), F.lit("june"), F.lit("Nov.")), (d % 3).cast("int"))
+    title = F.concat(F.lit("Report in "), month, F.lit(" "), (1990 + d % 50).cast("string"), F.lit(", seen 20"), F.lpad((d % 30).cast("string"), 2, "0"), F.lit("-01 and 1990s"))
+    return table(spark, sf_dir, "documents").select("doc_id", T.stale_year(title, F.lit(2026)).alias("stale_year"), T.digest_id(F.concat("source", F.lit(" "), "lang")).alias("digest"))
+
+
+_BARE = r"regexp_replace(h, '^\s+|\s+$', '', 'g')"
+
+
+@query(rf"""
+WITH t AS (SELECT doc_id, split_part(text, chr(10), 1) AS title, left(text, 90) AS h FROM documents),
+b AS (SELECT doc_id, title, {_BARE} AS h FROM t), k AS (SELECT *, {toks('h')} AS own, {toks('title')} AS its FROM b)
+SELECT doc_id, h <> '' AND starts_with(title, h) AND length(h) >= length(title) * 0.6 AS is_prefix, round(CASE WHEN len(own) > 0 THEN len(list_intersect(own, its)) / len(own) ELSE 0 END, 6) AS overlap FROM k""")
+def title_echoes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The start of every document as a hook: whether it is but the title's beginning, and how much of it the title has."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", title_of(F.col("text")).alias("title"), F.concat(F.left("text", F.lit(90)), F.lit("…")).alias("hook"))
+    return rows.select("doc_id", T.is_title_prefix(F.col("hook"), F.col("title")).alias("is_prefix"), F.round(T.title_overlap(F.col("hook"), F.col("title")), 6).alias("overlap"))
+
+
+@query(r"""
+WITH t AS (SELECT doc_id, 'arXiv:26' || doc_id || 'v1 Announce Type: new ' || (CASE WHEN doc_id % 2 = 0 THEN 'Abstract: ' ELSE '' END) || text AS t, text FROM documents)
+SELECT doc_id, sha1(trim(regexp_replace((CASE WHEN doc_id % 2 = 1 THEN regexp_replace(text, '^\s*(?i:Abstract:)\s*', ' ') ELSE text END), '\s+', ' ', 'g'))) AS bare_sha1 FROM t""")
+def metadata_stripped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with what a feed of papers puts before them, taken off again."""
+    d = F.col("doc_id")
+    text = F.concat(F.lit("arXiv:26"), d.cast("string"), F.lit("v1 Announce Type: new "), F.when(d % 2 == 0, "Abstract: ").otherwise(""), F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha1(T.strip_metadata(text)).alias("bare_sha1"))
+
+
+@query("""
+SELECT page_id, lag_url IS NOT NULL AND canonical_url = lag_url AS same FROM (SELECT page_id, canonical_url, lag(canonical_url) OVER (ORDER BY page_id) AS lag_url FROM """ + CANON_SQL + ")")
+def same_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether every page has the same address as the one before it, by number."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    both = numbered(pages, "page_id")
+    before = both.select((F.col("n") + 1).alias("n"), F.col("url").alias("before"))
+    return both.join(before, "n", "left").select("page_id", F.coalesce(same_document(F.col("url"), F.col("before")), F.lit(False)).alias("same"))
+
+
+@query(f"""
+WITH c AS (SELECT doc_id, points FROM {VERDICT_SQL} WHERE v LIKE 'relevance|%'), r AS (SELECT doc_id, points FROM c JOIN documents USING (doc_id)
+  WHERE length(regexp_replace(regexp_replace({TITLE}, '^\\s+|\\s+$', '', 'g'), '[^\\p{{L}}\\p{{N}}]', '', 'g')) >= 7 AND (regexp_replace({BODY}, '^\\s+|\\s+$', '', 'g') = '' OR length(regexp_replace({BODY}, '^\\s+|\\s+$', '', 'g')) >= 30)),
+d AS (SELECT split_part(v, '|', 1) AS gate, count(*) AS n FROM {VERDICT_SQL} WHERE v IS NOT NULL AND v NOT LIKE 'relevance|%' GROUP BY 1)
+SELECT 'recall:poolOverflow' AS rule, CAST((SELECT count(*) FROM r) - 60 AS BIGINT) AS n WHERE (SELECT count(*) FROM r) > 60
+UNION ALL SELECT gate, CAST(n AS BIGINT) FROM d
+UNION ALL SELECT 'recall:ineligible', n FROM (SELECT CAST((SELECT count(*) FROM c) - (SELECT count(*) FROM r) AS BIGINT) AS n) WHERE n > 0""")
+def recall_overflow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drops of a round with a wide channel of 60 (its own size): by gate, those that the pool has no room for in one record."""
+    judged = written(gates.judged(from_documents(table(spark, sf_dir, "documents")), PERSONA, CONFIG, NOW_MS, recall=60), "judged")
+    lost = gates.drops(judged, gates.recall_pool(judged, 60))
+    n = F.when(F.col("item_id") == "(batch)", F.col("title").try_cast("long")).otherwise(1)
+    rule = F.when(F.col("gate") == "recall", F.substring_index("rule", "(", 1)).otherwise(F.col("gate"))
+    return lost.groupBy(F.when(rule.startswith("recall:ineligible"), "recall:ineligible").otherwise(rule).alias("rule")).agg(F.sum(n).alias("n"))

@@ -153,3 +153,24 @@ def test_public_https(spark, url, safe):
 
 def test_since_days():
     assert U.since_days("q?d>{{since_days:2}}", 1_704_240_000_000) == "q?d>2024-01-01"
+
+
+#: Urls as browsers take them, and their canonical forms.
+ODD_URLS = (
+    ("https://a.example/x?q=a|b", "https://a.example/x?q=a|b"),
+    ("https://a.example/a b", "https://a.example/a%20b"),
+    ("https://my_host.example/x/", "https://my_host.example/x"),
+    ("  HTTP://WWW.A.Example:8080/P//?utm_source=1&b=2&A=1#top", "http://a.example/P?a=1&b=2"),
+    ("https://user:pw@a.example", "https://a.example/"),
+    ("https://a.example/é?x=%41+b", "https://a.example/%C3%A9?x=A b"),
+    ("ftp://a.example/x", ""),
+    ("https:///", ""),
+    ("not a url", ""),
+    ("javascript:alert(1)", ""),
+    ("https://a.example?ref=1", "https://a.example/"),
+)
+
+
+@pytest.mark.parametrize("raw, want", ODD_URLS)
+def test_urls_as_browsers_take_them(spark, raw, want):
+    assert one(spark, U.canonical_url(F.col("u")), u=raw) == want
