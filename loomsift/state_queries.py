@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +12,10 @@ from pyspark.sql import functions as F
 
 from loomsift.lineage import shared_dir, written
 from loomsift.operators import inference, reports, similarity, state
+from loomsift.operators.items import from_documents
 from loomsift.plans import memory
-from loomsift.queries import _SIGNALS_SQL, norm, query, table
+from loomsift.plans import rounds as plan
+from loomsift.queries import _SIGNALS_SQL, CONFIG, KEYWORDS, NOW_MS, PERSONA, SIGNALS, VERDICT_SQL, norm, query, table
 from loomsift.sources import quarantine, redirects, registry, tables
 from loomsift.streaming import rounds, signals
 
@@ -316,3 +319,26 @@ def text_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
     made = similarity.embedded(items, letters_model, 4)
     return made.select(F.col("id").alias("doc_id"), *[F.round(F.get("embedding", k), 4).alias(n) for k, n in enumerate("abcd")])
+
+
+# --- Whole rounds -------------------------------------------------------------------------------------------------------
+
+
+@query(f"""
+WITH v AS (SELECT count(*) AS n, count_if(v IS NULL) AS passed FROM {VERDICT_SQL})
+SELECT stage, CAST(n AS BIGINT) AS n FROM (SELECT 'collected' AS stage, n FROM v UNION ALL SELECT 'fresh', n FROM v UNION ALL SELECT 'deduped', n FROM v UNION ALL SELECT 'candidates', passed FROM v
+  UNION ALL SELECT 'dropped', n - passed FROM v UNION ALL SELECT 'targets', least(20, passed) FROM v UNION ALL SELECT 'archive', passed FROM v UNION ALL SELECT 'observations', 1
+  UNION ALL SELECT 'commits', 1 UNION ALL SELECT 'fatal', 0)""")
+def whole_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents through a whole round in one call, from an empty memory to its first commit: the funnel, what the memory
+    holds afterwards, and fatal findings of the audit."""
+    items = from_documents(table(spark, sf_dir, "documents")).withColumn("url", F.concat(F.lit("https://d.example/"), "id"))
+    round_, root = plan.Round(replace(PERSONA, max_items=10), CONFIG, tuple(KEYWORDS), tuple(SIGNALS), NOW_MS, "d1"), home(spark, "round")
+    done = memory.run_round(items, round_, root)
+    state_ = memory.store(root).tables(spark)
+    counts = done.funnel.select("collected", "fresh", "deduped", "candidates")
+    rest = {"dropped": done.drops, "targets": done.posts, "archive": state_["archive"], "observations": state_["observations"], "fatal": done.problems.where("level = 'fatal'")}
+    out = counts.unpivot([], counts.columns, "stage", "n")
+    for name, rows in rest.items():
+        out = out.unionByName(rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("stage"), "n"))
+    return out.unionByName(spark.range(1).select(F.lit("commits").alias("stage"), F.lit(done.commit).cast("long").alias("n")))
