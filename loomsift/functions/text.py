@@ -117,9 +117,13 @@ def _stop(stopwords: list[str]) -> Column:
 
 
 def topic_tokens(text: Column, stopwords: list[str]) -> Column:
-    """Tokens long enough and no stop words, and the Latin runs inside them."""
-    long = _long_tokens(tokens(text), _stop(stopwords))
-    return F.array_distinct(F.concat(long, _latin_runs(long, _stop(stopwords))))
+    """Tokens long enough and no stop words, and the Latin runs inside them.
+
+    Each array is bound once, as the element of an array of one: it is looked at several times, but made once.
+    """
+    stop = _stop(stopwords)
+    both = lambda long: F.array_distinct(F.concat(long, _latin_runs(long, stop)))
+    return F.get(F.transform(F.array(_long_tokens(tokens(text), stop)), both), 0)
 
 
 def with_proper_tokens(df: DataFrame, text: Column, out: str, stopwords: list[str]) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +30,19 @@ def written(df: DataFrame, name: str, *by: str) -> DataFrame:
     return back.select(df.columns) if by else back
 
 
+@contextmanager
+def small_methods(spark: SparkSession) -> Iterator[None]:
+    """Jobs run inside compile no method that the JVM would refuse to compile further (8,000 bytes): wide projections of long
+    expressions run as many small methods instead of one large one that stays interpreted. The setting is put back."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def unwritten(*frames: DataFrame) -> None:
     """Deletes tables made by written() that no later frame reads."""
     for df in frames:

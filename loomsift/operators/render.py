@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomsift.functions import text as T
 from loomsift.functions.urls import canonical_url
-from loomsift.lineage import written
+from loomsift.lineage import small_methods, written
 from loomsift.operators.gates import GateConfig, age_rules, blacklist_verdict, first_failing
 
 #: Fixed value: code points of a post's title.
@@ -100,7 +100,8 @@ def asserted(posts: DataFrame, config: GateConfig, known: DataFrame, max_age_hou
         "summaryBelowFloor": F.length(summary) < T.by_lang(lang, T.SUMMARY_MIN),
         "bodyBelowFloor": F.length(body) < T.by_lang(lang, T.BODY_MIN),
     }
-    flagged = written(T.once(both, **{f"gk_{name}": c for name, c in broken.items()}).drop("_source", "_hooks", "_black", "_known"), "assertions")
+    with small_methods(posts.sparkSession):
+        flagged = written(T.once(both, **{f"gk_{name}": c for name, c in broken.items()}).drop("_source", "_hooks", "_black", "_known"), "assertions")
     sound = flagged.where(~T.any_of([F.col(f"gk_{name}") for name in broken]) & (F.col("_canon") != ""))
     first = sound.groupBy("_canon").agg(F.min("pos").alias("_first"))
     flagged = flagged.join(first, "_canon", "left").withColumn("gk_duplicateUrl", F.coalesce(F.col("_first") < F.col("pos"), F.lit(False)))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomsift.functions import text as T
-from loomsift.lineage import written
+from loomsift.lineage import small_methods, written
 from loomsift.operators import dedupe, editorial, events, gates, learning, render, reports, similarity, state
 from loomsift.operators.gates import GateConfig, Persona
 from loomsift.operators.order import numbered
@@ -87,7 +87,8 @@ def finalize(candidates: DataFrame, round_: Round, published: DataFrame, edited:
     posts = render.rendered(placed, round_.persona.id, round_.digest, round_.persona.domain, list(round_.keywords), list(round_.signals), list(round_.config.stopwords))
     if edited and edited.copies is not None:
         posts = editorial.with_copies(posts, edited.copies.withColumnRenamed("id", "item_id"), "item_id")
-    posts = written(posts, "posts")
+    with small_methods(candidates.sparkSession):
+        posts = written(posts, "posts")
     asserted = written(render.asserted(posts, round_.config, published, round_.persona.max_age_hours, round_.now_ms), "asserted")
     return events.selected(asserted.withColumn("passed", F.col("rule").isNull()), round_.persona.max_items, round_.config.max_per_event)
 

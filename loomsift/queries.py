@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loomsift.functions import text as T
 from loomsift.functions.urls import TRACKING, TRACKING_PREFIXES, canonical_url
-from loomsift.lineage import written
+from loomsift.lineage import small_methods, written
 from loomsift.operators import dedupe, events, gates, learning, render, reports, similarity, state
 from loomsift.operators.gates import GateConfig, Persona, Rule, Tier
 from loomsift.operators.order import numbered
@@ -744,7 +744,8 @@ def rendered_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a post with its hooks, summary, reason, and the first assertion that it breaks. post_assertions tests each assertion."""
     items = from_pages(table(spark, sf_dir, "pages")).withColumn("pos", F.col("seq")).withColumn("event_key", F.col("id"))
     # Written between rendering and asserting: one generated method for both would be too long to compile.
-    posts = written(render.rendered(items, "daily", "d1", "prose", KEYWORDS, SIGNALS, list(CONFIG.stopwords)), "posts")
+    with small_methods(spark):
+        posts = written(render.rendered(items, "daily", "d1", "prose", KEYWORDS, SIGNALS, list(CONFIG.stopwords)), "posts")
     known = spark.createDataFrame([], "canonical_url string")
     return render.asserted(posts, CONFIG, known, 720, NOW_MS).select("id", "title", "hooks", "summary", "why", "lang", "rule")
 
