@@ -30,6 +30,12 @@ def written(df: DataFrame, name: str, *by: str) -> DataFrame:
     return back.select(df.columns) if by else back
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt evenly over as many partitions as a shuffle has: for work that takes long a row on tables of few files. The
+    number is not left to the size in bytes, by which so little text would be one partition."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 @contextmanager
 def small_methods(spark: SparkSession) -> Iterator[None]:
     """Jobs run inside compile no method that the JVM would refuse to compile further (8,000 bytes): wide projections of long

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomsift.functions import text as T
 from loomsift.functions.urls import canonical_url
-from loomsift.lineage import small_methods, written
+from loomsift.lineage import small_methods, spread, written
 from loomsift.operators.gates import GateConfig, age_rules, blacklist_verdict, first_failing
 
 #: Fixed value: code points of a post's title.
@@ -46,7 +46,7 @@ def with_reason(posts: DataFrame, keywords: list[str], signals: list[str], domai
 
 def rendered(items: DataFrame, persona: str, digest: str, domain: str, keywords: list[str], signals: list[str], stopwords: list[str]) -> DataFrame:
     """Posts from items (id, title, body, url, published_at, source, event_key, pos): title, three hooks, summary, body, why."""
-    clean = items.withColumn("title", T.truncate(T.collapse(T.strip_html(F.regexp_replace("title", "^[A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+:\\s+", ""))), TITLE_MAX))
+    clean = spread(items).withColumn("title", T.truncate(T.collapse(T.strip_html(F.regexp_replace("title", "^[A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+:\\s+", ""))), TITLE_MAX))
     clean = clean.withColumn("body", T.strip_metadata(T.strip_html(F.col("body"))))
     clean = clean.withColumn("lang", T.detect_lang(F.concat("title", F.lit("\n"), "body")))
     clean = clean.withColumn("_lead", T.first_sentence(F.col("body"), T.by_lang(F.col("lang"), T.SUMMARY_MAX)))
@@ -67,14 +67,13 @@ def asserted(posts: DataFrame, config: GateConfig, known: DataFrame, max_age_hou
 
     A url counts as a duplicate for every post after the first that carries it and breaks nothing else.
     """
-    canon = canonical_url(F.col("url"))
-    named = posts.withColumn("_canon", canon)
+    named = spread(posts)
     published = known.select(F.col("canonical_url").alias("_canon")).distinct().withColumn("_known", F.lit(True))
     stop = list(config.stopwords)
-    both = named.join(published, "_canon", "left")
     text = F.concat("summary", F.lit("\n"), "body", F.lit("\n"), F.array_join("hooks", " "), F.lit("\n"), "why")
     both = T.once(
-        both,
+        named,
+        _canon=canonical_url(F.col("url")),
         _black=blacklist_verdict(config, F.col("title"), text).isNotNull(),
         _source=T.topic_tokens(F.concat("title", F.lit(" "), "body"), stop),
         _hooks=F.transform("hooks", lambda h: T.topic_tokens(h, stop)),
@@ -87,7 +86,6 @@ def asserted(posts: DataFrame, config: GateConfig, known: DataFrame, max_age_hou
     old = first_failing(age_rules(F.col("published_at"), title, max_age_hours, now_ms)).isNotNull()
     broken = {
         "damagedBody": T.any_of([c.rlike(damaged) for c in (title, summary, body)]),
-        "alreadyPublished": F.coalesce("_known", F.lit(False)),
         "mechanicalTruncation": F.exists(hooks, lambda h: T.is_title_prefix(h, title)),
         "fragmentHook": F.exists(hooks, lambda h: T.strip(h).rlike("(?i)^arxiv:\\d+") | (F.length(h) < T.HOOK_MIN)),
         "scoreEcho": why.rlike("(价值|得分|分数|score)[ \\t]*[:：]?[ \\t]*\\d+\\.\\d|\\d\\.\\d{2}"),
@@ -101,8 +99,9 @@ def asserted(posts: DataFrame, config: GateConfig, known: DataFrame, max_age_hou
         "bodyBelowFloor": F.length(body) < T.by_lang(lang, T.BODY_MIN),
     }
     with small_methods(posts.sparkSession):
-        flagged = written(T.once(both, **{f"gk_{name}": c for name, c in broken.items()}).drop("_source", "_hooks", "_black", "_known"), "assertions")
-    sound = flagged.where(~T.any_of([F.col(f"gk_{name}") for name in broken]) & (F.col("_canon") != ""))
+        flagged = written(T.once(both, **{f"gk_{name}": c for name, c in broken.items()}).drop("_source", "_hooks", "_black"), "assertions")
+    flagged = flagged.join(published, "_canon", "left").withColumn("gk_alreadyPublished", F.coalesce("_known", F.lit(False)))
+    sound = flagged.where(~T.any_of([F.col(f"gk_{name}") for name in [*broken, "alreadyPublished"]]) & (F.col("_canon") != ""))
     first = sound.groupBy("_canon").agg(F.min("pos").alias("_first"))
     flagged = flagged.join(first, "_canon", "left").withColumn("gk_duplicateUrl", F.coalesce(F.col("_first") < F.col("pos"), F.lit(False)))
     flagged = flagged.select(*posts.columns, *[f"gk_{n}" for n in ASSERTIONS])
