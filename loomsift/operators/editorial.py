@@ -26,7 +26,7 @@ class Edited(NamedTuple):
     reason: str | None = None
 
 
-def edited(candidates: DataFrame, writers: list[Client], reviewers: list[Client], gold: DataFrame | None = None, size: int = 20) -> Edited:
+def edited(candidates: DataFrame, writers: list[Client], reviewers: list[Client], gold: DataFrame | None = None, size: int = 20, display: str = "the feed", focus: str = "its subject") -> Edited:
     """candidates (id, title, body, pos) read by writers and reviewers, each a chain of endpoints; [] for a part not wanted.
 
     With gold (id, title, body, pos, human_score, human_decision) the reviewers judge that first. If they fail there, nobody
@@ -38,11 +38,11 @@ def edited(candidates: DataFrame, writers: list[Client], reviewers: list[Client]
         return Edited(reason="no candidates")
     calibration = None
     if reviewers and gold is not None:
-        said = inference.verdicts(inference.answered(inference.prompts(gold, "pos", size, "review"), reviewers))
+        said = inference.verdicts(inference.answered(inference.prompts(gold, "pos", size, inference.task("review", display, focus)), reviewers))
         calibration = written(learning.calibration(gold.select("id", "human_score", "human_decision"), said), "calibration")
         if not calibration.first().usable:
             return Edited(calibration=calibration, reason="reviewers failed the gold set")
-    ask = lambda task, chain: inference.answered(inference.prompts(candidates, "pos", size, task), chain)
+    ask = lambda role, chain: inference.answered(inference.prompts(candidates, "pos", size, inference.task(role, display, focus)), chain)
     copies = inference.copies(ask("write", writers)) if writers else None
     verdicts = inference.verdicts(ask("review", reviewers)) if reviewers else None
     return Edited(copies, verdicts, calibration)
@@ -90,7 +90,7 @@ def recall_usable(gold: DataFrame, judges: list[Client], root: str, key: str, no
     cached = tables.state(spark, root, CALIBRATION).where((F.col("key") == key) & (F.col("calibrated_at") >= now_ms - CALIBRATION_TTL_MS)).first()
     if cached:
         return cached.passed
-    replies = inference.answered(inference.prompts(gold, "pos", size, "recall"), judges)
+    replies = inference.answered(inference.prompts(gold, "pos", size, inference.task("recall")), judges)
     report = learning.recall_calibration(gold.select("id", "include"), inference.inclusions(replies))
     row = report.select(F.lit(key).alias("key"), F.lit(now_ms).cast("long").alias("calibrated_at"), F.coalesce("usable", F.lit(False)).alias("passed"), "precision", "recall")
     path = tables.version_written(row, root)
@@ -102,7 +102,7 @@ def recalled(pool: DataFrame, usable: bool, judges: list[Client], order: str = "
     and silence is no."""
     if not usable:
         return pool.limit(0), pool.withColumn("rule", F.lit("recall:calibrationFailed"))
-    said = inference.inclusions(inference.answered(inference.prompts(pool, order, size, "recall"), judges))
+    said = inference.inclusions(inference.answered(inference.prompts(pool, order, size, inference.task("recall")), judges))
     both = pool.join(said.withColumnRenamed("include", "_include"), "id", "left")
     rule = F.when(F.col("_include").isNull(), "recall:unanswered").otherwise("recall:excluded")
     taken = F.coalesce("_include", F.lit(False))

@@ -180,6 +180,12 @@ def judged(items: DataFrame, persona: Persona, config: GateConfig, now_ms: int,
     return first.withColumn("gate", gate).withColumn("rule", rule).drop("_p", "_b")
 
 
+def by_keyword(items: DataFrame, keywords: list[str]) -> DataFrame:
+    """items (title, body) with relevant: whether they match any keyword. The filter of old, without points or tiers."""
+    hay = T.once(items, _hay=T.haystack(F.concat("title", F.lit(" "), "body")))
+    return hay.withColumn("relevant", F.size(T.keyword_hits(F.col("_hay"), keywords)) > 0).drop("_hay")
+
+
 def recall_pool(verdicts: DataFrame, most: int) -> DataFrame:
     """The candidates with most points (ties by order) up to the size of the pool."""
     return verdicts.where("rule = 'recall:candidate'").orderBy(F.desc("points"), "seq").limit(most)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,35 +20,68 @@ ASSERTIONS = (
 ).split()
 
 
-def subject_phrase(title: Column, body: Column) -> Column:
+def plain_subject(title: Column, body: Column) -> Column:
+    """The first sentence of a title, or of a body without one, without its outlet, its last marks and decimal numbers."""
     whole = T.strip(F.when(title != "", title).otherwise(body))
     sentence = T.first_sentence(T.strip_outlet(whole), 400)
     bare = T.strip(T.sub(sentence, f"[。．.!?！？:：,，、{T.SPACE}…]+\\z", ""))
-    clean = T.collapse(T.sub(bare, "\\d+[.,]\\d+", " "))
-    return F.when(clean == "", F.lit("")).otherwise(T.truncate_why(clean, 28))
-
-
-def with_reason(posts: DataFrame, keywords: list[str], signals: list[str], domain: str) -> DataFrame:
-    """posts (title, body) with why, from the keywords and signal words that they match; steps are columns, made once."""
-    staged = posts.withColumn("_hay", T.haystack(F.concat("title", F.lit(" "), "body")))
-    staged = staged.withColumn("_found", F.array_join(F.slice(T.keyword_hits(F.col("_hay"), keywords), 1, 2), ", "))
-    staged = staged.withColumn("_signal", F.coalesce(F.get(T.keyword_hits(F.col("_hay"), signals), 0), F.lit("")))
-    staged = staged.withColumn("_subject", F.when((F.col("_found") == "") & (F.col("_signal") == ""), subject_phrase(F.col("title"), F.col("body"))).otherwise(F.lit("")))
-    found, signal, subject = F.col("_found"), F.col("_signal"), F.col("_subject")
-    text = (
-        F.when((found != "") & (signal != ""), F.concat(F.lit("Matches your interests in "), found, F.lit(', with a strong "'), signal, F.lit('" signal')))
-        .when(found != "", F.concat(F.lit("Matches your interest in "), found))
-        .when(signal != "", F.concat(F.lit('Strong "'), signal, F.lit(f'" signal in {domain}')))
-        .when(subject != "", F.concat(F.lit("Picked for "), subject))
-        .otherwise(F.lit(f"Related to your {domain} feed"))
-    )
-    staged = staged.withColumn("_reason", text)
-    return staged.withColumn("why", T.truncate_why(F.col("_reason"), T.WHY_MAX)).drop("_hay", "_found", "_signal", "_subject", "_reason")
+    return T.collapse(T.sub(bare, "\\d+[.,]\\d+", " "))
+
+
+# What a reason says, by language, for what an item matches: keywords and a signal word, either, a subject, nothing.
+REASONS = {
+    "en": ('Matches your interests in {found}, with a strong "{signal}" signal', "Matches your interest in {found}", 'Strong "{signal}" signal in {domain}', "Picked for {subject}", "Related to your {domain} feed"),
+    "zh": ("聚焦你的关注点 {found}，并出现强信号「{signal}」", "聚焦你的关注点 {found}", "出现领域信号「{signal}」", "因「{subject}」入选", "与「{domain}」相关"),
+}
+# What is said in place of a reason that may not be shown.
+FALLBACKS = {"en": "Hand-picked from the {domain} feed by {persona}", "zh": "{display}为你挑的{pick}"}
+PICK = "深度内容"
+
+
+def _filled(template: str, **parts: Column) -> Column:
+    """The template with columns in place of its names."""
+    pieces = re.split(r"\{(\w+)\}", template)
+    return F.concat(*[parts[p] if k % 2 else F.lit(p) for k, p in enumerate(pieces) if k % 2 or p])
+
+
+def with_reason(items: DataFrame, keywords: list[str], signals: list[str], domain: str) -> DataFrame:
+    """items (title, body) with reason, in the item's language, from the keywords and signal words that it matches; if there are
+    none, from its own subject. Steps are columns, made once. A reason is never empty."""
+    zh = T.detect_lang(F.concat("title", F.lit("\n"), "body")) == "zh"
+    staged = T.once(items, _hay=T.haystack(F.concat("title", F.lit(" "), "body")))
+    staged = T.once(staged, _found=F.slice(T.keyword_hits(F.col("_hay"), keywords), 1, 2), _signal=F.coalesce(F.get(T.keyword_hits(F.col("_hay"), signals), 0), F.lit("")), _zh=zh)
+    has, strong, subject = F.size("_found") > 0, F.col("_signal") != "", F.col("_subject")
+    plain = F.when(~has & ~strong, plain_subject(F.col("title"), F.col("body"))).otherwise(F.lit(""))
+    staged = T.once(T.once(staged, _plain=plain), _subject=T.truncate_why(F.col("_plain"), 28))
+    listed = {"en": F.array_join("_found", ", "), "zh": F.array_join(F.transform("_found", lambda k: F.concat(F.lit("「"), k, F.lit("」"))), "")}
 
+    def said(lang: str) -> Column:
+        both, words, signal, own, none = (_filled(t, found=listed[lang], signal=F.col("_signal"), subject=subject, domain=F.lit(domain)) for t in REASONS[lang])
+        return F.when(has & strong, both).when(has, words).when(strong, signal).when(subject != "", own).otherwise(none)
 
-def rendered(items: DataFrame, persona: str, digest: str, domain: str, keywords: list[str], signals: list[str], stopwords: list[str]) -> DataFrame:
-    """Posts from items (id, title, body, url, published_at, source, event_key, pos): title, three hooks, summary, body, why."""
-    clean = spread(items).withColumn("title", T.truncate(T.collapse(T.strip_html(F.regexp_replace("title", "^[A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+:\\s+", ""))), TITLE_MAX))
+    return T.once(staged, reason=F.when(F.col("_zh"), said("zh")).otherwise(said("en"))).drop("_hay", "_found", "_signal", "_zh", "_plain", "_subject")
+
+
+def fallback_why(reason: Column, lang: Column, persona: str, display: str, domain: str, pick: str = PICK) -> Column:
+    """The reason, unless it is empty or shows a score (a number with a decimal): then a sentence that names who picked the post."""
+    own = T.strip(F.coalesce(reason, F.lit("")))
+    words = {k: F.lit(t.format(persona=persona, display=display, domain=domain, pick=pick)) for k, t in FALLBACKS.items()}
+    return F.when((own != "") & ~own.rlike("\\d\\.\\d"), own).when(lang == "en", words["en"]).otherwise(words["zh"])
+
+
+def with_why(posts: DataFrame, persona: str, display: str, domain: str, pick: str = PICK) -> DataFrame:
+    """posts (reason, lang) with why: what of the reason may be shown, at the length that posts keep to."""
+    told = T.once(posts, _why=fallback_why(F.col("reason"), F.col("lang"), persona, display, domain, pick))
+    return T.once(told, why=T.truncate_why(F.col("_why"), T.WHY_MAX)).drop("_why")
+
+
+def rendered(items: DataFrame, persona: str, digest: str, domain: str, keywords: list[str], signals: list[str], stopwords: list[str], display: str = "", pick: str = PICK) -> DataFrame:
+    """Posts from items (id, title, body, url, published_at, source, event_key, pos): title, three hooks, summary, body, why.
+
+    why comes from the items' reason, which a scorer gave them; items without such a column get that of with_reason().
+    """
+    told = spread(items) if "reason" in items.columns else with_reason(spread(items), keywords, signals, domain)
+    clean = told.withColumn("title", T.truncate(T.collapse(T.strip_html(F.regexp_replace("title", "^[A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+:\\s+", ""))), TITLE_MAX))
     clean = clean.withColumn("body", T.strip_metadata(T.strip_html(F.col("body"))))
     clean = clean.withColumn("lang", T.detect_lang(F.concat("title", F.lit("\n"), "body")))
     clean = clean.withColumn("_lead", T.first_sentence(F.col("body"), T.by_lang(F.col("lang"), T.SUMMARY_MAX)))
@@ -55,7 +90,7 @@ def rendered(items: DataFrame, persona: str, digest: str, domain: str, keywords:
     clean = clean.withColumn("_sentences", T.split_sentences(F.col("_text"))).withColumn("_tokens", T.tokens(F.col("title")))
     clean = clean.withColumn("_entities", T.topic_tokens(F.concat("title", F.lit(" "), "_text"), stopwords))
     hooks = T.derive_hooks(F.col("title"), F.col("_tokens"), F.col("_sentences"), F.col("_entities"), F.lit(domain), F.col("lang"))
-    clean = with_reason(clean, keywords, signals, domain)
+    clean = with_why(clean, persona, display, domain, pick)
     post = F.concat(F.lit(f"{persona}:{digest}:"), F.col("pos").cast("string"))
     return clean.select(
         post.alias("id"), F.col("id").alias("item_id"), "title", hooks.alias("hooks"), "summary", "body", "why", "url", "lang", "published_at", "source", "event_key", "pos"

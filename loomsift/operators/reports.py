@@ -64,9 +64,19 @@ def evidence(archive: DataFrame) -> DataFrame:
     return archive.groupBy("source").agg(F.count("*").alias("entries"), F.count_if("pushed").alias("pushed"))
 
 
-def config_problems(spark: SparkSession, config: GateConfig, personas: list[Persona], sources: set[str]) -> list[str]:
-    """What would keep a configuration from doing what it says."""
+def missing_files(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of the paths where nothing is, on whatever file system they name."""
     out = []
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+            out.append(path)
+    return out
+
+
+def config_problems(spark: SparkSession, config: GateConfig, personas: list[Persona], sources: set[str], files: list[str] | None = None) -> list[str]:
+    """What would keep a configuration from doing what it says. files: paths that it cannot do without."""
+    out = [f"missing file {p}" for p in missing_files(spark, files or [])]
     if not config.stopwords:
         out.append("no stop words: events would merge on common words")
     out += [f"keyword tier generic has {t.points} points, must be 0" for t in config.tiers if t.tier == "generic" and t.points]
@@ -89,6 +99,28 @@ def board(items: DataFrame, published: DataFrame) -> DataFrame:
     return both.withColumn("yield_ratio", F.col("published") / F.col("collected"))
 
 
+def board_report(published: DataFrame, drops: DataFrame, collected: DataFrame, signals: DataFrame, pool: DataFrame | None = None) -> DataFrame:
+    """(part, name, value) of a round's board: source and lang, each with its posts; yield, the share of what was collected that was
+    published; signals by kind, and whether there are any, without which nothing is learned from readers (evolution: 1 or 0).
+
+    published: (source, lang); drops: as gates.drops() gives them; collected: one row (n); signals: (kind). With the pool of
+    the wide channel, recall has its size, how many of it were included and how many excluded: a drop of the gate recall
+    that was neither unfit for the pool nor beyond its room.
+    """
+    part = lambda rows, name, value, part: rows.select(F.lit(part).alias("part"), F.coalesce(name.cast("string"), F.lit("")).alias("name"), value.cast("double").alias("value"))
+    out = part(published.groupBy("source").agg(F.count("*").alias("n")), F.col("source"), F.col("n"), "source")
+    out = out.unionByName(part(published.groupBy("lang").agg(F.count("*").alias("n")), F.col("lang"), F.col("n"), "lang"))
+    out = out.unionByName(part(signals.groupBy("kind").agg(F.count("*").alias("n")), F.col("kind"), F.col("n"), "signals"))
+    out = out.unionByName(part(signals.agg((F.count("*") > 0).cast("int").alias("n")), F.lit("active"), F.col("n"), "evolution"))
+    both = published.agg(F.count("*").alias("posts")).crossJoin(collected.select("n"))  # one row each
+    out = out.unionByName(part(both, F.lit("published"), F.when(F.col("n") > 0, F.col("posts") / F.col("n")).otherwise(0), "yield"))
+    if pool is None:
+        return out
+    refused = F.col("gate").eqNullSafe("recall") & ~F.col("rule").startswith("recall:ineligible") & ~F.col("rule").startswith("recall:poolOverflow")
+    recall = pool.agg(F.count("*").alias("pool")).crossJoin(drops.agg(F.count_if(refused).alias("excluded"))).withColumn("included", F.col("pool") - F.col("excluded"))
+    return out.unionByName(part(recall.unpivot([], ["pool", "included", "excluded"], "k", "n"), F.col("k"), F.col("n"), "recall"))
+
+
 def endpoint_usage(calls: DataFrame) -> DataFrame:
     """endpoint with calls, failures and time of calls (endpoint, ok, ms, seq), and whether it is the one that is called
     most (ties: the one called first)."""

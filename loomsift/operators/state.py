@@ -123,8 +123,15 @@ def pack_posts(published: DataFrame, persona: str, display: str, generated_ms: i
     )
 
 
-def contract_breaks(posts: DataFrame) -> DataFrame:
-    """(rule, n) of what a pack of posts (id, source_url) breaks; no rows if it is sound."""
+def pack_brief(posts: DataFrame) -> DataFrame:
+    """What a pack says beside its posts (id, why): (post_id, why, source) for each of them. Its reasons are made before anybody
+    reads the pack, so their source is static."""
+    return posts.select(F.col("id").alias("post_id"), "why", F.lit("static").alias("source"))
+
+
+def contract_breaks(posts: DataFrame, brief: DataFrame | None = None) -> DataFrame:
+    """(rule, n) of what a pack of posts (id, source_url) breaks; no rows if it is sound. With its brief, that must have as many
+    entries as there are posts."""
     canon = canonical_url(F.col("source_url"))
     whole = posts.agg(
         F.count_if(~F.col("id").rlike(POST_ID)).alias("id"),
@@ -132,6 +139,9 @@ def contract_breaks(posts: DataFrame) -> DataFrame:
         F.count_if(F.trim("source_url") == "").alias("missing url"),
         (F.count_if(canon != "") - F.count_distinct(F.when(canon != "", canon))).alias("duplicate url"),
     )
+    if brief is not None:
+        counts = posts.agg(F.count("*").alias("posts")).crossJoin(brief.agg(F.count("*").alias("said")))  # one row each
+        whole = whole.crossJoin(counts.select(F.abs(F.col("posts") - F.col("said")).alias("brief")))
     return whole.unpivot([], whole.columns, "rule", "n").where("n > 0")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loomsift.lineage import written
 from loomsift.operators import dedupe, editorial, gates, learning
+from loomsift.operators.scoring import Scorer
 from loomsift.plans import rounds
 from loomsift.sources.commits import Commits
 
@@ -63,7 +64,7 @@ def observation(round_: rounds.Round, counts: DataFrame, candidates: DataFrame,
     return row.select(*own, *row.columns)
 
 
-def run_round(items: DataFrame, round_: rounds.Round, root: str, judge: rounds.Judge | None = None, edited: editorial.Edited | None = None, weights: DataFrame | None = None) -> Result:
+def run_round(items: DataFrame, round_: rounds.Round, root: str, judge: rounds.Judge | None = None, edited: editorial.Edited | None = None, weights: DataFrame | None = None, scorer: Scorer | None = None) -> Result:
     """A whole round over items, from the state under root to the state after it, in one commit at its end.
 
     Items known to the archive, and urls published before, drop out; sources' weights come from the feedback in the state
@@ -79,7 +80,7 @@ def run_round(items: DataFrame, round_: rounds.Round, root: str, judge: rounds.J
     rated = state["feedback"].where("kind in ('up', 'down')").withColumn("signal", F.col("kind"))
     learned = written(learning.refreshed_weights(state["weights"], rated, items), "round-weights")
     weights = learned.select("source", "weight") if weights is None else weights
-    candidates, drops, counts = rounds.collect(items, round_, memory.archive, state["fingerprints"], weights, judge)
+    candidates, drops, counts = rounds.collect(items, round_, memory.archive, state["fingerprints"], weights, judge, scorer)
     counts = written(counts, "round-counts")
     posts = rounds.finalize(candidates, round_, state["fingerprints"], edited)
     posts = written(posts, "round-posts")

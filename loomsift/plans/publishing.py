@@ -86,18 +86,20 @@ def with_embeddings(posts: DataFrame, embed: Embed, size: int) -> DataFrame:
 
 def emitted(published: DataFrame, board: DataFrame, root: str, persona: str, display: str, digest: str, now_ms: int, problems: list[str], dry_run: bool = False) -> list[str]:
     """Publishes posts (id, title, hooks, summary, body, url, why, published_at, pos): the pack, the board, the fingerprints and
-    the log under root, in this order. Gives what stopped it, [] if nothing did.
+    the log under root, in this order; the brief follows the pack. Gives what stopped it, [] if nothing did.
 
     A round's own problems and a broken contract stop it before anything is written; a dry run writes nothing either. To
     run it again after a loss is safe: pack and board are replaced, fingerprints added once, the log has one entry a run.
     """
     spark, root = published.sparkSession, root.rstrip("/")
     pack = state.pack_posts(published, persona, display, now_ms)
-    stopped = problems + [f"{r.rule}: {r.n}" for r in state.contract_breaks(pack).collect()]  # at most four rows
+    brief = state.pack_brief(pack)
+    stopped = problems + [f"{r.rule}: {r.n}" for r in state.contract_breaks(pack, brief).collect()]  # at most five rows
     if stopped or dry_run:
         return stopped
     path = f"{root}/packs/{persona}-{digest}"
     tables.pack_written(pack, path, persona=persona, digest_id=digest)
+    brief.write.mode("overwrite").json(f"{root}/briefs/{persona}-{digest}")
     board.write.mode("overwrite").json(f"{root}/boards/{persona}-{digest}")
     known = tables.state(spark, f"{root}/fingerprints", "canonical_url string, seq long")
     placed = published.select("url", F.col("pos").cast("long").alias("seq"))

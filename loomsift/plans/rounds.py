@@ -18,6 +18,7 @@ from loomsift.lineage import small_methods, written
 from loomsift.operators import dedupe, editorial, events, gates, learning, render, reports, similarity, state
 from loomsift.operators.gates import GateConfig, Persona
 from loomsift.operators.order import numbered
+from loomsift.operators.scoring import Scorer, by_words
 
 
 @dataclass(frozen=True)
@@ -35,11 +36,12 @@ class Round:
 Judge = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
 
 
-def collect(items: DataFrame, round_: Round, archive: DataFrame, published: DataFrame, weights: DataFrame, judge: Judge | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+def collect(items: DataFrame, round_: Round, archive: DataFrame, published: DataFrame, weights: DataFrame, judge: Judge | None = None, scorer: Scorer | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(candidates in order, drops, funnel) of items.
 
     archive: (id, title); published: (canonical_url); weights: (source, weight). judge, editorial.recalled with its clients,
-    takes the pool of those that fail on relevance alone; what it includes goes on like all others.
+    takes the pool of those that fail on relevance alone; what it includes goes on like all others. scorer gives scores and
+    reasons, by the round's keywords and signal words if there is none.
     """
     fresh = gates.prescreened(items, round_.persona.max_age_hours, round_.now_ms)
     known = archive.select("id")
@@ -53,7 +55,7 @@ def collect(items: DataFrame, round_: Round, archive: DataFrame, published: Data
     by_url = dedupe.by_canonical_url(sound.drop("gate", "rule"), published)
     lost = lost.unionByName(gates.drops(by_url.where("rule is not null").withColumn("gate", F.lit("fingerprint"))))
     passed = by_url.where("rule is null").drop("rule")
-    scored = learning.with_score(passed, list(round_.keywords), list(round_.signals))
+    scored = (scorer or by_words(list(round_.keywords), list(round_.signals), round_.persona.domain))(passed)
     titled = scored.withColumn("tokens", T.tokens(F.col("title")))
     new = similarity.novel(titled, archive.select("id", T.tokens(F.col("title")).alias("tokens")))
     ranked = learning.weighted(new, weights).drop("score").withColumnRenamed("rank_score", "score")
@@ -84,7 +86,7 @@ def finalize(candidates: DataFrame, round_: Round, published: DataFrame, edited:
     if edited and edited.verdicts is not None:
         review = F.when(F.col("decision") == "reject", F.lit(-1.0)).otherwise(F.col("score").cast("double"))
         placed = events.by_bar(placed.join(edited.verdicts.select("id", review.alias("review")), "id", "left"), round_.quality_bar)
-    posts = render.rendered(placed, round_.persona.id, round_.digest, round_.persona.domain, list(round_.keywords), list(round_.signals), list(round_.config.stopwords))
+    posts = render.rendered(placed, round_.persona.id, round_.digest, round_.persona.domain, list(round_.keywords), list(round_.signals), list(round_.config.stopwords), round_.persona.display, round_.persona.extra.get("pick", render.PICK))
     if edited and edited.copies is not None:
         posts = editorial.with_copies(posts, edited.copies.withColumnRenamed("id", "item_id"), "item_id")
     with small_methods(candidates.sparkSession):

@@ -340,7 +340,14 @@ def label_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("vec_id", F.round(cosine, 5).alias("cosine"), similarity.is_valid_embedding(F.col("embedding"), 64).alias("valid"))
 
 
-@query()
+@query(f"""
+WITH RECURSIVE t AS (SELECT doc_id, {toks(TITLE)} AS t FROM documents), w AS (SELECT doc_id, len(t) AS n, unnest(t) AS w FROM t),
+p AS (SELECT a.doc_id AS l, b.doc_id AS r FROM w a JOIN w b ON a.w = b.w AND b.doc_id < a.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING count(*) / (a.n + b.n - count(*)) >= 0.5),
+o AS (SELECT l, list(r ORDER BY r) AS near, row_number() OVER (ORDER BY l) AS k FROM p GROUP BY l), late AS (SELECT list(l) AS ids FROM o),
+s AS (SELECT CAST(0 AS BIGINT) AS k, CAST(NULL AS BIGINT) AS l, CAST(NULL AS BIGINT) AS leader, CAST([] AS BIGINT[]) AS led
+  UNION ALL SELECT k, l, coalesce(found, l), CASE WHEN found IS NULL THEN led ELSE list_append(led, l) END FROM (
+    SELECT o.k, o.l, s.led, list_min(list_filter(o.near, lambda r: NOT list_contains(s.led, r))) AS found FROM s JOIN o ON o.k = s.k + 1))
+SELECT doc_id, coalesce(leader, doc_id) AS leader FROM documents LEFT JOIN s ON l = doc_id""")
 def leader_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Titles joined, in order, to the first leader they are like. Sequential by definition; tested against the loop."""
     titled = documents(spark, sf_dir).select(F.col("seq").alias("pos"), T.tokens(F.col("title")).alias("tokens"))
@@ -768,4 +775,4 @@ def merged_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Registers the queries of connectors, editors and publication as well.
-from loomsift import round_queries as _round_queries, state_queries as _state_queries  # noqa: E402, F401
+from loomsift import editor_queries as _editor_queries, round_queries as _round_queries, state_queries as _state_queries  # noqa: E402, F401
