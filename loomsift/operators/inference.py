@@ -66,8 +66,10 @@ def escaped(text: Column) -> Column:
 def prompts(items: DataFrame, order: str, size: int, task: str) -> DataFrame:
     """(batch, prompt, ids): the items in batches of `size`, each a block of its number, title and the start of its body."""
     body = escaped(F.substring(F.coalesce("body", F.lit("")), 1, PROMPT_BODY))
-    block = F.concat(F.lit("["), (F.col("n") % size).cast("string"), F.lit("] "), escaped(F.col("title")), F.lit("\n"), body)
-    rows = numbered(items, order).withColumn("batch", F.floor(F.col("n") / size)).withColumn("block", block)
+    # Texts are cut before they are sorted: only what a prompt shows of them is shuffled.
+    short = items.select(*dict.fromkeys((order, "id")), F.concat(F.lit("] "), escaped(F.col("title")), F.lit("\n"), body).alias("_text"))
+    block = F.concat(F.lit("["), (F.col("n") % size).cast("string"), "_text")
+    rows = numbered(short, order).withColumn("batch", F.floor(F.col("n") / size)).withColumn("block", block)
     lists = rows.groupBy("batch").agg(F.sort_array(F.collect_list(F.struct("n", "id", "block"))).alias("r"))  # `size` rows
     return lists.select("batch", F.concat(F.lit(task + "\n\n"), F.array_join("r.block", "\n")).alias("prompt"), F.col("r.id").alias("ids"))
 
