@@ -328,3 +328,38 @@ def test_running_counts_of_one_prefix_go_over_ranges(spark):
         want[by, n] = (total[by], top[by])
     assert got == want
     assert order.running(order.ranged(frame.limit(0), "by", "n"), "by", ["n"], {"total": F.col("x")}).count() == 0
+
+
+def test_leaders_of_copies_and_long_sets_against_a_loop(spark):
+    """Copies are compared once: pairs of rows of one set of tokens are never made."""
+    rng = random.Random(31)
+    base = [[f"w{rng.randint(0, 60)}" for _ in range(rng.randint(1, 40))] for _ in range(25)]
+    sets = []
+    for pos in range(160):
+        tokens = list(dict.fromkeys(w if rng.random() < 0.8 else f"w{rng.randint(0, 60)}" for w in rng.choice(base)))
+        sets.append((pos, tokens if rng.random() < 0.5 or not sets else rng.choice(sets)[1][::-1]))
+    sets += [(pos, ["same", "title", "again"]) for pos in range(160, 400)] + [(400, []), (401, [])]
+    leaders, want = [], {}
+    for pos, tokens in sets:
+        own = set(tokens)
+        hit = next((q for q, other in leaders if own and len(own & other) / len(own | other) >= 0.5), None)
+        if hit is None:
+            leaders.append((pos, own))
+        want[pos] = pos if hit is None else hit
+    frame = spark.createDataFrame(sets, "pos long, tokens array<string>")
+    assert {r.pos: r.leader for r in similarity.greedy_leaders(frame, 0.5).collect()} == want
+    rows = frame.withColumnRenamed("pos", "l")
+    few, more = rows.where("l < 120"), rows.where("l >= 80").withColumnRenamed("l", "r")
+    for threshold in (0.3, 0.5, 0.7, 1.0):
+        got = {(r.l, r.r) for r in similarity.jaccard_pairs(few, more, threshold).collect()}
+        assert got == {(i, j) for i, a in sets[:120] for j, b in sets[80:] if a and b and len(set(a) & set(b)) / len(set(a) | set(b)) >= threshold}
+    copies = frame.where("pos between 160 and 399").select(F.col("pos").alias("id"), "tokens")
+    assert similarity.similar_sets(copies.groupBy("tokens").agg(F.min("id").alias("id")), 0.5).count() == 0
+
+
+def test_similar_sets_compares_no_copies(spark, monkeypatch):
+    """The leaders' pairs come from one set for each different title."""
+    seen, real = [], similarity.similar_sets
+    monkeypatch.setattr(similarity, "similar_sets", lambda sets, *a, **k: seen.append(sets.count()) or real(sets, *a, **k))
+    frame = spark.createDataFrame([(k, ["a", "b", "c"]) for k in range(50)] + [(50, ["a", "b", "d"])], "pos long, tokens array<string>")
+    assert {r.leader for r in similarity.greedy_leaders(frame, 0.5).collect()} == {0} and seen == [2]
