@@ -101,11 +101,13 @@ def emitted(published: DataFrame, board: DataFrame, root: str, persona: str, dis
     tables.pack_written(pack, path, persona=persona, digest_id=digest)
     brief.write.mode("overwrite").json(f"{root}/briefs/{persona}-{digest}")
     board.write.mode("overwrite").json(f"{root}/boards/{persona}-{digest}")
-    known = tables.state(spark, f"{root}/fingerprints", "canonical_url string, seq long")
+    run = f"{persona}:{digest}:{now_ms}"
+    # From what was known before this run: what the bound pushed out the first time must not come back as new.
+    known = tables.state(spark, f"{root}/fingerprints", "canonical_url string, seq long", before=run)
     placed = published.select("url", F.col("pos").cast("long").alias("seq"))
-    tables.version_written(dedupe.fingerprints_appended(known, placed), f"{root}/fingerprints")
+    tables.version_written(dedupe.fingerprints_appended(known, placed), f"{root}/fingerprints", run)
     at = F.date_format(F.timestamp_millis(F.lit(now_ms)), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
     ids = published.agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("p"))  # a digest's posts
-    entry = ids.select(F.lit(f"{persona}:{digest}:{now_ms}").alias("run"), at.alias("at"), F.lit(persona).alias("persona"), F.lit(digest).alias("digest_id"), F.lit(path).alias("pack"), F.col("p.id").alias("post_ids"))
+    entry = ids.select(F.lit(run).alias("run"), at.alias("at"), F.lit(persona).alias("persona"), F.lit(digest).alias("digest_id"), F.lit(path).alias("pack"), F.col("p.id").alias("post_ids"))
     lines_appended(entry, f"{root}/log")
     return []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import time
 
@@ -22,9 +23,14 @@ def config(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(path, wholetext=True).first().value)
 
 
-def version_written(df: DataFrame, root: str) -> str:
-    """df as a new version of the state table under root; readers see a version only when it is whole."""
-    path = f"{root.rstrip('/')}/version={time.time_ns():020d}"
+def _mark(run: str) -> str:
+    """What the name of a version ends with if a run has written it."""
+    return f"-{hashlib.sha1(run.encode()).hexdigest()[:16]}" if run else ""
+
+
+def version_written(df: DataFrame, root: str, run: str = "") -> str:
+    """df as a new version of the state table under root; readers see a version only when it is whole. run: who writes it."""
+    path = f"{root.rstrip('/')}/version={time.time_ns():020d}{_mark(run)}"
     df.write.mode("errorifexists").parquet(path)
     return path
 
@@ -48,14 +54,17 @@ def removed(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def latest_version(spark: SparkSession, root: str) -> str | None:
-    """The newest whole version under root."""
-    return max((path for name, path in whole_folders(spark, root) if name.startswith("version=")), default=None)
+def latest_version(spark: SparkSession, root: str, before: str = "") -> str | None:
+    """The newest whole version under root. before: a run whose own versions at the end do not count."""
+    found = sorted((name, path) for name, path in whole_folders(spark, root) if name.startswith("version="))
+    while before and found and found[-1][0].endswith(_mark(before)):
+        found.pop()
+    return found[-1][1] if found else None
 
 
-def state(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """The newest version of a state table, empty if there is none."""
-    path = latest_version(spark, root)
+def state(spark: SparkSession, root: str, schema: str, before: str = "") -> DataFrame:
+    """The newest version of a state table, empty if there is none; with before, what that run found when it began."""
+    path = latest_version(spark, root, before)
     return spark.read.schema(schema).parquet(path) if path else spark.createDataFrame([], schema)
 
 

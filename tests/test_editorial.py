@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from loomsift.operators import editorial
 from loomsift.plans import publishing
+from loomsift.sources import tables
 
 
 def numbers(prompt):
@@ -122,6 +123,22 @@ def test_publication(spark, tmp_path):
     assert publishing.publish_log(spark, f"{root}/none").count() == 0
 
 
+def test_publishing_again_adds_no_fingerprint_that_the_bound_pushed_out(spark, tmp_path):
+    n, root = 20_003, f"{tmp_path}/out"
+    posts = spark.range(n).select(
+        F.concat(F.lit("daily:d1:"), "id").alias("id"), F.lit("T").alias("title"), F.array(F.lit("h")).alias("hooks"), F.lit("S").alias("summary"), F.lit("B").alias("body"),
+        F.concat(F.lit("https://a.example/"), "id").alias("url"), F.lit("w").alias("why"), F.lit(0).cast("long").alias("published_at"), F.col("id").alias("pos"),
+    )
+    board = spark.range(1).select(F.lit("s").alias("source"))
+    prints = lambda: {int(r[0].rsplit("/", 1)[1]) for r in tables.state(spark, f"{root}/fingerprints", "canonical_url string, seq long").collect()}
+    for _ in range(3):
+        assert publishing.emitted(posts, board, root, "daily", "Daily", "d1", 1_700_000_000_000, []) == []
+        assert prints() == set(range(3, n))
+    later = posts.where("pos < 2").withColumn("url", F.concat(F.lit("https://b.example/"), F.col("pos") + n))
+    assert publishing.emitted(later, board, root, "daily", "Daily", "d2", 1_700_000_000_001, []) == []
+    assert prints() == set(range(5, n + 2))
+
+
 def test_embeddings(spark):
     posts = spark.createDataFrame([("a", "s"), ("b", "s"), ("c", "s")], "title string, summary string")
 
