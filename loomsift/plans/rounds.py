@@ -31,6 +31,8 @@ class Round:
     digest: str
     recall_pool: int = 60
     quality_bar: float = 5
+    #: How many entries the archive keeps; None: all.
+    archive_max: int | None = state.ARCHIVE_MAX
 
 
 Judge = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
@@ -115,7 +117,7 @@ def recorded(memory: Memory, candidates: DataFrame, posts: DataFrame, round_: Ro
     """
     published = posts.where(F.col("state").isin("accepted", "filled"))
     filled_last = numbered(published, (F.col("state") == "filled").asc(), F.col("pos").asc()).withColumnRenamed("n", "index")
-    archive = state.pushed_marked(state.archive_merged(memory.archive, candidates.select("id", "title", "url", "source", "seq"), round_.now_ms), published.select(F.col("item_id").alias("id")))
+    archive = state.pushed_marked(state.archive_merged(memory.archive, candidates.select("id", "title", "url", "source", "seq"), round_.now_ms, round_.archive_max), published.select(F.col("item_id").alias("id")))
     now = F.lit(round_.now_ms).cast("long")
     ref = F.concat_ws(":", F.lit(round_.digest), F.col("index").cast("string"))
     place = now * F.lit(2**20) + F.col("index")

@@ -226,3 +226,13 @@ def test_whole_rounds(spark, sf_dir, tmp_path):
     bad = GateConfig(min_points=1, tiers=config.tiers, blacklist=(Rule("x", "("),))
     with pytest.raises(ValueError, match="compile"):
         memory.run_round(items, rounds.Round(persona, bad, (), (), now, "d3"), root)
+
+
+def test_a_round_may_archive_all_its_candidates(spark):
+    config = GateConfig(min_points=0)
+    n = state.ARCHIVE_MAX + 5
+    rows = spark.range(n).select(F.col("id").cast("string").alias("id"), F.lit("t").alias("title"), F.lit("").alias("url"), F.lit("s").alias("source"), F.col("id").alias("seq"))
+    empty = rounds.Memory(**{k: spark.createDataFrame([], v) for k, v in memory.SCHEMAS.items()})
+    posts = spark.createDataFrame([], "id string, item_id string, title string, summary string, url string, source string, pos long, state string")
+    size = lambda **k: rounds.recorded(empty, rows, posts, rounds.Round(Persona("p"), config, (), (), 1, "d1", **k)).archive.count()
+    assert size(archive_max=None) == n and size() == state.ARCHIVE_MAX
