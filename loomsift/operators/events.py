@@ -40,9 +40,23 @@ def event_keys(items: DataFrame, config: GateConfig, background: DataFrame | Non
     first = rare.groupBy("token").agg(F.min("pos").alias("first"))
     edges = rare.join(first, "token").where(F.col("pos") > F.col("first")).select(F.col("pos").alias("x"), F.col("first").alias("y")).distinct()
     labels = components(edges).select(F.col("id").alias("pos"), F.col("comp"))
-    named = items.select(F.col("pos").alias("comp"), F.col("id").alias("event_key"))
-    keyed = items.join(labels, "pos", "left").withColumn("comp", F.coalesce("comp", "pos"))
-    return keyed.join(named, "comp").drop("comp")
+    # Names go to numbers first, texts only by their own number: an event may have most of the items.
+    named = labels.join(items.select(F.col("pos").alias("comp"), F.col("id").alias("event_key")), "comp").select("pos", "event_key")
+    return items.join(named, "pos", "left").withColumn("event_key", F.coalesce("event_key", "id"))
+
+
+#: Rows of an event that meet their lead in one place; larger events are dealt over several.
+EVENT_ROWS = 10_000
+
+
+def with_lead(rows: DataFrame, lead: DataFrame) -> DataFrame:
+    """rows (event_key, pos, ...) with what lead (event_key, ...) says of their event, at most EVENT_ROWS or so at one place."""
+    sizes = rows.groupBy("event_key").agg(F.count("*").alias("_n")).where(F.col("_n") > EVENT_ROWS)
+    hot = written(sizes.select("event_key", F.ceil(F.col("_n") / EVENT_ROWS).cast("int").alias("_parts")), "large-events")  # one in EVENT_ROWS rows at most
+    dealt = rows.join(F.broadcast(hot), "event_key", "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64("pos"), F.col("_parts")).cast("int"), F.lit(0)))
+    copies = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
+    each = lead.join(F.broadcast(hot), "event_key", "left").withColumn("_part", F.explode(copies)).drop("_parts")
+    return dealt.drop("_parts").join(each, ["event_key", "_part"]).drop("_part")
 
 
 def capped_events(items: DataFrame, config: GateConfig) -> DataFrame:
@@ -51,9 +65,10 @@ def capped_events(items: DataFrame, config: GateConfig) -> DataFrame:
     The rest are demoted, not dropped; so are reposts, items whose title tokens are too like the event's first title.
     """
     named = items.withColumn("_tokens", T.tokens(F.col("title")))
-    lead = first_k(named, "event_key", "pos", 1).select("event_key", F.col("_tokens").alias("_lead"), F.col("id").alias("_lead_id"))
+    first = items.groupBy("event_key").agg(F.min("pos").alias("pos"))
+    lead = items.select("event_key", "pos", "id", "title").join(first.select("pos"), "pos", "left_semi").select("event_key", T.tokens(F.col("title")).alias("_lead"), F.col("id").alias("_lead_id"))
     repost = (F.col("id") != F.col("_lead_id")) & (T.jaccard(F.col("_lead"), F.col("_tokens")) >= config.jaccard)
-    flagged = named.join(lead, "event_key").withColumn("repost", repost).drop("_tokens", "_lead", "_lead_id")
+    flagged = with_lead(named, lead).withColumn("repost", repost).drop("_tokens", "_lead", "_lead_id")
     kept = first_k(flagged.where(~F.col("repost")), "event_key", "pos", config.max_per_event).select("id", F.lit(True).alias("_kept"))
     return flagged.join(kept, "id", "left").withColumn("kept", F.coalesce("_kept", F.lit(False))).drop("_kept")
 

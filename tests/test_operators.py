@@ -363,3 +363,20 @@ def test_similar_sets_compares_no_copies(spark, monkeypatch):
     monkeypatch.setattr(similarity, "similar_sets", lambda sets, *a, **k: seen.append(sets.count()) or real(sets, *a, **k))
     frame = spark.createDataFrame([(k, ["a", "b", "c"]) for k in range(50)] + [(50, ["a", "b", "d"])], "pos long, tokens array<string>")
     assert {r.leader for r in similarity.greedy_leaders(frame, 0.5).collect()} == {0} and seen == [2]
+
+
+def test_an_event_of_most_items_meets_its_lead_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(events, "EVENT_ROWS", 10)
+    config = GateConfig(max_entity_df=1000)
+    titles = [f"Vectorhub number{k} word{k % 7}" if k % 4 else f"plain{k}" for k in range(200)] + ["Vectorhub number1 word1"]
+    items = spark.createDataFrame([(f"i{k}", k, t) for k, t in enumerate(titles)], "id string, pos long, title string")
+    keyed = events.event_keys(items, config)
+    keys = {r.pos: r.event_key for r in keyed.collect()}
+    assert keys == {k: "i1" if t.startswith("V") else f"i{k}" for k, t in enumerate(titles)}
+    lead = keyed.where("id = event_key").select("event_key", F.col("title").alias("_lead"))
+    met = events.with_lead(keyed, lead)
+    assert {(r.pos, r._lead) for r in met.collect()} == {(k, titles[1] if t.startswith("V") else t) for k, t in enumerate(titles)}
+    capped = {r.pos: (r.repost, r.kept) for r in events.capped_events(keyed, config).collect()}
+    assert capped[1] == (False, True) and capped[200] == (True, False) and capped[2] == (False, True) and capped[3] == (False, False)
+    text = [str(r) for r in keyed._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join" in r]
+    assert len(text) == 2 and any("pos" in t and "LeftOuter" in t for t in text[:1])  # texts are joined by their own number, not by their event's
