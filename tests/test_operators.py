@@ -380,3 +380,16 @@ def test_an_event_of_most_items_meets_its_lead_in_parts(spark, monkeypatch):
     assert capped[1] == (False, True) and capped[200] == (True, False) and capped[2] == (False, True) and capped[3] == (False, False)
     text = [str(r) for r in keyed._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join" in r]
     assert len(text) == 2 and any("pos" in t and "LeftOuter" in t for t in text[:1])  # texts are joined by their own number, not by their event's
+
+
+def test_embedded_deals_rows_of_texts_not_sums(spark):
+    import numpy as np
+
+    model = lambda: lambda words: np.array([[len(w), 2.0] if w != "bad" else [np.nan, 1.0] for w in words], np.float32)
+    items = spark.createDataFrame([(1, "aaa aaa bbbbb"), (2, "a bad one"), (3, ""), (4, "cc")], "id long, text string")
+    made = similarity.embedded(items, model, 2)
+    got = {r.id: r.embedding and [round(x, 6) for x in r.embedding] for r in made.collect()}
+    unit = lambda x, y: [round(v / (x * x + y * y) ** 0.5, 6) for v in (x, y)]
+    assert got == {1: unit(11 / 3, 2.0), 2: None, 3: None, 4: unit(2.0, 2.0)}
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1 and "RepartitionByExpression" in plan  # one sum of whole texts, after they are dealt
