@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from loomsift.functions.text import bound
+
 # Query parameters that only track.
 TRACKING = (
     "fbclid gclid dclid yclid twclid igshid msclkid gbraid wbraid ref referrer reference source from spm scm mc_id mc_eid wt.mc_id mkt_tok vero_id "
@@ -27,13 +29,16 @@ def _encoded(path: Column) -> Column:
 def canonical_url(raw: Column) -> Column:
     """http(s) only: scheme, lower-case host without www. and port, path without trailing slashes, the parameters that
     do not track, sorted. An empty string for anything else. Read by patterns, as leniently as browsers do."""
-    url = F.regexp_replace(F.coalesce(raw, F.lit("")), "^[\\x00-\\x20]+|[\\x00-\\x20]+\\z|[\\t\\n\\r]", "")
+    return bound(F.regexp_replace(F.coalesce(raw, F.lit("")), "^[\\x00-\\x20]+|[\\x00-\\x20]+\\z|[\\t\\n\\r]", ""), _canonical)
+
+
+def _canonical(url: Column) -> Column:
     scheme = F.lower(F.regexp_extract(url, "^([A-Za-z][A-Za-z0-9+.-]*):", 1))
     found = lambda k: F.regexp_extract(url, "^[A-Za-z]+:[/\\\\]*([^/\\\\?#]*)([^?#]*)(?:\\?([^#]*))?", k)
     host = F.regexp_replace(F.lower(F.regexp_replace(F.regexp_replace(found(1), "^.*@", ""), ":[0-9]*$", "")), "^www\\.", "")
-    host = F.when(host.rlike("[\\x00-\\x20<>^|%\"`{}]|^$"), F.lit("")).otherwise(host)
-    path = _encoded(F.replace(found(2), F.lit("\\"), F.lit("/")))
-    bare = F.regexp_replace(path, "/+$", "")
+    host = bound(host, lambda h: F.when(h.rlike("[\\x00-\\x20<>^|%\"`{}]|^$"), F.lit("")).otherwise(h))
+    path = bound(F.replace(found(2), F.lit("\\"), F.lit("/")), _encoded)
+    bare = bound(F.regexp_replace(path, "/+$", ""), lambda b: F.when(b == "", F.lit("/")).otherwise(b))
     decode = lambda c: F.coalesce(F.try_url_decode(c), c)
     pairs = F.transform(
         F.filter(F.split(F.coalesce(found(3), F.lit("")), "&"), lambda p: p != ""),
@@ -41,9 +46,10 @@ def canonical_url(raw: Column) -> Column:
     )
     tracks = lambda k: k.isin(TRACKING) | k.rlike("^(" + "|".join(p.replace(".", "\\.") for p in TRACKING_PREFIXES) + ")")
     kept = F.array_sort(F.transform(F.filter(pairs, lambda p: ~tracks(p["k"])), lambda p: F.concat(p["k"], F.lit("="), p["v"])))
-    query = F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(F.lit(""))
-    whole = F.concat(scheme, F.lit("://"), host, F.when(bare == "", F.lit("/")).otherwise(bare), query)
-    return F.when(scheme.isin("http", "https") & (F.coalesce(host, F.lit("")) != ""), whole).otherwise(F.lit(""))
+    # Urls without a query, most of them, are not split for it.
+    query = F.when(F.contains(url, F.lit("?")), F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(F.lit(""))).otherwise(F.lit(""))
+    whole = lambda s, h: F.when(s.isin("http", "https") & (F.coalesce(h, F.lit("")) != ""), F.concat(s, F.lit("://"), h, bare, query)).otherwise(F.lit(""))
+    return bound(scheme, lambda s: bound(host, lambda h: whole(s, h)))
 
 
 def same_document(a: Column, b: Column) -> Column:

@@ -110,31 +110,35 @@ def asserted(posts: DataFrame, config: GateConfig, known: DataFrame, max_age_hou
         named,
         _canon=canonical_url(F.col("url")),
         _black=blacklist_verdict(config, F.col("title"), text).isNotNull(),
-        _source=T.topic_tokens(F.concat("title", F.lit(" "), "body"), stop),
+        _named=T.topic_tokens(F.col("title"), stop),
         _hooks=F.transform("hooks", lambda h: T.topic_tokens(h, stop)),
     )
     title, summary, body, why, hooks, lang = (F.col(c) for c in ("title", "summary", "body", "why", "hooks", "lang"))
-    damaged, tag = "(?i)\\[object Object\\]", f"(?i)</?[a-z][a-z0-9-]*(?:[{T.SPACE}][^<>]*)?>"
+    shows = lambda sign, pattern: lambda c: F.contains(c, F.lit(sign)) & c.rlike(pattern)
+    damaged, tag = shows("[", "(?i)\\[object Object\\]"), shows("<", f"(?i)</?[a-z][a-z0-9-]*(?:[{T.SPACE}][^<>]*)?>")
+    # What the title names, the whole text names: the body's tokens are made for those posts alone whose title does not do.
+    foreign = lambda found: (F.size(found) == 0) | F.exists("_hooks", lambda h: ~F.arrays_overlap(h, found))
+    strange = F.when(foreign(F.col("_named")).eqNullSafe(False), False).otherwise(T.bound(T.topic_tokens(F.concat("title", F.lit(" "), "body"), stop), foreign))
     most = T.by_lang(lang, T.HOOK_MAX)
     shape = (F.size(hooks) != 3) | (F.size(F.array_distinct(hooks)) != 3) | F.exists(hooks, lambda h: F.length(h) > most)
     shape |= (F.length(summary) > T.by_lang(lang, T.SUMMARY_MAX)) | (F.length(why) > T.WHY_MAX) | (title == "") | (F.col("url") == "")
     old = first_failing(age_rules(F.col("published_at"), title, max_age_hours, now_ms)).isNotNull()
     broken = {
-        "damagedBody": T.any_of([c.rlike(damaged) for c in (title, summary, body)]),
+        "damagedBody": T.any_of([damaged(c) for c in (title, summary, body)]),
         "mechanicalTruncation": F.exists(hooks, lambda h: T.is_title_prefix(h, title)),
-        "fragmentHook": F.exists(hooks, lambda h: T.strip(h).rlike("(?i)^arxiv:\\d+") | (F.length(h) < T.HOOK_MIN)),
+        "fragmentHook": F.exists(hooks, lambda h: (F.length(h) < T.HOOK_MIN) | h.rlike(f"(?i)^[{T.SPACE}]*arxiv:\\d+")),
         "scoreEcho": why.rlike("(价值|得分|分数|score)[ \\t]*[:：]?[ \\t]*\\d+\\.\\d|\\d\\.\\d{2}"),
         "blacklistRecheck": F.col("_black"),
-        "hookEntity": (F.size("_source") == 0) | F.exists("_hooks", lambda h: ~F.arrays_overlap(h, F.col("_source"))),
+        "hookEntity": strange,
         "tooOld": old,
         "shapeViolation": shape,
-        "htmlLeak": T.any_of([c.rlike(tag) for c in (title, summary, body, why)]) | F.exists(hooks, lambda h: h.rlike(tag)),
-        "hollowSummary": F.greatest(T.substance(summary), T.substance(body)) < 5,
+        "htmlLeak": T.any_of([tag(c) for c in (title, summary, body, why)]) | F.exists(hooks, tag),
+        "hollowSummary": F.when(T.substance(summary) >= 5, False).otherwise(F.greatest(T.substance(summary), T.substance(body)) < 5),
         "summaryBelowFloor": F.length(summary) < T.by_lang(lang, T.SUMMARY_MIN),
         "bodyBelowFloor": F.length(body) < T.by_lang(lang, T.BODY_MIN),
     }
     with small_methods(posts.sparkSession):
-        flagged = written(T.once(both, **{f"gk_{name}": c for name, c in broken.items()}).drop("_source", "_hooks", "_black"), "assertions")
+        flagged = written(T.once(both, **{f"gk_{name}": c for name, c in broken.items()}).drop("_named", "_hooks", "_black"), "assertions")
     flagged = flagged.join(published, "_canon", "left").withColumn("gk_alreadyPublished", F.coalesce("_known", F.lit(False)))
     sound = flagged.where(~T.any_of([F.col(f"gk_{name}") for name in [*broken, "alreadyPublished"]]) & (F.col("_canon") != ""))
     first = sound.groupBy("_canon").agg(F.min("pos").alias("_first"))
