@@ -24,7 +24,7 @@ def plain_subject(title: Column, body: Column) -> Column:
     """The first sentence of a title, or of a body without one, without its outlet, its last marks and decimal numbers."""
     whole = T.strip(F.when(title != "", title).otherwise(body))
     sentence = T.first_sentence(T.strip_outlet(whole), 400)
-    bare = T.strip(T.sub(sentence, f"[。．.!?！？:：,，、{T.SPACE}…]+\\z", ""))
+    bare = T.strip(T.sub(sentence, f"(?![A-Za-z0-9])[。．.!?！？:：,，、{T.SPACE}…]+\\z", ""))
     return T.collapse(T.sub(bare, "\\d+[.,]\\d+", " "))
 
 

@@ -63,3 +63,22 @@ def test_the_blacklist_needs_no_haystack_for_items_without_a_pattern(spark):
     rows = [("A long enough title here", "all rights reserved"), ("A long enough title here", "all rights reserved, trash"), ("A long enough title here", "token"), ("A long [object Object] title", "x"), ("short", "x")]
     got = spark.createDataFrame(rows, "title string, body string").select(gates.blacklist_verdict(CONFIG).alias("r")).collect()
     assert [r.r for r in got] == ["license", None, None, "damaged:objectObject", "damaged:titleTooShort"]
+
+
+def test_a_reason_is_cut_from_its_bare_head_once(spark):
+    assert str(T.truncate_why(F.col("t"), 28)).count("，。、！？·") == 2
+
+
+def test_a_keyword_is_made_a_needle_once(spark):
+    shown = spark.range(1).selectExpr("cast(id as string) AS h").select(T.keyword_hits(F.col("h"), ["ab", "中文"]))._jdf.queryExecution().optimizedPlan().toString()
+    assert " ab " in shown and "RLIKE" not in shown and "u3400" not in shown
+    rows = spark.createDataFrame([(" x ab y ",), (" xab ",), (" 的中文x ",), ("",)], "h string").select(T.keyword_hits(F.col("h"), ["ab", "中文"]).alias("k")).collect()
+    assert [r.k for r in rows] == [["ab"], [], ["中文"], []]
+
+
+def test_outlets_and_subjects_as_by_the_plain_patterns(spark):
+    texts = _texts(300, [" - ", "　–　", "| ", "The", "Daily", "New's", "word", "é", "A&B", "。", " ", "3.5", "…"])
+    white, word = f"[{re.escape(WHITE)}]", "[A-Z][A-Za-z0-9.'’&]*"
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", T.strip_outlet(F.col("t")).alias("o")).collect()
+    for r in rows:
+        assert r.o == re.sub(rf"{white}+[-–—|]{white}+{word}(?:{white}+{word}){{0,3}}{white}*\Z", "", r.t).strip(WHITE), repr(r.t)
