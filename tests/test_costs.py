@@ -5,10 +5,10 @@ import re
 
 from pyspark.sql import functions as F
 
+from loomsift import editor_queries, lineage, queries, round_queries
 from loomsift.functions import text as T
 from loomsift.functions.urls import canonical_url
 from loomsift.operators import gates, render
-from loomsift.queries import CONFIG
 
 WHITE = " \t\n\x0b\f\r" + "".join(map(chr, [0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF]))
 
@@ -50,8 +50,8 @@ def test_hooks_are_held_against_the_body_where_the_title_does_not_name_them(spar
     text = lambda k: " ".join(rng.choices(words, k=rng.randrange(k)))
     rows = [(str(n), text(4), [text(4) for _ in range(n % 4)], text(3), text(6), "w", f"https://a.example/{n}", "en", 0, n) for n in range(300)]
     posts = spark.createDataFrame(rows, "id string, title string, hooks array<string>, summary string, body string, why string, url string, lang string, published_at long, pos long")
-    got = {r.id: r for r in render.asserted(posts, CONFIG, spark.createDataFrame([], "canonical_url string"), 72, 10**12).collect()}
-    stop = list(CONFIG.stopwords)
+    got = {r.id: r for r in render.asserted(posts, queries.CONFIG, spark.createDataFrame([], "canonical_url string"), 72, 10**12).collect()}
+    stop = list(queries.CONFIG.stopwords)
     told = posts.select("id", T.topic_tokens(F.concat("title", F.lit(" "), "body"), stop).alias("s"), F.transform("hooks", lambda h: T.topic_tokens(h, stop)).alias("h"), T.substance(F.col("summary")).alias("a"), T.substance(F.col("body")).alias("b"))
     for r in told.collect():
         assert got[r.id].gk_hookEntity == (not r.s or any(not set(h) & set(r.s) for h in r.h)), r
@@ -61,7 +61,7 @@ def test_hooks_are_held_against_the_body_where_the_title_does_not_name_them(spar
 def test_the_blacklist_needs_no_haystack_for_items_without_a_pattern(spark):
     """Strong words excuse a rule as before, though the text is looked through for them only after the rule has hit."""
     rows = [("A long enough title here", "all rights reserved"), ("A long enough title here", "all rights reserved, trash"), ("A long enough title here", "token"), ("A long [object Object] title", "x"), ("short", "x")]
-    got = spark.createDataFrame(rows, "title string, body string").select(gates.blacklist_verdict(CONFIG).alias("r")).collect()
+    got = spark.createDataFrame(rows, "title string, body string").select(gates.blacklist_verdict(queries.CONFIG).alias("r")).collect()
     assert [r.r for r in got] == ["license", None, None, "damaged:objectObject", "damaged:titleTooShort"]
 
 
@@ -70,8 +70,8 @@ def test_a_reason_is_cut_from_its_bare_head_once(spark):
 
 
 def test_a_keyword_is_made_a_needle_once(spark):
-    shown = spark.range(1).selectExpr("cast(id as string) AS h").select(T.keyword_hits(F.col("h"), ["ab", "中文"]))._jdf.queryExecution().optimizedPlan().toString()
-    assert " ab " in shown and "RLIKE" not in shown and "u3400" not in shown
+    shown = spark.range(1).selectExpr("cast(id as string) AS h").select(T.keyword_hits(F.col("h"), ["ab", "中文"]).alias("k"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "[ab,ab, ab ],[中文,中文,中文]" in shown and "RLIKE" not in shown
     rows = spark.createDataFrame([(" x ab y ",), (" xab ",), (" 的中文x ",), ("",)], "h string").select(T.keyword_hits(F.col("h"), ["ab", "中文"]).alias("k")).collect()
     assert [r.k for r in rows] == [["ab"], [], ["中文"], []]
 
@@ -82,3 +82,15 @@ def test_outlets_and_subjects_as_by_the_plain_patterns(spark):
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", T.strip_outlet(F.col("t")).alias("o")).collect()
     for r in rows:
         assert r.o == re.sub(rf"{white}+[-–—|]{white}+{word}(?:{white}+{word}){{0,3}}{white}*\Z", "", r.t).strip(WHITE), repr(r.t)
+
+
+def test_a_report_writes_no_bodies_and_makes_no_haystack_of_both(spark, sf_dir, monkeypatch):
+    kept = {}
+
+    def noted(df, name, *by):
+        kept[name] = (df.columns, df._jdf.queryExecution().analyzed().toString())
+        return lineage.written(df, name, *by)
+
+    monkeypatch.setattr(editor_queries, "written", noted)
+    editor_queries.board_report(spark, sf_dir)
+    assert not {"body", "hits"} & set(kept["judged"][0]) and " _all#" not in kept["judged"][1]
