@@ -173,7 +173,8 @@ def items_of(payloads: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFr
     Items have ids and seq, the order of sources and then of entries. Skipped are enabled sources whose payload is
     missing, too long, or holds no entry: one that fails stops no other.
     """
-    wanted = sources.where("enabled").select("source", "type", "ordinal")
+    # A registry of sources has a row for each source, however much they send: no payload moves to meet it.
+    wanted = F.broadcast(sources.where("enabled").select("source", "type", "ordinal"))
     # Written by kind once: whatever the payloads come from is read once, and each parser reads its own kind.
     sound = written(payloads.where(F.octet_length(F.coalesce("payload", F.lit(""))) <= PAYLOAD_MAX).join(wanted, "source"), "payloads", "type")
     found = None
@@ -184,5 +185,5 @@ def items_of(payloads: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFr
     items = found.join(wanted.select("source", "ordinal"), "source").select(
         T.item_id(canon, F.col("title"), F.col("body")).alias("id"), "source", "title", "body", "url", "published_at", (F.col("ordinal").cast("long") * 2**32 + F.col("pos")).alias("seq")
     )
-    skipped = wanted.join(found.select("source").distinct(), "source", "left_anti").select("source")
+    skipped = sources.where("enabled").join(found.select("source").distinct(), "source", "left_anti").select("source")
     return items, skipped

@@ -94,3 +94,8 @@ def test_a_report_writes_no_bodies_and_makes_no_haystack_of_both(spark, sf_dir,
     monkeypatch.setattr(editor_queries, "written", noted)
     editor_queries.board_report(spark, sf_dir)
     assert not {"body", "hits"} & set(kept["judged"][0]) and " _all#" not in kept["judged"][1]
+
+
+def test_payloads_do_not_move_to_meet_their_sources(spark, sf_dir):
+    plan = round_queries.feed_connectors(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
