@@ -73,6 +73,27 @@ def test_timers_and_late_rows(spark, tmp_path):
     assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
 
 
+def test_settling_an_epoch_twice_and_rows_of_one_millisecond(spark, tmp_path):
+    """The latest row by microseconds names the source, a batch that runs again leaves what it left, and each epoch finds
+    what is still open in the one before it."""
+    kind, root = "digest_id string, index int, source string, opened boolean, done boolean, t string", str(tmp_path)
+
+    def settle(epoch, rows, times=1):
+        for _ in range(times):
+            signals.settled(spark.createDataFrame(rows, kind).withColumn("t", F.to_timestamp("t")), epoch, "1 hour", root)
+        return sorted((r["index"], r.source, r.counted) for r in signals.settled_ledger(root).before(spark).collect())
+
+    row = lambda i, s, t, o=False: ("d", i, s, o, False, f"2024-01-{t}")
+    assert settle(0, [row(0, "b", "01 05:00:00.000100"), row(0, "a", "01 05:00:00.000900"), row(1, "c", "01 20:00:00")], 2) == []
+    assert settle(1, [row(2, "x", "02 08:00:00")], 2) == [(0, "a", True)]
+    # Behind the watermark (07:00 of the second) for one that is settled and for one that is open; the latter is opened in time.
+    assert settle(2, [row(0, "z", "02 06:00:00"), row(1, "z", "02 06:30:00"), row(1, "c", "02 09:00:00", True)], 2) == [(0, "a", True)]
+    settle(3, [("d", None, "y", False, False, "2024-01-09 00:00:00")])
+    settle(4, [row(4, "y", "02 10:04:00")])
+    assert len(list((tmp_path / "held").iterdir())) == 2
+    assert settle(5, [row(99, "y", "05 00:00:00")], 2) == [(0, "a", True), (1, "c", False), (2, "x", True), (4, "y", True)]
+
+
 def test_commits(spark, tmp_path):
     kept = Commits(str(tmp_path / "c"), {"a": "x int", "b": "y string"})
     a = lambda *xs: spark.createDataFrame([(x,) for x in xs], "x int")
