@@ -82,9 +82,9 @@ def rendered(items: DataFrame, persona: str, digest: str, domain: str, keywords:
     """
     told = spread(items) if "reason" in items.columns else with_reason(spread(items), keywords, signals, domain)
     clean = told.withColumn("title", T.truncate(T.collapse(T.strip_html(F.regexp_replace("title", "^[A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+:\\s+", ""))), TITLE_MAX))
-    clean = clean.withColumn("body", T.strip_metadata(T.strip_html(F.col("body"))))
+    clean = clean.withColumn("body", T.strip_both(F.col("body")))
     clean = clean.withColumn("lang", T.detect_lang(F.concat("title", F.lit("\n"), "body")))
-    clean = clean.withColumn("_lead", T.first_sentence(F.col("body"), T.by_lang(F.col("lang"), T.SUMMARY_MAX)))
+    clean = clean.withColumn("_lead", T.sentence_of(F.col("body"), T.by_lang(F.col("lang"), T.SUMMARY_MAX)))
     clean = clean.withColumn("summary", T.ensure_summary_floor(F.col("_lead"), F.col("body"), F.col("lang")))
     clean = clean.withColumn("_text", T.strip_metadata(F.when(F.col("summary") != "", F.col("summary")).otherwise(F.col("title"))))
     clean = clean.withColumn("_sentences", T.split_sentences(F.col("_text"))).withColumn("_tokens", T.tokens(F.col("title")))
@@ -116,9 +116,11 @@ def asserted(posts: DataFrame, config: GateConfig, known: DataFrame, max_age_hou
     title, summary, body, why, hooks, lang = (F.col(c) for c in ("title", "summary", "body", "why", "hooks", "lang"))
     shows = lambda sign, pattern: lambda c: F.contains(c, F.lit(sign)) & c.rlike(pattern)
     damaged, tag = shows("[", "(?i)\\[object Object\\]"), shows("<", f"(?i)</?[a-z][a-z0-9-]*(?:[{T.SPACE}][^<>]*)?>")
-    # What the title names, the whole text names: the body's tokens are made for those posts alone whose title does not do.
+    # What the title names, or the title and the body's head, the whole text names: the body's tokens are made for those posts
+    # alone for which these do not do.
     foreign = lambda found: (F.size(found) == 0) | F.exists("_hooks", lambda h: ~F.arrays_overlap(h, found))
-    strange = F.when(foreign(F.col("_named")).eqNullSafe(False), False).otherwise(T.bound(T.topic_tokens(F.concat("title", F.lit(" "), "body"), stop), foreign))
+    strange_to = lambda body: T.bound(T.topic_tokens(F.concat(F.col("title"), F.lit(" "), body), stop), foreign)
+    strange = F.when(foreign(F.col("_named")).eqNullSafe(False), False).when(strange_to(T.head_of(F.col("body"))).eqNullSafe(False), False).otherwise(strange_to(F.col("body")))
     most = T.by_lang(lang, T.HOOK_MAX)
     shape = (F.size(hooks) != 3) | (F.size(F.array_distinct(hooks)) != 3) | F.exists(hooks, lambda h: F.length(h) > most)
     shape |= (F.length(summary) > T.by_lang(lang, T.SUMMARY_MAX)) | (F.length(why) > T.WHY_MAX) | (title == "") | (F.col("url") == "")

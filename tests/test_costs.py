@@ -99,3 +99,40 @@ def test_a_report_writes_no_bodies_and_makes_no_haystack_of_both(spark, sf_dir,
 def test_payloads_do_not_move_to_meet_their_sources(spark, sf_dir):
     plan = round_queries.feed_connectors(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_the_head_of_a_body_gives_what_the_whole_body_gives(spark, monkeypatch):
+    """Summaries and hooks' flags do not depend on how much of a body is looked at first."""
+    parts = ["Announce Type: new", "arXiv:1", "Abstract:", "https://a.b/c.d?e", "Graphs of vectors are drawn here.", "Zwölf Boxkämpfer jagen!", "。", "中文字中文字中文字中文字中文字。", ". ", "\u3000", "? ", "word", "Σ", "3.5 "]
+    rng = random.Random(11)
+    rows = []
+    for n in range(250):
+        body = " ".join(rng.choices(parts, k=rng.randrange(60)))
+        rows.append((str(n), rng.choice(["Vector", "word", ""]), [rng.choice(parts) for _ in range(3)], rng.choice(["", "Short.", body[:80]]), body, "w", f"https://a.example/{n}", rng.choice(["en", "zh"]), 0, n))
+    posts = spark.createDataFrame(rows, "id string, title string, hooks array<string>, summary string, body string, why string, url string, lang string, published_at long, pos long").persist()
+    found = []
+    for most in (7, 60, 400, 10**6):
+        monkeypatch.setattr(T, "HEAD", most)
+        summaries = posts.select("id", T.ensure_summary_floor(F.col("summary"), F.col("body"), F.col("lang")).alias("s")).collect()
+        flags = render.asserted(posts, queries.CONFIG, spark.createDataFrame([], "canonical_url string"), 72, 10**12).collect()
+        found.append((sorted((r.id, r.s) for r in summaries), sorted((r.id, r.gk_hookEntity) for r in flags)))
+    assert all(f == found[-1] for f in found) and len({flag for _, flag in found[-1][1]}) == 2
+
+
+def test_short_ways_of_cleaning_give_the_long_ways_results(spark):
+    texts = _texts(400, [" ", "  ", "\u3000", "arXiv:1 ", "ABSTRACT: ", "Announce type: x", "<b>", "</style>", "<style>", "&amp;", "&amp;lt;", "&#39;", "&#039;", "&apos;", "&nbsp;", "a.", "bc", "。", "HTTPS://x.y/z ", ":", "word"])
+    c = F.col("t")
+    shown = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", T.strip_both(c).alias("both"), T.strip_metadata(T.strip_html(c)).alias("each"), T.normalize(c).alias("norm"), T.collapse(c).alias("clean"), *[T.first_sentence(c, m).alias(f"s{m}") for m in (2, 5, 9)]
+    )
+    for r in shown.collect():
+        assert r.both == r["each"], repr(r.t)
+        assert r.norm == re.sub(r"[\W_]+", " ", re.sub(rf"https?://[^{re.escape(WHITE)}]+", " ", r.t.lower())).strip(" "), repr(r.t)
+        whole = (re.match("[^。！？.!?]*[。！？.!?]", r.clean) or re.match("(?s).*", r.clean))[0].strip(" ")
+        for most in (2, 5, 9):
+            assert r[f"s{most}"] == (whole if len(whole) <= most else whole[: most - 1] + "…"), repr(r.t)
+
+
+def test_lower_case_is_made_only_where_a_sign_can_be(spark):
+    assert "lower" not in str(T.where_shows(F.col("t"), ["<"], F.upper)) and "lower" not in str(T.strip_html(F.col("t")))
+    assert str(T.strip_both(F.col("t"))).count("[^ ]][") == 2
