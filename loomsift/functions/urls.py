@@ -29,14 +29,30 @@ def _encoded(path: Column) -> Column:
 def canonical_url(raw: Column) -> Column:
     """http(s) only: scheme, lower-case host without www. and port, path without trailing slashes, the parameters that
     do not track, sorted. An empty string for anything else. Read by patterns, as leniently as browsers do."""
-    return bound(F.regexp_replace(F.coalesce(raw, F.lit("")), "^[\\x00-\\x20]+|[\\x00-\\x20]+\\z|[\\t\\n\\r]", ""), _canonical)
+    return bound(_trimmed(raw), _canonical)
+
+
+def _trimmed(raw: Column) -> Column:
+    return F.regexp_replace(F.coalesce(raw, F.lit("")), "^[\\x00-\\x20]+|[\\x00-\\x20]+\\z|[\\t\\n\\r]", "")
+
+
+def _scheme(url: Column) -> Column:
+    return F.lower(F.regexp_extract(url, "^([A-Za-z][A-Za-z0-9+.-]*):", 1))
+
+
+def _found(url: Column, k: int) -> Column:
+    """Authority, path or query of a trimmed url."""
+    return F.regexp_extract(url, "^[A-Za-z]+:[/\\\\]*([^/\\\\?#]*)([^?#]*)(?:\\?([^#]*))?", k)
+
+
+def _host(url: Column) -> Column:
+    """The host of a trimmed url, an empty string if it can be none."""
+    host = F.regexp_replace(F.lower(F.regexp_replace(F.regexp_replace(_found(url, 1), "^.*@", ""), ":[0-9]*$", "")), "^www\\.", "")
+    return bound(host, lambda h: F.when(h.rlike("[\\x00-\\x20<>^|%\"`{}]|^$"), F.lit("")).otherwise(h))
 
 
 def _canonical(url: Column) -> Column:
-    scheme = F.lower(F.regexp_extract(url, "^([A-Za-z][A-Za-z0-9+.-]*):", 1))
-    found = lambda k: F.regexp_extract(url, "^[A-Za-z]+:[/\\\\]*([^/\\\\?#]*)([^?#]*)(?:\\?([^#]*))?", k)
-    host = F.regexp_replace(F.lower(F.regexp_replace(F.regexp_replace(found(1), "^.*@", ""), ":[0-9]*$", "")), "^www\\.", "")
-    host = bound(host, lambda h: F.when(h.rlike("[\\x00-\\x20<>^|%\"`{}]|^$"), F.lit("")).otherwise(h))
+    scheme, host, found = _scheme(url), _host(url), lambda k: _found(url, k)
     path = bound(F.replace(found(2), F.lit("\\"), F.lit("/")), _encoded)
     bare = bound(F.regexp_replace(path, "/+$", ""), lambda b: F.when(b == "", F.lit("/")).otherwise(b))
     decode = lambda c: F.coalesce(F.try_url_decode(c), c)
@@ -81,8 +97,8 @@ def is_public_https(url: Column) -> Column:
 
 
 def is_safe_link(url: Column) -> Column:
-    """A link a reader may follow: http or https with a host."""
-    return F.coalesce(F.lower(part(url, "PROTOCOL")).isin("http", "https") & (F.coalesce(part(url, "HOST"), F.lit("")) != ""), F.lit(False))
+    """A link a reader may follow: http or https with a host, read as leniently as browsers do."""
+    return bound(_trimmed(url), lambda u: _scheme(u).isin("http", "https") & (_host(u) != ""))
 
 
 def since_days(template: str, now_ms: int) -> str:

@@ -18,13 +18,20 @@ from loomsift.lineage import written
 
 # How much of a body the kinds of sources keep, and the widest payload that is read.
 BLOCK_MAX, PAGE_MAX, TOPIC_MAX, TWEET_MAX, TWEET_TITLE, PAYLOAD_MAX = 6000, 2000, 600, 1000, 120, 2 * 1024 * 1024
-_DATES = ("d MMM yyyy HH:mm:ss Z", "MMM d HH:mm:ss Z yyyy", "yyyy-MM-dd'T'HH:mm:ss[.SSS][XXX]", "yyyy-MM-dd'T'HH:mm:ssZ", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")
+_DATES = ("d MMM yyyy HH:mm:ss Z", "MMM d HH:mm:ss Z yyyy", "yyyy-MM-dd'T'HH:mm:ss[.SSS]XXX", "yyyy-MM-dd'T'HH:mm:ssZ")
+#: Forms that name no zone: UTC, whatever the session's zone is.
+_ZONELESS = ("yyyy-MM-dd'T'HH:mm:ss[.SSS]", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")
+
+
+def _utc(date: Column, form: str) -> Column:
+    return F.try_to_timestamp(F.concat(date, F.lit(" +0000")), F.lit(f"{form} Z"))
 
 
 def millis(date: Column) -> Column:
     """Epoch milliseconds of a date in the forms that feeds use, 0 for others."""
     plain = F.regexp_replace(F.regexp_replace(F.trim(date), "^[A-Z][a-z]{2},? ", ""), " (GMT|UTC|UT|Z)(?= |$)", " +0000")
-    return F.coalesce(*[F.unix_millis(F.try_to_timestamp(plain, F.lit(f))) for f in _DATES], F.lit(0).cast("long"))
+    found = [F.try_to_timestamp(plain, F.lit(f)) for f in _DATES] + [_utc(plain, f) for f in _ZONELESS]
+    return F.coalesce(*[F.unix_millis(t) for t in found], F.lit(0).cast("long"))
 
 
 def _or(*choices: Column) -> Column:
@@ -80,7 +87,7 @@ def repositories(payloads: DataFrame) -> DataFrame:
     kind = "items array<struct<full_name: string, description: string, html_url: string, created_at: string, stargazers_count: bigint, topics: array<string>>>"
     found = payloads.select("source", F.posexplode(F.from_json("payload", kind)["items"]).alias("pos", "e")).select("source", "pos", "e.*")
     about = F.trim(F.coalesce("description", F.lit("")))
-    stars = F.when(F.col("stargazers_count") > 0, F.concat(F.col("stargazers_count").cast("string"), F.lit(" stars")))
+    stars = F.when(F.col("stargazers_count") != 0, F.concat(F.col("stargazers_count").cast("string"), F.lit(" stars")))
     body = F.concat_ws(" · ", F.when(about != "", about), stars, F.when(F.size("topics") > 0, F.array_join("topics", " ")))
     title = F.when(about != "", F.concat(F.col("full_name"), F.lit(": "), about)).otherwise(F.col("full_name"))
     return _rows(found, title, body, F.col("html_url"), millis(F.coalesce("created_at", F.lit(""))))
@@ -135,7 +142,7 @@ def video_lines(payloads: DataFrame) -> DataFrame:
     found = found.select("source", "pos", F.from_json(F.trim("line"), kind).alias("e")).select("source", "pos", "e.*")
     link = F.coalesce("webpage_url", "url", F.concat(F.lit("https://www.youtube.com/watch?v="), F.col("id")), F.lit(""))
     body = F.concat(F.coalesce("channel", "uploader", F.lit("unknown channel")), F.lit(" · "), F.format_number(F.coalesce("view_count", F.lit(0)), 0), F.lit(" views"))
-    date = F.when(F.length("upload_date") == 8, F.unix_millis(F.try_to_timestamp("upload_date", F.lit("yyyyMMdd"))))
+    date = F.when(F.length("upload_date") == 8, F.unix_millis(_utc(F.col("upload_date"), "yyyyMMdd")))
     return _rows(found.where((F.coalesce(F.trim("title"), F.lit("")) != "") & (link != "")), F.trim("title"), body, link, date)
 
 
@@ -167,16 +174,17 @@ PARSERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def items_of(payloads: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
+def items_of(payloads: DataFrame, sources: DataFrame, most: int | None = PAYLOAD_MAX) -> tuple[DataFrame, DataFrame]:
     """(items, skipped) from payloads (source, url, payload, fallback) and sources (source, type, ordinal, enabled).
 
     Items have ids and seq, the order of sources and then of entries. Skipped are enabled sources whose payload is
-    missing, too long, or holds no entry: one that fails stops no other.
+    missing, longer than `most` bytes (None: no bound), or holds no entry: one that fails stops no other.
     """
     # A registry of sources has a row for each source, however much they send: no payload moves to meet it.
     wanted = F.broadcast(sources.where("enabled").select("source", "type", "ordinal"))
     # Written by kind once: whatever the payloads come from is read once, and each parser reads its own kind.
-    sound = written(payloads.where(F.octet_length(F.coalesce("payload", F.lit(""))) <= PAYLOAD_MAX).join(wanted, "source"), "payloads", "type")
+    short = payloads if most is None else payloads.where(F.octet_length(F.coalesce("payload", F.lit(""))) <= most)
+    sound = written(short.join(wanted, "source"), "payloads", "type")
     found = None
     for kind, parse in PARSERS.items():
         part = parse(sound.where(F.col("type") == kind))

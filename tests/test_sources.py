@@ -2,9 +2,13 @@
 
 import json
 
+import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
+from loomsift import queries, round_queries
 from loomsift.operators import similarity
 from loomsift.sources import quarantine, registry
 
@@ -71,3 +75,25 @@ def test_embedding_by_words(spark):
     assert got["2"] is None and got["3"] is None and got["4"] is None
     assert abs(got["1"][0] / got["1"][1] - 3) < 1e-6 and abs(got["5"][0] / got["5"][1] - 1) < 1e-6
     assert json.dumps(got["5"]) and F is not None
+
+
+def test_connectors_equal_their_sql_on_odd_rows_in_any_time_zone(spark, sf_dir, tmp_path):
+    """Links that strict parsers refuse, a document longer than a payload may be, a negative count, dates without a zone."""
+    urls = [f"https://a.example/{p}" for p in ("<b>", '"q"', "|", "%zz", "{x}", "x^", "]]>", "x#y#z")] + ["https://my_host.example/", "https://a-.example/", "https://a.example.1x/"]
+    texts = [("x" * (registry.PAYLOAD_MAX + 1), 1), ("plain", -5)]
+    odd = {
+        "documents": [{"doc_id": 10**6 + k, "text": t, "lang": "de", "source": "src1", "n_chars": n} for k, (t, n) in enumerate(texts)],
+        "pages": [{"page_id": 10**6 + k, "url": u, "html": ""} for k, u in enumerate(urls)],
+    }
+    duck, zone = duckdb.connect(), spark.conf.get("spark.sql.session.timeZone")
+    for name, rows in odd.items():
+        whole = pq.read_table(f"{sf_dir}/{name}.parquet")
+        pq.write_table(pa.concat_tables([whole, pa.Table.from_pylist(rows, schema=whole.schema)]), tmp_path / f"{name}.parquet")
+        duck.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet'")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        found = sorted(tuple(r) for r in round_queries.feed_connectors(spark, str(tmp_path)).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    want = sorted(duck.sql(f"SELECT source, title, body, url, published_at FROM ({queries.ORACLES['feed_connectors']})").fetchall())
+    assert len(found) == len(want) and all(a == b for a, b in zip(found, want))
