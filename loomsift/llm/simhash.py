@@ -3,20 +3,20 @@
 1. One pass over the texts makes the fingerprints: bit k is set if it is set in over half of the 64-bit hashes of the
    text's word shingles, repeats included.
 2. Equal fingerprints collapse to one class; all later steps see classes only.
-3. Classes are cut into tiles by the population count (number of set bits) of the fingerprint, a count with more than
-   TILE classes into several by hash. Two fingerprints that differ in at most r bits have counts that differ by at most
-   r, so a tile is paired with the tiles of its own count and the r counts above it, and with no others.
-4. A pair of tiles is one row of two packed arrays. Inside it the fingerprints, in order of the population counts of
-   their four quarters, are cut into small blocks; a pair of blocks is skipped if the ranges of those counts are
-   together further apart than r. All others are compared in full: exclusive or, bit count, at most r. Nothing is
-   estimated, so no link is missed.
-5. A pair of tiles gives each fingerprint's least connected one, not all links: a group of n edited copies makes n rows
-   in a pair of tiles, not n * n. Components of those rows are the components of all links.
-
-The comparison is quadratic in the number of different fingerprints by its nature; skipping leaves about a seventh of
-all pairs, at about a nanosecond each. Tiles are shipped as packed arrays to the tiles that they are compared with, so
-what is shuffled is 8 bytes a fingerprint and pair of tiles. Rows of a hot fingerprint (copies, empty texts) meet their
-class in one join at the end, which adaptive execution splits.
+3. A fingerprint is cut into r + 1 bands of bits. Two that differ in at most r bits agree in one band at least, so only
+   classes that share a band are compared: a tile holds those of one value of a band, and a value with more than TILE
+   of them has several tiles by hash, paired with each other. Values that one class alone has are left out.
+4. A tile, or a pair of them, is one row of packed arrays. Inside it the fingerprints, in order of the population counts
+   (numbers of set bits) of their four quarters, are cut into small blocks; a pair of blocks is skipped if the ranges of
+   those counts are together further apart than r. All others are compared in full: exclusive or, bit count, at most r.
+   Nothing is estimated, so no link is missed.
+5. A tile or pair of tiles gives each fingerprint's least connected one, not all links: a group of n edited copies makes
+   n rows, not n * n. Components of those rows are the components of all links.
+
+Every fingerprint is shipped r + 1 times, 8 bytes each. What is compared is still quadratic in the number of different
+fingerprints, but a band of 12 or 13 bits divides it: five bands compare about five in 8,192 pairs where their values are
+evenly spread, and the longest rows of tiles are bounded by TILE. Rows of a hot fingerprint (copies, empty texts) meet
+their class in one join at the end, which adaptive execution splits.
 
 Edge cases: null and empty texts and texts of white space have fingerprint zero, which is linked like any other; texts
 of fewer words than a shingle are one shingle; rows that repeat a doc_id, and a doc_id with several texts, have a row
@@ -102,7 +102,8 @@ def linked(a: np.ndarray, b: np.ndarray | None, radius: int) -> tuple[np.ndarray
         for m in np.flatnonzero(apart <= radius):
             if own and m < k:
                 continue
-            i, j = np.nonzero(np.bitwise_count(left ^ b[None, m * BLOCK : (m + 1) * BLOCK]) <= radius)
+            right = b[None, m * BLOCK : (m + 1) * BLOCK]
+            i, j = np.divmod(np.flatnonzero(np.bitwise_count(left ^ right) <= radius), right.shape[1])
             i, j = root[i + k * BLOCK], root[j + shift + m * BLOCK]
             while (apart_yet := i != j).any():
                 i, j = i[apart_yet], j[apart_yet]
@@ -116,31 +117,37 @@ def linked(a: np.ndarray, b: np.ndarray | None, radius: int) -> tuple[np.ndarray
     return every[y != every], y[y != every]
 
 
+def bands(radius: int) -> list[tuple[int, int]]:
+    """(first bit, mask) of radius + 1 bands that together are all 64 bits; bands beyond 64 have no bit."""
+    cuts = [64 * k // (radius + 1) for k in range(radius + 2)]
+    return [(a, int(np.uint64(2 ** (b - a) - 1).view(np.int64))) for a, b in zip(cuts, cuts[1:])]
+
+
 def edges(classes: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
     """(x, y): rows whose components are those of all links between the different fingerprints fp of classes."""
     spark = classes.sparkSession
-    counts = {r.n: r.rows for r in classes.groupBy(F.bit_count("fp").alias("n")).agg(F.count("*").alias("rows")).collect()}  # 65 rows
-    # Tiles are numbered in order of the population count: first[n] is the first of count n.
-    parts = [-(-counts.get(n, 0) // tile) for n in range(65)]
-    first = np.cumsum([0, *parts]).tolist()
-    each = lambda values: F.get(F.array(*map(F.lit, values)), F.bit_count("fp"))
-    last = [first[min(n + radius + 1, 65)] - 1 for n in range(65)]
-    number = each(first[:65]) + F.pmod(F.xxhash64("fp", F.lit(3)), F.greatest(each(parts), F.lit(1))).cast("int")
-    tiles = classes.select(number.alias("tile"), each(last).alias("last"), "fp").groupBy("tile", "last").agg(F.collect_list("fp").alias("fps"))
-    tiles = written(tiles, "tiles")
-    pairs = tiles.select("tile", "fps", F.explode(F.sequence("tile", "last")).alias("other"))
-    pairs = pairs.join(tiles.select(F.col("tile").alias("other"), F.col("fps").alias("others")), "other")
+    values = [F.shiftrightunsigned("fp", first).bitwiseAND(F.lit(mask)) for first, mask in bands(radius)]
+    shared = classes.select("fp", F.posexplode(F.array(*values)).alias("band", "value"))
+    counts = shared.groupBy("band", "value").agg(F.ceil(F.count("*") / tile).cast("int").alias("parts"), F.count("*").alias("n"))
+    placed = shared.join(counts.where("n > 1").drop("n"), ["band", "value"])
+    placed = placed.withColumn("part", F.pmod(F.xxhash64("fp", F.lit(3)), "parts").cast("int"))
+    tiles = written(placed.groupBy("band", "value", "parts", "part").agg(F.collect_list("fp").alias("fps")), "tiles")
+    own = tiles.select("band", "value", "part", F.col("part").alias("other"), "fps", F.lit(None).cast("array<long>").alias("others"))
+    left = tiles.where("part < parts - 1").select("band", "value", "part", F.explode(F.sequence(F.col("part") + 1, F.col("parts") - 1)).alias("other"), "fps")
+    right = tiles.where("part > 0").select("band", "value", F.col("part").alias("other"), F.col("fps").alias("others"))
+    pairs = own.unionByName(left.join(right, ["band", "value", "other"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(batch.num_rows):
-                a = np.asarray(batch.column(2)[at].values).view(np.uint64)
-                own = batch.column(0)[at].as_py() == batch.column(1)[at].as_py()
-                x, y = linked(a, None if own else np.asarray(batch.column(3)[at].values).view(np.uint64), radius)
-                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(y.view(np.int64))], ["x", "y"])
+            found = []
+            for fps, others in zip(batch.column(0), batch.column(1)):
+                found.append(linked(np.asarray(fps.values).view(np.uint64), np.asarray(others.values).view(np.uint64) if others.is_valid else None, radius))
+            if found:
+                x, y = (np.concatenate(side).view(np.int64) for side in zip(*found))
+                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
 
     # Dealt by pair: work goes by pairs of tiles, not by bytes, so the number of partitions is not left to their size.
-    dealt = pairs.select("tile", "other", "fps", "others").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "tile", "other")
+    dealt = pairs.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "band", "value", "part", "other").select("fps", "others")
     return dealt.mapInArrow(run, "x long, y long")
 
 

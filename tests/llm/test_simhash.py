@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from loomsift.lineage import written
 from loomsift.llm import simhash
 
 DOCS = "doc_id long, text string, fp string, tile string"
@@ -118,3 +119,24 @@ def test_rows_of_a_large_group(spark):
         flips = np.unique(np.uint64(0x0F0F0F0F0F0F0F0F) ^ (np.uint64(1) << rng.integers(0, 64, n, dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, n, dtype=np.uint64)))
         x, _ = simhash.linked(flips, None, 4)
         assert len(x) == len(flips) - 1
+
+
+@pytest.mark.parametrize("radius", [0, 1, 4, 7, 63, 64, 70])
+def test_bands_are_all_bits_once(radius):
+    made = [(first, mask % 2**64) for first, mask in simhash.bands(radius)]
+    assert len(made) == radius + 1 and sum(mask << first for first, mask in made) == 2**64 - 1
+    assert sum(mask.bit_count() for _, mask in made) == 64
+
+
+def test_only_what_shares_a_band_is_compared(spark, monkeypatch):
+    """Unlike fingerprints do not all meet: the squares of the tiles add up to a small part of all pairs, and no link is lost."""
+    rng = np.random.default_rng(7)
+    n, kept = 4000, {}
+    seeds = rng.integers(0, 2**64, n, dtype=np.uint64)
+    flips = np.bitwise_or.reduce(np.uint64(1) << np.array([rng.choice(64, 4, replace=False) for _ in range(50)], np.uint64), axis=1)
+    every = np.concatenate([seeds, seeds[:50] ^ flips]).view(np.int64)
+    monkeypatch.setattr(simhash, "written", lambda df, name, *by: kept.setdefault(name, written(df, name, *by)))
+    rows = {(r.x, r.y) for r in simhash.edges(spark.createDataFrame([(v,) for v in every.tolist()], "fp long"), 4).collect()}
+    joined = {frozenset(r) for r in rows}
+    assert all(frozenset((a, b)) in joined for a, b in zip(every[:50].tolist(), every[n:].tolist()))
+    assert kept["tiles"].selectExpr("sum(pow(size(fps), 2))").first()[0] < n * n / 50
